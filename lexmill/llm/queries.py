@@ -9,11 +9,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.catalog import Catalog, table
-from lexmill.llm import bpe, common, fingerprints, token_files, toxicity
+from lexmill.llm import bpe, common, decontaminate, fingerprints, lines, minhash, pii, token_files, toxicity
 
 CATALOG = Catalog()
 
 
+#: Links of documents whose 4-word shingle sets share 80 % of their union; components by repeated minima.
+OP1_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda w: w <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3]) END) AS s
+  FROM words
+), one AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared, any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM one a JOIN one b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (SELECT a, b FROM pairs WHERE 100 * shared >= 80 * (na + nb - shared)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a AS node, b AS seen FROM edges UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.seen = e.a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(m.least_id, s.doc_id)) AS component_id,
+  s.doc_id = least(s.doc_id, coalesce(m.least_id, s.doc_id)) AS kept
+FROM sets s LEFT JOIN (SELECT node, min(seen) AS least_id FROM reach GROUP BY node) m ON m.node = s.doc_id
+"""
+
+
+@CATALOG.add("op1_minhash", OP1_SQL)
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(words=4))
+
+
+#: Windows of two lines with 60 characters or more that also start earlier are deleted.
+OP3_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+  FROM documents
+), w AS (
+  SELECT doc_id, pos, line, lead(line) OVER d AS following FROM l WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
+), starts AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY line, following ORDER BY doc_id, pos) > 1 AS later
+  FROM w WHERE following IS NOT NULL AND length(line) + length(following) >= 60
+), gone AS (SELECT DISTINCT doc_id, pos + i AS pos FROM starts, (VALUES (0), (1)) v(i) WHERE later),
+marked AS (SELECT l.*, g.pos IS NOT NULL AS removed FROM l LEFT JOIN gone g USING (doc_id, pos)),
+runs AS (SELECT *, removed AND NOT coalesce(lag(removed) OVER (PARTITION BY doc_id ORDER BY pos), false) AS begins FROM marked)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE removed) AS BIGINT) AS n_removed, CAST(count(*) FILTER (WHERE begins) AS BIGINT) AS n_runs,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT removed), '')) AS kept_sha256
+FROM runs GROUP BY doc_id
+"""
+
+
+@CATALOG.add("op3_line_dedup", OP3_SQL)
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
 @CATALOG.add("op4_token_files")
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{common.shared_dir(spark)}/lexmill/op4-{uuid.uuid4().hex}"
@@ -23,6 +75,16 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(token_files.read_tokens(spark, path))
 
 
+@CATALOG.add("op5_pii")
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+@CATALOG.add("op6_decontamination")
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @CATALOG.add("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
