@@ -30,12 +30,20 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: later steps neither compute it again nor need
-    the executors that made it."""
+    the executors that made it. The shuffle files of the write go when it ends, as the table has what they held."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lexmill/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

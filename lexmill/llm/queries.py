@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.catalog import Catalog, table
-from lexmill.llm import bpe, common, decontaminate, fingerprints, lines, minhash, pii, token_files, toxicity
+from lexmill.llm import bpe, common, decontaminate, fingerprints, lines, minhash, pii, substrings, token_files, toxicity
 
 CATALOG = Catalog()
 
@@ -99,6 +99,11 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+@CATALOG.add("op9_substring_dedup")
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @CATALOG.add("op10_byte_bpe")
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
