@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.catalog import Catalog, table
-from lexmill.llm import bpe, common, decontaminate, fingerprints, lines, minhash, pii, substrings, token_files, toxicity
+from lexmill.llm import bpe, common, decontaminate, fingerprints, language_model, lines, minhash, pii, substrings, token_files, toxicity
 
 CATALOG = Catalog()
 
@@ -42,6 +42,12 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(words=4))
 
 
+@CATALOG.add("op2_language_model")
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_model.score(docs, language_model.fit(docs))
+
+
 #: Windows of two lines with 60 characters or more that also start earlier are deleted.
 OP3_SQL = r"""
 WITH l AS (
