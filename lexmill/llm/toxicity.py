@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import string
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,8 +33,8 @@ class Settings:
     """``sample``: labelled documents per class that are fitted at most (a fixed bound; ids are drawn by hash).
     ``sample_words``: words of these documents that are fitted at most, in whole documents, in order of the hash."""
 
-    sample: int = 3_000
-    sample_words: int = 3_000_000
+    sample: int = 2_000
+    sample_words: int = 1_200_000
     buckets: int = 1 << 17
     dim: int = 16
     shortest: int = 3
@@ -105,27 +106,30 @@ def fit(texts: list[str], labels: np.ndarray, s: Settings | None = None) -> Mode
     words, docs = [], []
     for d, text in enumerate(texts):
         found = [ids.setdefault(w, len(ids)) for w in text.lower().split()]
-        words.append(np.asarray(found, np.int64))
+        words.append(np.asarray(found, np.int32))
         docs.append(d)
     lens = np.array([len(w) for w in words])
     flat = np.concatenate(words)
-    doc = np.repeat(docs, lens)
+    doc = np.repeat(np.asarray(docs, np.int64), lens)
     at = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
     first = np.flatnonzero(at % s.window == 0)
     window = np.cumsum(at % s.window == 0) - 1
     window_doc = doc[first]
     n_windows, n_words = len(first), len(ids)
-    lists = [grams(w, s) for w in ids]
-    gram_n = np.array([len(g) for g in lists])
-    gram = np.fromiter((x for g in lists for x in g), np.int64, gram_n.sum())
-    gram_word = np.repeat(np.arange(n_words), gram_n)
-    gram_share = 1 / gram_n[gram_word]
+    packed, sizes = array("i"), array("i")
+    for w in ids:
+        found = grams(w, s)
+        packed.extend(found)
+        sizes.append(len(found))
+    gram, gram_n = np.frombuffer(packed, np.int32), np.frombuffer(sizes, np.int32)
+    gram_word = np.repeat(np.arange(n_words, dtype=np.int32), gram_n)
+    gram_share = (1 / gram_n)[gram_word].astype(np.float32)
     # n-grams of very few documents only let the model learn its sample by heart.
     pairs = np.unique(doc * n_words + flat)
     per_pair = gram_n[pairs % n_words]
-    first_gram = np.cumsum(gram_n) - gram_n
+    first_gram = np.cumsum(gram_n, dtype=np.int64) - gram_n
     spread = np.zeros(s.buckets)
-    for chunk in np.array_split(np.arange(len(pairs)), max(1, len(pairs) // 200_000)):
+    for chunk in np.array_split(np.arange(len(pairs)), max(1, len(pairs) // 50_000)):
         n = per_pair[chunk]
         where = np.repeat(first_gram[pairs[chunk] % n_words], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         spread += np.bincount(np.unique(np.repeat(pairs[chunk] // n_words, n) * s.buckets + gram[where]) % s.buckets, minlength=s.buckets)
