@@ -1 +1,103 @@
-"""lexmill.sources"""
+"""Readers and writers: JSON lines, CSV with nested fields flattened, routed and merged outputs, recognised pages."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BOM = "﻿"
+_S = T.StringType()
+
+DOCUMENT = T.StructType([T.StructField(n, _S) for n in ("doc_id", "title", "subtitle", "source_url")])
+URL_ENTRY = T.StructType([T.StructField(n, _S) for n in ("name", "url")])
+METADATA = T.StructType([T.StructField("chapter", _S), T.StructField("source_type", _S)])
+CHUNK = T.StructType([*(T.StructField(n, _S) for n in ("chunk_id", "doc_id", "title", "text")), T.StructField("metadata", METADATA), T.StructField("source_url", _S)])
+CASE = T.StructType(
+    [
+        *(T.StructField(n, _S) for n in ("source_url", "title", "subtitle1")),
+        T.StructField("sections", T.StructType([*(T.StructField(n, _S) for n in ("판시사항", "판결요지", "참조조문")), T.StructField("전문", T.StructType([T.StructField("주문", _S), T.StructField("이유", _S)]))])),
+    ]
+)
+QUEUE = T.StructType(
+    [T.StructField("id", T.LongType()), *(T.StructField(n, _S) for n in ("source_url", "title", "subtitle1")), T.StructField("chunk_no", T.IntegerType()), *(T.StructField(n, _S) for n in ("chunk", "status", "error")), *(T.StructField(n, T.TimestampType()) for n in ("created_at", "updated_at"))]
+)
+EMBEDDING = T.StructType([T.StructField("queue_id", T.LongType()), T.StructField("chunk_no", T.IntegerType()), T.StructField("vector", T.ArrayType(T.DoubleType()))])
+
+
+def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, strict: bool = True) -> DataFrame:
+    """JSON lines by an explicit schema. ``strict`` fails on a bad line; otherwise it lands in ``_corrupt_record``."""
+    if strict:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("_corrupt_record", _S)])).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+
+
+def write_jsonl(df: DataFrame, path: str) -> None:
+    """JSON lines, nulls written, overwriting."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def flattened(df: DataFrame) -> DataFrame:
+    """Nested structs as columns named by their path (``metadata.chapter``)."""
+
+    def leaves(schema: T.StructType, path: tuple[str, ...] = ()) -> list[Column]:
+        out: list[Column] = []
+        for f in schema.fields:
+            here = (*path, f.name)
+            if isinstance(f.dataType, T.StructType):
+                out += leaves(f.dataType, here)
+            else:
+                out.append(F.col(".".join(f"`{p}`" for p in here)).alias(".".join(here)))
+        return out
+
+    return df.select(*leaves(df.schema))
+
+
+def write_csv(df: DataFrame, path: str, bom: bool = True) -> bool:
+    """CSV of the flattened rows with a header and doubled quotes; a byte-order mark leads the header. Nothing is
+    written for an empty table (False)."""
+    flat = flattened(df)
+    if flat.isEmpty():
+        return False
+    if bom and flat.columns:
+        flat = flat.toDF(BOM + flat.columns[0], *flat.columns[1:])
+    flat.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path)
+    return True
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    df = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
+    return df.toDF(*(c.lstrip(BOM) for c in df.columns))
+
+
+def merged(parts: DataFrame, name: str = "name", suffix: str = "_document.jsonl") -> DataFrame:
+    """Rows in the byte order of the files they would have stood in."""
+    return parts.orderBy(F.concat(F.col(name), F.lit(suffix)))
+
+
+def routed(df: DataFrame, path: str, by: str = "kind") -> None:
+    """One output for each kind of record."""
+    df.write.mode("overwrite").partitionBy(by).json(path)
+
+
+def quarantine(df: DataFrame, bad: Column, path: str) -> DataFrame:
+    """Writes the rows where ``bad`` holds to a table of their own and returns the others."""
+    df.where(bad).write.mode("append").parquet(path)
+    return df.where(~bad)
+
+
+def savable(documents: DataFrame) -> DataFrame:
+    """Documents that have a title."""
+    return documents.where(F.coalesce("title", F.lit("")) != "")
+
+
+def recognised_text(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """The pages of each document joined in order, empty pages left out: ``keys, text``."""
+    rows = F.array_sort(F.collect_list(F.struct("page_no", "text")))
+    return pages.where(F.coalesce("text", F.lit("")) != "").groupBy(*keys).agg(F.array_join(F.transform(rows, lambda r: r["text"]), "\n").alias("text"))
+
+
+def field_text(response: Column) -> Column:
+    """The fields of a recognition response (JSON), joined by blanks."""
+    parsed = F.from_json(response, "images array<struct<fields array<struct<inferText string>>>>")
+    return F.array_join(F.transform(F.get(parsed["images"], 0)["fields"], lambda f: f["inferText"]), " ")

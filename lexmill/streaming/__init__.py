@@ -1 +1,63 @@
-"""lexmill.streaming"""
+"""The embedding worker as a stream: queue files in, vectors upserted, exactly once in effect.
+
+The source's checkpoint is the claim: a batch of files belongs to one micro-batch, and a failed one is replayed. The
+upsert is idempotent, so at-least-once delivery leaves one vector for each row.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexmill.operators.queue import PENDING, upsert_vectors
+from lexmill.operators.vectors import Backend, EmbedConfig, embed_column, unit
+from lexmill.sources import EMBEDDING, QUEUE
+
+
+def embed_rows(queue: DataFrame, make: Callable[[], Backend], config: EmbedConfig) -> DataFrame:
+    """``queue_id, chunk_no, vector`` of pending rows."""
+    vectors = queue.where(F.col("status") == PENDING).select(F.col("id").alias("queue_id"), "chunk_no", embed_column(make, config)(F.col("chunk")).alias("vector"))
+    return vectors.withColumn("vector", unit(F.col("vector"))) if config.normalize else vectors
+
+
+class VectorStore:
+    """Versions of a Parquet table; the newest complete one counts."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def _versions(self) -> list[int]:
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        found = [s.getPath().getName() for s in fs.listStatus(root)]
+        done = [int(n[1:]) for n in found if n.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))]
+        return sorted(done)
+
+    def read(self) -> DataFrame:
+        versions = self._versions()
+        if not versions:
+            return self.spark.createDataFrame([], EMBEDDING)
+        return self.spark.read.schema(EMBEDDING).parquet(f"{self.path}/v{versions[-1]}")
+
+    def upsert(self, rows: DataFrame, version: int) -> None:
+        """Writes version ``version``; a replay of the same batch writes the same version again."""
+        older = [v for v in self._versions() if v < version]
+        base = self.spark.read.schema(EMBEDDING).parquet(f"{self.path}/v{older[-1]}") if older else self.spark.createDataFrame([], EMBEDDING)
+        upsert_vectors(base, rows).write.mode("overwrite").parquet(f"{self.path}/v{version}")
+
+
+def start_worker(spark: SparkSession, queue_path: str, store_path: str, checkpoint: str, make: Callable[[], Backend], config: EmbedConfig, once: bool = True, poll: str = "2 seconds", files: int = 16):
+    """Starts the worker; ``once`` processes what is there and stops, else it polls. Returns the streaming query."""
+    store = VectorStore(spark, store_path)
+
+    def step(batch: DataFrame, number: int) -> None:
+        store.upsert(embed_rows(batch, make, config), number)
+
+    stream = spark.readStream.schema(QUEUE).option("maxFilesPerTrigger", files).parquet(queue_path)
+    writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=poll)).start()
