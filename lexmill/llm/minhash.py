@@ -236,8 +236,9 @@ def near_duplicates(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
     s = s or Settings()
     sigs = written(signatures(docs, s), "signatures")
-    filled = sigs.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    reps = written(filled.groupBy("set_id").agg(F.min("doc_id").alias("a"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "representatives")
+    filled = sigs.where("n_shingles > 0")
+    reps = filled.groupBy("set_id").agg(F.min("doc_id").alias("a"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    reps = written(reps.where("a IS NOT NULL"), "representatives")
     banded = reps.select("a", "n", F.explode("bands").alias("band"))
     hubs = written(banded.groupBy("band").agg(F.min("a").alias("b"), F.max("a").alias("last")).where("b <> last").select("band", "b"), "hubs")
     near = written(banded.join(hubs, "band"), "near")
