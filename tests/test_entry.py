@@ -30,7 +30,7 @@ def test_query(spark, duck, name):
     got = QUERIES[name](spark, SF).toArrow()
     assert got.num_rows
     if name in SQL:
-        assert rows(got) == rows(duck.execute(SQL[name]).fetch_arrow_table())
+        assert rows(got) == rows(duck.execute(SQL[name]).to_arrow_table())
 
 
 def test_entry(spark):
