@@ -1,10 +1,11 @@
 """Byte-level BPE as a lazily determinised finite-state transducer, and streaming decoding.
 
 The last token of the encoding of a prefix depends only on the few tokens that can end there: a token ``t`` may
-follow ``u`` exactly if the pair encodes to itself. So a left-to-right machine can keep, for the bytes read since the
-last sure token boundary, the last token at each position from which a vocabulary entry may still grow. As soon as
-all these positions share an ancestor, the tokens up to it are sure and are emitted: lookahead is bounded by the
-longest entry. Such a situation is a state; states and their transitions are worked out when first met and kept.
+follow ``u`` exactly if the pair encodes to itself. So a left-to-right machine can keep the last tokens at those
+positions from which a vocabulary entry may still grow, with the bytes since the first of them: that is its state, and
+the token that ends at the next byte is its output, written to a register of last tokens. States and transitions are
+worked out when first met and kept. Tokens on the way back from a position are sure once all positions of the state
+lead back to it, so they are emitted after a lookahead bounded by the longest entry.
 
 Decoding runs the ids through an incremental UTF-8 state machine whose transitions are kept by (state, id), so
 characters that cross token boundaries come out right and nothing waits longer than one character.
@@ -21,16 +22,16 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from lexmill.llm.common import slices, texts_of
+from lexmill.llm.splitting import Splitter
 
 
 class Transducer:
     """Encodes single pieces (matches of the splitting pattern)."""
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 150_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 200_000) -> None:
         self.ranks, self.most_states = ranks, most_states
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.grows = {b[:k] for b in ranks for k in range(1, len(b))}  # proper prefixes of entries
@@ -39,11 +40,10 @@ class Transducer:
         self._forget()
 
     def _forget(self) -> None:
-        start = (b"", (), None)
+        start = (b"", (None,))
         self.states = [start]
         self.number = {start: 0}
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
-        self.rest: list[tuple[int, ...]] = [()]
+        self.steps: list[dict[int, tuple[int, int]]] = [{}]
 
     def merged(self, data: bytes) -> list[int]:
         """Plain BPE of a short string: merge the adjacent pair of lowest rank until none is left."""
@@ -72,52 +72,34 @@ class Transducer:
             self._follows[key] = self.merged(self.bytes_of[before] + self.bytes_of[token]) == [before, token]
         return self._follows[key]
 
-    def _make(self, at: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """The transition from state ``at`` over ``byte``.
+    def _make(self, at: int, byte: int) -> tuple[int, int]:
+        """The transition from state ``at`` over ``byte``: the next state and the token that ends here.
 
-        A state is (bytes since the sure boundary, last token at each later position or None where it no longer
-        matters, the token before the boundary).
+        A state is (bytes since its first live position, for that position and each later one the token that ends
+        there, ``None`` at the start of a piece or 0-length, or -1 where the position is no longer live).
         """
-        pending, last, before = self.states[at]
-        text = pending + bytes((byte,))
-        n = len(text)
-        ends = [before, *last]
-        token = start = None
-        for k in range(n):
-            if (k == 0 or ends[k] is not None) and (t := self.ranks.get(text[k:])) is not None and self.reachable(t) and self.follows(ends[k], t):
-                token, start = t, k
+        text, ends = self.states[at]
+        text += bytes((byte,))
+        token = None
+        for k, before in enumerate(ends):
+            if before != -1 and (t := self.ranks.get(text[k:])) is not None and self.reachable(t) and self.follows(before, t):
+                token = t
                 break
         if token is None:
             raise ValueError(f"no entry ends after {text!r}: the vocabulary lacks single bytes")
-        ends.append(token)
-        length = [0] + [len(self.bytes_of[t]) if t is not None else 0 for t in ends[1:]]
-        live = [k for k in range(n) if (k == 0 or ends[k] is not None) and text[k:] in self.grows] + [n]
-        paths = []
-        for k in live:
-            path = [k]
-            while k:
-                k -= length[k]
-                path.append(k)
-            paths.append(path)
-        sure = max(set(paths[0]).intersection(*paths[1:]))
-        needed = {k for path in paths for k in path if k > sure}
-        out = []
-        k = sure
-        while k:
-            out.append(ends[k])
-            k -= length[k]
-        state = (text[sure:], tuple(ends[k] if k in needed else None for k in range(sure + 1, n + 1)), ends[sure])
+        grows = self.grows
+        live = [before if before != -1 and text[k:] in grows else -1 for k, before in enumerate(ends)]
+        live.append(token)
+        first = 0
+        while live[first] == -1:
+            first += 1
+        state = (text[first:], tuple(live[first:]))
         to = self.number.get(state)
         if to is None:
             to = self.number[state] = len(self.states)
             self.states.append(state)
             self.steps.append({})
-            tail, k = [], n
-            while k > sure:
-                tail.append(ends[k])
-                k -= length[k]
-            self.rest.append(tuple(tail[::-1]))
-        step = self.steps[at][byte] = (to, tuple(out[::-1]))
+        step = self.steps[at][byte] = (to, token)
         return step
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
@@ -126,14 +108,37 @@ class Transducer:
             return (whole,)
         if len(self.states) > self.most_states:
             self._forget()
-        at, out, steps = 0, [], self.steps
+        at, steps, out = 0, self.steps, []
+        register: list[int] = []  # the token that ends at each byte since the last sure boundary
         for byte in piece:
-            step = steps[at].get(byte) or self._make(at, byte)
-            at = step[0]
-            if step[1]:
-                out.extend(step[1])
-        out.extend(self.rest[at])
-        return tuple(out)
+            at, token = steps[at].get(byte) or self._make(at, byte)
+            register.append(token)
+            if len(register) >= 512:
+                self._emit(at, register, out)
+        return (*out, *self._back(register, len(register)))
+
+    def _back(self, register: list[int], k: int) -> list[int]:
+        tokens = []
+        while k:
+            tokens.append(register[k - 1])
+            k -= len(self.bytes_of[tokens[-1]])
+        return tokens[::-1]
+
+    def _emit(self, at: int, register: list[int], out: list[int]) -> None:
+        """Moves the sure tokens of a long piece from the register to ``out``."""
+        ends = self.states[at][1]
+        n = len(register)
+        paths = []
+        for i, t in enumerate(ends):
+            if t != -1:
+                path = {k := n - len(ends) + 1 + i}
+                while k:
+                    k -= len(self.bytes_of[register[k - 1]])
+                    path.add(k)
+                paths.append(path)
+        sure = max(set.intersection(*paths))
+        out += self._back(register, sure)
+        del register[:sure]
 
 
 class Utf8Machine:
@@ -176,10 +181,10 @@ class Utf8Machine:
 class Codec:
     """Encoder and decoder of whole texts for one rank file and splitting pattern."""
 
-    def __init__(self, rank_file: bytes, pattern: str, most_pieces: int = 400_000) -> None:
+    def __init__(self, rank_file: bytes, pattern: str, most_pieces: int = 600_000) -> None:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines()) if a}
         self.machine = Transducer(ranks)
-        self.split = regex.compile(pattern).findall
+        self.split = Splitter(pattern)
         self.pieces = _Pieces(self.machine, most_pieces)
         size = max(ranks.values()) + 1
         self.tokens: list[bytes] = [self.machine.bytes_of.get(i, b"") for i in range(size)]
