@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +27,8 @@ B1, B2 = 911_382_323, 972_663_749
 
 @dataclass(frozen=True)
 class Settings:
-    """``span``: code points of a compared span; ``short_span``: of one where either text has fewer than ``short``
-    code points; ``kept``: smallest span hashes that a fingerprint keeps."""
+    """``span``: code points of a compared span in texts of ``short`` or more; ``short_span``: in texts of fewer than
+    four times ``short``; ``kept``: smallest span hashes that a fingerprint keeps of either."""
 
     span: int = 12
     short_span: int = 3
@@ -41,28 +40,35 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, prime: int, size: int) -> np.ndarray:
-    out = np.ones(size, np.int64)
-    step, have = base % prime, 1
-    while have < size:  # doubling: base**(have + i) = base**have * base**i
-        more = min(have, size - have)
-        out[have : have + more] = out[:more] * pow(base, have, prime) % prime
-        have += more
-    return out
+_POWERS: dict[tuple[int, int], np.ndarray] = {}
 
 
 def powers(base: int, prime: int, size: int) -> np.ndarray:
-    return _powers(base, prime, 1 << max(12, (size - 1).bit_length()))[:size]
+    """``base**0 .. base**(size - 1)`` modulo ``prime``; the longest table so far is kept for each base."""
+    out = _POWERS.get((base, prime), np.ones(1, np.int64))
+    while len(out) < size:  # doubling: base**(n + i) = base**n * base**i
+        out = np.concatenate([out, out * pow(base, len(out), prime) % prime])
+    _POWERS[base, prime] = out
+    return out[:size]
+
+
+BACK1, BACK2 = pow(B1, -1, P1), pow(B2, -1, P2)
 
 
 class PrefixHash:
     """The prefix arrays of one text, modulo two primes."""
 
-    def __init__(self, text: str) -> None:
-        c = code_points(text) + 1
-        self.n = len(c)
-        self.prefix = [self._sums(c * powers(b, p, self.n) % p, p) for b, p in ((B1, P1), (B2, P2))] if self.n else [np.zeros(1, np.int64)] * 2
+    def __init__(self, text: str, head: PrefixHash | None = None, keep: int = 0) -> None:
+        """``head``, ``keep``: arrays of a text that begins with the same ``keep`` code points, to go on from."""
+        c = code_points(text[keep:]) + 1
+        self.n = keep + len(c)
+        self.head, self.keep = head, keep
+        self.hashes: dict[int, np.ndarray] = {}
+        self.made: Fingerprint | None = None
+        self.prefix = []
+        for k, (b, p) in enumerate(((B1, P1), (B2, P2))):
+            sums = self._sums(c * powers(b, p, self.n)[keep:] % p, p) if len(c) else np.zeros(1, np.int64)
+            self.prefix.append(np.concatenate([head.prefix[k][:keep], (sums + head.prefix[k][keep]) % p]) if head else sums)
 
     @staticmethod
     def _sums(terms: np.ndarray, prime: int) -> np.ndarray:
@@ -74,17 +80,31 @@ class PrefixHash:
         """62-bit hashes of the spans of ``length`` at ``starts``, the same wherever a span stands."""
         starts = np.atleast_1d(starts)
         out = np.zeros(len(starts), np.uint64)
-        for shift, prefix, b, p in ((31, self.prefix[0], B1, P1), (0, self.prefix[1], B2, P2)):
-            shifted = powers(pow(b, -1, p), p, self.n + 1)[starts]
+        for shift, prefix, back, p in ((31, self.prefix[0], BACK1, P1), (0, self.prefix[1], BACK2, P2)):
+            shifted = powers(back, p, self.n + 1)[starts]
             out |= ((prefix[starts + length] - prefix[starts]) % p * shifted % p).astype(np.uint64) << np.uint64(shift)
         return out
 
     def all_spans(self, length: int) -> np.ndarray:
-        return self.spans(np.arange(self.n - length + 1), length)
+        """Mixed hashes, modulo one prime, of the spans at every place; those of ``head`` are taken over."""
+        if length not in self.hashes:
+            known = min(self.keep - length + 1, self.head.n - length + 1) if self.head else 0
+            first = max(0, known)
+            prefix = self.prefix[0][first:]
+            back = powers(BACK1, P1, self.n + 1)[first : self.n - length + 1]
+            h = _mix(((prefix[length:] - prefix[:-length] + P1) % P1 * back % P1).astype(np.uint64))
+            self.hashes[length] = np.concatenate([self.head.all_spans(length)[:first], h]) if first else h
+        return self.hashes[length]
 
     def equal(self, i: int, j: int, length: int, other: PrefixHash | None = None) -> bool:
         """Whether the spans of ``length`` at ``i`` here and at ``j`` in ``other`` (or here) are equal."""
-        return bool(self.spans(i, length)[0] == (other or self).spans(j, length)[0])
+        other = other or self
+        for k, (b, p) in enumerate(((B1, P1), (B2, P2))):
+            here, there = (int(x.prefix[k][at + length]) - int(x.prefix[k][at]) for x, at in ((self, i), (other, j)))
+            lift = powers(b, p, max(i, j) + 1)
+            if (here * int(lift[j]) - there * int(lift[i])) % p:
+                return False
+        return True
 
     def common_extension(self, i: int, j: int, other: PrefixHash | None = None) -> int:
         """Length of the longest common extension from ``i`` here and ``j`` in ``other`` (or here)."""
@@ -121,10 +141,13 @@ class Fingerprint:
     @staticmethod
     def of(prefix: PrefixHash, s: Settings = Settings()) -> Fingerprint:  # noqa: B008
         n = prefix.n
+        if prefix.made:
+            return prefix.made
         if not n:
             return Fingerprint(0, 0, (), ())
-        sketch = lambda size: tuple(_smallest(_mix(prefix.all_spans(min(n, size))), s.kept).tolist())
-        return Fingerprint(n, int(prefix.spans(0, n)[0]), sketch(s.span) if n >= s.short else (), sketch(s.short_span))
+        sketch = lambda size: tuple(_smallest(prefix.all_spans(min(n, size)), s.kept).tolist())
+        prefix.made = Fingerprint(n, int(prefix.spans(0, n)[0]), sketch(s.span) if n >= s.short else (), sketch(s.short_span) if n < 4 * s.short else ())
+        return prefix.made
 
     def __str__(self) -> str:
         return f"{self.n}:{self.whole:016x}:{''.join(f'{x:08x}' for x in self.long)}:{''.join(f'{x:08x}' for x in self.short)}"
@@ -135,7 +158,7 @@ class Fingerprint:
         return Fingerprint(int(n), int(whole, 16), *(tuple(int(x[i : i + 8], 16) for i in range(0, len(x), 8)) for x in lists))
 
     def likeness(self, other: Fingerprint, s: Settings = Settings()) -> float:  # noqa: B008
-        """Estimated share of the two texts' spans that both have; 1 for equal texts."""
+        """Estimated share of the two texts' spans that both have; 1 for equal texts, 0 if lengths are very unlike."""
         if (self.n, self.whole) == (other.n, other.whole):
             return 1.0
         a, b = (self.long, other.long) if self.long and other.long else (self.short, other.short)
@@ -187,11 +210,10 @@ def fingerprint_edits(docs: DataFrame, s: Settings | None = None) -> DataFrame:
             n = len(text)
             k = n // 3
             edited = text[: n - k] + following[:k] if k else text
-            here, there = PrefixHash(text), PrefixHash(edited)
-            a = now[4] if now[4] else Fingerprint.of(here, s)
-            b = a if edited == text else Fingerprint.of(there, s)
-            c = a if following == text else Fingerprint.of(PrefixHash(following), s)
-            after[4] = c
+            here = now[4] or PrefixHash(text)
+            there = here if edited == text else PrefixHash(edited, here, n - k)
+            after[4] = here if following == text else PrefixHash(following)
+            a, b, c = (Fingerprint.of(x, s) for x in (here, there, after[4]))
             return (now[0], n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), str(a), str(b), a.likeness(b, s), a.likeness(c, s), here.common_extension(0, 0, there))
 
         def rows() -> Iterator[tuple]:
