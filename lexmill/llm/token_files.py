@@ -12,20 +12,21 @@ stand next to each other in order of their text; null ids come first.
 
 from __future__ import annotations
 
-import itertools
+import json
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexmill.llm.common import shuffle_partitions, slices, texts_of
+from lexmill.llm.splitting import Splitter, is_latin
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
@@ -35,50 +36,60 @@ ENCODINGS = {
 }
 
 
+def byte_alphabet() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if printable, else the next from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in printable else next(others)) for b in range(256)]
+
+
+class PieceIds(dict):
+    """Piece of a text -> little-endian ids by the library's BPE model; a memo of bounded size."""
+
+    def __init__(self, tokenizer_json: str, most: int) -> None:
+        from tokenizers import models
+
+        super().__init__()
+        model = json.loads(tokenizer_json)["model"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.model = models.BPE(model["vocab"], merges, cache_capacity=1)  # pieces met again are kept here
+        self.alphabet, self.most = byte_alphabet(), most
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        tokens = self.model.tokenize("".join(map(self.alphabet.__getitem__, piece.encode())))
+        ids = self[piece] = array("I", [t.id for t in tokens]).tobytes()
+        return ids
+
+
 class LibraryEncoder:
     """Ids of whole texts by the ``tokenizers`` library.
 
     A byte-level tokenizer encodes each match of its splitting pattern on its own, so every distinct match goes to the
-    library once and its ids are kept (a memo of bounded size). Texts with characters on which pattern libraries of
-    different Unicode versions may differ go to the library whole.
+    library's model once and its ids are kept. Texts with characters on which pattern libraries of different Unicode
+    versions may differ, or with a special token's marks, go to the library whole.
     """
 
     def __init__(self, tokenizer_json: str, pattern: str, most: int = 500_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.split = regex.compile(pattern).findall
-        self.kept: dict[str, bytes] = {}
-        self.most = most
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.split = Splitter(pattern).latin
+        self.pieces = PieceIds(tokenizer_json, most)
 
     @staticmethod
     def plain(text: str) -> bool:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return False
-        return not any(c in text for c in "\x1c\x1d\x1e\x1f\x85") and "<|" not in text
+        return is_latin(text) and not any(c in text for c in "\x1c\x1d\x1e\x1f\x85") and "<|" not in text
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.kept) > self.most:
-            self.kept.clear()
-        kept, out = self.kept, [b""] * len(texts)
-        plain = [self.plain(t) for t in texts]
-        if not all(plain):
-            odd = [i for i, p in enumerate(plain) if not p]
-            for i, ids in zip(odd, self._library([texts[i] for i in odd]), strict=True):
-                out[i] = ids
-        pieces = {i: self.split(texts[i]) for i, p in enumerate(plain) if p}
-        new = list(set(itertools.chain.from_iterable(pieces.values())).difference(kept))
-        for k in range(0, len(new), 10_000):
-            part = new[k : k + 10_000]
-            kept.update(zip(part, self._library(part), strict=True))
-        for i, found in pieces.items():
-            out[i] = b"".join(map(kept.__getitem__, found))
+        get, split = self.pieces.__getitem__, self.split
+        out = [b"".join(map(get, split(t))) if self.plain(t) else None for t in texts]
+        odd = [i for i, ids in enumerate(out) if ids is None]
+        if odd:
+            for i, e in zip(odd, self.tokenizer.encode_batch_fast([texts[i] for i in odd], add_special_tokens=False), strict=True):
+                out[i] = np.asarray(e.ids, "<u4").tobytes()
         return out
 
 
