@@ -5,14 +5,15 @@ All bytes are removed that a string of ``length`` bytes covers which also starts
 1. *Anchors.* Of every ``length`` consecutive bytes the byte run (``gram`` bytes) with the smallest hash is the
    anchor, so equal strings have equal anchors at equal offsets, and the strings of a document fall into runs of
    consecutive starts with the same anchor. Anchors are sorted by hash over ranges, and those that stand next to an
-   equal one of another document stay; a hash shared by a third of all documents spreads over as many ranges as it needs.
-2. *Contexts.* A run's bytes (at most ``2 * length``) go, once for each different content with its smallest and only
-   ids, to the block of its anchor's hash.
+   equal one of another text stay; a hash shared by a third of all documents spreads over as many ranges as it needs.
+   Equal texts (by a 64-bit digest) count as one text here, that of their smallest id; larger copies go whole.
+2. *Contexts.* A run's bytes (at most ``2 * length``) go, once for each different content with its smallest id, to the
+   block of its anchor's hash. The strings of an anchor that has one content only have that content's smallest id.
 3. *Intervals.* A block's contexts, joined, are sorted to a Burrows-Wheeler transform. Breadth-first backward extension
    starts from the empty string and visits intervals in order of length; the right end of an interval met first at
    length l + 1 has a common prefix of l with its neighbour. It stops at ``length``: ends not met by then lie inside
    a group of equal strings. Each group knows its smallest id.
-4. Starts whose group has a smaller id than their own document's mark bytes; texts join their marks once.
+4. Starts whose group has a smaller id than their own text's mark bytes; texts join their marks once.
 
 Anchors whose contexts outgrow a block are resolved string by string, by a pre-aggregated minimum, with equal results.
 
@@ -94,35 +95,37 @@ def _bytes_of(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def shared_anchors(texts: DataFrame, s: Settings) -> DataFrame:
-    """``doc, hash, first, end``: the runs whose anchor's hash another document has too (with few that only may)."""
+    """``hash, text_key, first, runs``: the runs whose anchor's hash another text has too (with few that only may)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [anchors(np.frombuffer(t, np.uint8), s) for t in _bytes_of(batch)]
-            doc = np.repeat(batch.column("doc").to_numpy(), [len(x[0]) for x in found])
+            key = np.repeat(batch.column("text_key").to_numpy(), [len(x[0]) for x in found])
             h, first, end = (np.concatenate([x[k] for x in found]) for k in range(3))
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(doc), pa.array(first.astype(np.int32)), pa.array((end - first).astype(np.int32))], ["hash", "doc", "first", "runs"])
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(key), pa.array(first.astype(np.int32)), pa.array((end - first).astype(np.int32))], ["hash", "text_key", "first", "runs"])
 
-    schema = "hash long, doc long, first int, runs int"
+    schema = "hash long, text_key long, first int, runs int"
     runs = texts.mapInArrow(find, schema)
-    ordered = runs.repartitionByRange(shuffle_partitions(texts.sparkSession), "hash", "doc").sortWithinPartitions("hash", "doc")
+    ordered = runs.repartitionByRange(shuffle_partitions(texts.sparkSession), "hash", "text_key").sortWithinPartitions("hash", "text_key", "first")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of a hash that two documents have. A range's first and last hash may go on in its neighbour: kept."""
+        """Rows of a hash that two texts have, once each. A range's first and last hash may go on in its neighbour: kept."""
         held: list[pa.RecordBatch] = []
         started = False
 
         def shared(rows: pa.RecordBatch, last: bool) -> pa.RecordBatch:
-            h, doc = rows.column("hash").to_numpy(), rows.column("doc").to_numpy()
+            h, key, first = (rows.column(c).to_numpy() for c in ("hash", "text_key", "first"))
             edge = np.flatnonzero(np.diff(h, prepend=h[0] - 1 if h[0] > -LAST else 0)) if len(h) else []
             edge = np.unique(np.append(edge, 0)).astype(np.int64)
             ends = np.append(edge[1:], len(h))
-            good = doc[edge] != doc[ends - 1]
+            good = key[edge] != key[ends - 1]
+            again = np.zeros(len(h), bool)
+            again[1:] = (h[1:] == h[:-1]) & (key[1:] == key[:-1]) & (first[1:] == first[:-1])
             if not started:
                 good[0] = True
             if last:
                 good[-1] = True
-            return rows.filter(pa.array(np.repeat(good, ends - edge)))
+            return rows.filter(pa.array(np.repeat(good, ends - edge) & ~again))
 
         for batch in batches:
             if not batch.num_rows:
@@ -145,13 +148,10 @@ def shared_anchors(texts: DataFrame, s: Settings) -> DataFrame:
     return ordered.mapInArrow(keep, schema)
 
 
-def contexts(texts: DataFrame, runs: DataFrame, s: Settings) -> DataFrame:
-    """``hash, content, doc, text_key, first, context``: the bytes of each run's strings and a digest of them.
-
-    Texts that share an id are all cut at the runs of each: strings are strings wherever they are looked up, and each
-    text's own runs are among them.
-    """
-    lists = runs.groupBy("doc").agg(F.collect_list(F.struct("hash", "first", "runs")).alias("at"))
+def contexts(texts: DataFrame, firsts: DataFrame, runs: DataFrame, s: Settings) -> DataFrame:
+    """``hash, content, doc, text_key, first, context``: the bytes of each run's strings and a digest of them; of equal
+    texts one stands for all, with the smallest id (``firsts``)."""
+    lists = written(runs.groupBy("text_key").agg(F.collect_list(F.struct("hash", "first", "runs")).alias("at")).join(firsts, "text_key"), "lists")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -171,7 +171,7 @@ def contexts(texts: DataFrame, runs: DataFrame, s: Settings) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["hash", "content", "doc", "text_key", "first", "context"])
 
     schema = "hash long, content long, doc long, text_key long, first int, context binary"
-    return texts.join(lists, "doc").select("doc", F.xxhash64("text").alias("text_key"), "text", "at").mapInArrow(cut, schema)
+    return texts.join(lists, ["text_key", "doc"]).select("doc", "text_key", "text", "at").mapInArrow(cut, schema)
 
 
 def bounded_sort(text: np.ndarray, depth: int) -> np.ndarray:
@@ -277,6 +277,7 @@ def least_ids(found: DataFrame, s: Settings) -> DataFrame:
         """Whole hashes at a time, about ``block`` bytes together; ``many`` bounds what a hash may hold."""
         part: list[tuple] = []
         group: list[tuple] = []
+        alone: list[tuple] = []  # the only content of their anchor
         size, crowded = 0, None
 
         def solved() -> pa.RecordBatch:
@@ -285,7 +286,12 @@ def least_ids(found: DataFrame, s: Settings) -> DataFrame:
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("hash", "content", "least", "context")), strict=True):
                 if group and row[0] != group[-1][0]:
-                    if crowded is None:
+                    if len(group) == 1 and crowded is None:
+                        alone.append(group[0])
+                        if len(alone) == 5_000:
+                            yield batch_of(alone, [np.full(len(x[3]) - s.length + 1, x[2]) for x in alone])
+                            alone = []
+                    elif crowded is None:
                         part += group
                         size += sum(len(x[3]) + 1 for x in group)
                         if size > s.block:
@@ -305,6 +311,8 @@ def least_ids(found: DataFrame, s: Settings) -> DataFrame:
             part += group
         if part:
             yield solved()
+        if alone:
+            yield batch_of(alone, [np.full(len(x[3]) - s.length + 1, x[2]) for x in alone])
 
     tried = distinct.repartition(shuffle_partitions(spark), "hash").sortWithinPartitions("hash").mapInArrow(blocks, f"hash long, content long, lows {LOWS_SQL}, least long, context binary")
     tried = written(tried, "tried")
@@ -325,9 +333,11 @@ def least_ids(found: DataFrame, s: Settings) -> DataFrame:
 
 
 def removed_spans(texts: DataFrame, s: Settings) -> DataFrame:
-    """``doc, text_key, spans``: byte spans (start, end) of each document that are to go, overlapping as they come."""
+    """``text_key, least, spans``: of each different text its smallest id, and the byte spans (start, end) that are to
+    go from it there, overlapping as they come. Larger copies go whole."""
+    firsts = written(texts.groupBy("text_key").agg(F.min("doc").alias("doc")), "firsts")
     runs = written(shared_anchors(texts, s), "runs")
-    found = written(contexts(texts, runs, s), "found")
+    found = written(contexts(texts, firsts, runs, s), "found")
     lows = written(least_ids(found, s), "lows")
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,27 +349,31 @@ def removed_spans(texts: DataFrame, s: Settings) -> DataFrame:
             low, n = low[offsets[0] : offsets[-1]], n[offsets[0] : offsets[-1]].astype(np.int64)
             ends = np.cumsum(n)
             place = ends - n - np.repeat(np.concatenate([[0], ends])[offsets[:-1] - offsets[0]], np.diff(offsets))
-            doc, key, first = (batch.column(c).to_numpy()[rows] for c in ("doc", "text_key", "first"))
+            doc, key, begin = (batch.column(c).to_numpy()[rows] for c in ("doc", "text_key", "first"))
             gone = low < doc
-            start = (first + place)[gone]
-            yield pa.RecordBatch.from_arrays([pa.array(doc[gone]), pa.array(key[gone]), pa.array(start.astype(np.int32)), pa.array((start + n[gone] - 1 + s.length).astype(np.int32))], ["doc", "text_key", "start", "end"])
+            start = (begin + place)[gone]
+            yield pa.RecordBatch.from_arrays([pa.array(key[gone]), pa.array(start.astype(np.int32)), pa.array((start + n[gone] - 1 + s.length).astype(np.int32))], ["text_key", "start", "end"])
 
     marked = found.select("hash", "content", "doc", "text_key", "first").join(lows, ["hash", "content"]).select("doc", "text_key", "first", "lows")
-    marked = written(marked.mapInArrow(marks, "doc long, text_key long, start int, end int"), "marks")
-    return marked.groupBy("doc", "text_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    marked = written(marked.mapInArrow(marks, "text_key long, start int, end int"), "marks")
+    spans = marked.groupBy("text_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return written(firsts.withColumnRenamed("doc", "least").join(spans, "text_key", "left"), "spans")
 
 
 def dedup_substrings(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256``; ``kept`` holds the remaining bytes."""
     s = s or Settings()
-    texts = texts_of(docs).select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text")
-    spans = removed_spans(texts.select("doc", "text"), s)
-    joined = texts.withColumn("text_key", F.xxhash64("text")).join(spans, ["doc", "text_key"], "left").select("doc_id", "text", "spans")
+    texts = texts_of(docs).select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text", F.xxhash64("text").alias("text_key"))
+    spans = removed_spans(texts.select("doc", "text", "text_key"), s)
+    joined = texts.join(spans, "text_key").select("doc_id", "text", (F.col("doc") > F.col("least")).alias("copy"), F.when(F.col("doc") == F.col("least"), F.col("spans")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = []
-            for text, spans in zip(_bytes_of(batch), batch.column("spans").to_pylist(), strict=True):
+            for text, copy, spans in zip(_bytes_of(batch), batch.column("copy").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+                if copy and len(text) >= s.length:
+                    rows.append((len(text), len(text), 1, b"", hashlib.sha256(b"").hexdigest()))
+                    continue
                 if not spans:
                     rows.append((len(text), 0, 0, text, hashlib.sha256(text).hexdigest()))
                     continue
