@@ -7,8 +7,8 @@ below ``j`` no later round can change it, so long documents stop after a round o
 
 Steps: a narrow Arrow map makes signatures; documents with equal sets collapse to their smallest id; bands of four
 slots bucket the rest; each bucket is compared with its smallest id only; components grow from confirmed links;
-buckets that still hold several components are compared across them, save pairs that set sizes or the triangle
-inequality of the Jaccard distance rule out. So copies never expand into all pairs and no tested candidate is left
+buckets that still hold several components are compared across them, save pairs that an exact bound rules out: set
+sizes with the elements that only one of the documents has, or the triangle inequality of the Jaccard distance. So copies never expand into all pairs and no tested candidate is left
 out. Every link is confirmed on the full shingle sets. With 32 bands of 4 slots a pair at similarity 0.8 misses all
 buckets with probability 5e-8.
 
@@ -171,15 +171,30 @@ def _common(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "ea", "eb").mapInArrow(run, "a long, b long, na long, nb long, both long")
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
-    """Of distinct pairs ``a, b`` the Jaccard distance, on full sets, and whether they are linked."""
+def _verify(docs: DataFrame, pairs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """Of distinct pairs ``a, b`` the Jaccard distance, on full sets, and whether they are linked; and the sets."""
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     texts = texts_of(docs).join(wanted, "doc_id", "left_semi")
     sets = written(_sets(texts, s), "sets")
     left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("ea")), "a")
     both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("eb")), "b")
     union = F.col("na") + F.col("nb") - F.col("both")
-    return _common(both).select("a", "b", (1 - F.col("both") / union).alias("distance"), (F.col("both") * s.parts >= s.share * union).alias("linked"))
+    return sets, _common(both).select("a", "b", (1 - F.col("both") / union).alias("distance"), (F.col("both") * s.parts >= s.share * union).alias("linked"))
+
+
+def _own_elements(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """``a, own``: for each of ``members(a)`` how many elements no other member has. Counts are pre-aggregated."""
+
+    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blobs = batch.column("elements").to_pylist()
+            flat = np.frombuffer(b"".join(blobs), np.int64)
+            owner = np.repeat(batch.column("doc_id").to_numpy(), [len(x) // 8 for x in blobs])
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(owner)], ["element", "a"])
+
+    wanted = sets.join(members.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    counted = wanted.select("doc_id", "elements").mapInArrow(elements, "element long, a long").groupBy("element").agg(F.min("a").alias("a"), F.max("a").alias("z"))
+    return counted.where("a = z").groupBy("a").agg(F.count("*").alias("own"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -242,7 +257,8 @@ def near_duplicates(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     banded = reps.select("a", "n", F.explode("bands").alias("band"))
     hubs = written(banded.groupBy("band").agg(F.min("a").alias("b"), F.max("a").alias("last")).where("b <> last").select("band", "b"), "hubs")
     near = written(banded.join(hubs, "band"), "near")
-    tested = written(_verify(docs, near.where("a <> b").select("a", "b").distinct(), s), "tested")
+    sets, verified = _verify(docs, near.where("a <> b").select("a", "b").distinct(), s)
+    tested = written(verified, "tested")
     links = tested.where("linked").select("a", "b")
     grouped = written(components(links), "components")
     # Buckets with several components: compare across these, pairs that the bucket's hub does not rule out.
@@ -250,13 +266,17 @@ def near_duplicates(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     told = told.join(grouped.select(F.col("node").alias("a"), "component"), "a", "left").withColumn("component", F.coalesce("component", "a"))
     mixed = written(told.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band"), "mixed")
     left = written(told.where("a <> b").join(mixed, "band"), "left")
-    other = left.select("band", *(F.col(c).alias(f"{c}2") for c in ("a", "n", "distance", "component")))
+    # Elements that only one of these documents has are in its unions and in no intersection: that bounds a pair.
+    own = written(_own_elements(sets, left.select("a")), "own")
+    left = left.join(own, "a", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    left = written(left.where(F.col("own") * s.parts <= (s.parts - s.share) * F.col("n")), "left")
+    other = left.select("band", *(F.col(c).alias(f"{c}2") for c in ("a", "n", "own", "distance", "component")))
     far = 1 - s.share / s.parts + 1e-9
-    ratio = F.least("n", "n2") * s.parts >= s.share * F.greatest("n", "n2")
+    ratio = F.least(F.col("n") - F.col("own"), F.col("n2") - F.col("own2")) * s.parts >= s.share * F.greatest(F.col("n") + F.col("own2"), F.col("n2") + F.col("own"))
     across = left.join(other, "band").where((F.col("a") < F.col("a2")) & (F.col("component") != F.col("component2")) & ratio & (F.abs(F.col("distance") - F.col("distance2")) <= far))
     extra = written(across.select("a", F.col("a2").alias("b")).distinct(), "across")
     if not extra.isEmpty():
-        more = written(_verify(docs, extra, s).where("linked").select("a", "b"), "more")
+        more = written(_verify(docs, extra, s)[1].where("linked").select("a", "b"), "more")
         grouped = written(components(links.unionByName(more)), "components")
     named = reps.join(grouped.select(F.col("node").alias("a"), "component"), "a", "left").where("copies > 1 OR component IS NOT NULL").select("set_id", F.coalesce("component", "a").alias("component"))
     named = written(named, "named")
