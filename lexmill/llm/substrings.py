@@ -8,7 +8,8 @@ All bytes are removed that a string of ``length`` bytes covers which also starts
    equal one of another text stay; a hash shared by a third of all documents spreads over as many ranges as it needs.
    Equal texts (by a 64-bit digest) count as one text here, that of their smallest id; larger copies go whole.
 2. *Contexts.* A run's bytes (at most ``2 * length``) go, once for each different content with its smallest id, to the
-   block of its anchor's hash. The strings of an anchor that has one content only have that content's smallest id.
+   block of its anchor's hash. A content that agrees with no other of its anchor far enough to either side shares no
+   string with one, so its strings have its own smallest id.
 3. *Intervals.* A block's contexts, joined, are sorted to a Burrows-Wheeler transform. Breadth-first backward extension
    starts from the empty string and visits intervals in order of length; the right end of an interval met first at
    length l + 1 has a common prefix of l with its neighbour. It stops at ``length``: ends not met by then lie inside
@@ -25,6 +26,7 @@ after all others and not before each other; matches never cross documents.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 from lexmill.llm.common import shuffle_partitions, slices, texts_of, written
 
 LAST = (1 << 63) - 1
+SHAPE = 1 << 12
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -66,7 +69,8 @@ def gram_hashes(data: np.ndarray, n: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each run of string starts with one anchor: the anchor's hash, the first start, one past the last start."""
+    """Of each run of string starts with one anchor: the anchor's hash, the first start, and in one number how many
+    starts there are and how far the anchor is from the first (``SHAPE * starts + distance``)."""
     starts = len(data) - s.length + 1
     if starts <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -87,7 +91,7 @@ def anchors(data: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.n
             v = np.minimum(v[: len(v) - (span - size)], v[span - size :])
         best[a:b] = (v & np.uint64(0xFFFFFF)).astype(np.int64) + a
     first = np.flatnonzero(np.diff(best, prepend=-1))
-    return h[best[first]].view(np.int64), first, np.append(first[1:], starts)
+    return h[best[first]].view(np.int64), first, (np.append(first[1:], starts) - first) * SHAPE + best[first] - first
 
 
 def _bytes_of(batch: pa.RecordBatch) -> list[bytes]:
@@ -95,16 +99,16 @@ def _bytes_of(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def shared_anchors(texts: DataFrame, s: Settings) -> DataFrame:
-    """``hash, text_key, first, runs``: the runs whose anchor's hash another text has too (with few that only may)."""
+    """``hash, text_key, first, shape``: the runs whose anchor's hash another text has too (with few that only may)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [anchors(np.frombuffer(t, np.uint8), s) for t in _bytes_of(batch)]
             key = np.repeat(batch.column("text_key").to_numpy(), [len(x[0]) for x in found])
-            h, first, end = (np.concatenate([x[k] for x in found]) for k in range(3))
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(key), pa.array(first.astype(np.int32)), pa.array((end - first).astype(np.int32))], ["hash", "text_key", "first", "runs"])
+            h, first, shape = (np.concatenate([x[k] for x in found]) for k in range(3))
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(key), pa.array(first.astype(np.int32)), pa.array(shape.astype(np.int32))], ["hash", "text_key", "first", "shape"])
 
-    schema = "hash long, text_key long, first int, runs int"
+    schema = "hash long, text_key long, first int, shape int"
     runs = texts.mapInArrow(find, schema)
     ordered = runs.repartitionByRange(shuffle_partitions(texts.sparkSession), "hash", "text_key").sortWithinPartitions("hash", "text_key", "first")
 
@@ -151,13 +155,14 @@ def shared_anchors(texts: DataFrame, s: Settings) -> DataFrame:
 def contexts(texts: DataFrame, firsts: DataFrame, runs: DataFrame, s: Settings) -> DataFrame:
     """``hash, content, doc, text_key, first, context``: the bytes of each run's strings and a digest of them; of equal
     texts one stands for all, with the smallest id (``firsts``)."""
-    lists = written(runs.groupBy("text_key").agg(F.collect_list(F.struct("hash", "first", "runs")).alias("at")).join(firsts, "text_key"), "lists")
+    lists = written(runs.groupBy("text_key").agg(F.collect_list(F.struct("hash", "first", "shape")).alias("at")).join(firsts, "text_key"), "lists")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             lists_ = batch.column("at")
             offsets, at = lists_.offsets.to_numpy(), lists_.values
-            hashes, firsts, ends = at.field("hash").to_numpy(), at.field("first").to_numpy(), at.field("first").to_numpy() + at.field("runs").to_numpy() + s.length - 1
+            hashes, firsts, shapes = (at.field(c).to_numpy() for c in ("hash", "first", "shape"))
+            ends = firsts + shapes // SHAPE + s.length - 1
             keep, parts = np.zeros(len(hashes), bool), []
             for text, a, b in zip(_bytes_of(batch), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                 fits = ends[a:b] <= len(text)
@@ -167,10 +172,10 @@ def contexts(texts: DataFrame, firsts: DataFrame, runs: DataFrame, s: Settings)
             n = np.diff(offsets)
             inside = slice(offsets[0], offsets[-1])
             content = [int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little", signed=True) for x in parts]
-            columns = [pa.array(hashes[inside][keep]), pa.array(content, pa.int64()), *(pa.array(np.repeat(batch.column(c).to_numpy(), n)[keep]) for c in ("doc", "text_key")), pa.array(firsts[inside][keep].astype(np.int32)), pa.array(parts, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["hash", "content", "doc", "text_key", "first", "context"])
+            columns = [pa.array(hashes[inside][keep]), pa.array(content, pa.int64()), *(pa.array(np.repeat(batch.column(c).to_numpy(), n)[keep]) for c in ("doc", "text_key")), pa.array(firsts[inside][keep].astype(np.int32)), pa.array((shapes % SHAPE)[inside][keep].astype(np.int32)), pa.array(parts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["hash", "content", "doc", "text_key", "first", "distance", "context"])
 
-    schema = "hash long, content long, doc long, text_key long, first int, context binary"
+    schema = "hash long, content long, doc long, text_key long, first int, distance int, context binary"
     return texts.join(lists, ["text_key", "doc"]).select("doc", "text_key", "text", "at").mapInArrow(cut, schema)
 
 
@@ -250,6 +255,23 @@ def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
+def related(group: list[tuple], s: Settings) -> tuple[list[tuple], list[tuple]]:
+    """Contents of one anchor that may share a string with another, and those that cannot.
+
+    A string reaches ``side`` bytes beyond the anchor on the left or on the right, and equal strings agree there.
+    """
+    if len(group) == 1:
+        return [], group
+    side = (s.length - s.gram) // 2
+    ends = []
+    for *_, context, distance in group:
+        right = distance + s.gram
+        ends.append((context[distance - side : distance] if distance >= side else None, context[right : right + side] if len(context) >= right + side else None))
+    left, right = (Counter(e[k] for e in ends if e[k] is not None) for k in range(2))
+    good = [left[a] > 1 or right[b] > 1 for a, b in ends]
+    return [x for x, g in zip(group, good, strict=True) if g], [x for x, g in zip(group, good, strict=True) if not g]
+
+
 def _flat(low: np.ndarray) -> list[dict]:
     """Equal neighbours as one (value, count)."""
     edge = np.flatnonzero(np.diff(low, prepend=low[0] - 1))
@@ -263,12 +285,12 @@ LOWS_SQL = "array<struct<low:long,n:int>>"
 def least_ids(found: DataFrame, s: Settings) -> DataFrame:
     """``hash, content, lows``: for each different context the smallest id that has each of its strings, as runs."""
     spark = found.sparkSession
-    distinct = found.groupBy("hash", "content").agg(F.min("doc").alias("least"), F.first("context").alias("context"))
+    distinct = found.groupBy("hash", "content").agg(F.min("doc").alias("least"), F.first("context").alias("context"), F.first("distance").alias("distance"))
     names = ["hash", "content", "lows", "least", "context"]
 
     def batch_of(rows: list[tuple], lows: list | None) -> pa.RecordBatch:
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        h, content, least, context = (pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))
+        h, content, least, context = (pa.array([x[k] for x in rows], t) for k, t in enumerate(kinds))
         if lows is None:  # too many for a block: left to the next step with their bytes
             return pa.RecordBatch.from_arrays([h, content, pa.nulls(len(rows), LOWS), least, context], names)
         return pa.RecordBatch.from_arrays([h, content, pa.array([_flat(x) for x in lows], LOWS), least, pa.nulls(len(rows), pa.binary())], names)
@@ -277,23 +299,23 @@ def least_ids(found: DataFrame, s: Settings) -> DataFrame:
         """Whole hashes at a time, about ``block`` bytes together; ``many`` bounds what a hash may hold."""
         part: list[tuple] = []
         group: list[tuple] = []
-        alone: list[tuple] = []  # the only content of their anchor
+        alone: list[tuple] = []  # contents that share no string with another of their anchor
         size, crowded = 0, None
 
         def solved() -> pa.RecordBatch:
             return batch_of(part, resolve([x[3] for x in part], np.array([x[2] for x in part], np.int64), s))
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("hash", "content", "least", "context")), strict=True):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("hash", "content", "least", "context", "distance")), strict=True):
                 if group and row[0] != group[-1][0]:
-                    if len(group) == 1 and crowded is None:
-                        alone.append(group[0])
-                        if len(alone) == 5_000:
+                    if crowded is None:
+                        together, apart = related(group, s)
+                        alone += apart
+                        if len(alone) > 5_000:
                             yield batch_of(alone, [np.full(len(x[3]) - s.length + 1, x[2]) for x in alone])
                             alone = []
-                    elif crowded is None:
-                        part += group
-                        size += sum(len(x[3]) + 1 for x in group)
+                        part += together
+                        size += sum(len(x[3]) + 1 for x in together)
                         if size > s.block:
                             yield solved()
                             part, size = [], 0
