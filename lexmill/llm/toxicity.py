@@ -49,25 +49,48 @@ class Settings:
     seed: int = 13
 
 
+class GramValues(dict):
+    """n-gram -> its bucket's preference for the toxic class; a memo of bounded size."""
+
+    def __init__(self, table: np.ndarray, most: int = 300_000) -> None:
+        super().__init__()
+        self.table, self.most = table, most
+
+    def __missing__(self, gram: str) -> float:
+        if len(self) >= self.most:  # only a memo: values are looked up again
+            self.clear()
+        value = self[gram] = float(self.table[bucket(gram, len(self.table))])
+        return value
+
+
 class WordScores(dict):
     """Word -> mean over its n-grams of the softmax's preference for the toxic class; filled as words are met."""
 
     def __init__(self, table: np.ndarray, settings: Settings, most: int = 300_000) -> None:
         super().__init__()
-        self.table, self.settings, self.most = table, settings, most
+        self.values_of, self.settings, self.most = GramValues(table), settings, most
 
     def __missing__(self, word: str) -> float:
-        if len(self) >= self.most:  # only a memo: words are worked out again
+        if len(self) >= self.most:
             self.clear()
-        value = self[word] = float(self.table[grams(word, self.settings)].mean())
+        found = pieces(word, self.settings)
+        value = self[word] = sum(map(self.values_of.__getitem__, found)) / len(found)
         return value
 
 
-def grams(word: str, s: Settings) -> list[int]:
-    """Buckets of a word's n-grams and of the word itself."""
+def bucket(gram: str, buckets: int) -> int:
+    return zlib.crc32(gram.encode("utf-8", "surrogatepass")) % buckets
+
+
+def pieces(word: str, s: Settings) -> list[str]:
+    """A word's n-grams and the word itself, once each, in an order that depends on the word alone."""
     w = f"<{word.strip(string.punctuation)}>"
-    found = {w} | {w[i : i + n] for n in range(s.shortest, s.longest + 1) for i in range(len(w) - n + 1)}
-    return [zlib.crc32(g.encode()) % s.buckets for g in sorted(found)]
+    return list(dict.fromkeys([w, *(w[i : i + n] for n in range(s.shortest, s.longest + 1) for i in range(len(w) - n + 1))]))
+
+
+def grams(word: str, s: Settings) -> list[int]:
+    """Buckets of a word's pieces."""
+    return [bucket(g, s.buckets) for g in pieces(word, s)]
 
 
 @dataclass(frozen=True)
@@ -243,7 +266,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordScores(model.table, model.settings)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(text_at).to_pylist()]
             yield batch.filter(pa.array(model.scores(texts, memo) < 0.5))
 
