@@ -31,7 +31,7 @@ from lexmill.llm.splitting import Splitter
 class Transducer:
     """Encodes single pieces (matches of the splitting pattern)."""
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 200_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 120_000) -> None:
         self.ranks, self.most_states = ranks, most_states
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.grows = {b[:k] for b in ranks for k in range(1, len(b))}  # proper prefixes of entries
@@ -67,7 +67,7 @@ class Transducer:
             return True
         key = (before, token)
         if key not in self._follows:
-            if len(self._follows) > 2_000_000:
+            if len(self._follows) > 400_000:
                 self._follows.clear()
             self._follows[key] = self.merged(self.bytes_of[before] + self.bytes_of[token]) == [before, token]
         return self._follows[key]
@@ -181,7 +181,7 @@ class Utf8Machine:
 class Codec:
     """Encoder and decoder of whole texts for one rank file and splitting pattern."""
 
-    def __init__(self, rank_file: bytes, pattern: str, most_pieces: int = 600_000) -> None:
+    def __init__(self, rank_file: bytes, pattern: str, most_pieces: int = 400_000) -> None:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines()) if a}
         self.machine = Transducer(ranks)
         self.split = Splitter(pattern)
