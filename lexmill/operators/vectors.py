@@ -7,10 +7,13 @@ import random
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 #: A backend turns a list of texts into a list of vectors. It is built once for each Python worker batch stream.
 Backend = Callable[[list[str]], list[list[float]]]
@@ -107,14 +110,36 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def top_similar(queries: DataFrame, vectors: DataFrame, k: int, query_rows: int = 10_000) -> DataFrame:
-    """The ``k`` most similar of ``vectors(id, v)`` for each of ``queries(query_id, q)``, by cosine.
+    """The ``k`` most similar of ``vectors(id, v)`` for each of ``queries(query_id, q)``, by cosine; ties by id.
 
-    Queries must be few (``query_rows`` at most, checked) and are sent to all tasks; each task keeps its best ``k`` of a
-    query before anything is shuffled.
+    Queries are a stated, bounded set (``query_rows`` at most, checked) and go to all tasks as one matrix. A task keeps
+    its best ``k`` of a query from each batch before anything is shuffled. Rows without a vector have no rank.
     """
-    if queries.limit(query_rows + 1).count() > query_rows:
+    asked = queries.where("q IS NOT NULL").limit(query_rows + 1).collect()
+    if len(asked) > query_rows:
         raise ValueError(f"more than {query_rows} queries: run them in blocks")
-    scored = vectors.crossJoin(F.broadcast(queries)).select("query_id", "id", dot(unit(F.col("q")), unit(F.col("v"))).alias("score"))
-    best = scored.groupBy("query_id", F.spark_partition_id().alias("part")).agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "id"))), 1, k).alias("best"))
-    merged = best.groupBy("query_id").agg(F.slice(F.sort_array(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
-    return merged.select("query_id", F.posexplode("best").alias("rank", "b")).select("query_id", (F.col("rank") + 1).alias("rank"), F.col("b.id").alias("id"), (-F.col("b.s")).alias("score"))
+    names = np.array([r["query_id"] for r in asked], np.int64)
+    wanted = _unit_rows([r["q"] for r in asked])
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows or not len(names):
+                continue
+            ids = batch.column("id").to_numpy()
+            scores = wanted @ _unit_rows(batch.column("v").to_pylist()).T
+            rows = []
+            for q, row in enumerate(scores):
+                near = np.flatnonzero(row >= np.partition(row, -min(k, len(row)))[-min(k, len(row))])
+                near = near[np.lexsort((ids[near], -row[near]))][:k]
+                rows.append((np.full(len(near), names[q]), ids[near], row[near]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)], ["query_id", "id", "score"])
+
+    found = vectors.where("v IS NOT NULL").select(F.col("id").cast("long").alias("id"), "v").mapInArrow(best, "query_id long, id long, score double")
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "id", "score")
+
+
+def _unit_rows(rows: list) -> np.ndarray:
+    m = np.array(rows, np.float64).reshape(len(rows), -1)
+    size = np.linalg.norm(m, axis=1, keepdims=True)
+    return np.divide(m, size, out=m, where=size > 0)
