@@ -52,7 +52,7 @@ class Settings:
 class GramValues(dict):
     """n-gram -> its bucket's preference for the toxic class; a memo of bounded size."""
 
-    def __init__(self, table: np.ndarray, most: int = 300_000) -> None:
+    def __init__(self, table: np.ndarray, most: int = 150_000) -> None:
         super().__init__()
         self.table, self.most = table, most
 
@@ -66,7 +66,7 @@ class GramValues(dict):
 class WordScores(dict):
     """Word -> mean over its n-grams of the softmax's preference for the toxic class; filled as words are met."""
 
-    def __init__(self, table: np.ndarray, settings: Settings, most: int = 300_000) -> None:
+    def __init__(self, table: np.ndarray, settings: Settings, most: int = 200_000) -> None:
         super().__init__()
         self.values_of, self.settings, self.most = GramValues(table), settings, most
 
