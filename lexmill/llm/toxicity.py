@@ -17,7 +17,7 @@ from __future__ import annotations
 import string
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,33 +49,34 @@ class Settings:
     seed: int = 13
 
 
-class GramValues(dict):
-    """n-gram -> its bucket's preference for the toxic class; a memo of bounded size."""
+class Memo(dict):
+    """Values by key, made when first asked for. When ``most`` are held they become the old generation and the older
+    one goes, so what is asked for often stays and memory is bounded."""
 
-    def __init__(self, table: np.ndarray, most: int = 150_000) -> None:
+    def __init__(self, make: Callable[[str], float], most: int) -> None:
         super().__init__()
-        self.table, self.most = table, most
+        self.make, self.most, self.old = make, most, {}
 
-    def __missing__(self, gram: str) -> float:
-        if len(self) >= self.most:  # only a memo: values are looked up again
+    def __missing__(self, key: str) -> float:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        value = self[gram] = float(self.table[bucket(gram, len(self.table))])
+        self[key] = value
         return value
 
 
-class WordScores(dict):
-    """Word -> mean over its n-grams of the softmax's preference for the toxic class; filled as words are met."""
+def word_scores(table: np.ndarray, s: Settings, most: int = 120_000) -> Memo:
+    """Word -> mean over its n-grams of the softmax's preference for the toxic class."""
+    parts = Memo(lambda g: float(table[bucket(g, s.buckets)]), most)
 
-    def __init__(self, table: np.ndarray, settings: Settings, most: int = 200_000) -> None:
-        super().__init__()
-        self.values_of, self.settings, self.most = GramValues(table), settings, most
+    def mean(word: str) -> float:
+        whole, *rest = pieces(word, s)  # whole words are rarely met again as parts
+        return (float(table[bucket(whole, s.buckets)]) + sum(map(parts.__getitem__, rest))) / (1 + len(rest))
 
-    def __missing__(self, word: str) -> float:
-        if len(self) >= self.most:
-            self.clear()
-        found = pieces(word, self.settings)
-        value = self[word] = sum(map(self.values_of.__getitem__, found)) / len(found)
-        return value
+    return Memo(mean, most)
 
 
 def bucket(gram: str, buckets: int) -> int:
@@ -101,7 +102,7 @@ class Model:
     bias: float
     settings: Settings
 
-    def scores(self, texts: list[str], memo: WordScores) -> np.ndarray:
+    def scores(self, texts: list[str], memo: Memo) -> np.ndarray:
         """Probability of the toxic class of each text."""
         size = self.settings.window
         out = np.empty(len(texts))
@@ -251,7 +252,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score`` of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordScores(model.table, model.settings)
+        memo = word_scores(model.table, model.settings)
         for batch in slices(batches):
             scores = model.scores(batch.column("text").to_pylist(), memo)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
@@ -265,7 +266,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     text_at = fields.fieldNames().index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordScores(model.table, model.settings)
+        memo = word_scores(model.table, model.settings)
         for batch in slices(batches):
             texts = [t or "" for t in batch.column(text_at).to_pylist()]
             yield batch.filter(pa.array(model.scores(texts, memo) < 0.5))

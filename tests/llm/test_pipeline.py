@@ -21,7 +21,7 @@ def test_run_is_what_its_stages_say(spark):
     docs, labels, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels", "benchmark"))
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     model = toxicity.fit_documents(docs, labels)
-    scores = model.scores([t for _, t in rows], toxicity.WordScores(model.table, model.settings))
+    scores = model.scores([t for _, t in rows], toxicity.word_scores(model.table, model.settings))
     rows = [r for r, s in zip(rows, scores, strict=True) if s < 0.5]
     rows = [(int(d), t) for d, t in brute_lines(rows, lines.Settings())]
     kept = {d for d, _, c in brute_components(rows, minhash.Settings()) if c == d}
