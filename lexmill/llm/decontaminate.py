@@ -1,18 +1,21 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: Smith-Waterman alignment of words, wherever an alignment can reach the share.
 
-Test items go in blocks of bounded size, and each block is held against all documents in two narrow passes:
+Test items go in blocks of bounded size, and each block is held against all documents in one narrow pass. Three bounds
+say where an alignment may reach ``share`` of an item's words; each is proved, so none loses a pair:
 
-1. count, over all documents, in how many each n-gram of the items occurs;
-2. find *seeds* in each document, align the item with the words around them, and keep the local alignment's score.
+1. a match takes a word of the item, so enough of the item's words must occur in the document;
+2. each word of the document adds 1 to a score at most if the item has it and costs a half otherwise, so the running
+   sum of these, never below 0, must reach the share. Where the sum is 0 every alignment's score is 0, so the stretches
+   between are aligned each by itself;
+3. enough of the item's words, as often as the item has them, must occur in the stretch.
 
-Seeds are chosen by rank, not by a limit: of every ``stretch`` consecutive n-grams of an item the rarest in the corpus
-is one. So an item that a third of all documents quote keeps its seeds, while n-grams of common words, which would
-start alignments everywhere, are passed over where a rarer one is near. Documents are never shuffled.
+No n-gram has to survive an edit: copies with every second or third word replaced are aligned like others. Documents
+are never shuffled.
 
 A document is contaminated by an item if the alignment's score reaches ``share`` of the item's words (matching words
 count 1, others and gaps cost a half), so edited, paraphrased and partly copied items are found.
 
-Defined results: null and empty texts and items match nothing; items shorter than an n-gram are their own seed;
+Defined results: null and empty texts and items match nothing; items shorter than ``gram`` words match as a whole;
 repeated rows each give their own pairs; words are runs of bytes other than white space and ASCII punctuation.
 """
 
@@ -41,9 +44,7 @@ class Settings:
     """``block_words``: words of the items that are held in memory together; more items mean more passes."""
 
     gram: int = 3
-    stretch: int = 3
     share: float = 0.5
-    seeds: int = 2
     block_words: int = 1_000_000
 
 
@@ -52,88 +53,61 @@ def words_of(text: str) -> list[bytes]:
 
 
 class Block:
-    """Some items: their words as numbers, and their n-grams as sorted codes."""
+    """Some items: their words as numbers, and for each word the items that have it."""
 
     def __init__(self, items: list[tuple[int, list[bytes]]], s: Settings) -> None:
         self.s = s
         self.vocabulary: dict[bytes, int] = {}
         self.ids = [i for i, _ in items]
         self.words = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in ws], np.int64) for _, ws in items]
-        codes, owners, places = [], [], []
-        self.short = {}
-        for k, ws in enumerate(self.words):
-            c = self.codes(ws)
-            if len(c):
-                codes.append(c)
-                owners.append(np.full(len(c), k))
-                places.append(np.arange(len(c)))
-            elif len(ws):
-                self.short.setdefault(len(ws), []).append(k)
-        self.code = np.concatenate(codes) if codes else np.zeros(0, np.int64)
-        self.owner = np.concatenate(owners) if codes else np.zeros(0, np.int64)
-        self.place = np.concatenate(places) if codes else np.zeros(0, np.int64)
-        self.known = np.unique(self.code)
-
-    def codes(self, words: np.ndarray) -> np.ndarray:
-        """Codes of the n-grams; -1 where a word is in no item. Exact up to 2**21 different words and n-grams of 3."""
-        n = self.s.gram
-        if len(words) < n:
-            return np.zeros(0, np.int64)
-        code = np.zeros(len(words) - n + 1, np.int64)
-        whole = np.ones(len(code), bool)
-        for j in range(n):
-            part = words[j : len(words) - n + 1 + j]
-            code = code * (1 << (62 // n)) + part
-            whole &= part > 0
-        return np.where(whole, code, -1)
+        self.size = np.array([len(ws) for ws in self.words])
+        self.short: dict[int, list[int]] = {}
+        for k in np.flatnonzero((self.size > 0) & (self.size < s.gram)).tolist():
+            self.short.setdefault(len(self.words[k]), []).append(k)
+        # Rows (word, item, times), by word; those of word w are at first[w] .. first[w + 1].
+        counted = [(k, *np.unique(ws, return_counts=True)) for k, ws in enumerate(self.words) if len(ws) >= s.gram]
+        word = np.concatenate([w for _, w, _ in counted] or [np.zeros(0, np.int64)])
+        owner = np.repeat(np.array([k for k, _, _ in counted], np.int64), [len(w) for _, w, _ in counted])
+        times = np.concatenate([n for _, _, n in counted] or [np.zeros(0, np.int64)])
+        order = np.argsort(word, kind="stable")
+        self.owner, self.times = owner[order], times[order]
+        self.first = np.searchsorted(word[order], np.arange(len(self.vocabulary) + 2))
+        self.different = {k: (w, n) for k, w, n in counted}
+        self.mark = np.full(len(self.vocabulary) + 1, -0.5)
 
     def numbers(self, text: str) -> np.ndarray:
         get, words = self.vocabulary.get, words_of(text)
         return np.fromiter((get(w, 0) for w in words), np.int64, len(words))
 
-    def hits(self, codes: np.ndarray, among: np.ndarray) -> np.ndarray:
-        """Places whose code is in the sorted array ``among``."""
-        near = np.flatnonzero(codes >= 0)
-        if not len(near) or not len(among):
-            return near[:0]
-        at = np.searchsorted(among, codes[near])
-        return near[among[np.minimum(at, len(among) - 1)] == codes[near]]
-
-    def choose(self, frequency: dict[int, int]) -> Block:
-        """Keeps as seeds, of every ``stretch`` consecutive n-grams of an item, the rarest (of equals, the first)."""
-        rare = np.array([frequency.get(c, 0) for c in self.code.tolist()])
-        keep = np.zeros(len(rare), bool)
-        starts = np.flatnonzero(np.diff(self.owner, prepend=-1)) if len(rare) else []
-        for a, b in zip(starts, np.append(starts[1:], len(rare)) if len(rare) else [], strict=True):
-            w = min(self.s.stretch, b - a)
-            windows = np.lib.stride_tricks.sliding_window_view(rare[a:b], w)
-            keep[a + np.arange(len(windows)) + windows.argmin(1)] = True
-        order = np.argsort(self.code[keep], kind="stable")
-        self.seed, self.seed_owner, self.seed_place = self.code[keep][order], self.owner[keep][order], self.place[keep][order]
-        self.seeds_of = np.bincount(self.seed_owner, minlength=len(self.words))
-        return self
+    def likely(self, words: np.ndarray) -> np.ndarray:
+        """Items with enough words, counted as often as the item has them, that the document has at all."""
+        have = np.unique(words[words > 0])
+        a, n = self.first[have], self.first[have + 1] - self.first[have]
+        rows = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
+        found = np.bincount(self.owner[rows], self.times[rows], len(self.words))
+        return np.flatnonzero((found >= self.s.share * self.size) & (self.size >= self.s.gram))
 
     def candidates(self, words: np.ndarray) -> list[tuple[int, int, int]]:
-        """(item, first word, end) of the stretches of a document that hold enough seeds of an item."""
-        codes, out = self.codes(words), []
-        at = self.hits(codes, self.seed)
-        if len(at):
-            a, b = np.searchsorted(self.seed, codes[at], "left"), np.searchsorted(self.seed, codes[at], "right")
-            n = b - a
-            which = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            item, shift = self.seed_owner[which], np.repeat(at, n) - self.seed_place[which]
-            order = np.lexsort((shift, item))
-            item, shift, seed = item[order], shift[order], which[order]
-            slack = np.array([len(self.words[k]) // 2 + 2 for k in item])
-            new = np.ones(len(item), bool)
-            new[1:] = (item[1:] != item[:-1]) | (shift[1:] - shift[:-1] > slack[1:])
-            starts = np.flatnonzero(new)
-            for x, y in zip(starts, np.append(starts[1:], len(item)), strict=True):
-                k = int(item[x])
-                if len(set(seed[x:y].tolist())) >= min(self.s.seeds, self.seeds_of[k]):
-                    size, room = len(self.words[k]), int(slack[x])
-                    low, high = int(shift[x]) - room, int(shift[y - 1]) + size + room
-                    out.append((k, max(0, low), min(len(words), high)))
+        """(item, first word, end) of the stretches of a document where an alignment may reach the share."""
+        out = []
+        for k in self.likely(words).tolist():
+            (own, times), least = self.different[k], self.s.share * self.size[k]
+            self.mark[own] = 1.0
+            total = np.cumsum(self.mark[words])
+            self.mark[own] = -0.5
+            bound = total - np.minimum(np.minimum.accumulate(total), 0)
+            high = np.flatnonzero(bound >= least)
+            if not len(high):
+                continue
+            zero = np.concatenate([[-1], np.flatnonzero(bound == 0)])
+            stretch = np.searchsorted(zero, high)  # of each high place the number of zeros before it
+            last = np.flatnonzero(np.diff(stretch, append=-1))
+            for i in last.tolist():
+                a, b = int(zero[stretch[i] - 1]) + 1, int(high[i]) + 1
+                there = np.sort(words[a:b])
+                n = np.searchsorted(there, own, "right") - np.searchsorted(there, own, "left")
+                if np.minimum(n, times).sum() >= least:
+                    out.append((k, a, b))
         for size, items in self.short.items():
             for k in items:
                 if len(words) >= size:
@@ -177,26 +151,12 @@ def blocks(items: DataFrame, s: Settings) -> Iterator[Block]:
         yield Block(part, s)
 
 
-def gram_frequency(docs: DataFrame, block: Block) -> dict[int, int]:
-    """Of each n-gram of a block the number of documents that hold it; no more rows than the block has n-grams."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = [np.unique(codes[block.hits(codes, block.known)]) for codes in (block.codes(block.numbers(t)) for t in batch.column("text").to_pylist())]
-            code, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(n, pa.int64())], ["code", "n"])
-
-    counted = texts_of(docs).mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    return {r["code"]: r["n"] for r in counted.collect()}
-
-
 def contaminated_pairs(docs: DataFrame, items: DataFrame, s: Settings | None = None) -> DataFrame:
     """``doc_id, item_id, score, share, end_word`` of every document and item whose alignment reaches the share."""
     s = s or Settings()
     schema = "doc_id long, item_id long, score double, share double, end_word long"
     out = docs.sparkSession.createDataFrame([], schema)
     for block in blocks(items, s):
-        block.choose(gram_frequency(docs, block))
 
         def run(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):

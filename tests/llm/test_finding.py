@@ -135,3 +135,23 @@ def test_query_agrees_with_alignment_of_all_pairs(spark):
                 if score >= 0.5 * len(iw):
                     want.add((d.doc_id, r.item_id))
     assert got == want
+
+
+def test_copies_with_every_few_words_edited(spark):
+    """Copies whose unedited runs are as short as one word, beside verbatim ones, against alignment of all pairs."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    items = {i: [word() for _ in range(n)] for i, n in enumerate([40, 40, 31, 17, 12, 5, 3])}
+    rows = []
+    for i, ws in items.items():
+        edits = [[w if (j + 1) % every else word() for j, w in enumerate(ws)] for every in (2, 3, 4, 5, 6)]
+        edits += [[x for w in ws for x in (w, word())], [w for j, w in enumerate(ws) if j % 4], ws, ws[: len(ws) // 2] + ws[: len(ws) // 2], ws[::-1]]
+        for copy in edits:
+            rows.append((len(rows), [*(word() for _ in range(rng.randint(0, 60))), *copy, *(rng.choice(ws) for _ in range(5)), *(word() for _ in range(30))]))
+    scores = {(d, i): table_score(ws, ts) for d, ts in rows for i, ws in items.items()}
+    expected = {k: v for k, v in scores.items() if v >= 0.5 * len(items[k[1]])}
+    assert len(expected) > 50
+    bench = spark.createDataFrame([(i, " ".join(ws)) for i, ws in items.items()], "item_id long, text string")
+    docs = spark.createDataFrame([(d, " ".join(ts)) for d, ts in rows], "doc_id long, text string")
+    for s in (decontaminate.Settings(), decontaminate.Settings(block_words=50)):
+        assert {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated_pairs(docs, bench, s).collect()} == expected
