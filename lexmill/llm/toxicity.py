@@ -31,7 +31,8 @@ from lexmill.llm.common import slices, texts_of
 @dataclass(frozen=True)
 class Settings:
     """``sample``: labelled documents per class that are fitted at most (a fixed bound; ids are drawn by hash).
-    ``sample_words``: words of these documents that are fitted at most, in whole documents, in order of the hash."""
+    ``sample_words``: words of these documents that are fitted at most, half of them for each class and what the other
+    leaves; whole documents in order of the hash, and those that do not fit are passed over."""
 
     sample: int = 2_000
     sample_words: int = 1_200_000
@@ -230,16 +231,36 @@ def training_rows(docs: DataFrame, labels: DataFrame, s: Settings, learn_from: F
         part = known.where(F.col("toxic") == value).orderBy("draw", "doc_id").limit(s.sample)
         drawn = part if drawn is None else drawn.unionByName(part)
     # At most 2 * s.sample rows of three numbers: safe to send to every task.
-    got = texts_of(docs).join(F.broadcast(drawn), "doc_id").select("doc_id", "draw", "toxic", "text").toArrow()
-    rows = sorted(zip(got["draw"].to_pylist(), got["doc_id"].to_pylist(), got["toxic"].to_pylist(), got["text"].to_pylist(), strict=True))
-    texts, ys, left = [], [], s.sample_words
-    for _, _, y, text in rows:
-        left -= text.count(" ") + 1
-        if left < 0 and texts:
-            break
-        texts.append(text)
-        ys.append(y)
-    return texts, np.asarray(ys, dtype=np.int64)
+    rows = texts_of(docs).join(F.broadcast(drawn), "doc_id").withColumn("text_key", F.xxhash64("text"))
+    words = F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit(""))) + 1
+    sizes = rows.groupBy("toxic", "draw", "doc_id", "text_key").agg(F.sum(words.cast("long")).alias("words"))
+    taken = within_budget(sorted(tuple(r) for r in sizes.collect()), s.sample_words)
+    if not taken:
+        return [], np.zeros(0, np.int64)
+    # Only texts within the budget reach the driver.
+    chosen = docs.sparkSession.createDataFrame(taken, "toxic int, draw long, doc_id long, text_key long")
+    got = rows.join(F.broadcast(chosen.select("doc_id", "text_key")), ["doc_id", "text_key"]).select("draw", "doc_id", "toxic", "text").toArrow()
+    found = sorted(zip(*(got[c].to_pylist() for c in ("draw", "doc_id", "toxic", "text")), strict=True))
+    return [r[3] for r in found], np.asarray([r[2] for r in found], dtype=np.int64)
+
+
+def within_budget(sizes: list[tuple[int, int, int, int, int]], budget: int) -> list[tuple[int, int, int, int]]:
+    """Of rows ``(toxic, draw, doc_id, text_key, words)``, in order, those that fit. Each class has half of the budget and
+    what the other leaves of its half; a document that does not fit is passed over, and a class keeps one at least."""
+    parts = [[r for r in sizes if r[0] == value] for value in (0, 1)]
+
+    def fill(part: list[tuple[int, int, int, int, int]], left: int) -> tuple[list[tuple[int, int, int, int]], int]:
+        out, used = [], 0
+        for r in part:
+            if used + r[4] <= left:
+                used += r[4]
+                out.append(r[:4])
+        return out, used
+
+    clean, used = fill(parts[0], budget - budget // 2)
+    toxic, used = fill(parts[1], budget - used)
+    clean, _ = fill(parts[0], budget - used)
+    return [r for got, part in zip((clean, toxic), parts, strict=True) for r in got or [r[:4] for r in sorted(part, key=lambda r: r[4])[:1]]]
 
 
 def fit_documents(docs: DataFrame, labels: DataFrame, s: Settings | None = None, learn_from: F.Column | None = None) -> Model:

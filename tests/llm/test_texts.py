@@ -152,3 +152,18 @@ def test_toxicity(spark, odd):
     assert toxicity.score_documents(odd.limit(0), model).count() == 0
     assert toxicity.fit_documents(odd, labels.limit(0)).bias < 0
     assert toxicity.keep_clean(odd, model).columns == odd.columns
+
+
+def test_toxicity_sample_keeps_both_classes(spark):
+    """Long clean texts leave the toxic class its half of the words, whatever text comes first."""
+    s = toxicity.Settings(sample=40, sample_words=2_000)
+    for long in range(0, 60, 7):  # one text of more words than all may have, early or late in order of the hash
+        rows = [(i, ("w " * (5_000 if i == long else 100 if i % 3 else 20)).strip()) for i in range(60)]
+        docs = spark.createDataFrame([*rows, rows[1]], "doc_id long, text string")
+        labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+        texts, ys = toxicity.training_rows(docs, labels, s)
+        sizes = [len(x.split()) for x in texts]
+        assert (ys == 1).sum() == 20 - (long % 3 == 0) and max(sizes) == 100  # 400 words: all that fit
+        assert 1_500 <= sum(n for n, y in zip(sizes, ys, strict=True) if y == 0) <= 1_600  # and what they leave
+    one = docs.where("doc_id IN (1, 56)")  # 56 is long
+    assert sorted(toxicity.training_rows(one, spark.createDataFrame([(1, 0), (56, 1)], "doc_id long, toxic int"), s)[1]) == [0, 0, 1]
