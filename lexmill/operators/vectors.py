@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -112,12 +114,33 @@ def dot(a: Column, b: Column) -> Column:
 def top_similar(queries: DataFrame, vectors: DataFrame, k: int, query_rows: int = 10_000) -> DataFrame:
     """The ``k`` most similar of ``vectors(id, v)`` for each of ``queries(query_id, q)``, by cosine; ties by id.
 
-    Queries are a stated, bounded set (``query_rows`` at most, checked) and go to all tasks as one matrix. A task keeps
-    its best ``k`` of a query from each batch before anything is shuffled. Rows without a vector have no rank.
+    Queries are walked in ranges of ``query_id`` of about ``query_rows`` rows. Each range goes to all tasks as one matrix;
+    where there are several, a range's result is written before the next one is read. A task keeps its best ``k`` of a
+    query from each batch before anything is shuffled. Rows without a vector have no rank.
     """
-    asked = queries.where("q IS NOT NULL").limit(query_rows + 1).collect()
-    if len(asked) > query_rows:
-        raise ValueError(f"more than {query_rows} queries: run them in blocks")
+    spark = queries.sparkSession
+    asked = queries.where("q IS NOT NULL AND query_id IS NOT NULL").select(F.col("query_id").cast("long").alias("query_id"), "q")
+    blocks = -(-asked.count() // query_rows)
+    if blocks < 2:
+        return _ranked(_best_of_block(asked.collect(), vectors, k), k)
+    cuts = asked.agg(F.percentile_approx("query_id", [i / blocks for i in range(1, blocks)], max(10_000, 20 * blocks))).first()[0]
+    cuts = sorted(set(cuts))
+    path = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='lexmill-')}/topk-{uuid.uuid4().hex}"
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        block = asked if low is None else asked.where(F.col("query_id") > low)
+        block = block if high is None else block.where(F.col("query_id") <= high)
+        best = _ranked(_best_of_block(block.collect(), vectors, k), k)
+        best.write.mode("append").parquet(path)  # so that the next plan does not hold this block
+    return spark.read.schema(best.schema).parquet(path)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "id", "score")
+
+
+def _best_of_block(asked: list, vectors: DataFrame, k: int) -> DataFrame:
+    """``query_id, id, score``: of each batch of ``vectors`` the best ``k`` of each query."""
     names = np.array([r["query_id"] for r in asked], np.int64)
     wanted = _unit_rows([r["q"] for r in asked])
 
@@ -134,12 +157,10 @@ def top_similar(queries: DataFrame, vectors: DataFrame, k: int, query_rows: int
                 rows.append((np.full(len(near), names[q]), ids[near], row[near]))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)], ["query_id", "id", "score"])
 
-    found = vectors.where("v IS NOT NULL").select(F.col("id").cast("long").alias("id"), "v").mapInArrow(best, "query_id long, id long, score double")
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "id", "score")
+    return vectors.where("v IS NOT NULL").select(F.col("id").cast("long").alias("id"), "v").mapInArrow(best, "query_id long, id long, score double")
 
 
 def _unit_rows(rows: list) -> np.ndarray:
-    m = np.array(rows, np.float64).reshape(len(rows), -1)
+    m = np.array(rows, np.float64).reshape(len(rows), -1 if rows else 0)
     size = np.linalg.norm(m, axis=1, keepdims=True)
     return np.divide(m, size, out=m, where=size > 0)

@@ -123,6 +123,16 @@ def test_files(spark, tmp_path):
     assert response.select(sources.field_text(F.col("r")).alias("t")).first().t == "가 나"
 
 
+def test_top_similar_in_blocks(spark):
+    """More queries than one block holds are all answered, as in one block."""
+    rng = random.Random(4)
+    df = spark.createDataFrame([(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(60)] + [(60, None)], "id long, v array<double>")
+    asked = df.select((F.col("id") * 7 - 100).alias("query_id"), F.col("v").alias("q"))
+    rows = lambda n: sorted(tuple(r)[:3] for r in vectors.top_similar(asked, df, 3, n).collect())
+    assert len(rows(1_000)) == 180 and rows(1_000) == rows(60) == rows(13)
+    assert vectors.top_similar(asked.limit(0), df, 3, 13).count() == 0
+
+
 def test_vectors(spark):
     embed = vectors.stub_backend(5)
     import hashlib
