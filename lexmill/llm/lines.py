@@ -3,13 +3,14 @@
 Every line is an id. Positions get ranks by their first line, then by two, four, ... lines, each round from the pair
 of ranks at a position and half the depth further on, up to the run length that counts (``min_lines``). Positions of
 equal rank then form an interval of the suffix array whose longest common prefix reaches ``min_lines``: a repeated run.
-Of each interval the first copy, in order of ``doc_id`` and position, stays; the others' lines are deleted, so longer
-repeated runs go as a whole. Only lines that occur twice take part after the first step.
+Of each interval the first copy, in order of ``doc_id`` and position, stays; the others' lines are deleted. Longer
+repeated runs go window by window: where all their windows have ``min_chars`` characters, as a whole; windows of short
+lines stay, however long the run. Only lines that occur twice take part after the first step.
 
 Ranks come from a sort by ranges with per-range offsets; no step collects a group: firsts are pre-aggregated minima.
 
 Defined results: a null or empty text is one empty line; runs do not cross documents; lines compare exactly, and a
-run counts if its lines have ``min_chars`` characters together; rows that repeat ``doc_id`` and text are one document
+window of ``min_lines`` lines counts if they have ``min_chars`` characters together; rows that repeat ``doc_id`` and text are one document
 and get equal results; rows that share a ``doc_id`` but not the text are ordered by a hash of the text; null ids come last.
 """
 
