@@ -17,34 +17,55 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that Python code looks at together: keeps numpy's working memory small beside very long texts.
-SLICE_BYTES = 4_000_000
+#: Bytes of text that Python code looks at together: keeps a worker's memory small.
+SLICE_BYTES = 1 << 20
+#: Shuffle files go when the execution that made them ends: what is needed later has been written as a table by then.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it; one of our own only where it is unset."""
+    """The folder that driver and executors share, as the session names it. Where it is unset a local session gets one
+    of its own; on a cluster that is an error, since executors would each write to their own disks."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="lexmill-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+class Tables:
+    """The intermediate tables of one run, in a folder of their own within the shared folder.
+
+    A table is written once and read back: later steps neither compute it again nor need the executors that made it.
+    Tables that no later step reads are dropped at once; the others go with the session.
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.made = spark, 0
+        self.root = f"{shared_dir(spark)}/lexmill/{name}-{uuid.uuid4().hex}"
+        spark.conf.set(CLEANUP, "true")
+        self._files().deleteOnExit(self._path(self.root))
+
+    def _path(self, path: str) -> object:
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
 
+    def _files(self) -> object:
+        return self._path(self.root).getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: later steps neither compute it again nor need
-    the executors that made it. The shuffle files of the write go when it ends, as the table has what they held."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lexmill/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self.made += 1
+        path = f"{self.root}/{self.made}-{name}"
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out.written_to = path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes tables that nothing unfinished reads any more."""
+        for df in tables:
+            self._files().delete(self._path(df.written_to), True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import slices, texts_of, written
+from lexmill.llm.common import Tables, slices, texts_of
 
 
 @dataclass(frozen=True)
@@ -222,7 +222,7 @@ def train_round(texts: DataFrame, model: Model) -> np.ndarray:
 
 def fit(docs: DataFrame, s: Settings | None = None) -> Model:
     s = s or Settings()
-    counts = written(word_counts(docs), "words")
+    counts = Tables(docs.sparkSession, "language-model").write(word_counts(docs), "words")
     kept = counts.orderBy(F.desc("n"), "word").limit(s.words)
     frequent = np.zeros(s.entries)
     common = []

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexmill.llm.common import shuffle_partitions, slices, written
+from lexmill.llm.common import Tables, shuffle_partitions, slices
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,7 @@ def doc_key() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
 
 
-def dense_ranks(keys: DataFrame, columns: list[str]) -> DataFrame:
+def dense_ranks(keys: DataFrame, columns: list[str], t: Tables) -> DataFrame:
     """Distinct ``keys`` with ``rank``: 1, 2, ... in their order, by ranges and offsets of ranges."""
     spark = keys.sparkSession
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keys.select(*columns).schema) + ", part int, place long"
@@ -59,7 +59,7 @@ def dense_ranks(keys: DataFrame, columns: list[str]) -> DataFrame:
             at += n
 
     ordered = keys.select(*columns).repartitionByRange(shuffle_partitions(spark), *columns).sortWithinPartitions(*columns)
-    placed = written(ordered.mapInArrow(number, schema), "placed")
+    placed = t.write(ordered.mapInArrow(number, schema), "placed")
     sizes = placed.groupBy("part").agg(F.count("*").alias("n"))  # a row for each partition
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
@@ -68,34 +68,35 @@ def dense_ranks(keys: DataFrame, columns: list[str]) -> DataFrame:
 
 def repeated_positions(docs: DataFrame, s: Settings) -> DataFrame:
     """``doc, text_key, pos``: where a run of ``min_lines`` lines starts that also starts earlier."""
+    t = Tables(docs.sparkSession, "lines")
     base = docs.select(doc_key().alias("doc"), text_key().alias("text_key"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"))
     lines = base.select(*KEY, "pos", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(7), "line").alias("b"), F.length("line").cast("long").alias("chars"))
-    often = written(lines.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b"), "often")
-    ranks = written(dense_ranks(often, ["a", "b"]), "ranks")
-    state = written(lines.join(ranks, ["a", "b"]).select(*KEY, "pos", "rank", "chars").distinct(), "state")
+    often = t.write(lines.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b"), "often")
+    ranks = t.write(dense_ranks(often, ["a", "b"], t), "ranks")
+    state = t.write(lines.join(ranks, ["a", "b"]).select(*KEY, "pos", "rank", "chars").distinct(), "state")
     depth = 1
     while depth < s.min_lines:
         step = min(depth, s.min_lines - depth)
         ahead = state.select(*KEY, (F.col("pos") - step).alias("pos"), F.col("rank").alias("next"), F.col("chars").alias("more"))
         pair = state.join(ahead, [*KEY, "pos"]).select(*KEY, "pos", "rank", "next", "chars", "more")
-        pair = written(pair, "pairs")
+        pair = t.write(pair, "pairs")
         # A position whose window is unique drops out: no deeper window that starts there can be repeated.
-        keys = written(pair.groupBy("rank", "next").agg(F.count("*").alias("n")).where("n > 1").select("rank", "next"), "keys")
-        ranks = written(_renamed(keys), "ranks")
+        keys = t.write(pair.groupBy("rank", "next").agg(F.count("*").alias("n")).where("n > 1").select("rank", "next"), "keys")
+        ranks = t.write(_renamed(keys, t), "ranks")
         total = F.col("chars") + F.col("more") if step == depth else F.lit(0).cast("long")
-        state = written(pair.join(ranks, ["rank", "next"]).select(*KEY, "pos", F.col("deeper").alias("rank"), total.alias("chars")), "state")
+        state = t.write(pair.join(ranks, ["rank", "next"]).select(*KEY, "pos", F.col("deeper").alias("rank"), total.alias("chars")), "state")
         depth += step
     if s.min_lines & (s.min_lines - 1):  # overlapping windows: count the characters of the lines themselves
         span = Window.partitionBy(*KEY).orderBy("pos").rowsBetween(0, s.min_lines - 1)
         chars = lines.distinct().select(*KEY, "pos", F.sum("chars").over(span).alias("chars"))
         state = state.drop("chars").join(chars, [*KEY, "pos"])
-    first = written(state.where(F.col("chars") >= s.min_chars).groupBy("rank").agg(F.min(F.struct("doc", "text_key", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1").select("rank", "first"), "firsts")
+    first = t.write(state.where(F.col("chars") >= s.min_chars).groupBy("rank").agg(F.min(F.struct("doc", "text_key", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1").select("rank", "first"), "firsts")
     later = state.join(first, "rank").where(F.struct("doc", "text_key", "pos") > F.col("first"))
     return later.select(*KEY, "pos")
 
 
-def _renamed(keys: DataFrame) -> DataFrame:
-    numbered = dense_ranks(keys.withColumnRenamed("rank", "here"), ["here", "next"])
+def _renamed(keys: DataFrame, t: Tables) -> DataFrame:
+    numbered = dense_ranks(keys.withColumnRenamed("rank", "here"), ["here", "next"], t)
     return numbered.select(F.col("here").alias("rank"), "next", F.col("rank").alias("deeper"))
 
 

@@ -20,6 +20,7 @@ a null ``doc_id`` take the component of the documents with the same set (null if
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,8 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import slices, texts_of, written
-from lexmill.llm.fingerprints import B1, B2, P1, P2, powers
+from lexmill.llm.common import Tables, slices, texts_of
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
@@ -52,43 +52,76 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts, in order, and the number of words of each text."""
-    words = [t.translate(LOWER).split() for t in texts]
-    counts = np.array([len(w) for w in words], np.int64)
-    flat = [w for ws in words for w in ws]
-    if not flat:
-        return np.zeros(0, np.uint64), counts
-    sizes = np.fromiter(map(len, flat), np.int64, len(flat))
-    ends = np.cumsum(sizes)
-    starts = ends - sizes
-    c = np.frombuffer(b"".join(flat), np.uint8).astype(np.int64) + 1
-    out = np.zeros(len(flat), np.uint64)
-    for shift, b, p in ((31, B1, P1), (0, B2, P2)):
-        prefix = np.zeros(len(c) + 1, np.int64)
-        np.cumsum(c * powers(b, p, len(c)) % p, out=prefix[1:])
-        back = powers(pow(b, -1, p), p, len(c) + 1)[starts]
-        out |= ((prefix[ends] - prefix[starts]) % p * back % p).astype(np.uint64) << np.uint64(shift)
-    return mix(out + sizes.astype(np.uint64) * _C[3]), counts
+#: Bytes of text whose words are hashed together, and of a word beyond which its digest stands for it.
+PIECE, LONG = 1 << 18, 64
+GAP = re.compile(rb"[\x20\x09-\x0d]")
+_R = mix(np.arange(1, LONG + 1, dtype=np.uint64) * _C[0]) | np.uint64(1)
+
+
+def in_pieces(text: bytes) -> Iterator[bytes]:
+    """The text in pieces of about ``PIECE`` bytes, cut at white space."""
+    at = 0
+    while len(text) - at > PIECE and (gap := GAP.search(text, at + PIECE)):
+        yield text[at : gap.start()]
+        at = gap.start()
+    yield text[at:]
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words: sums of their bytes, each times a fixed odd number of its place, mixed with the length."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    starts = np.cumsum(sizes) - sizes
+    flat = np.frombuffer(b"".join(words), np.uint8)
+    place = (np.arange(len(flat)) - np.repeat(starts, sizes)) & (LONG - 1)
+    out = mix(np.add.reduceat((flat.astype(np.uint64) + np.uint64(1)) * _R[place], starts) + sizes.astype(np.uint64) * _C[3])
+    for i in np.flatnonzero(sizes > LONG).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(words[i], digest_size=8).digest(), "little")
+    return out
+
+
+def text_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts, in order, and the number of words of each text; words are hashed about
+    ``PIECE`` bytes at a time, however long a text is."""
+    counts, hashes, held, size = [], [], [], 0
+    for text in texts:
+        n = 0
+        for piece in in_pieces(text):
+            words = piece.translate(LOWER).split()
+            n += len(words)
+            held += words
+            size += len(piece)
+            if size >= PIECE and held:
+                hashes.append(word_hashes(held))
+                held, size = [], 0
+        counts.append(n)
+    if held:
+        hashes.append(word_hashes(held))
+    return np.concatenate(hashes or [np.zeros(0, np.uint64)]), np.array(counts, np.int64)
+
+
+def shingles(h: np.ndarray, k: int) -> np.ndarray:
+    """The sorted distinct hashes of all runs of ``k`` of the word hashes ``h``, worked out in blocks."""
+    parts = []
+    for a in range(0, len(h) - k + 1, PIECE):
+        n = min(PIECE, len(h) - k + 1 - a)
+        run = np.zeros(n, np.uint64)
+        for j in range(k):
+            run += mix(h[a + j : a + j + n] + np.uint64(j + 1) * _C[0])
+        parts.append(np.unique(mix(run)))
+    return parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
 
 
 def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    h, counts = word_hashes(texts)
+    """The sorted distinct shingle hashes of each text; fewer words than ``k`` are one shingle."""
+    out, at = [], 0
     with np.errstate(over="ignore"):
-        run = np.zeros(max(0, len(h) - k + 1), np.uint64)
-        for j in range(k):
-            run += mix(h[j : len(h) - k + 1 + j] + np.uint64(j + 1) * _C[0])
-        run = mix(run)
-        out, at = [], 0
+        h, counts = text_hashes(texts)
         for n in counts.tolist():
+            words = h[at : at + n]
             if n >= k:
-                out.append(np.unique(run[at : at + n - k + 1]))
+                out.append(shingles(words, k))
             elif n:
-                short = np.uint64(n)
-                for j, x in enumerate(h[at : at + n]):
-                    short = short + mix(np.array([x + np.uint64(j + 1) * _C[0]]))[0]
-                out.append(mix(np.array([short ^ _C[3]])))
+                out.append(mix(shingles(words, n) ^ _C[3]))
             else:
                 out.append(np.zeros(0, np.uint64))
             at += n
@@ -96,7 +129,11 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
 
 
 def signature(elements: np.ndarray, m: int) -> np.ndarray:
-    """SuperMinHash of a set of 64-bit hashes: ``m`` values, round number in the high and rank in the low 32 bits."""
+    """SuperMinHash of a set of 64-bit hashes: ``m`` values, round number in the high and rank in the low 32 bits.
+
+    The signature of a union is the least of its parts' ones, so large sets go part by part."""
+    if len(elements) > PIECE:
+        return np.minimum.reduce([signature(elements[a : a + PIECE], m) for a in range(0, len(elements), PIECE)])
     sig = np.full(m, np.iinfo(np.uint64).max, np.uint64)
     n = len(elements)
     slots = rows = None
@@ -171,11 +208,11 @@ def _common(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "ea", "eb").mapInArrow(run, "a long, b long, na long, nb long, both long")
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+def _verify(docs: DataFrame, pairs: DataFrame, s: Settings, t: Tables) -> tuple[DataFrame, DataFrame]:
     """Of distinct pairs ``a, b`` the Jaccard distance, on full sets, and whether they are linked; and the sets."""
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     texts = texts_of(docs).join(wanted, "doc_id", "left_semi")
-    sets = written(_sets(texts, s), "sets")
+    sets = t.write(_sets(texts, s), "sets")
     left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("ea")), "a")
     both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("eb")), "b")
     union = F.col("na") + F.col("nb") - F.col("both")
@@ -197,7 +234,7 @@ def _own_elements(sets: DataFrame, members: DataFrame) -> DataFrame:
     return counted.where("a = z").groupBy("a").agg(F.count("*").alias("own"))
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, t: Tables | None = None) -> DataFrame:
     """Connected components: ``node, component`` (the smallest node reachable) of the nodes of ``links(a, b)``.
 
     Tasks first replace their links by a spanning forest (union-find); then rounds of star operations hang every
@@ -228,7 +265,8 @@ def components(links: DataFrame) -> DataFrame:
                 yield flush()
         yield flush()
 
-    edges = written(links.select("a", "b").mapInArrow(forest, "a long, b long").distinct(), "edges")
+    t = t or Tables(links.sparkSession, "components")
+    edges = t.write(links.select("a", "b").mapInArrow(forest, "a long, b long").distinct(), "edges")
     state = None
     while True:
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
@@ -237,12 +275,14 @@ def components(links: DataFrame) -> DataFrame:
         state = (now["n"], now["h"])
         # Large star: neighbours above a node hang on the smallest node in its neighbourhood.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
-        large = written(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
+        least = t.write(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+        large = t.write(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
+        t.drop(edges, least)
         # Small star: a node and its neighbours below hang on the smallest of these.
-        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        least = t.write(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         moved = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = written(moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        edges = t.write(moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        t.drop(large, least)
     roots = edges.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
@@ -250,36 +290,41 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document."""
     s = s or Settings()
-    sigs = written(signatures(docs, s), "signatures")
+    t = Tables(docs.sparkSession, "minhash")
+    sigs = t.write(signatures(docs, s), "signatures")
     filled = sigs.where("n_shingles > 0")
     reps = filled.groupBy("set_id").agg(F.min("doc_id").alias("a"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    reps = written(reps.where("a IS NOT NULL"), "representatives")
+    reps = t.write(reps.where("a IS NOT NULL"), "representatives")
     banded = reps.select("a", "n", F.explode("bands").alias("band"))
-    hubs = written(banded.groupBy("band").agg(F.min("a").alias("b"), F.max("a").alias("last")).where("b <> last").select("band", "b"), "hubs")
-    near = written(banded.join(hubs, "band"), "near")
-    sets, verified = _verify(docs, near.where("a <> b").select("a", "b").distinct(), s)
-    tested = written(verified, "tested")
+    hubs = t.write(banded.groupBy("band").agg(F.min("a").alias("b"), F.max("a").alias("last")).where("b <> last").select("band", "b"), "hubs")
+    near = t.write(banded.join(hubs, "band"), "near")
+    sets, verified = _verify(docs, near.where("a <> b").select("a", "b").distinct(), s, t)
+    tested = t.write(verified, "tested")
+    t.drop(hubs)
     links = tested.where("linked").select("a", "b")
-    grouped = written(components(links), "components")
+    grouped = t.write(components(links, t), "components")
     # Buckets with several components: compare across these, pairs that the bucket's hub does not rule out.
     told = near.join(tested.select("a", "b", "distance"), ["a", "b"], "left").withColumn("distance", F.coalesce("distance", F.lit(0.0)))
     told = told.join(grouped.select(F.col("node").alias("a"), "component"), "a", "left").withColumn("component", F.coalesce("component", "a"))
-    mixed = written(told.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band"), "mixed")
-    left = written(told.where("a <> b").join(mixed, "band"), "left")
+    mixed = t.write(told.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band"), "mixed")
+    left = t.write(told.where("a <> b").join(mixed, "band"), "left")
+    t.drop(near, mixed)
     # Elements that only one of these documents has are in its unions and in no intersection: that bounds a pair.
-    own = written(_own_elements(sets, left.select("a")), "own")
+    own = t.write(_own_elements(sets, left.select("a")), "own")
     left = left.join(own, "a", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-    left = written(left.where(F.col("own") * s.parts <= (s.parts - s.share) * F.col("n")), "left")
+    left = t.write(left.where(F.col("own") * s.parts <= (s.parts - s.share) * F.col("n")), "left")
+    t.drop(sets, own)
     other = left.select("band", *(F.col(c).alias(f"{c}2") for c in ("a", "n", "own", "distance", "component")))
     far = 1 - s.share / s.parts + 1e-9
     ratio = F.least(F.col("n") - F.col("own"), F.col("n2") - F.col("own2")) * s.parts >= s.share * F.greatest(F.col("n") + F.col("own2"), F.col("n2") + F.col("own"))
     across = left.join(other, "band").where((F.col("a") < F.col("a2")) & (F.col("component") != F.col("component2")) & ratio & (F.abs(F.col("distance") - F.col("distance2")) <= far))
-    extra = written(across.select("a", F.col("a2").alias("b")).distinct(), "across")
+    extra = t.write(across.select("a", F.col("a2").alias("b")).distinct(), "across")
     if not extra.isEmpty():
-        more = written(_verify(docs, extra, s)[1].where("linked").select("a", "b"), "more")
-        grouped = written(components(links.unionByName(more)), "components")
+        more = t.write(_verify(docs, extra, s, t)[1].where("linked").select("a", "b"), "more")
+        grouped = t.write(components(links.unionByName(more), t), "components")
     named = reps.join(grouped.select(F.col("node").alias("a"), "component"), "a", "left").where("copies > 1 OR component IS NOT NULL").select("set_id", F.coalesce("component", "a").alias("component"))
-    named = written(named, "named")
+    named = t.write(named, "named")
+    t.drop(reps, tested, grouped, left, extra)
     found = sigs.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")
     return found.select("doc_id", "n_shingles", component, F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import written
+from lexmill.llm.common import Tables
 
 KINDS = ("email", "ip", "card", "phone")
 #: Leftmost matches, with starts inside a run of the first class ruled out (save right after a match), so that a long
@@ -142,14 +142,14 @@ def scan(docs: DataFrame, s: Settings) -> DataFrame:
     return df.withColumn("others", F.filter("others", lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))))
 
 
-def bootstrap(found: DataFrame, s: Settings) -> DataFrame:
+def bootstrap(found: DataFrame, s: Settings, t: Tables) -> DataFrame:
     """``value, kind``: instances outside the base patterns that contexts of high confidence give away."""
     seeds = found.select(F.explode("base").alias("x")).select("x.value", "x.before", "x.after", "x.kind")
     rest = found.select(F.explode("others").alias("x")).select("x.value", "x.before", "x.after", F.lit(None).cast("string").alias("kind"))
     seen = seeds.unionByName(rest)
     sides = F.array(F.concat(F.lit("<"), "before", F.lit(" "), shape(F.col("value"))), F.concat(F.lit(">"), "after", F.lit(" "), shape(F.col("value"))))
     votes = seen.select("value", "kind", F.explode(sides).alias("pattern")).groupBy("pattern", "value").agg(F.max("kind").alias("seed"))
-    votes = written(votes, "votes")
+    votes = t.write(votes, "votes")
     known = None
     for _ in range(s.rounds):
         held = votes.withColumn("kind", F.col("seed"))
@@ -159,19 +159,20 @@ def bootstrap(found: DataFrame, s: Settings) -> DataFrame:
         best = F.greatest(*(F.coalesce(F.col(k), F.lit(0)) for k in KINDS))
         kind = F.coalesce(*(F.when(F.col(k) == best, F.lit(k)) for k in KINDS))
         good = total.select("pattern", kind.alias("means"), best.alias("hits"), (best / (F.col("n") + 1)).alias("confidence")).where((F.col("hits") >= s.support) & (F.col("confidence") >= s.confidence))
-        good = written(good, "patterns")
+        good = t.write(good, "patterns")
         score = 1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))
         told = votes.where("seed IS NULL").join(good, "pattern").groupBy("value", "means").agg(score.alias("score"))
         told = told.where(F.col("score") >= s.confidence).groupBy("value").agg(F.max_by("means", F.struct("score", "means")).alias("found"))
-        known = written(told, "known")
+        known = t.write(told, "known")
     return known.select("value", F.col("found").alias("kind"))
 
 
 def find(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     """``doc_id, text_key, base, spans``: arrays of ``start, kind_no, end, kind`` of each text."""
     s = s or Settings()
-    found = written(scan(docs, s), "found")
-    known = written(bootstrap(found, s), "instances")
+    t = Tables(docs.sparkSession, "personal")
+    found = t.write(scan(docs, s), "found")
+    known = t.write(bootstrap(found, s, t), "instances")
     place = found.select("doc_id", "text_key", F.explode("others").alias("x")).select("doc_id", "text_key", "x.start", "x.end", "x.value")
     number = F.array_position(F.lit(list(KINDS)), F.col("kind")).cast("int") - 1
     added = place.distinct().join(known, "value").groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", number.alias("kind_no"), "end", "kind")).alias("added"))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import shuffle_partitions, slices, texts_of, written
+from lexmill.llm.common import Tables, shuffle_partitions, slices, texts_of
 
 LAST = (1 << 63) - 1
 SHAPE = 1 << 12
@@ -152,10 +152,10 @@ def shared_anchors(texts: DataFrame, s: Settings) -> DataFrame:
     return ordered.mapInArrow(keep, schema)
 
 
-def contexts(texts: DataFrame, firsts: DataFrame, runs: DataFrame, s: Settings) -> DataFrame:
+def contexts(texts: DataFrame, firsts: DataFrame, runs: DataFrame, s: Settings, t: Tables) -> DataFrame:
     """``hash, content, doc, text_key, first, context``: the bytes of each run's strings and a digest of them; of equal
     texts one stands for all, with the smallest id (``firsts``)."""
-    lists = written(runs.groupBy("text_key").agg(F.collect_list(F.struct("hash", "first", "shape")).alias("at")).join(firsts, "text_key"), "lists")
+    lists = t.write(runs.groupBy("text_key").agg(F.collect_list(F.struct("hash", "first", "shape")).alias("at")).join(firsts, "text_key"), "lists")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -282,7 +282,7 @@ LOWS = pa.list_(pa.struct([("low", pa.int64()), ("n", pa.int32())]))
 LOWS_SQL = "array<struct<low:long,n:int>>"
 
 
-def least_ids(found: DataFrame, s: Settings) -> DataFrame:
+def least_ids(found: DataFrame, s: Settings, t: Tables) -> DataFrame:
     """``hash, content, lows``: for each different context the smallest id that has each of its strings, as runs."""
     spark = found.sparkSession
     distinct = found.groupBy("hash", "content").agg(F.min("doc").alias("least"), F.first("context").alias("context"), F.first("distance").alias("distance"))
@@ -337,7 +337,7 @@ def least_ids(found: DataFrame, s: Settings) -> DataFrame:
             yield batch_of(alone, [np.full(len(x[3]) - s.length + 1, x[2]) for x in alone])
 
     tried = distinct.repartition(shuffle_partitions(spark), "hash").sortWithinPartitions("hash").mapInArrow(blocks, f"hash long, content long, lows {LOWS_SQL}, least long, context binary")
-    tried = written(tried, "tried")
+    tried = t.write(tried, "tried")
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -347,20 +347,20 @@ def least_ids(found: DataFrame, s: Settings) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["hash", "content", "least", "at", "string"])
 
     single = tried.where("lows IS NULL").select("hash", "content", "least", "context").mapInArrow(strings, "hash long, content long, least long, at int, string binary")
-    single = written(single, "strings")
-    lowest = written(single.groupBy("string").agg(F.min("least").alias("low")), "lowest")
+    single = t.write(single, "strings")
+    lowest = t.write(single.groupBy("string").agg(F.min("least").alias("low")), "lowest")
     one = F.transform(F.array_sort(F.collect_list(F.struct("at", "low"))), lambda x: F.struct(x["low"].alias("low"), F.lit(1).alias("n")))
     back = single.join(lowest, "string").groupBy("hash", "content").agg(one.alias("lows"))
     return tried.where("lows IS NOT NULL").select("hash", "content", "lows").unionByName(back)
 
 
-def removed_spans(texts: DataFrame, s: Settings) -> DataFrame:
+def removed_spans(texts: DataFrame, s: Settings, t: Tables) -> DataFrame:
     """``text_key, least, spans``: of each different text its smallest id, and the byte spans (start, end) that are to
     go from it there, overlapping as they come. Larger copies go whole."""
-    firsts = written(texts.groupBy("text_key").agg(F.min("doc").alias("doc")), "firsts")
-    runs = written(shared_anchors(texts, s), "runs")
-    found = written(contexts(texts, firsts, runs, s), "found")
-    lows = written(least_ids(found, s), "lows")
+    firsts = t.write(texts.groupBy("text_key").agg(F.min("doc").alias("doc")), "firsts")
+    runs = t.write(shared_anchors(texts, s), "runs")
+    found = t.write(contexts(texts, firsts, runs, s, t), "found")
+    lows = t.write(least_ids(found, s, t), "lows")
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -377,16 +377,17 @@ def removed_spans(texts: DataFrame, s: Settings) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(key[gone]), pa.array(start.astype(np.int32)), pa.array((start + n[gone] - 1 + s.length).astype(np.int32))], ["text_key", "start", "end"])
 
     marked = found.select("hash", "content", "doc", "text_key", "first").join(lows, ["hash", "content"]).select("doc", "text_key", "first", "lows")
-    marked = written(marked.mapInArrow(marks, "text_key long, start int, end int"), "marks")
+    t.drop(runs)
+    marked = t.write(marked.mapInArrow(marks, "text_key long, start int, end int"), "marks")
     spans = marked.groupBy("text_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return written(firsts.withColumnRenamed("doc", "least").join(spans, "text_key", "left"), "spans")
+    return t.write(firsts.withColumnRenamed("doc", "least").join(spans, "text_key", "left"), "spans")
 
 
 def dedup_substrings(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256``; ``kept`` holds the remaining bytes."""
     s = s or Settings()
     texts = texts_of(docs).select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text", F.xxhash64("text").alias("text_key"))
-    spans = removed_spans(texts.select("doc", "text", "text_key"), s)
+    spans = removed_spans(texts.select("doc", "text", "text_key"), s, Tables(docs.sparkSession, "substrings"))
     joined = texts.join(spans, "text_key").select("doc_id", "text", (F.col("doc") > F.col("least")).alias("copy"), F.when(F.col("doc") == F.col("least"), F.col("spans")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
