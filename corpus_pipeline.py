@@ -55,7 +55,7 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, kept = table(spark, sf_dir, "documents"), common.Tables(spark, "pipeline")
     for name, stage in STAGES[:-1]:
-        docs = common.written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = kept.write(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
