@@ -80,6 +80,24 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert got[50] == "card:10:26" and got[51] == "" and got[52] == "" and got[53] == ""
 
 
+def test_contexts_discover_other_forms(spark):
+    """A phone number without a plus sign, an address at a bare host and a key of an unknown format, beside words that
+    stood beside seeds; the same forms beside other words stay."""
+    rng = random.Random(4)
+    hexes = ["".join(rng.choice("abcdef") + rng.choice("0123456789") for _ in range(20)) for _ in range(9)]  # no card in them
+    rows = [(i, f"please call +1 (743) 555-{1000 + i} now") for i in range(9)]
+    rows += [(20 + i, f"write to user{i}@host{i}.example.com today") for i in range(9)]
+    rows += [(40 + i, f'api key = "{h}"') for i, h in enumerate(hexes)]
+    rows += [(60, "you may call (743) 555-3824 at night"), (61, "please write to root@localhost or not"), (62, 'my key = "Zk93xQpL_77aQ-vv81Bb" is out'), (63, "room (743) 555-3824-1 is full")]
+    rows += [(64, "see someone@somewhere in print"), (65, "part abcdefgh12345678ijkl fits"), (66, f"commit {hexes[0][::-1]} is bad"), (67, "x " * 5000 + "7 " * 5000)]
+    got = {r.doc_id: r for r in pii.report(frame(spark, rows)).collect()}
+    text = dict(rows)
+    found = {d: [(k, text[d][int(a) : int(b)]) for k, a, b in (x.split(":") for x in r.spans.split(",") if x)] for d, r in got.items()}
+    assert found[60] == [("phone", "(743) 555-3824")] and found[61] == [("email", "root@localhost")] and found[62] == [("secret", "Zk93xQpL_77aQ-vv81Bb")]
+    assert all(found[40 + i] == [("secret", h)] for i, h in enumerate(hexes)) and got[40].n_found == 1 == got[40].n_spans
+    assert not any(found[d] for d in (63, 64, 65, 66, 67))
+
+
 def table_score(a, b):
     """The whole table of a local alignment, cell by cell."""
     h = [[0.0] * (len(b) + 1) for _ in range(len(a) + 1)]
