@@ -8,8 +8,9 @@ below ``j`` no later round can change it, so long documents stop after a round o
 Steps: a narrow Arrow map makes signatures; documents with equal sets collapse to their smallest id; bands of four
 slots bucket the rest; each bucket is compared with its smallest id only; components grow from confirmed links;
 buckets that still hold several components are compared across them, save pairs that an exact bound rules out: set
-sizes with the elements that only one of the documents has, or the triangle inequality of the Jaccard distance. So copies never expand into all pairs and no tested candidate is left
-out. Every link is confirmed on the full shingle sets. With 32 bands of 4 slots a pair at similarity 0.8 misses all
+sizes with the elements that only one of the documents has, classes of elements that one set holds and the other does
+not, or the triangle inequality of the Jaccard distance. So copies never expand into all pairs and no tested candidate
+is left out. Every link is confirmed on the full shingle sets. With 32 bands of 4 slots a pair at similarity 0.8 misses all
 buckets with probability 5e-8.
 
 Defined results: a null or empty text, or one without words, has an empty set, links with nothing and is kept; fewer
@@ -23,10 +24,11 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.common import Tables, slices, texts_of
@@ -183,13 +185,27 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
     return texts_of(docs).mapInArrow(run, "doc_id long, n_shingles long, set_id binary, bands array<long>")
 
 
+#: Classes of elements, in words of 64 bits, that tell what one set has and another lacks.
+CLASS_WORDS = 16
+
+
+def classes(elements: np.ndarray) -> np.ndarray:
+    """A bit for each class that the set has elements of."""
+    bits = np.zeros(64 * CLASS_WORDS, np.uint8)
+    bits[elements % np.uint64(len(bits))] = 1
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
 def _sets(docs: DataFrame, s: Settings) -> DataFrame:
+    """``doc_id, elements, classes``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = shingle_sets([x.encode("utf-8", "surrogatepass") for x in batch.column("text").to_pylist()], s.words)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.tobytes() for x in sets], pa.binary())], ["doc_id", "elements"])
+            held = pa.array([classes(x) for x in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.tobytes() for x in sets], pa.binary()), held], ["doc_id", "elements", "classes"])
 
-    return docs.mapInArrow(run, "doc_id long, elements binary")
+    return docs.mapInArrow(run, "doc_id long, elements binary, classes array<long>")
 
 
 def _common(pairs: DataFrame) -> DataFrame:
@@ -234,6 +250,11 @@ def _own_elements(sets: DataFrame, members: DataFrame) -> DataFrame:
     return counted.where("a = z").groupBy("a").agg(F.count("*").alias("own"))
 
 
+def _unlike(a: str, b: str) -> Column:
+    """The number of classes that one of the two has and the other has not."""
+    return reduce(lambda x, y: x + y, (F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(CLASS_WORDS)))
+
+
 def components(links: DataFrame, t: Tables | None = None) -> DataFrame:
     """Connected components: ``node, component`` (the smallest node reachable) of the nodes of ``links(a, b)``.
 
@@ -312,12 +333,15 @@ def near_duplicates(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     # Elements that only one of these documents has are in its unions and in no intersection: that bounds a pair.
     own = t.write(_own_elements(sets, left.select("a")), "own")
     left = left.join(own, "a", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-    left = t.write(left.where(F.col("own") * s.parts <= (s.parts - s.share) * F.col("n")), "left")
+    left = left.where(F.col("own") * s.parts <= (s.parts - s.share) * F.col("n"))
+    left = t.write(left.join(sets.select(F.col("doc_id").alias("a"), "classes").distinct(), "a"), "left")
     t.drop(sets, own)
-    other = left.select("band", *(F.col(c).alias(f"{c}2") for c in ("a", "n", "own", "distance", "component")))
+    other = left.select("band", *(F.col(c).alias(f"{c}2") for c in ("a", "n", "own", "distance", "component", "classes")))
     far = 1 - s.share / s.parts + 1e-9
     ratio = F.least(F.col("n") - F.col("own"), F.col("n2") - F.col("own2")) * s.parts >= s.share * F.greatest(F.col("n") + F.col("own2"), F.col("n2") + F.col("own"))
-    across = left.join(other, "band").where((F.col("a") < F.col("a2")) & (F.col("component") != F.col("component2")) & ratio & (F.abs(F.col("distance") - F.col("distance2")) <= far))
+    # Each class that one set has and the other has not is an element of the union outside the intersection.
+    classes_agree = _unlike("classes", "classes2") * (s.parts + s.share) <= (F.col("n") + F.col("n2")) * (s.parts - s.share)
+    across = left.join(other, "band").where((F.col("a") < F.col("a2")) & (F.col("component") != F.col("component2")) & ratio & (F.abs(F.col("distance") - F.col("distance2")) <= far) & classes_agree)
     extra = t.write(across.select("a", F.col("a2").alias("b")).distinct(), "across")
     if not extra.isEmpty():
         more = t.write(_verify(docs, extra, s, t)[1].where("linked").select("a", "b"), "more")
