@@ -4,19 +4,21 @@ All bytes are removed that a string of ``length`` bytes covers which also starts
 
 1. *Anchors.* Of every ``length`` consecutive bytes the byte run (``gram`` bytes) with the smallest hash is the
    anchor, so equal strings have equal anchors at equal offsets, and the strings of a document fall into runs of
-   consecutive starts with the same anchor. Anchors are sorted by hash over ranges, and those that stand next to an
-   equal one of another text stay; a hash shared by a third of all documents spreads over as many ranges as it needs.
-   Equal texts (by a 64-bit digest) count as one text here, that of their smallest id; larger copies go whole.
+   consecutive starts with the same anchor. A string reaches half of the remaining bytes beyond the anchor on the left
+   or on the right, so runs carry the hashes of the anchor widened to either side. Runs are sorted by hash over ranges,
+   and of each the strings stay whose wider anchor another text has too; a hash shared by a third of all documents
+   spreads over as many ranges as it needs. Equal texts (by 96 bits of digests) count as one text here, that of their
+   smallest id; larger copies go whole.
 2. *Contexts.* A run's bytes (at most ``2 * length``) go, once for each different content with its smallest id, to the
-   block of its anchor's hash. A content that agrees with no other of its anchor far enough to either side shares no
-   string with one, so its strings have its own smallest id.
-3. *Intervals.* A block's contexts, joined, are sorted to a Burrows-Wheeler transform. Breadth-first backward extension
+   block of its anchor's hash.
+3. *Crowded anchors.* Where an anchor has more contents than a block holds, its strings go on under the wider anchors
+   on the left or on the right, and so on, with half of the remaining bytes each time: at ``length`` bytes an anchor has
+   one content. So no block and no task holds more than a fixed number of contents of one anchor.
+4. *Intervals.* A block's contexts, joined, are sorted to a Burrows-Wheeler transform. Breadth-first backward extension
    starts from the empty string and visits intervals in order of length; the right end of an interval met first at
    length l + 1 has a common prefix of l with its neighbour. It stops at ``length``: ends not met by then lie inside
    a group of equal strings. Each group knows its smallest id.
-4. Starts whose group has a smaller id than their own text's mark bytes; texts join their marks once.
-
-Anchors whose contexts outgrow a block are resolved string by string, by a pre-aggregated minimum, with equal results.
+5. Starts whose group has a smaller id than their own text's mark bytes; texts join their marks once.
 
 Defined results: a null text is an empty text and has nothing to remove; texts shorter than ``length`` bytes stay;
 rows that share a ``doc_id`` are one document to each other, so they do not shorten each other; rows with a null id come
@@ -26,9 +28,9 @@ after all others and not before each other; matches never cross documents.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,37 +46,55 @@ _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB1
 
 @dataclass(frozen=True)
 class Settings:
-    """``block``: bytes of contexts that are sorted together at most; ``many``: contexts of one anchor beyond which
-    its strings are resolved one by one."""
+    """``block``: bytes of contexts that are sorted together at most; ``many``: contents of one anchor in a block at
+    most, beyond which the anchor is widened; ``remembered``: texts whose copies a task passes over."""
 
     length: int = 50
     gram: int = 16
     block: int = 250_000
     many: int = 2_000
+    remembered: int = 500_000
+
+    @property
+    def side(self) -> int:
+        """Bytes beyond the anchor that every string has on the left or on the right."""
+        return half(self.length, self.gram)
+
 
+def half(length: int, gram: int) -> int:
+    return (length - gram + 1) // 2
 
-def gram_hashes(data: np.ndarray, n: int) -> np.ndarray:
-    """64-bit hashes of all runs of ``n`` bytes, by doubling."""
+
+def gram_hashes(data: np.ndarray, *sizes: int) -> list[np.ndarray]:
+    """64-bit hashes of all runs of so many bytes, for each of the ascending sizes, by doubling."""
+    out = []
     with np.errstate(over="ignore"):
         h = (data.astype(np.uint64) + np.uint64(1)) * _M[0]
         h ^= h >> np.uint64(29)
         size = 1
-        while size < n:
-            step = min(size, n - size)
-            h = h[:-step] * _M[1] + h[step:] if step == size else h[: len(h) - step] * _M[2] + h[step:]
-            h ^= h >> np.uint64(32)
-            h *= _M[0]
-            size += step
-        return h ^ (h >> np.uint64(29))
-
-
-def anchors(data: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each run of string starts with one anchor: the anchor's hash, the first start, and in one number how many
-    starts there are and how far the anchor is from the first (``SHAPE * starts + distance``)."""
+        for n in sizes:
+            while size < n:
+                step = min(size, n - size)
+                h = h[:-step] * _M[1] + h[step:] if step == size else h[: len(h) - step] * _M[2] + h[step:]
+                h ^= h >> np.uint64(32)
+                h *= _M[0]
+                size += step
+            out.append(h ^ (h >> np.uint64(29)))
+    return out
+
+
+RUN = ["hash", "text_key", "tag", "first", "shape", "left", "right"]
+RUN_SQL = "hash long, text_key long, tag int, first int, shape int, left int, right int"
+
+
+def anchors(data: np.ndarray, s: Settings) -> list[np.ndarray]:
+    """Of each run of string starts with one anchor: the anchor's hash, the first start, in one number how many
+    starts there are and how far the anchor is from the first (``SHAPE * starts + distance``), and the hashes of the
+    anchor widened by ``side`` bytes to the left and to the right (0 where no string of the run reaches so far)."""
     starts = len(data) - s.length + 1
     if starts <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    h = gram_hashes(data, s.gram)
+        return [np.zeros(0, np.int64), *(np.zeros(0, np.int32) for _ in range(4))]
+    h, wide = gram_hashes(data, s.gram, s.gram + s.side)
     span = s.length - s.gram + 1  # grams of a string
     # Order by 40 bits of the hash, then by place; places are counted anew every 2**23 bytes, which no string straddles unseen.
     best = np.empty(starts, np.int64)
@@ -91,111 +111,189 @@ def anchors(data: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.n
             v = np.minimum(v[: len(v) - (span - size)], v[span - size :])
         best[a:b] = (v & np.uint64(0xFFFFFF)).astype(np.int64) + a
     first = np.flatnonzero(np.diff(best, prepend=-1))
-    return h[best[first]].view(np.int64), first, (np.append(first[1:], starts) - first) * SHAPE + best[first] - first
+    anchor = best[first]
+    count, distance = np.append(first[1:], starts) - first, anchor - first
+    left = np.where(distance >= s.side, wide[np.maximum(anchor - s.side, 0)], np.uint64(0))
+    right = np.where(distance - count + 1 < s.side, wide[np.minimum(anchor, len(wide) - 1)], np.uint64(0))
+    low = lambda x: (x & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+    return [h[anchor].view(np.int64), first.astype(np.int32), (count * SHAPE + distance).astype(np.int32), low(left), low(right)]
 
 
 def _bytes_of(batch: pa.RecordBatch) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
 
 
+def _starts_of(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the row before, in any column; the first row always does."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = reduce(np.logical_or, (c[1:] != c[:-1] for c in columns))
+    return new
+
+
+def shared_runs(columns: list[np.ndarray], open_hashes: set[int], s: Settings) -> list[np.ndarray]:
+    """Of runs (columns of ``RUN``), in order of their hash, those that have strings whose wider anchor another text has
+    too, cut to these strings. Runs of ``open_hashes``, which may go on elsewhere, stay as they are."""
+    h = columns[0]
+    n = np.diff(np.append(np.flatnonzero(_starts_of(h)), len(h)))
+    is_open = np.isin(h, list(open_hashes))
+    columns = [c[(np.repeat(n, n) > 1) | is_open] for c in columns]
+    order = np.lexsort(tuple(columns[k] for k in (3, 2, 1, 0)))
+    columns = [c[order] for c in columns]
+    if not len(order):
+        return columns
+    columns = [c[_starts_of(*columns[:4])] for c in columns]  # copies of a text
+    h, key, tag, first, shape, left, right = columns
+    group, text = np.cumsum(_starts_of(h)), np.cumsum(_starts_of(h, key, tag))
+
+    def common(x: np.ndarray) -> np.ndarray:
+        both = (group << 32) | (x.astype(np.int64) & 0xFFFFFFFF)
+        by = np.argsort(both)
+        starts = np.flatnonzero(_starts_of(both[by]))
+        n = np.diff(np.append(starts, len(by)))
+        out = np.empty(len(by), bool)
+        out[by] = np.repeat(np.minimum.reduceat(text[by], starts) != np.maximum.reduceat(text[by], starts), n)
+        return out
+
+    is_open = np.isin(h, list(open_hashes))
+    count, distance = shape.astype(np.int64) // SHAPE, shape.astype(np.int64) % SHAPE
+    on_left = (common(left) | is_open) & (distance >= s.side)
+    on_right = (common(right) | is_open) & (distance - count + 1 < s.side)
+    # Strings that start at most distance - side on reach far enough to the left, the others to the right.
+    skip = np.where(on_left, 0, np.maximum(0, distance - s.side + 1))
+    end = np.where(on_right, count, np.minimum(count, distance - s.side + 1))
+    good = (on_left | on_right) & (end > skip)
+    shape = (end - skip) * SHAPE + distance - skip
+    return [c[good] for c in (h, key, tag, (first + skip).astype(np.int32), shape.astype(np.int32), left, right)]
+
+
 def shared_anchors(texts: DataFrame, s: Settings) -> DataFrame:
-    """``hash, text_key, first, shape``: the runs whose anchor's hash another text has too (with few that only may)."""
+    """``hash, text_key, tag, first, shape`` of the runs that another text may share strings of."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in slices(batches):
+            keys = list(zip(batch.column("text_key").to_pylist(), batch.column("tag").to_pylist(), strict=True))
+            fresh = []
+            for i, k in enumerate(keys):
+                if k not in seen:
+                    fresh.append(i)
+                    if len(seen) < s.remembered:
+                        seen.add(k)
+            if not fresh:
+                continue
+            batch = batch.take(pa.array(fresh))
             found = [anchors(np.frombuffer(t, np.uint8), s) for t in _bytes_of(batch)]
-            key = np.repeat(batch.column("text_key").to_numpy(), [len(x[0]) for x in found])
-            h, first, shape = (np.concatenate([x[k] for x in found]) for k in range(3))
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(key), pa.array(first.astype(np.int32)), pa.array(shape.astype(np.int32))], ["hash", "text_key", "first", "shape"])
+            n = [len(x[0]) for x in found]
+            h, first, shape, left, right = (np.concatenate([x[k] for x in found]) for k in range(5))
+            key, tag = (np.repeat(batch.column(c).to_numpy(), n) for c in ("text_key", "tag"))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, key, tag, first, shape, left, right)], RUN)
 
-    schema = "hash long, text_key long, first int, shape int"
-    runs = texts.mapInArrow(find, schema)
-    ordered = runs.repartitionByRange(shuffle_partitions(texts.sparkSession), "hash", "text_key").sortWithinPartitions("hash", "text_key", "first")
+    runs = texts.mapInArrow(find, RUN_SQL)
+    ordered = runs.repartitionByRange(shuffle_partitions(texts.sparkSession), "hash", "text_key").sortWithinPartitions("hash")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of a hash that two texts have, once each. A range's first and last hash may go on in its neighbour: kept."""
+        """A range's first and last hash may go on in its neighbour, so their runs stay."""
         held: list[pa.RecordBatch] = []
-        started = False
-
-        def shared(rows: pa.RecordBatch, last: bool) -> pa.RecordBatch:
-            h, key, first = (rows.column(c).to_numpy() for c in ("hash", "text_key", "first"))
-            edge = np.flatnonzero(np.diff(h, prepend=h[0] - 1 if h[0] > -LAST else 0)) if len(h) else []
-            edge = np.unique(np.append(edge, 0)).astype(np.int64)
-            ends = np.append(edge[1:], len(h))
-            good = key[edge] != key[ends - 1]
-            again = np.zeros(len(h), bool)
-            again[1:] = (h[1:] == h[:-1]) & (key[1:] == key[:-1]) & (first[1:] == first[:-1])
-            if not started:
-                good[0] = True
-            if last:
-                good[-1] = True
-            return rows.filter(pa.array(np.repeat(good, ends - edge) & ~again))
+        size, edge = 0, None
+
+        def cut(rows: list[pa.RecordBatch], last: bool) -> tuple[pa.RecordBatch, list[pa.RecordBatch]]:
+            nonlocal edge
+            columns = [np.concatenate([b.column(c).to_numpy() for b in rows]) for c in RUN]
+            h = columns[0]
+            edge = int(h[0]) if edge is None else edge
+            end = len(h) if last else int(np.searchsorted(h, h[-1], "left"))
+            if not end:  # one hash so far, too often to be held: it may go on
+                end, ends = len(h), {int(h[-1])}
+            else:
+                ends = {int(h[-1])} if last else set()
+            done = shared_runs([c[:end] for c in columns], {edge} | ends, s)
+            rest = pa.RecordBatch.from_arrays([pa.array(c[end:]) for c in columns], RUN)
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in done[:5]], RUN[:5]), [rest] if rest.num_rows else []
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
             held.append(batch)
-            table = pa.Table.from_batches(held).combine_chunks()
-            rows = table.to_batches()[0]
-            h = rows.column("hash").to_numpy()
-            cut = int(np.searchsorted(h, h[-1], "left"))
-            if cut:
-                yield shared(rows.slice(0, cut), False)
-                started = True
-            elif rows.num_rows > 200_000:  # one hash alone for a while: it is shared, unless by one document only
-                yield rows.slice(0, rows.num_rows - 1)
-                started, cut = False, rows.num_rows - 1
-            held = [rows.slice(cut)]
-        if held:
-            yield shared(pa.Table.from_batches(held).combine_chunks().to_batches()[0], True)
-
-    return ordered.mapInArrow(keep, schema)
+            size += batch.num_rows
+            if size > 200_000:
+                done, held = cut(held, False)
+                if not held:
+                    edge = None  # the hash goes on: open on this side too
+                size = sum(b.num_rows for b in held)
+                yield done
+        if size:
+            yield cut(held, True)[0]
+
+    return ordered.mapInArrow(keep, ", ".join(RUN_SQL.split(", ")[:5]))
 
 
 def contexts(texts: DataFrame, firsts: DataFrame, runs: DataFrame, s: Settings, t: Tables) -> DataFrame:
-    """``hash, content, doc, text_key, first, context``: the bytes of each run's strings and a digest of them; of equal
-    texts one stands for all, with the smallest id (``firsts``)."""
-    lists = t.write(runs.groupBy("text_key").agg(F.collect_list(F.struct("hash", "first", "shape")).alias("at")).join(firsts, "text_key"), "lists")
+    """``hash, content, doc, text_key, tag, first, distance, context``: the bytes of each run's strings and a digest of
+    them; of equal texts one stands for all, with the smallest id (``firsts``). Of equal contents that a task meets again
+    only the first keeps its bytes."""
+    lists = t.write(runs.groupBy("text_key", "tag").agg(F.collect_list(F.struct("hash", "first", "shape")).alias("at")).join(firsts, ["text_key", "tag"]), "lists")
+    t.drop(runs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in slices(batches):
             lists_ = batch.column("at")
             offsets, at = lists_.offsets.to_numpy(), lists_.values
-            hashes, firsts, shapes = (at.field(c).to_numpy() for c in ("hash", "first", "shape"))
+            inside = slice(offsets[0], offsets[-1])
+            hashes, firsts, shapes = (at.field(c).to_numpy()[inside] for c in ("hash", "first", "shape"))
             ends = firsts + shapes // SHAPE + s.length - 1
+            offsets = offsets - offsets[0]
             keep, parts = np.zeros(len(hashes), bool), []
             for text, a, b in zip(_bytes_of(batch), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                fits = ends[a:b] <= len(text)
-                keep[a:b] = fits
+                fits = keep[a:b] = ends[a:b] <= len(text)
                 parts += [text[x:y] for x, y in zip(firsts[a:b][fits].tolist(), ends[a:b][fits].tolist(), strict=True)]
-            keep = keep[offsets[0] : offsets[-1]]
+            content = [digest(x) for x in parts]
+            for i, k in enumerate(zip(hashes[keep].tolist(), content, strict=True)):
+                if k in seen:
+                    parts[i] = None
+                elif len(seen) < s.remembered:
+                    seen.add(k)
             n = np.diff(offsets)
-            inside = slice(offsets[0], offsets[-1])
-            content = [int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little", signed=True) for x in parts]
-            columns = [pa.array(hashes[inside][keep]), pa.array(content, pa.int64()), *(pa.array(np.repeat(batch.column(c).to_numpy(), n)[keep]) for c in ("doc", "text_key")), pa.array(firsts[inside][keep].astype(np.int32)), pa.array((shapes % SHAPE)[inside][keep].astype(np.int32)), pa.array(parts, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["hash", "content", "doc", "text_key", "first", "distance", "context"])
+            own = (pa.array(np.repeat(batch.column(c).to_numpy(), n)[keep]) for c in ("doc", "text_key", "tag"))
+            columns = [pa.array(hashes[keep]), pa.array(content, pa.int64()), *own, pa.array(firsts[keep]), pa.array((shapes % SHAPE)[keep].astype(np.int32)), pa.array(parts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["hash", "content", "doc", "text_key", "tag", "first", "distance", "context"])
+
+    schema = "hash long, content long, doc long, text_key long, tag int, first int, distance int, context binary"
+    found = t.write(texts.join(lists, ["text_key", "tag", "doc"]).select("doc", "text_key", "tag", "text", "at").mapInArrow(cut, schema), "found")
+    t.drop(lists)
+    return found
+
+
+def digest(content: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little", signed=True)
+
 
-    schema = "hash long, content long, doc long, text_key long, first int, distance int, context binary"
-    return texts.join(lists, ["text_key", "doc"]).select("doc", "text_key", "text", "at").mapInArrow(cut, schema)
+def _ranked(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of ``key`` (below ``2**bits``) and its sorted values; sorts keys with their places in one number if these fit."""
+    low = int(len(key)).bit_length()
+    if bits + low > 63:
+        order = np.argsort(key)
+        return order, key[order]
+    packed = np.sort((key << low) | np.arange(len(key)))
+    return packed & ((1 << low) - 1), packed >> low
 
 
 def bounded_sort(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in order of their first ``depth`` symbols at least (prefix doubling)."""
-    n = len(text)
-    order = np.argsort(text, kind="stable")
-    rank = np.zeros(n, np.int64)
-    rank[order] = np.cumsum(np.diff(text[order], prepend=text[order[0]]) != 0)
-    have = 1
-    while have < depth:
+    """Suffixes in order of their first ``depth`` symbols (below 512) at least: by seven symbols, then by doubling."""
+    n, bits = len(text), int(len(text)).bit_length()
+    ahead = np.zeros(n + 6, np.int64)
+    ahead[:n] = text
+    key = ahead[:n].copy()
+    for j in range(1, 7):
+        key = (key << 9) | ahead[j : j + n]
+    order = np.argsort(key)
+    key = key[order]
+    rank, have = np.empty(n, np.int64), 7
+    rank[order] = np.cumsum(np.diff(key, prepend=key[0]) != 0)
+    while have < depth and rank[order[-1]] < n - 1:
         ahead = np.zeros(n, np.int64)
         ahead[: n - have] = rank[have:] + 1
-        key = rank * (n + 1) + ahead
-        order = np.argsort(key, kind="stable")
-        key = key[order]
+        order, key = _ranked((rank << bits) | ahead, 2 * bits)
         rank[order] = np.cumsum(np.diff(key, prepend=key[0]) != 0)
         have *= 2
-        if rank[order[-1]] == n - 1:
-            break
     return order
 
 
@@ -205,7 +303,7 @@ def interval_groups(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
     n = len(text)
     order = bounded_sort(text, depth + 1)
     bwt = text[order - 1]  # the symbol before; the text is taken as a circle
-    by_symbol = np.argsort(bwt, kind="stable")
+    by_symbol = np.argsort(bwt.astype(np.uint16), kind="stable")
     to = np.empty(n, np.int64)  # last-to-first mapping
     to[by_symbol] = np.arange(n)
     known = np.zeros(n + 1, bool)
@@ -216,12 +314,11 @@ def interval_groups(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
         size = high - low
         row = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
         owner = np.repeat(np.arange(len(size)), size)
-        key = owner * 257 + bwt[row]
-        by = np.argsort(key, kind="stable")
-        key, row = key[by], row[by]
+        by, key = _ranked((owner << 9) | bwt[row], 9 + int(len(size)).bit_length())
+        row = row[by]
         starts = np.flatnonzero(np.diff(key, prepend=-1))
         count = np.diff(np.append(starts, len(key)))
-        begin = to[row[starts]]  # rows keep their order under the mapping
+        begin = to[np.minimum.reduceat(row, starts)]  # rows keep their order under the mapping
         end = begin + count
         new = ~known[end]
         known[end[new]] = True
@@ -255,140 +352,157 @@ def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
-def related(group: list[tuple], s: Settings) -> tuple[list[tuple], list[tuple]]:
-    """Contents of one anchor that may share a string with another, and those that cannot.
-
-    A string reaches ``side`` bytes beyond the anchor on the left or on the right, and equal strings agree there.
-    """
-    if len(group) == 1:
-        return [], group
-    side = (s.length - s.gram) // 2
-    ends = []
-    for *_, context, distance in group:
-        right = distance + s.gram
-        ends.append((context[distance - side : distance] if distance >= side else None, context[right : right + side] if len(context) >= right + side else None))
-    left, right = (Counter(e[k] for e in ends if e[k] is not None) for k in range(2))
-    good = [left[a] > 1 or right[b] > 1 for a, b in ends]
-    return [x for x, g in zip(group, good, strict=True) if g], [x for x, g in zip(group, good, strict=True) if not g]
+LOWS = pa.list_(pa.struct([("at", pa.int32()), ("low", pa.int64()), ("n", pa.int32())]))
+LOWS_SQL = "array<struct<at:int,low:long,n:int>>"
+#: Hashes of crowded anchors that are sent to every task at most; more are joined.
+SENT = 100_000
 
 
-def _flat(low: np.ndarray) -> list[dict]:
-    """Equal neighbours as one (value, count)."""
+def _flat(low: np.ndarray, most: int) -> list[dict]:
+    """Equal neighbours as one (first string, value, count), where a text that has the content comes after the value."""
     edge = np.flatnonzero(np.diff(low, prepend=low[0] - 1))
-    return [{"low": v, "n": n} for v, n in zip(low[edge].tolist(), np.diff(np.append(edge, len(low))).tolist(), strict=True)]
-
-
-LOWS = pa.list_(pa.struct([("low", pa.int64()), ("n", pa.int32())]))
-LOWS_SQL = "array<struct<low:long,n:int>>"
+    n = np.diff(np.append(edge, len(low)))
+    return [{"at": a, "low": v, "n": k} for a, v, k in zip(edge.tolist(), low[edge].tolist(), n.tolist(), strict=True) if v < most]
 
 
-def least_ids(found: DataFrame, s: Settings, t: Tables) -> DataFrame:
-    """``hash, content, lows``: for each different context the smallest id that has each of its strings, as runs."""
-    spark = found.sparkSession
-    distinct = found.groupBy("hash", "content").agg(F.min("doc").alias("least"), F.first("context").alias("context"), F.first("distance").alias("distance"))
-    names = ["hash", "content", "lows", "least", "context"]
-
-    def batch_of(rows: list[tuple], lows: list | None) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        h, content, least, context = (pa.array([x[k] for x in rows], t) for k, t in enumerate(kinds))
-        if lows is None:  # too many for a block: left to the next step with their bytes
-            return pa.RecordBatch.from_arrays([h, content, pa.nulls(len(rows), LOWS), least, context], names)
-        return pa.RecordBatch.from_arrays([h, content, pa.array([_flat(x) for x in lows], LOWS), least, pa.nulls(len(rows), pa.binary())], names)
+def solved_blocks(contents: DataFrame, s: Settings) -> DataFrame:
+    """``hash, content, lows`` of contents whose anchors have ``many`` of them at most: whole anchors at a time, about
+    ``block`` bytes together. Contents without a string that could go from any text are left out."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Whole hashes at a time, about ``block`` bytes together; ``many`` bounds what a hash may hold."""
         part: list[tuple] = []
         group: list[tuple] = []
-        alone: list[tuple] = []  # contents that share no string with another of their anchor
-        size, crowded = 0, None
-
-        def solved() -> pa.RecordBatch:
-            return batch_of(part, resolve([x[3] for x in part], np.array([x[2] for x in part], np.int64), s))
+        done: list[tuple] = []
+        size = 0
+
+        def close() -> None:
+            nonlocal size
+            if len(group) == 1:
+                h, content, least, most, context = group[0]
+                if least < most:
+                    done.append((h, content, [{"at": 0, "low": least, "n": len(context) - s.length + 1}]))
+            else:
+                part.extend(group)
+                size += sum(len(x[4]) + 1 for x in group)
+            group.clear()
+
+        def solve() -> None:
+            nonlocal size
+            if part:
+                lows = resolve([x[4] for x in part], np.array([x[2] for x in part], np.int64), s)
+                done.extend((x[0], x[1], f) for x, low in zip(part, lows, strict=True) if (f := _flat(low, x[3])))
+            part.clear()
+            size = 0
+
+        def batch_of() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array([x[k] for x in done], kind) for k, kind in enumerate((pa.int64(), pa.int64(), LOWS))], ["hash", "content", "lows"])
+            done.clear()
+            return out
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("hash", "content", "least", "context", "distance")), strict=True):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("hash", "content", "least", "most", "context")), strict=True):
                 if group and row[0] != group[-1][0]:
-                    if crowded is None:
-                        together, apart = related(group, s)
-                        alone += apart
-                        if len(alone) > 5_000:
-                            yield batch_of(alone, [np.full(len(x[3]) - s.length + 1, x[2]) for x in alone])
-                            alone = []
-                        part += together
-                        size += sum(len(x[3]) + 1 for x in together)
-                        if size > s.block:
-                            yield solved()
-                            part, size = [], 0
-                    else:
-                        yield batch_of(group, None)
-                    group, crowded = [], None
+                    close()
+                    if size > s.block:
+                        solve()
+                    if len(done) > 5_000:
+                        yield batch_of()
                 group.append(row)
-                if len(group) > s.many:
-                    crowded = row[0]
-                    yield batch_of(group[:-1], None)
-                    group = group[-1:]
-        if group and crowded is not None:
-            yield batch_of(group, None)
-        elif group:
-            part += group
-        if part:
-            yield solved()
-        if alone:
-            yield batch_of(alone, [np.full(len(x[3]) - s.length + 1, x[2]) for x in alone])
-
-    tried = distinct.repartition(shuffle_partitions(spark), "hash").sortWithinPartitions("hash").mapInArrow(blocks, f"hash long, content long, lows {LOWS_SQL}, least long, context binary")
-    tried = t.write(tried, "tried")
-
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if group:
+            close()
+        solve()
+        yield batch_of()
+
+    dealt = contents.select("hash", "content", "least", "most", "context").repartition(shuffle_partitions(contents.sparkSession), "hash").sortWithinPartitions("hash")
+    return dealt.mapInArrow(blocks, f"hash long, content long, lows {LOWS_SQL}")
+
+
+def widened(contents: DataFrame, gram: int, s: Settings) -> DataFrame:
+    """``hash, content, at, key, sub, least, most, context, distance``: the strings of each content that reach half of
+    the bytes beyond its anchor on the left, and those that do on the right, under the anchor widened by these bytes."""
+    h = half(s.length, gram)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for h, content, least, c in zip(*(batch.column(x).to_pylist() for x in ("hash", "content", "least", "context")), strict=True):
-                n = len(c) - s.length + 1
-                columns = [pa.array([h] * n, pa.int64()), pa.array([content] * n, pa.int64()), pa.array([least] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([c[i : i + s.length] for i in range(n)], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["hash", "content", "least", "at", "string"])
+            rows = []
+            for hash_, content, least, most, context, distance in zip(*(batch.column(c).to_pylist() for c in ("hash", "content", "least", "most", "context", "distance")), strict=True):
+                n = len(context) - s.length + 1
+                to_left = min(n, max(0, distance - h + 1))  # strings before reach far enough to the left
+                for a, b, anchor in ((0, to_left, distance - h), (to_left, n, distance)):
+                    if a < b:
+                        part = context[a : b + s.length - 1]
+                        key = digest(context[anchor : anchor + gram + h])
+                        rows.append((hash_, content, a, key, digest(part), least, most, part, anchor - a))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["hash", "content", "at", "key", "sub", "least", "most", "context", "distance"])
+
+    return contents.mapInArrow(cut, "hash long, content long, at int, key long, sub long, least long, most long, context binary, distance int")
+
 
-    single = tried.where("lows IS NULL").select("hash", "content", "least", "context").mapInArrow(strings, "hash long, content long, least long, at int, string binary")
-    single = t.write(single, "strings")
-    lowest = t.write(single.groupBy("string").agg(F.min("least").alias("low")), "lowest")
-    one = F.transform(F.array_sort(F.collect_list(F.struct("at", "low"))), lambda x: F.struct(x["low"].alias("low"), F.lit(1).alias("n")))
-    back = single.join(lowest, "string").groupBy("hash", "content").agg(one.alias("lows"))
-    return tried.where("lows IS NOT NULL").select("hash", "content", "lows").unionByName(back)
+def _distinct(rows: DataFrame, least: str, most: str) -> DataFrame:
+    return rows.groupBy("hash", "content").agg(F.min(least).alias("least"), F.max(most).alias("most"), F.first("context", ignorenulls=True).alias("context"), F.first("distance").alias("distance"))
+
+
+def least_ids(found: DataFrame, s: Settings, t: Tables) -> DataFrame:
+    """``hash, content, lows``: for different contexts, runs of their strings with the smallest id that has them, where
+    that is smaller than the id of any text with the content; a content may have several rows."""
+    level, gram, places, out = t.write(_distinct(found, "doc", "doc"), "contents"), s.gram, None, None
+    while True:
+        hot, calm = None, level
+        if gram < s.length:
+            crowded = t.write(level.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > s.many).select("hash"), "crowded")
+            if n := crowded.count():
+                hashes = F.broadcast(crowded) if n <= SENT else crowded
+                hot, calm = level.join(hashes, "hash", "left_semi"), level.join(hashes, "hash", "left_anti")
+        lows = t.write(solved_blocks(calm, s), "solved")
+        if places is not None:
+            lows = places.join(lows.select(F.col("hash").alias("key"), F.col("content").alias("sub"), "lows"), ["key", "sub"])
+            lows = lows.select("hash", "content", F.transform("lows", lambda x: F.struct((x["at"] + F.col("at")).alias("at"), x["low"].alias("low"), x["n"].alias("n"))).alias("lows"))
+        out = lows if out is None else out.unionByName(lows)
+        if hot is None:
+            return out
+        parts = t.write(widened(hot, gram, s), "widened")
+        gram += half(s.length, gram)
+        if places is None:
+            places = parts.select("hash", "content", "at", "key", "sub")
+        else:
+            deeper = parts.select(F.col("hash").alias("key"), F.col("content").alias("sub"), F.col("at").alias("more"), F.col("key").alias("key2"), F.col("sub").alias("sub2"))
+            places = places.join(deeper, ["key", "sub"]).select("hash", "content", (F.col("at") + F.col("more")).alias("at"), F.col("key2").alias("key"), F.col("sub2").alias("sub"))
+        places = t.write(places, "places")
+        level = t.write(_distinct(parts.select(F.col("key").alias("hash"), F.col("sub").alias("content"), "least", "most", "context", "distance"), "least", "most"), "contents")
 
 
 def removed_spans(texts: DataFrame, s: Settings, t: Tables) -> DataFrame:
-    """``text_key, least, spans``: of each different text its smallest id, and the byte spans (start, end) that are to
-    go from it there, overlapping as they come. Larger copies go whole."""
-    firsts = t.write(texts.groupBy("text_key").agg(F.min("doc").alias("doc")), "firsts")
-    runs = t.write(shared_anchors(texts, s), "runs")
-    found = t.write(contexts(texts, firsts, runs, s, t), "found")
-    lows = t.write(least_ids(found, s, t), "lows")
+    """``text_key, tag, least, spans``: of each different text its smallest id, and the byte spans (start, end) that are
+    to go from it there, overlapping as they come. Larger copies go whole."""
+    firsts = t.write(texts.groupBy("text_key", "tag").agg(F.min("doc").alias("doc")), "firsts")
+    found = contexts(texts, firsts, t.write(shared_anchors(texts, s), "runs"), s, t)
+    lows = least_ids(found, s, t)
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("lows")
-            low, n = lists.values.field("low").to_numpy(), lists.values.field("n").to_numpy()
             offsets = lists.offsets.to_numpy()
+            at, low, n = (lists.values.field(c).to_numpy()[offsets[0] : offsets[-1]] for c in ("at", "low", "n"))
             rows = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            low, n = low[offsets[0] : offsets[-1]], n[offsets[0] : offsets[-1]].astype(np.int64)
-            ends = np.cumsum(n)
-            place = ends - n - np.repeat(np.concatenate([[0], ends])[offsets[:-1] - offsets[0]], np.diff(offsets))
-            doc, key, begin = (batch.column(c).to_numpy()[rows] for c in ("doc", "text_key", "first"))
+            doc, key, tag, begin = (batch.column(c).to_numpy()[rows] for c in ("doc", "text_key", "tag", "first"))
             gone = low < doc
-            start = (begin + place)[gone]
-            yield pa.RecordBatch.from_arrays([pa.array(key[gone]), pa.array(start.astype(np.int32)), pa.array((start + n[gone] - 1 + s.length).astype(np.int32))], ["text_key", "start", "end"])
+            start = (begin + at)[gone]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[gone], tag[gone], start, start + n[gone] - 1 + s.length)], ["text_key", "tag", "start", "end"])
 
-    marked = found.select("hash", "content", "doc", "text_key", "first").join(lows, ["hash", "content"]).select("doc", "text_key", "first", "lows")
-    t.drop(runs)
-    marked = t.write(marked.mapInArrow(marks, "text_key long, start int, end int"), "marks")
-    spans = marked.groupBy("text_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return t.write(firsts.withColumnRenamed("doc", "least").join(spans, "text_key", "left"), "spans")
+    marked = found.select("hash", "content", "doc", "text_key", "tag", "first").join(lows, ["hash", "content"]).select("doc", "text_key", "tag", "first", "lows")
+    marked = t.write(marked.mapInArrow(marks, "text_key long, tag int, start int, end int"), "marks")
+    t.drop(found)
+    spans = marked.groupBy("text_key", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return t.write(firsts.withColumnRenamed("doc", "least").join(spans, ["text_key", "tag"], "left"), "spans")
 
 
 def dedup_substrings(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256``; ``kept`` holds the remaining bytes."""
     s = s or Settings()
-    texts = texts_of(docs).select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text", F.xxhash64("text").alias("text_key"))
-    spans = removed_spans(texts.select("doc", "text", "text_key"), s, Tables(docs.sparkSession, "substrings"))
-    joined = texts.join(spans, "text_key").select("doc_id", "text", (F.col("doc") > F.col("least")).alias("copy"), F.when(F.col("doc") == F.col("least"), F.col("spans")).alias("spans"))
+    texts = texts_of(docs).select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text", F.xxhash64("text").alias("text_key"), F.hash("text").alias("tag"))
+    spans = removed_spans(texts.select("doc", "text", "text_key", "tag"), s, Tables(docs.sparkSession, "substrings"))
+    joined = texts.join(spans, ["text_key", "tag"]).select("doc_id", "text", (F.col("doc") > F.col("least")).alias("copy"), F.when(F.col("doc") == F.col("least"), F.col("spans")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
