@@ -48,22 +48,29 @@ def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(docs, language_model.fit(docs))
 
 
-#: Windows of two lines with 60 characters or more that also start earlier are deleted.
+#: All lines of repeated runs with 60 characters or more that also start earlier are deleted. Those are the lines of the
+#: shortest such runs from some line on (``ahead``) and up to some line (``back``).
 OP3_SQL = r"""
 WITH l AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos
   FROM documents
-), w AS (
-  SELECT doc_id, pos, line, lead(line) OVER d AS following FROM l WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
-), starts AS (
-  SELECT doc_id, pos, row_number() OVER (PARTITION BY line, following ORDER BY doc_id, pos) > 1 AS later
-  FROM w WHERE following IS NOT NULL AND length(line) + length(following) >= 60
-), gone AS (SELECT DISTINCT doc_id, pos + i AS pos FROM starts, (VALUES (0), (1)) v(i) WHERE later),
+), c AS (SELECT *, sum(length(line)) OVER (PARTITION BY doc_id ORDER BY pos) AS upto, upto - length(line) AS before FROM l),
+ends AS (SELECT doc_id, upto, min(pos) AS pos FROM c GROUP BY 1, 2),
+begins AS (SELECT doc_id, before, max(pos) AS pos FROM c GROUP BY 1, 2),
+ahead AS (
+  SELECT c.doc_id, c.pos AS start, e.pos AS last, c.ls FROM c ASOF JOIN ends e ON c.doc_id = e.doc_id AND c.before + 60 <= e.upto
+), back AS (
+  SELECT c.doc_id, b.pos AS start, c.pos AS last, c.ls FROM c ASOF JOIN begins b ON c.doc_id = b.doc_id AND c.upto - 60 >= b.before
+), runs AS (
+  SELECT DISTINCT doc_id, start, last - start + 1 AS n, array_to_string(ls[start:last], chr(10)) AS lines
+  FROM (SELECT * FROM ahead UNION ALL SELECT * FROM back)
+), later AS (SELECT doc_id, start, n, row_number() OVER (PARTITION BY n, lines ORDER BY doc_id, start) > 1 AS again FROM runs),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start, start + n)) AS pos FROM later WHERE again),
 marked AS (SELECT l.*, g.pos IS NOT NULL AS removed FROM l LEFT JOIN gone g USING (doc_id, pos)),
-runs AS (SELECT *, removed AND NOT coalesce(lag(removed) OVER (PARTITION BY doc_id ORDER BY pos), false) AS begins FROM marked)
+told AS (SELECT *, removed AND NOT coalesce(lag(removed) OVER (PARTITION BY doc_id ORDER BY pos), false) AS begins FROM marked)
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE removed) AS BIGINT) AS n_removed, CAST(count(*) FILTER (WHERE begins) AS BIGINT) AS n_runs,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT removed), '')) AS kept_sha256
-FROM runs GROUP BY doc_id
+FROM told GROUP BY doc_id
 """
 
 

@@ -91,21 +91,19 @@ def test_components_of_chains(spark):
 
 
 def brute_lines(rows, s):
-    """Windows in order of id and place; all but the first of equal ones go."""
+    """All lines of the longest run from any line on that also starts earlier, in order of id and place, if it counts."""
     order = sorted(range(len(rows)), key=lambda i: ((1 << 63) - 1 if rows[i][0] is None else rows[i][0], i))
     seen, gone = set(), {}
     for i in order:
-        found = (rows[i][1] or "").split("\n")
+        found = tuple((rows[i][1] or "").split("\n"))
         gone[i] = set()
-        fresh = []
-        for p in range(len(found) - s.min_lines + 1):
-            w = tuple(found[p : p + s.min_lines])
-            if sum(map(len, w)) >= s.min_chars:
-                if w in seen:
-                    gone[i] |= set(range(p, p + s.min_lines))
-                else:
-                    seen.add(w)
-        seen |= set(fresh)
+        for p in range(len(found)):
+            end = p
+            while end < len(found) and found[p : end + 1] in seen:
+                end += 1
+            if end - p >= s.min_lines and sum(map(len, found[p:end])) >= s.min_chars:
+                gone[i] |= set(range(p, end))
+            seen |= {found[p:e] for e in range(p + 1, len(found) + 1)}
     return sorted((str(rows[i][0]), "\n".join(x for p, x in enumerate((rows[i][1] or "").split("\n")) if p not in gone[i])) for i in order)
 
 
@@ -114,7 +112,7 @@ def test_line_runs(spark, min_lines):
     rng = random.Random(min_lines)
     pool = ["", "ab", "a longer line of text", "another line, longer still", "x" * 70, "y" * 40]
     rows = [(i, "\n".join(rng.choice(pool) if rng.random() < 0.8 else str(rng.random()) for _ in range(rng.randint(0, 14)))) for i in range(60)]
-    rows += [(70, None), (71, ""), (None, "\n".join(pool * 2)), (72, "\n".join(["x" * 70] * 50))]
+    rows += [(70, None), (71, ""), (None, "\n".join(pool * 2)), (72, "\n".join(["x" * 70] * 50)), (73, "\n".join("short" for _ in range(40))), (74, "\n".join(["", "b"] * 30)), (75, "\n".join(["y" * 40, *["ab"] * 12, "y" * 40] * 2))]
     s = lines.Settings(min_lines=min_lines, min_chars=60)
     got = lines.deduplicated(clashing(spark, rows), s)
     assert got.columns == ["doc_id", "text", "component", "set_id", "n_chars"]
@@ -122,6 +120,17 @@ def test_line_runs(spark, min_lines):
     assert lines.deduplicated(clashing(spark, rows).limit(0), s).count() == 0
 
 
+def test_other_columns_stay_whatever_their_names(spark):
+    from pyspark.sql import Row
+
+    text = "a line that is long enough to count on its own, sixty characters\n"
+    rows = [(i, f"{text}tail {i}", "en", i, [1], "k", Row(**{"x y": i}), {"a": 1}) for i in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, `meta.lang` string, __starts long, runs array<int>, `a``b` string, row struct<`x y`: long>, cut map<string, long>")
+    got = sorted(lines.deduplicated(frame).collect())
+    assert [tuple(r) for r in got] == [(i, f"tail {i}" if i else f"{text}tail 0", "en", i, [1], "k", Row(**{"x y": i}), {"a": 1}) for i in range(3)]
+    assert lines.deduplicated(frame).schema == frame.schema
+
+
 def test_repeated_rows_are_one_document(spark):
     text = "first long line of a text that repeats\nsecond long line of a text that repeats"
     got = lines.report(clashing(spark, [(1, text), (1, text), (2, text)])).collect()
