@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that Python code looks at together: keeps a worker's memory small.
 SLICE_BYTES = 1 << 20
+#: Bytes of an Arrow batch between Spark and a Python worker, whatever the number of rows.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 #: Shuffle files go when the execution that made them ends: what is needed later has been written as a table by then.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -46,6 +48,7 @@ class Tables:
         self.spark, self.made = spark, 0
         self.root = f"{shared_dir(spark)}/lexmill/{name}-{uuid.uuid4().hex}"
         spark.conf.set(CLEANUP, "true")
+        spark.conf.set(*BATCH_BYTES)
         self._files().deleteOnExit(self._path(self.root))
 
     def _path(self, path: str) -> object:
@@ -73,7 +76,8 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` as long and ``text`` without nulls."""
+    """``doc_id`` as long and ``text`` without nulls, for Python code that gets them in batches of bounded size."""
+    docs.sparkSession.conf.set(*BATCH_BYTES)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 

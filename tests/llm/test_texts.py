@@ -122,6 +122,48 @@ def test_fingerprints(spark, odd):
         assert len({*by_text.values()}) == len(by_text)
 
 
+def slow_fingerprint(text, s):
+    """Hashes of prefixes and spans, each summed up from its code points."""
+    f = fingerprints
+
+    def one(span, base, prime):
+        return sum((ord(c) + 1) * pow(base, j, prime) for j, c in enumerate(span)) % prime
+
+    def mixed(h):
+        h = (h ^ (h >> 31)) * 0x9E3779B97F4A7C15 % (1 << 64)
+        return (h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 % (1 << 64) >> 32
+
+    k = min(len(text), s.span)
+    points = [g for e in range(40) for g in ([1 << e] if e < 2 else [(1 << e) * q // 4 for q in (4, 5, 6, 7)]) if g < len(text)]
+    points = sorted({*points, *(g for g in range(1, min(8, len(text))))})
+    spans = sorted({mixed(one(text[i : i + k], f.B1, f.P1)) for i in range(len(text) - k + 1)})[: s.kept] if text else []
+    return len(text), points, [mixed(one(text[:g], f.B1, f.P1) << 31 | one(text[:g], f.B2, f.P2)) for g in points], spans
+
+
+def test_fingerprints_and_likeness_by_brute_force():
+    """Short, middle and long texts, and pairs of very unlike lengths, are all compared."""
+    rng, s = random.Random(9), fingerprints.Settings()
+    texts = ["", "a", "b", "ab" * 30, "x" * 400, *("".join(rng.choice("abcd é") for _ in range(n)) for n in (3, 7, 8, 9, 40, 95, 96, 97, 383, 384, 900))]
+    texts += [t[: len(t) - len(t) // 3] + "".join(rng.choice("abcd") for _ in range(len(t) // 3)) for t in texts] + [texts[-1][:90]]
+    found = [(fingerprints.Fingerprint.of(fingerprints.PrefixHash(t)), slow_fingerprint(t, s)) for t in texts]
+    for f, (n, points, prefixes, spans) in found:
+        assert (f.n, list(f.prefixes), list(f.spans), fingerprints.grid(n)) == (n, prefixes, spans, points)
+    for (f, (n, points, _, spans)), a in zip(found, texts):
+        for (g, (m, _, _, others)), b in zip(found, texts):
+            want = 1.0
+            if a != b:
+                union = sorted({*spans, *others})[: s.kept]
+                same = max((p for p in points if p < m and a[:p] == b[:p]), default=0)
+                want = max(len({*spans} & {*others} & {*union}) / len(union), same / max(n, m))
+            assert f.likeness(g) == want == g.likeness(f)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(70_000))  # over several blocks, from its start and from a head
+    other = long[:50_000] + long[:20_000]
+    head = fingerprints.PrefixHash(long)
+    grown, whole = fingerprints.PrefixHash(other, head, 50_000), fingerprints.PrefixHash(other)
+    assert all((x == y).all() for x, y in zip(grown.prefix, whole.prefix)) and (grown.all_spans(8) == whole.all_spans(8)).all()
+    assert head.common_extension(0, 0, grown) >= 50_000 and head.common_extension(0, 50_000, grown) == 20_000
+
+
 def test_prefix_hashes():
     rng = random.Random(3)
     for _ in range(200):
