@@ -5,9 +5,9 @@ All bytes are removed that a string of ``length`` bytes covers which also starts
 1. *Anchors.* Of every ``length`` consecutive bytes the byte run (``gram`` bytes) with the smallest hash is the
    anchor, so equal strings have equal anchors at equal offsets, and the strings of a document fall into runs of
    consecutive starts with the same anchor. A string reaches half of the remaining bytes beyond the anchor on the left
-   or on the right, so runs carry the hashes of the anchor widened to either side. Runs are sorted by hash over ranges,
-   and of each the strings stay whose wider anchor another text has too; a hash shared by a third of all documents
-   spreads over as many ranges as it needs. Equal texts (by 96 bits of digests) count as one text here, that of their
+   or on the right, so runs carry the hashes of the anchor widened to either side. Runs are dealt and sorted by hash, and
+   of each the strings stay whose wider anchor another text has too; a hash shared by very many documents is spread over
+   all tasks, and all its strings stay. Equal texts (by 96 bits of digests) count as one text here, that of their
    smallest id; larger copies go whole.
 2. *Contexts.* A run's bytes (at most ``2 * length``) go, once for each different content with its smallest id, to the
    block of its anchor's hash.
@@ -41,6 +41,8 @@ from lexmill.llm.common import Tables, shuffle_partitions, slices, texts_of
 
 LAST = (1 << 63) - 1
 SHAPE = 1 << 12
+#: One in so many texts is looked at to find anchors that very many texts have.
+SHARE = 64
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -130,12 +132,12 @@ def _starts_of(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
-def shared_runs(columns: list[np.ndarray], open_hashes: set[int], s: Settings) -> list[np.ndarray]:
+def shared_runs(columns: list[np.ndarray], open_hashes: np.ndarray, s: Settings) -> list[np.ndarray]:
     """Of runs (columns of ``RUN``), in order of their hash, those that have strings whose wider anchor another text has
     too, cut to these strings. Runs of ``open_hashes``, which may go on elsewhere, stay as they are."""
     h = columns[0]
     n = np.diff(np.append(np.flatnonzero(_starts_of(h)), len(h)))
-    is_open = np.isin(h, list(open_hashes))
+    is_open = np.isin(h, open_hashes)
     columns = [c[(np.repeat(n, n) > 1) | is_open] for c in columns]
     order = np.lexsort(tuple(columns[k] for k in (3, 2, 1, 0)))
     columns = [c[order] for c in columns]
@@ -154,7 +156,7 @@ def shared_runs(columns: list[np.ndarray], open_hashes: set[int], s: Settings) -
         out[by] = np.repeat(np.minimum.reduceat(text[by], starts) != np.maximum.reduceat(text[by], starts), n)
         return out
 
-    is_open = np.isin(h, list(open_hashes))
+    is_open = np.isin(h, open_hashes)
     count, distance = shape.astype(np.int64) // SHAPE, shape.astype(np.int64) % SHAPE
     on_left = (common(left) | is_open) & (distance >= s.side)
     on_right = (common(right) | is_open) & (distance - count + 1 < s.side)
@@ -166,7 +168,7 @@ def shared_runs(columns: list[np.ndarray], open_hashes: set[int], s: Settings) -
     return [c[good] for c in (h, key, tag, (first + skip).astype(np.int32), shape.astype(np.int32), left, right)]
 
 
-def shared_anchors(texts: DataFrame, s: Settings) -> DataFrame:
+def shared_anchors(texts: DataFrame, s: Settings, t: Tables) -> DataFrame:
     """``hash, text_key, tag, first, shape`` of the runs that another text may share strings of."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,25 +190,32 @@ def shared_anchors(texts: DataFrame, s: Settings) -> DataFrame:
             key, tag = (np.repeat(batch.column(c).to_numpy(), n) for c in ("text_key", "tag"))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, key, tag, first, shape, left, right)], RUN)
 
-    runs = texts.mapInArrow(find, RUN_SQL)
-    ordered = runs.repartitionByRange(shuffle_partitions(texts.sparkSession), "hash", "text_key").sortWithinPartitions("hash")
+    # Hashes are even over their range, save some that very many texts have: these are told from a part of the texts, for
+    # where rows go only, and spread by text.
+    parts = shuffle_partitions(texts.sparkSession)
+    some = texts.where(F.pmod("text_key", F.lit(SHARE)) == 0).mapInArrow(find, RUN_SQL)
+    some = t.write(some.groupBy("hash").agg(F.count("*").alias("n")), "often")
+    least = max(8, (some.agg(F.sum("n")).first()[0] or 0) // (4 * parts))
+    hot = [r["hash"] for r in some.where(F.col("n") >= least).collect()]  # at most four for each partition
+    t.drop(some)
+    place = F.shiftrightunsigned(F.shiftrightunsigned("hash", 33) * parts, 31)
+    if hot:
+        place = F.when(F.col("hash").isin(hot), F.pmod("text_key", F.lit(parts))).otherwise(place)
+    ordered = texts.mapInArrow(find, RUN_SQL).repartitionById(parts, place.cast("int")).sortWithinPartitions("hash")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A range's first and last hash may go on in its neighbour, so their runs stay."""
+        """Runs of a hash that other tasks have too all stay."""
         held: list[pa.RecordBatch] = []
-        size, edge = 0, None
+        size, spread = 0, set(hot)
 
         def cut(rows: list[pa.RecordBatch], last: bool) -> tuple[pa.RecordBatch, list[pa.RecordBatch]]:
-            nonlocal edge
             columns = [np.concatenate([b.column(c).to_numpy() for b in rows]) for c in RUN]
             h = columns[0]
-            edge = int(h[0]) if edge is None else edge
             end = len(h) if last else int(np.searchsorted(h, h[-1], "left"))
-            if not end:  # one hash so far, too often to be held: it may go on
-                end, ends = len(h), {int(h[-1])}
-            else:
-                ends = {int(h[-1])} if last else set()
-            done = shared_runs([c[:end] for c in columns], {edge} | ends, s)
+            if not end:  # one hash so far, too often to be held
+                end = len(h)
+                spread.add(int(h[-1]))
+            done = shared_runs([c[:end] for c in columns], np.array([*spread], np.int64), s)
             rest = pa.RecordBatch.from_arrays([pa.array(c[end:]) for c in columns], RUN)
             return pa.RecordBatch.from_arrays([pa.array(c) for c in done[:5]], RUN[:5]), [rest] if rest.num_rows else []
 
@@ -215,8 +224,6 @@ def shared_anchors(texts: DataFrame, s: Settings) -> DataFrame:
             size += batch.num_rows
             if size > 200_000:
                 done, held = cut(held, False)
-                if not held:
-                    edge = None  # the hash goes on: open on this side too
                 size = sum(b.num_rows for b in held)
                 yield done
         if size:
@@ -476,7 +483,7 @@ def removed_spans(texts: DataFrame, s: Settings, t: Tables) -> DataFrame:
     """``text_key, tag, least, spans``: of each different text its smallest id, and the byte spans (start, end) that are
     to go from it there, overlapping as they come. Larger copies go whole."""
     firsts = t.write(texts.groupBy("text_key", "tag").agg(F.min("doc").alias("doc")), "firsts")
-    found = contexts(texts, firsts, t.write(shared_anchors(texts, s), "runs"), s, t)
+    found = contexts(texts, firsts, t.write(shared_anchors(texts, s, t), "runs"), s, t)
     lows = least_ids(found, s, t)
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
