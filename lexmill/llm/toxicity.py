@@ -1,19 +1,21 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
-A word is the mean of the vectors of its character n-grams (hashed, with word-end marks), a window of words is the
-mean of its words, and a two-class softmax over that mean gives the window's probability. A document's score pools
-its windows smoothly (log-mean-exp while training, maximum while scoring), so a few abusive words in a long text
-still count and a long clean text does not drift. Misspelt words share n-gram vectors with the words they bend.
+A word is the mean of the vectors of its character n-grams (hashed, with word-end marks), a run of ``window`` words, the
+last one ending with the text, is the mean of its words (a shorter text is one run), and a two-class softmax over that mean gives the run's
+probability. A document's score pools its runs smoothly (log-mean-exp while training, maximum while scoring), so a few
+abusive words in a long text still count and a long clean text does not drift. Misspelt words share n-gram vectors with
+the words they bend.
 
 The model is fitted on a bounded sample of labelled documents (``Settings.sample``); scoring is a narrow Arrow map
 over all documents, whole texts, with a table of one float per n-gram bucket (``Settings.buckets``) sent along.
 
-Defined results: a null or empty text, or one of white space, gets the score of a window without words (the prior of
+Defined results: a null or empty text, or one of white space, gets the score of a run without words (the prior of
 the sample, below 0.5); repeated rows get equal scores; labels with null ids or values are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 import string
 import zlib
 from array import array
@@ -24,8 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import DoubleType
 
-from lexmill.llm.common import slices, texts_of
+from lexmill.llm.common import BATCH_BYTES, slices, texts_of
 
 
 @dataclass(frozen=True)
@@ -40,13 +44,13 @@ class Settings:
     dim: int = 16
     shortest: int = 3
     longest: int = 5
-    window: int = 1
+    window: int = 3
     min_docs: int = 8
     epochs: int = 60
-    rate: float = 0.02
+    rate: float = 0.05
     decay: float = 0.1
     floor: float = 1e-5
-    sharp: float = 4.0
+    sharp: float = 6.0
     seed: int = 13
 
 
@@ -105,16 +109,15 @@ class Model:
 
     def scores(self, texts: list[str], memo: Memo) -> np.ndarray:
         """Probability of the toxic class of each text."""
-        size = self.settings.window
-        out = np.empty(len(texts))
+        most = self.settings.window
+        out = np.full(len(texts), self.bias)
         for i, text in enumerate(texts):
             words = text.lower().split()
-            if not words:
-                out[i] = self.bias
-                continue
-            value = np.fromiter(map(memo.__getitem__, words), np.float64, len(words))
-            starts = np.arange(0, len(words), size)
-            out[i] = (np.add.reduceat(value, starts) / size).max() + self.bias
+            if words:
+                size = min(most, len(words))
+                total = np.cumsum(np.fromiter(itertools.chain((0.0,), map(memo.__getitem__, words)), np.float64, len(words) + 1))
+                begin = np.minimum(np.arange(0, len(words) - size + most, most), len(words) - size)
+                out[i] += (total[begin + size] - total[begin]).max() / size
         return 1 / (1 + np.exp(-out))
 
 
@@ -136,11 +139,13 @@ def fit(texts: list[str], labels: np.ndarray, s: Settings | None = None) -> Mode
     lens = np.array([len(w) for w in words])
     flat = np.concatenate(words)
     doc = np.repeat(np.asarray(docs, np.int64), lens)
-    at = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
-    first = np.flatnonzero(at % s.window == 0)
-    window = np.cumsum(at % s.window == 0) - 1
-    window_doc = doc[first]
-    n_windows, n_words = len(first), len(ids)
+    # Runs of words, as in scoring.
+    runs = -(-lens // s.window)
+    size = np.repeat(np.minimum(lens, s.window), runs)
+    number = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
+    begin = np.repeat(np.cumsum(lens) - lens, runs) + np.minimum(number * s.window, np.repeat(lens, runs) - size)
+    end = begin + size
+    n_words = len(ids)
     packed, sizes = array("i"), array("i")
     for w in ids:
         found = grams(w, s)
@@ -165,15 +170,16 @@ def fit(texts: list[str], labels: np.ndarray, s: Settings | None = None) -> Mode
     diff = rng.normal(0, 1, s.dim)
     bias = -1.0
     y = labels.astype(float)
-    rows = np.flatnonzero(np.bincount(window_doc, minlength=len(texts)))  # documents with words
+    rows = np.flatnonzero(lens)  # documents with words
     weight = np.where(y == 1, 0.5 / max(1, (y[rows] == 1).sum()), 0.5 / max(1, (y[rows] == 0).sum()))
-    starts = np.flatnonzero(np.diff(window_doc, prepend=-1))
-    count = np.diff(np.append(starts, n_windows))
+    count = runs[rows]
+    starts = np.cumsum(count) - count
 
-    def window_logits() -> tuple[np.ndarray, np.ndarray]:
+    def run_logits() -> tuple[np.ndarray, np.ndarray]:
         one = vectors @ diff
         word = np.bincount(gram_word, gram_share * one[gram], n_words)
-        return one, np.bincount(window, word[flat], n_windows) / s.window
+        total = np.concatenate([[0.0], np.cumsum(word[flat])])
+        return one, (total[end] - total[begin]) / size
 
     def pooled(logits: np.ndarray, sharp: float) -> tuple[np.ndarray, np.ndarray]:
         top = np.maximum.reduceat(logits, starts)
@@ -185,12 +191,13 @@ def fit(texts: list[str], labels: np.ndarray, s: Settings | None = None) -> Mode
     moments = [[np.zeros((len(touched), s.dim)), np.zeros((len(touched), s.dim))], [np.zeros(s.dim), np.zeros(s.dim)]]
     for epoch in range(1, s.epochs + 1):
         sharp = s.sharp * min(1.0, epoch / (s.epochs / 2))
-        _, logits = window_logits()
+        _, logits = run_logits()
         whole, share = pooled(logits, sharp)
         p = 1 / (1 + np.exp(-(whole + bias)))
         error = (p - y[rows]) * weight[rows]
-        by_window = np.repeat(error, count) * share / s.window
-        by_word = np.bincount(flat, by_window[window], n_words)
+        by_run = np.repeat(error, count) * share / size
+        by_place = np.cumsum(np.bincount(begin, by_run, len(flat) + 1) - np.bincount(end, by_run, len(flat) + 1))[:-1]
+        by_word = np.bincount(flat, by_place, n_words)
         by_gram = np.bincount(gram, gram_share * by_word[gram_word], s.buckets)
         steps = (by_gram[touched, None] * diff, vectors[touched].T @ by_gram[touched])
         for k, g in enumerate(steps):
@@ -205,8 +212,8 @@ def fit(texts: list[str], labels: np.ndarray, s: Settings | None = None) -> Mode
             else:
                 vectors[touched] -= move + s.rate * s.decay * vectors[touched]
         bias -= 2.0 * float(error.sum())
-    one, logits = window_logits()
-    # The score takes the largest window, so the bias is set again for it: midway between the classes' errors.
+    one, logits = run_logits()
+    # The score takes the largest run, so the bias is set again for it: midway between the classes' errors.
     top = np.maximum.reduceat(logits, starts)
     good, bad = np.sort(top[y[rows] == 0]), np.sort(top[y[rows] == 1])
     cuts = np.unique(np.concatenate([good, bad]))
@@ -282,14 +289,13 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents whose score is below one half, with all their columns."""
-    fields = docs.schema
-    text_at = fields.fieldNames().index("text")
+    """The documents whose score is below one half, with all their columns, whatever these are: only texts are passed on."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @arrow_udf(DoubleType())
+    def score(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memo = word_scores(model.table, model.settings)
-        for batch in slices(batches):
-            texts = [t or "" for t in batch.column(text_at).to_pylist()]
-            yield batch.filter(pa.array(model.scores(texts, memo) < 0.5))
+        for texts in arrays:
+            yield pa.array(np.concatenate([model.scores([t.as_py() or "" for t in texts[a : a + 500]], memo) for a in range(0, len(texts), 500)] or [np.zeros(0)]))
 
-    return docs.mapInArrow(run, fields)
+    docs.sparkSession.conf.set(*BATCH_BYTES)
+    return docs.where(score(F.col("text")) < 0.5)

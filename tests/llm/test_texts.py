@@ -5,6 +5,7 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -196,6 +197,43 @@ def test_toxicity(spark, odd):
     assert toxicity.keep_clean(odd, model).columns == odd.columns
 
 
+def test_unseen_misspellings_and_runs_of_words(spark):
+    """Words bent in ways the sample has not are still toxic, a run of words is the mean of its words, and columns of any
+    name and type stay."""
+    rng = random.Random(21)
+    bad, letters = ["grumblewort", "snarkfiend", "blatherskite"], "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(3, 9)))
+    common = [word() for _ in range(300)]
+
+    def bent(w):
+        i = rng.randrange(1, len(w) - 1)
+        return rng.choice([w[:i] + rng.choice(letters) + w[i:], w[:i] + w[i + 1 :], w[:i] + rng.choice("*@013") + w[i + 1 :], w[:i] + w[i] * 3 + w[i + 1 :]])
+
+    def text(toxic):
+        words = [rng.choice(common) for _ in range(rng.randint(5, 120))]
+        for _ in range(2 * toxic):
+            words.insert(rng.randrange(len(words)), bent(rng.choice(bad)))
+        return " ".join(words)
+
+    train = [(text(i % 2), i % 2) for i in range(400)]
+    model = toxicity.fit([t for t, _ in train], np.array([y for _, y in train]), toxicity.Settings(min_docs=3))
+    seen = {w for t, _ in train for w in t.split()}
+    tests = [(t, y) for t, y in ((text(i % 2), i % 2) for i in range(900)) if not y or not any(w in seen and w not in common for w in t.split())]
+    scores = model.scores([t for t, _ in tests], toxicity.word_scores(model.table, model.settings))
+    wrong = [(y, x >= 0.5) for (_, y), x in zip(tests, scores) if y != (x >= 0.5)]
+    assert sum(y for _, y in tests) > 30 and len(wrong) <= 0.1 * len(tests)
+    memo, size = toxicity.word_scores(model.table, model.settings), model.settings.window
+    for t in ["one", *(t for t, _ in tests[:40])]:
+        v = [memo[w] for w in t.lower().split()]
+        n = min(size, len(v))
+        runs = [sum(v[min(a, len(v) - n) :][:n]) / n for a in range(0, len(v), size)]
+        assert abs(1 / (1 + np.exp(-max(runs) - model.bias)) - model.scores([t], memo)[0]) < 1e-9
+    rows = [(t, 1, "x", (1,)) for t, _ in tests]
+    frame = spark.createDataFrame(rows, "text string, `meta.lang` int, `a``b` string, __gone struct<`x y`: int>")
+    kept = toxicity.keep_clean(frame, model)
+    assert kept.schema == frame.schema and sorted(r.text for r in kept.collect()) == sorted(t for (t, _), x in zip(tests, scores) if x < 0.5)
+
+
 def test_toxicity_sample_keeps_both_classes(spark):
     """Long clean texts leave the toxic class its half of the words, whatever text comes first."""
     s = toxicity.Settings(sample=40, sample_words=2_000)
