@@ -145,9 +145,10 @@ def _later(windows: DataFrame, t: Tables) -> DataFrame:
     """All but the first of equal windows ``doc, text_key, start, n, r1, r2``."""
     windows = t.write(windows, "told")
     place = F.struct(*KEY, "start")
-    first = windows.groupBy("n", "r1", "r2").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1").select("n", "r1", "r2", "first")
+    first = windows.groupBy("n", "r1", "r2").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    first = t.write(first.select("n", "r1", "r2", "first"), "first")  # so that the join can split windows that very many have
     later = t.write(windows.join(first, ["n", "r1", "r2"]).where(place > F.col("first")).select(*KEY, "start", "n"), "later")
-    t.drop(windows)
+    t.drop(windows, first)
     return later
 
 
