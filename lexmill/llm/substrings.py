@@ -198,7 +198,7 @@ def shared_anchors(texts: DataFrame, s: Settings, t: Tables) -> DataFrame:
     least = max(8, (some.agg(F.sum("n")).first()[0] or 0) // (4 * parts))
     hot = [r["hash"] for r in some.where(F.col("n") >= least).collect()]  # at most four for each partition
     t.drop(some)
-    place = F.shiftrightunsigned(F.shiftrightunsigned("hash", 33) * parts, 31)
+    place = F.pmod("hash", F.lit(parts))  # low bits: anchors have small hashes
     if hot:
         place = F.when(F.col("hash").isin(hot), F.pmod("text_key", F.lit(parts))).otherwise(place)
     ordered = texts.mapInArrow(find, RUN_SQL).repartitionById(parts, place.cast("int")).sortWithinPartitions("hash")
