@@ -1,28 +1,36 @@
 """Language-model scoring: masked pseudo-likelihood from a bidirectional window network trained in numpy.
 
 The network predicts a word from the words on both sides: the vectors of the neighbours, one table for each place,
-are summed, bent by tanh, and a softmax in two steps (a class of words, then a word of the class) gives the conditional
-probability. A document's score sums the conditional log-probabilities of all its words, each hidden in its turn.
-
-* Vocabulary and word frequencies are counted over all documents, pre-aggregated in each task, in a shuffle that grows
-  with the corpus; the ``words`` most frequent words get entries and all others share ``rare`` entries by their hash.
-* Training is distributed: every task trains a copy of the network on its share of the documents (those whose hash
-  falls below ``share``; what is trained on grows with the corpus), and the copies are averaged by the words they saw,
-  block of parameters by block. This is repeated ``rounds`` times.
-* Scoring is a narrow Arrow map over all documents with the averaged network, a few MB whatever the corpus.
-
-Defined results: a null or empty text has no words and scores 0 with a mean of 0; equal texts have equal scores;
-a corpus without words gives an untrained network.
+are summed, bent by tanh, and a softmax in two steps (a class of words, then an entry of the class) gives a conditional
+probability. The ``words`` most frequent words have entries of their own; all others share ``rare`` entries by their
+hash, and the probability of such a word is that of its entry times the word's share of the entry's occurrences. So
+every word of the corpus has a probability, whatever its size. A document's score sums the conditional
+log-probabilities of all its words, each hidden in its turn.
+
+* Words are counted over all documents, pre-aggregated in each task, in a shuffle that grows with the corpus; the counts
+  of rare words stay in a table and are joined to the words of the documents.
+* Training is distributed: all documents are dealt by hash to copies of the network, as many as the corpus has times
+  ``copy_words`` words; a task trains each, and the copies are averaged by the words they saw, block of parameters by
+  block. This is repeated ``rounds`` times. Gradients of a batch are summed by row, and each row has a step of its own
+  (by its squares so far). A copy sees its documents in order of a hash, so the result depends on the table alone, not
+  on how Spark had split it.
+* Scoring is a narrow Arrow map over all documents with the averaged network, a few MB whatever the corpus, and one join
+  of rare words.
+
+Defined results: a null or empty text has no words and scores 0 with a mean of 0; equal texts have equal scores (but
+for rounding); a word that the fitted corpus lacks counts as if it had occurred once; a corpus without words gives an untrained network.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,17 +39,17 @@ from lexmill.llm.common import Tables, slices, texts_of
 
 @dataclass(frozen=True)
 class Settings:
-    """``share``: in 1024ths, the part of the documents that is trained on; a fixed share, not a fixed number."""
+    """``words`` and ``rare``: entries of the network; ``copy_words``: words that a copy of it is trained on, about."""
 
     words: int = 3_584
     rare: int = 508
     classes: int = 64
     window: int = 2
-    dim: int = 24
-    share: int = 64
-    rounds: int = 2
-    batch: int = 512
-    rate: float = 0.05
+    dim: int = 16
+    copy_words: int = 4_000_000
+    rounds: int = 1
+    batch: int = 8_192
+    rate: float = 0.1
     seed: int = 7
 
     @property
@@ -57,8 +65,6 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """``word, n`` over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-
         counts: Counter[str] = Counter()
         for batch in slices(batches):
             for text in batch.column("text").to_pylist():
@@ -83,9 +89,25 @@ class Numbers(dict):
         get, first, rare = self.get, self.s.words + 1, self.s.rare
         return np.fromiter((i if (i := get(w)) is not None else first + zlib.crc32(w.encode("utf-8", "surrogatepass")) % rare for w in found), np.int64, len(found))
 
+    def sequence(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Entries of all texts with ``window`` edges before, between and after them; the words' places; words of each text."""
+        w, lists = self.s.window, [self.get_all(t) for t in texts]
+        n = np.array([len(x) for x in lists], np.int64)
+        edge = np.zeros(w, np.int64)
+        seq = np.concatenate([edge, *(y for x in lists for y in (x, edge))])
+        return seq, np.arange(n.sum()) + np.repeat(w * np.arange(1, len(n) + 1), n), n
+
+
+def exp_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``exp`` of each row less its largest value, and the logarithm of the row's sum of exponentials."""
+    top = x.max(1, keepdims=True)
+    x = np.exp(x - top)
+    total = x.sum(1, keepdims=True)
+    return x / total, np.log(total[:, 0]) + top[:, 0]
+
 
 class Network:
-    """Parameters: ``around`` (place, entry, dim), ``bias`` (dim), ``top`` (dim + 1, classes), ``low`` (classes, dim + 1, words of a class)."""
+    """Parameters: ``around`` (place, entry, dim), ``bias`` (dim), ``top`` (dim + 1, classes), ``low`` (classes, dim + 1, entries of a class)."""
 
     def __init__(self, s: Settings, flat: np.ndarray | None = None) -> None:
         self.s = s
@@ -99,6 +121,8 @@ class Network:
             size = int(np.prod(shape))
             setattr(self, name, self.flat[at : at + size].reshape(shape))
             at += size
+        self.squares = {k: np.full(x[:2] if k == "around" else x, 1e-2, np.float32) for k, x in shapes.items()}
+        self.offsets = [k for k in range(-s.window, s.window + 1) if k]
 
     def start_at(self, counts: np.ndarray) -> Network:
         """Sets the biases of both softmaxes so that the network first gives each entry its frequency."""
@@ -109,96 +133,92 @@ class Network:
         self.top[:-1] *= 0.1
         return self
 
-    def neighbours(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Entries around each word of some texts put one after the other; 0 beyond a text's ends."""
-        w = self.s.window
-        out = np.zeros((len(ids), 2 * w), np.int64)
-        place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        left = np.repeat(lengths, lengths) - place - 1
-        for k in range(1, w + 1):
-            has = np.flatnonzero(place >= k)
-            out[has, w - k] = ids[has - k]
-            has = np.flatnonzero(left >= k)
-            out[has, w + k - 1] = ids[has + k]
+    def hidden(self, seq: np.ndarray, places: np.ndarray) -> np.ndarray:
+        h = np.zeros((len(places), self.s.dim), np.float32) + self.bias
+        for table, k in zip(self.around, self.offsets, strict=True):
+            h += table[seq[places + k]]
+        return np.tanh(h, out=h)
+
+    def by_class(self, entries: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """An order that puts entries of one class together, and (class, begin, end) of those that occur."""
+        order = np.argsort((entries % self.s.classes).astype(np.uint16), kind="stable")
+        edges = np.searchsorted((entries % self.s.classes)[order], np.arange(self.s.classes + 1)).tolist()
+        return order, [(g, a, b) for g, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
+
+    def log_probabilities(self, seq: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Log-probability of the entry at each place given its neighbours."""
+        out = np.empty(len(places), np.float64)
+        for a in range(0, len(places), self.s.batch):
+            part = places[a : a + self.s.batch]
+            order, groups = self.by_class(seq[part])
+            part = part[order]
+            h, word = self.hidden(seq, part), seq[part] // self.s.classes
+            x = h @ self.top[:-1] + self.top[-1]
+            _, total = exp_rows(x)
+            p = x[np.arange(len(part)), seq[part] % self.s.classes] - total
+            for g, i, j in groups:
+                x = h[i:j] @ self.low[g, :-1] + self.low[g, -1]
+                p[i:j] += x[np.arange(j - i), word[i:j]] - exp_rows(x)[1]
+            out[a + order] = p
         return out
 
-    def hidden(self, near: np.ndarray) -> np.ndarray:
-        h = np.tile(self.bias, (len(near), 1))
-        for k in range(near.shape[1]):
-            h += self.around[k][near[:, k]]
-        return np.concatenate([np.tanh(h), np.ones((len(near), 1), np.float32)], axis=1)
-
-    @staticmethod
-    def log_softmax(x: np.ndarray) -> np.ndarray:
-        x = x - x.max(1, keepdims=True)
-        return x - np.log(np.exp(x).sum(1, keepdims=True))
-
-    def log_probabilities(self, ids: np.ndarray, near: np.ndarray) -> np.ndarray:
-        """Log-probability of each word given its neighbours."""
-        out = np.empty(len(ids), np.float64)
-        for a in range(0, len(ids), 50_000):
-            part, h = ids[a : a + 50_000], self.hidden(near[a : a + 50_000])
-            group, word = part % self.s.classes, part // self.s.classes
-            p = self.log_softmax(h @ self.top)[np.arange(len(part)), group]
-            order = np.argsort(group, kind="stable")
-            edges = np.searchsorted(group[order], np.arange(self.s.classes + 1))
-            for g in np.flatnonzero(np.diff(edges)):
-                rows = order[edges[g] : edges[g + 1]]
-                p[rows] += self.log_softmax(h[rows] @ self.low[g])[np.arange(len(rows)), word[rows]]
-            out[a : a + 50_000] = p
-        return out
+    def move(self, name: str, index: object, gradient: np.ndarray) -> None:
+        """A step against a gradient; ``around`` has one step size for each row, the others one for each number."""
+        squares = self.squares[name]
+        squares[index] += (gradient**2).mean(-1) if name == "around" else gradient**2
+        root = np.sqrt(squares[index])
+        getattr(self, name)[index] -= self.s.rate * gradient / (root[:, None] if name == "around" else root)
 
-    def train(self, ids: np.ndarray, near: np.ndarray) -> None:
-        """One pass of minibatch steps; gradients of all parameters at once."""
+    def train(self, seq: np.ndarray, places: np.ndarray) -> None:
+        """One pass of batches; gradients of all parameters at once."""
         s = self.s
-        for a in range(0, len(ids), s.batch):
-            part, around = ids[a : a + s.batch], near[a : a + s.batch]
-            h = self.hidden(around)
-            group, word = part % s.classes, part // s.classes
-            rows = np.arange(len(part))
-            error = np.exp(self.log_softmax(h @ self.top))
-            error[rows, group] -= 1
-            back = error @ self.top.T
-            step = s.rate / len(part) ** 0.5
-            order = np.argsort(group, kind="stable")
-            edges = np.searchsorted(group[order], np.arange(s.classes + 1))
-            for g in np.flatnonzero(np.diff(edges)):
-                r = order[edges[g] : edges[g + 1]]
-                e = np.exp(self.log_softmax(h[r] @ self.low[g]))
-                e[np.arange(len(r)), word[r]] -= 1
-                back[r] += e @ self.low[g].T
-                self.low[g] -= step * (h[r].T @ e)
-            self.top -= step * (h.T @ error)
-            deep = back[:, :-1] * (1 - h[:, :-1] ** 2)
-            self.bias -= step * deep.sum(0)
-            for k in range(around.shape[1]):
-                np.subtract.at(self.around[k], around[:, k], step * deep)
+        for a in range(0, len(places), s.batch):
+            part = places[a : a + s.batch]
+            order, groups = self.by_class(seq[part])
+            part = part[order]
+            h, word, rows = self.hidden(seq, part), seq[part] // s.classes, np.arange(len(part))
+            error, _ = exp_rows(h @ self.top[:-1] + self.top[-1])
+            error[rows, seq[part] % s.classes] -= 1
+            back = error @ self.top[:-1].T
+            self.move("top", slice(None), np.concatenate([h.T @ error, error.sum(0, keepdims=True)]))
+            for g, i, j in groups:
+                e, _ = exp_rows(h[i:j] @ self.low[g, :-1] + self.low[g, -1])
+                e[rows[: j - i], word[i:j]] -= 1
+                back[i:j] += e @ self.low[g, :-1].T
+                self.move("low", g, np.concatenate([h[i:j].T @ e, e.sum(0, keepdims=True)]))
+            back *= 1 - h**2
+            self.move("bias", slice(None), back.sum(0))
+            for place, k in enumerate(self.offsets):
+                near = seq[part + k]
+                by = np.argsort(near.astype(np.uint16), kind="stable") if s.entries < 1 << 16 else np.argsort(near)
+                near = near[by]
+                starts = np.flatnonzero(np.diff(near, prepend=-1))
+                self.move("around", (place, near[starts]), np.add.reduceat(back[by], starts))
 
 
 @dataclass(frozen=True)
 class Model:
+    """``occurrences``: of all words of each rare entry; ``counts``: ``hash, n`` of the rare words that occur twice."""
+
     vocabulary: list[str]
     flat: np.ndarray
     settings: Settings
+    occurrences: np.ndarray
+    counts: DataFrame
 
 
 BLOCK = 16_384
 
 
-def train_round(texts: DataFrame, model: Model) -> np.ndarray:
+def train_round(dealt: DataFrame, vocabulary: list[str], flat: np.ndarray, s: Settings) -> np.ndarray:
     """The average of the copies that the tasks trained, weighted by the words they saw."""
-    s = model.settings
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, net, seen = Numbers(model.vocabulary, s), Network(s, model.flat), 0
+        numbers, net, seen = Numbers(vocabulary, s), Network(s, flat), 0
         for batch in slices(batches):
-            lists = [numbers.get_all(t) for t in batch.column("text").to_pylist()]
-            ids = np.concatenate(lists)
-            if len(ids):
-                near = net.neighbours(ids, np.array([len(x) for x in lists]))
-                mixed = np.random.default_rng(s.seed).permutation(len(ids))
-                net.train(ids[mixed], near[mixed])
-                seen += len(ids)
+            seq, places, n = numbers.sequence(batch.column("text").to_pylist())
+            net.train(seq, np.random.default_rng(s.seed).permutation(places))
+            seen += int(n.sum())
         if seen:
             blocks = range(0, len(net.flat), BLOCK)
             values = [net.flat[a : a + BLOCK].astype(np.float64) * seen for a in blocks]
@@ -213,46 +233,75 @@ def train_round(texts: DataFrame, model: Model) -> np.ndarray:
                 total, seen = values if total is None else total + values, seen + n
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([(total / seen).astype(np.float32).tobytes()], pa.binary())], ["block", "mean"])
 
-    copies = texts.mapInArrow(run, "block int, seen long, weighted binary")
+    copies = dealt.mapInArrow(run, "block int, seen long, weighted binary")
     rows = copies.groupBy("block").applyInArrow(add, "block int, mean binary").collect()  # the network once
     if not rows:
-        return model.flat
+        return flat
     return np.concatenate([np.frombuffer(r["mean"], np.float32) for r in sorted(rows, key=lambda r: r["block"])])
 
 
 def fit(docs: DataFrame, s: Settings | None = None) -> Model:
-    s = s or Settings()
-    counts = Tables(docs.sparkSession, "language-model").write(word_counts(docs), "words")
-    kept = counts.orderBy(F.desc("n"), "word").limit(s.words)
+    s, t = s or Settings(), Tables(docs.sparkSession, "language-model")
+    counts = t.write(word_counts(docs), "words")
     frequent = np.zeros(s.entries)
     common = []
-    for i, r in enumerate(kept.collect()):
+    for i, r in enumerate(counts.orderBy(F.desc("n"), "word").limit(s.words).collect()):
         common.append(r["word"])
         frequent[i + 1] = r["n"]
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    frequent[s.words + 1 : s.words + 1 + s.rare] = (total - frequent.sum()) / s.rare
-    model = Model(common, Network(s).start_at(frequent).flat, s)
-    texts = texts_of(docs)
-    chosen = texts.where(F.pmod(F.xxhash64("text", F.lit(s.seed)), F.lit(1024)) < s.share)
+    rare = counts.where(~F.col("word").isin(common)) if common else counts
+    occurrences = np.zeros(s.rare)
+    for r in rare.groupBy(F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(s.rare)).alias("entry")).agg(F.sum("n").alias("n")).collect():  # a row for each entry
+        occurrences[r["entry"]] = r["n"]
+    frequent[s.words + 1 : s.words + 1 + s.rare] = occurrences
+    flat, copies = Network(s).start_at(frequent).flat, int(frequent.sum()) // s.copy_words + 1
+    key = F.xxhash64("text", "doc_id")  # copies of a text have ids of their own and spread
+    dealt = texts_of(docs).withColumn("key", key).repartitionById(copies, F.pmod("key", F.lit(copies)).cast("int")).sortWithinPartitions("key").select("text")
     for _ in range(s.rounds):
-        model = Model(common, train_round(chosen, model), s)
-    return model
+        flat = train_round(dealt, common, flat, s)
+    again = t.write(rare.where("n > 1").select(F.xxhash64("word").alias("hash"), "n"), "rare")
+    t.drop(counts)
+    return Model(common, flat, s, occurrences, again)
+
+
+def rare_words(texts: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """``hash, text_key, times`` of the rare words of each text (rows that repeat a text repeat its words)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = set(vocabulary)
+        for batch in slices(batches):
+            hashes, times, sizes = [], [], []
+            for text in batch.column("text").to_pylist():
+                found = Counter(w for w in words_of(text) if w not in known)
+                hashes += [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 42) for w in found]
+                times += found.values()
+                sizes.append(len(found))
+            keys = np.repeat(batch.column("text_key").to_numpy(), sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(keys), pa.array(times, pa.int32())], ["hash", "text_key", "times"])
+
+    return texts.mapInArrow(run, "hash long, text_key long, times int")
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, n_words, score, mean_score``: the sum of conditional log-probabilities and their mean."""
-    s = model.settings
+    s, t = model.settings, Tables(docs.sparkSession, "scores")
+    vocabulary, flat, occurrences = model.vocabulary, model.flat, model.occurrences
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, net = Numbers(model.vocabulary, s), Network(s, model.flat)
+        numbers, net = Numbers(vocabulary, s), Network(s, flat)
+        share = np.zeros(s.entries)  # of one occurrence in its entry
+        share[s.words + 1 : s.words + 1 + s.rare] = -np.log(np.maximum(occurrences, 1))
         for batch in slices(batches):
-            lists = [numbers.get_all(t) for t in batch.column("text").to_pylist()]
-            n = np.array([len(x) for x in lists])
-            ids = np.concatenate(lists)
-            p = np.concatenate([[0.0], np.cumsum(net.log_probabilities(ids, net.neighbours(ids, n)))]) if len(ids) else np.zeros(1)
+            seq, places, n = numbers.sequence(batch.column("text").to_pylist())
+            p = np.concatenate([[0.0], np.cumsum(net.log_probabilities(seq, places) + share[seq[places]])])
             ends = np.cumsum(n)
-            total = p[ends] - p[ends - n]
-            mean = np.divide(total, n, out=np.zeros(len(n)), where=n > 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(total), pa.array(mean)], ["doc_id", "n_words", "score", "mean_score"])
-
-    return texts_of(docs).mapInArrow(run, "doc_id long, n_words long, score double, mean_score double")
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(n, pa.int64()), pa.array(p[ends] - p[ends - n])], ["doc_id", "text_key", "n_words", "score"])
+
+    texts = texts_of(docs).withColumn("text_key", F.xxhash64("text"))
+    told = t.write(texts.mapInArrow(run, "doc_id long, text_key long, n_words long, score double"), "told")
+    # Rare words that occur more often have as many times the share of one occurrence.
+    more = rare_words(texts, vocabulary).join(model.counts, "hash").groupBy("text_key").agg(F.sum(F.col("times") * F.log("n")).alias("more"))
+    copies = told.groupBy("text_key").agg(F.count("*").alias("copies"))
+    more = t.write(more.join(copies, "text_key").select("text_key", (F.col("more") / F.col("copies")).alias("more")), "more")
+    total = F.col("score") + F.coalesce("more", F.lit(0.0))
+    mean = F.when(F.col("n_words") > 0, total / F.col("n_words")).otherwise(F.lit(0.0))
+    return told.join(more, "text_key", "left").select("doc_id", "n_words", F.when(F.col("n_words") > 0, total).otherwise(F.lit(0.0)).alias("score"), mean.alias("mean_score"))

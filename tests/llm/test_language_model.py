@@ -1,19 +1,30 @@
 """Masked pseudo-likelihood against a word-by-word computation, and against word frequencies."""
 
 import math
+import random
+import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 
 from lexmill.llm import language_model as lm
+from lexmill.llm import queries
 
-SF = "/root/testdata/sf0.01"
-SMALL = lm.Settings(words=184, rare=68, classes=16, dim=8, share=1024, rounds=2)
+SF = "/root/testdata/sf0.001"
+SMALL = lm.Settings(words=184, rare=68, classes=16, dim=8, rounds=2, batch=512)
 
 
-def by_hand(model, text):
+def by_hand(model, counts, text):
     """The sum of log-probabilities, one word at a time."""
-    s, net, numbers = model.settings, lm.Network(model.settings, model.flat), lm.Numbers(model.vocabulary, model.settings)
-    ids = numbers.get_all(text).tolist()
+    s, net = model.settings, lm.Network(model.settings, model.flat)
+    places = {w: i + 1 for i, w in enumerate(model.vocabulary)}
+    entry = lambda w: places.get(w) or s.words + 1 + zlib.crc32(w.encode()) % s.rare
+    together = Counter()
+    for w, n in counts.items():
+        together[entry(w)] += n
+    words = text.lower().split()
+    ids = [entry(w) for w in words]
     total = 0.0
     for i, x in enumerate(ids):
         h = net.bias.astype(float).copy()
@@ -22,22 +33,27 @@ def by_hand(model, text):
         h = np.append(np.tanh(h), 1.0)
         for logits, at in ((h @ net.top, x % s.classes), (h @ net.low[x % s.classes], x // s.classes)):
             total += logits[at] - math.log(np.exp(logits - logits.max()).sum()) - logits.max()
+        if words[i] not in places:
+            total += math.log(max(1, counts[words[i]]) / together[x])
     return total
 
 
-def test_scores_and_odd_rows(spark):
+@pytest.mark.parametrize("s", [SMALL, lm.Settings()])
+def test_scores_and_odd_rows(spark, s):
+    """Small settings, and those of the query, over every document of the table."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    model = lm.fit(docs, SMALL)
+    model = lm.fit(docs, s)
     texts = {r.doc_id: r.text for r in docs.collect()}
+    counts = Counter(w for t in texts.values() for w in t.lower().split())
     scores = {r.doc_id: r for r in lm.score(docs, model).collect()}
     assert scores.keys() == texts.keys()
-    for doc_id in list(texts)[:12]:
-        assert abs(scores[doc_id].score - by_hand(model, texts[doc_id])) < 1e-3 * (1 + scores[doc_id].n_words)
+    for doc_id in sorted(texts, key=lambda d: len(texts[d]))[:: 8 if s is SMALL else 20]:
+        assert abs(scores[doc_id].score - by_hand(model, counts, texts[doc_id])) < 1e-3 * (1 + scores[doc_id].n_words)
         assert scores[doc_id].n_words == len(texts[doc_id].split())
-    odd = spark.createDataFrame([(1, None, 3.0), (2, "", 1.0), (None, "the of", 2.0), (4, " \n ", 0.0), (4, "the of", 0.0), (5, "x " * 50_000, 0.0)], "doc_id long, text string, score double")
+    odd = spark.createDataFrame([(1, None, 3.0), (2, "", 1.0), (None, "the of", 2.0), (4, " \n ", 0.0), (4, "the of", 0.0), (5, "x " * 50_000, 0.0), (6, "neverseenword", 0.0)], "doc_id long, text string, score double")
     got = lm.score(odd, model).collect()
-    assert [r.n_words for r in sorted(got, key=lambda r: r.n_words)] == [0, 0, 0, 2, 2, 50_000]
-    assert all(r.score == 0 for r in got if not r.n_words) and len({r.score for r in got if r.n_words == 2}) == 1
+    assert [r.n_words for r in sorted(got, key=lambda r: r.n_words)] == [0, 0, 0, 1, 2, 2, 50_000]
+    assert all(r.score == 0 == r.mean_score for r in got if not r.n_words) and len({r.score for r in got if r.n_words == 2}) == 1
     assert lm.score(odd.limit(0), model).count() == 0
     assert lm.fit(odd.limit(0), SMALL).vocabulary == []
 
@@ -46,8 +62,33 @@ def test_both_sides_help(spark):
     """In 'a b a b ...' texts the neighbours give a word away; frequencies do not."""
     rows = [(i, " ".join("red green blue white".split()[(i + j) % 4] for j in range(60))) for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    s = lm.Settings(words=12, rare=16, classes=4, dim=8, share=1024, rounds=4, batch=64, rate=0.3)
+    s = lm.Settings(words=12, rare=16, classes=4, dim=8, rounds=4, batch=64, rate=0.3)
     model = lm.fit(docs, s)
     right = lm.score(docs, model).first().mean_score
     mixed = lm.score(spark.createDataFrame([(0, "red blue red white white green red red green blue blue white")], "doc_id long, text string"), model).first().mean_score
     assert right > -0.7 > math.log(1 / 4) > mixed
+
+
+def test_texts_that_occur_twice_are_told_apart_whatever_the_partitions(spark):
+    """All words of all documents count: words of a text that occurs again have twice the share. The query's settings."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    common = [word() for _ in range(4_500)]
+    once = [" ".join(rng.choice(common) if rng.random() < 0.7 else word() for _ in range(80)) for _ in range(700)]
+    rows = list(enumerate(once + once[:60]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4, "doc_id")
+    scores = {r.doc_id: r.mean_score for r in lm.score(docs, lm.fit(docs)).collect()}
+    twice, single = [scores[i] for i in [*range(60), *range(700, 760)]], [scores[i] for i in range(60, 700)]
+    cut = (np.mean(twice) + np.mean(single)) / 2
+    assert np.mean(np.array(twice) > cut) > 0.9 and np.mean(np.array(single) < cut) > 0.8
+    assert all(abs(scores[i] - scores[700 + i]) < 1e-4 for i in range(60))
+    other = {r.doc_id: r.mean_score for r in lm.score(docs, lm.fit(docs.repartition(1))).collect()}
+    assert all(abs(scores[i] - other[i]) < 1e-3 for i in scores)
+    many = {r.doc_id: r.mean_score for r in lm.score(docs, lm.fit(docs, lm.Settings(copy_words=15_000))).collect()}  # five copies
+    assert np.corrcoef([scores[i] for i in scores], [many[i] for i in scores])[0, 1] > 0.9
+
+
+def test_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = queries.op2_language_model(spark, SF).collect()
+    assert {r.doc_id: r.n_words for r in got} == {d: len(t.split()) for d, t in texts.items()} and all(r.score < 0 for r in got)
