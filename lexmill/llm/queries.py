@@ -84,7 +84,7 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{common.shared_dir(spark)}/lexmill/op4-{uuid.uuid4().hex}"
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         tokenizer = f.read()
-    token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer, public_tokenizers.PATTERN)
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer)
     return token_files.checksums(token_files.read_tokens(spark, path))
 
 

@@ -12,7 +12,7 @@ stand next to each other in order of their text; null ids come first.
 
 from __future__ import annotations
 
-import json
+import os
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexmill.llm.common import shuffle_partitions, slices, texts_of
-from lexmill.llm.splitting import Splitter, is_latin
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
@@ -36,75 +35,33 @@ ENCODINGS = {
 }
 
 
-def byte_alphabet() -> list[str]:
-    """The character that stands for each byte in byte-level vocabularies: itself if printable, else the next from 256 on."""
-    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = iter(range(256, 512))
-    return [chr(b if b in printable else next(others)) for b in range(256)]
-
-
-class PieceIds(dict):
-    """Piece of a text -> little-endian ids by the library's BPE model; a memo of bounded size."""
-
-    def __init__(self, tokenizer_json: str, most: int) -> None:
-        from tokenizers import models
-
-        super().__init__()
-        model = json.loads(tokenizer_json)["model"]
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.model = models.BPE(model["vocab"], merges, cache_capacity=1)  # pieces met again are kept here
-        self.alphabet, self.most = byte_alphabet(), most
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        tokens = self.model.tokenize("".join(map(self.alphabet.__getitem__, piece.encode())))
-        ids = self[piece] = array("I", [t.id for t in tokens]).tobytes()
-        return ids
-
-
 class LibraryEncoder:
-    """Ids of whole texts by the ``tokenizers`` library.
+    """Ids of whole texts by the ``tokenizers`` library. A task is one thread: the library's own threads would only take
+    the cores of other tasks."""
 
-    A byte-level tokenizer encodes each match of its splitting pattern on its own, so every distinct match goes to the
-    library's model once and its ids are kept. Texts with characters on which pattern libraries of different Unicode
-    versions may differ, or with a special token's marks, go to the library whole.
-    """
-
-    def __init__(self, tokenizer_json: str, pattern: str, most: int = 500_000) -> None:
+    def __init__(self, tokenizer_json: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.split = Splitter(pattern).latin
-        self.pieces = PieceIds(tokenizer_json, most)
-
-    @staticmethod
-    def plain(text: str) -> bool:
-        return is_latin(text) and not any(c in text for c in "\x1c\x1d\x1e\x1f\x85") and "<|" not in text
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        get, split = self.pieces.__getitem__, self.split
-        out = [b"".join(map(get, split(t))) if self.plain(t) else None for t in texts]
-        odd = [i for i, ids in enumerate(out) if ids is None]
-        if odd:
-            for i, e in zip(odd, self.tokenizer.encode_batch_fast([texts[i] for i in odd], add_special_tokens=False), strict=True):
-                out[i] = np.asarray(e.ids, "<u4").tobytes()
-        return out
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 @lru_cache(maxsize=2)
-def encoder(tokenizer_json: str, pattern: str) -> LibraryEncoder:
-    return LibraryEncoder(tokenizer_json, pattern)
+def encoder(tokenizer_json: str) -> LibraryEncoder:
+    return LibraryEncoder(tokenizer_json)
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, pattern: str, end_id: int = 0, encoding: str = "dictionary") -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int = 0, encoding: str = "dictionary") -> None:
     """Encodes every document, appends ``end_id`` and writes the files."""
     spark = docs.sparkSession
     end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, at = encoder(tokenizer_json, pattern), TaskContext.get().partitionId(), 0
+        enc, part, at = encoder(tokenizer_json), TaskContext.get().partitionId(), 0
         for batch in slices(batches):
             ids = [x + end for x in enc.encode(batch.column("text").to_pylist())]
             n = np.array([len(x) // 4 for x in ids], np.int64)

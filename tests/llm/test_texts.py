@@ -82,7 +82,7 @@ def test_token_files(spark, odd, tmp_path, encoding):
     ref = Tokenizer.from_file(path)
     for k, frame in enumerate((odd, spark.read.parquet(f"{SF}/documents.parquet"), odd.limit(0))):
         out = f"{tmp_path}/{encoding}{k}"
-        token_files.write_tokens(frame, out, open(path).read(), public_tokenizers.PATTERN, encoding=encoding)
+        token_files.write_tokens(frame, out, open(path).read(), encoding=encoding)
         got = [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in token_files.checksums(token_files.read_tokens(spark, out)).collect()]
         want, at = [], 0
         for doc_id, text in sorted(((r.doc_id, r.text or "") for r in frame.select("doc_id", "text").collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1])):
@@ -97,7 +97,7 @@ def test_token_files(spark, odd, tmp_path, encoding):
 
 def test_library_encoder_agrees_on_single_characters():
     path = public_tokenizers.path("byte_bpe_50k.json")
-    ref, enc = Tokenizer.from_file(path), token_files.encoder(open(path).read(), public_tokenizers.PATTERN)
+    ref, enc = Tokenizer.from_file(path), token_files.encoder(open(path).read())
     texts = [f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}" for c in range(256)]
     for text, ids in zip(texts, enc.encode(texts), strict=True):
         assert ids == b"".join(i.to_bytes(4, "little") for i in ref.encode(text, add_special_tokens=False).ids)
