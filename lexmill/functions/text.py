@@ -1,4 +1,4 @@
-"""Text cleaning as Column expressions, so that they fuse into one generated stage.
+"""Text cleaning as Column expressions; only character references are decoded by an Arrow-batched function.
 
 White space means Unicode white space (``(?U)``), as in most languages' ``strip`` and ``\\s``; ``^`` at line starts
 means after ``\\n`` only (``(?d)``).
@@ -6,8 +6,13 @@ means after ``\\n`` only (``(?d)``).
 
 from __future__ import annotations
 
+import html
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import StringType
 
 NBSP = "\u00a0"
 
@@ -140,19 +145,24 @@ def ocr_lead(c: Column) -> Column:
     return strip(F.regexp_replace(strip(text_of(c)), r"\A[xX](?U:\s*)", ""))
 
 
+def is_ready(title: Column, body: Column, least: int = 120) -> Column:
+    """Whether a page is worth parsing: a title of two characters and ``least`` characters of text, white space as one."""
+    return (F.length(strip(text_of(title))) >= 2) & (F.length(clean_line(body, entities=False)) >= least)
+
+
 def blank_lines_gone(c: Column) -> Column:
     return F.regexp_replace(text_of(c), r"\n\s*\n", "\n")
 
 
 def embed_text(c: Column) -> Column:
+    """What an embedding backend gets of a text."""
     return strip(spaces_for_nbsp(c))
 
 
-def unescape(c: Column) -> Column:
-    """The entities that pages use most; others are left to :mod:`lexmill.operators.html`."""
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", NBSP), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+@arrow_udf(StringType())
+def unescape(texts: pa.Array) -> pa.Array:
+    """All character references of HTML, by the standard library."""
+    return pa.array([html.unescape(t) if t and "&" in t else t for t in texts.to_pylist()], pa.string())
 
 
 def html_to_text(c: Column) -> Column:

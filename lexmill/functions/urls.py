@@ -35,10 +35,11 @@ def call_arguments(onclick: Column, call: str, filled: bool = False) -> Column:
     return F.regexp_extract_all(inside, F.lit("'([^']+)'" if filled else "'([^']*)'"), 1)
 
 
-def detail_parts(onclick: Column, family: Family, every: bool = False) -> Column:
+def detail_parts(onclick: Column, family: Family, every: bool = False, filled: bool = False) -> Column:
     """``id`` and ``date`` of a list link. The date is the first argument of eight digits, the id the last other
-    number of five digits or more. Without ``every`` only one occurrence of the date is set aside."""
-    args = call_arguments(onclick, family.call)
+    number of five digits or more. Without ``every`` only one occurrence of the date is set aside; ``filled`` reads
+    quoted arguments that are not empty."""
+    args = call_arguments(onclick, family.call, filled)
     date = F.get(F.filter(args, lambda a: a.rlike("^[0-9]{8}$")), 0)
     numbers = F.filter(args, lambda a: a.rlike("^[0-9]{5,}$"))
     at = F.array_position(numbers, date).cast("int")
@@ -47,9 +48,9 @@ def detail_parts(onclick: Column, family: Family, every: bool = False) -> Column
     return F.struct(F.try_element_at(rest, F.lit(-1)).alias("id"), date.alias("date"))
 
 
-def detail_url(onclick: Column, family: Family, base: str, every: bool = False) -> Column:
+def detail_url(onclick: Column, family: Family, base: str, every: bool = False, filled: bool = False) -> Column:
     """The detail page of a list link; null if it has no id."""
-    parts = detail_parts(onclick, family, every)
+    parts = detail_parts(onclick, family, every, filled)
     return F.when(parts["id"].isNotNull(), F.concat(F.lit(f"{base}/{family.page}?{family.id_name}="), parts["id"], F.when(parts["date"].isNull(), F.lit("")).otherwise(F.concat(F.lit("&efYd="), parts["date"]))))
 
 

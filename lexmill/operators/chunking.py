@@ -1,9 +1,15 @@
-"""Sentences and size-bounded chunks, as folds over arrays (no shuffle, no Python)."""
+"""Sentences and size-bounded chunks. Sentences are cut by Column expressions; packing them is a fold whose state is a
+run of sentences, in Arrow batches, so that its time grows with the text and not with the square of its chunks."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import ArrayType, StringType
 
 from lexmill.functions.text import clean_line, strip, text_of
 
@@ -38,30 +44,36 @@ def ascii_sentences(text: Column) -> Column:
     return F.filter(F.transform(parts, lambda x: F.btrim(x, F.lit(" \t\r"))), lambda x: x != "")
 
 
+def _packed(pack: Callable[[list[str]], Iterator[str]]) -> Callable[[Column], Column]:
+    """A function of lists of sentences as a function of array columns; null stays null."""
+
+    @arrow_udf(ArrayType(StringType()))
+    def chunks(lists: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else list(pack(x)) for x in (x.as_py() for x in lists)], pa.list_(pa.string()))
+
+    return chunks
+
+
 def greedy_chunks(sentences: Column, target: int = TARGET, most: int = MOST, strict: bool = False) -> Column:
     """Packs sentences while they fit in ``target`` characters.
 
     A chunk that is closed by a further sentence is cut at ``most`` and its tail dropped; the last chunk is never cut.
     ``strict`` cuts none and drops nothing.
     """
-    shut = (lambda c: c) if strict else (lambda c: F.left(c, F.lit(most)))
-    state = F.aggregate(
-        sentences,
-        F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("cur")),
-        lambda s, x: F.when(s["cur"] == "", F.struct(s["out"].alias("out"), x.alias("cur")))
-        .when(F.length(s["cur"]) + 1 + F.length(x) <= target, F.struct(s["out"].alias("out"), F.concat_ws(" ", s["cur"], x).alias("cur")))
-        .otherwise(F.struct(F.concat(s["out"], F.array(shut(s["cur"]))).alias("out"), x.alias("cur"))),
-    )
-    return F.when(state["cur"] == "", state["out"]).otherwise(F.concat(state["out"], F.array(state["cur"])))
-
 
-def _weight(sentences: Column) -> Column:
-    return F.aggregate(sentences, F.lit(0), lambda n, x: n + F.length(x) + 1)
+    def pack(found: list[str]) -> Iterator[str]:
+        held: list[str] = []
+        size = -1  # of the held sentences joined
+        for x in found:
+            if held and size + 1 + len(x) > target:
+                yield " ".join(held)[: None if strict else most]
+                held, size = [], -1
+            held.append(x)
+            size += 1 + len(x)
+        if held:
+            yield " ".join(held)
 
-
-def _tail(sentences: Column, overlap: int) -> Column:
-    """The shortest run of last sentences that weighs ``overlap`` or more; all if none does."""
-    return F.aggregate(F.reverse(sentences), F.array().cast("array<string>"), lambda c, x: F.when(_weight(c) < overlap, F.concat(F.array(x), c)).otherwise(c))
+    return _packed(pack)(sentences)
 
 
 def overlapping_chunks(sentences: Column, size: int = CHUNK, overlap: int = OVERLAP) -> Column:
@@ -70,20 +82,33 @@ def overlapping_chunks(sentences: Column, size: int = CHUNK, overlap: int = OVER
     A sentence that finds no room closes the chunk and joins what is carried over, without a second test, so chunks may
     grow beyond ``size``. A first sentence that is too long gives a chunk of ``size`` and goes on ``overlap`` before its end.
     """
-    none = F.array().cast("array<string>")
-    state = F.aggregate(
-        sentences,
-        F.struct(none.alias("out"), none.alias("cur")),
-        lambda s, x: F.when(_weight(s["cur"]) + F.length(x) + 1 <= size, F.struct(s["out"].alias("out"), F.concat(s["cur"], F.array(x)).alias("cur")))
-        .when(F.size(s["cur"]) > 0, F.struct(F.concat(s["out"], F.array(F.array_join(s["cur"], " "))).alias("out"), F.concat(_tail(s["cur"], overlap), F.array(x)).alias("cur")))
-        .otherwise(
-            F.struct(
-                F.concat(s["out"], F.array(F.left(x, F.lit(size)))).alias("out"),
-                F.when(F.length(x) > size, F.array(F.substring(x, F.lit(size - overlap + 1), F.length(x)))).otherwise(none).alias("cur"),
-            )
-        ),
-    )
-    return F.when(F.size(state["cur"]) == 0, state["out"]).otherwise(F.concat(state["out"], F.array(F.array_join(state["cur"], " "))))
+
+    def carried(held: list[str]) -> tuple[list[str], int]:
+        """The shortest run of last sentences that weighs ``overlap`` or more, all if none does; and its weight."""
+        at, weight = len(held), 0
+        while at and weight < overlap:
+            at -= 1
+            weight += len(held[at]) + 1
+        return held[at:], weight
+
+    def pack(found: list[str]) -> Iterator[str]:
+        held: list[str] = []
+        weight = 0  # a sentence weighs a character more than it has
+        for x in found:
+            if weight + len(x) + 1 > size:
+                if not held:
+                    yield x[:size]
+                    held = [x[size - overlap :]] if len(x) > size else []
+                    weight = sum(len(h) + 1 for h in held)
+                    continue
+                yield " ".join(held)
+                held, weight = carried(held)
+            held.append(x)
+            weight += len(x) + 1
+        if held:
+            yield " ".join(held)
+
+    return _packed(pack)(sentences)
 
 
 def numbered(chunks: Column) -> Column:

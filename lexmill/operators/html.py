@@ -1,7 +1,7 @@
 """Pages as rows of nodes.
 
 Python does one thing here: an Arrow-batched function turns a page into an array of nodes in document order (the
-standard library's tokenizer, with void tags, implied paragraph ends and skipped scripts). Selecting, joining,
+standard library's tokenizer, with void tags, implied ends, a paragraph for text outside any element, and skipped scripts). Selecting, joining,
 classifying and cutting are Column expressions over that array, so a page is parsed once and never shuffled.
 
 A node: ``ord, parent, depth, last`` (the last node below it), ``tag, id, class`` (padded with blanks), ``attrs``,
@@ -11,7 +11,6 @@ below, as it stands, with a line break after ``p`` and ``br``).
 
 from __future__ import annotations
 
-import html as html_entities
 from collections.abc import Callable
 from html.parser import HTMLParser
 
@@ -20,21 +19,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.functions.ids import chunk_id
-from lexmill.functions.text import clean_line, clean_spaces, drop_brackets, normal_lines, strip
-from lexmill.functions.urls import Family, document_id
+from lexmill.functions.ids import chunk_id, or_none
+from lexmill.functions.text import aliases, clean_block, clean_line, clean_spaces, drop_brackets, first_of, ministry, normal_lines, short_title, strip, without_noise
+from lexmill.functions.urls import Family, document_id, query_value, without_fragment
 from lexmill.operators.segment import take_until
 
 NODE = "struct<ord:int,parent:int,depth:int,last:int,tag:string,id:string,class:string,attrs:map<string,string>,own:array<string>,text:string,flat:string>"
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 ENDS_PARAGRAPH = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
+#: A start tag ends open elements of these tags, up to the nearest element of the others.
+IMPLIED_ENDS = {
+    "li": (("li",), ("ul", "ol", "menu")),
+    **{t: (("dt", "dd"), ("dl",)) for t in ("dt", "dd")},
+    **{t: (("td", "th"), ("tr", "table")) for t in ("td", "th")},
+    "tr": (("td", "th", "tr"), ("table",)),
+    **{t: (("td", "th", "tr", "thead", "tbody", "tfoot"), ("table",)) for t in ("thead", "tbody", "tfoot")},
+    "option": (("option",), ("select", "datalist")),
+}
+
 # Selectors and labels of the page families.
 USE = "data-brl-use"
 STATUTE_BODIES = ("contentBody", "conScroll")
 STATUTE_BODY_CLASS = "law-view-content"
 CHAPTER_LEAD = r"(?U)\A제\s*\d+\s*장"
 ROMAN_LEAD = r"(?U)\A\s*[Ⅰ-Ⅹ]+\.\s"
+TITLES = (("h2", USE, "PH/H1"), ("conTop", "h1"), ("conTop", "h2"))
+SUBTITLES = ("subtitle1", "subtit1", "subTit1")
+SUBTITLE_ATTRIBUTE = "data-subtitle1"
+BODY_IDS = ("contentBody", "conScroll", "content")
+STATUTE_NAME = "법령"
+LIST_TABLE = "resultTableDiv"
 HEAD_LABELS = ("판시사항", "판결요지", "참조조문")
 WHOLE, ORDER, REASONS, PREAMBLE = "전문", "주문", "이유", "서문"
 # End of fixed values.
@@ -48,8 +63,8 @@ class _Nodes(HTMLParser):
         self.pieces: list[tuple[int, str]] = []  # (node, text) in order; -1: a line break of the flat text
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in ENDS_PARAGRAPH and self.open and self.rows[self.open[-1]]["tag"] == "p":
-            self._close(len(self.open) - 1)
+        if tag in ENDS_PARAGRAPH or tag in IMPLIED_ENDS:
+            self._imply_ends(tag)
         parent = self.open[-1] if self.open else None
         at = {k: v or "" for k, v in reversed(attrs)}
         self.rows.append({"ord": len(self.rows), "parent": parent, "depth": len(self.open), "tag": tag, "id": at.get("id"), "class": f" {' '.join(at.get('class', '').split())} ", "attrs": at, "own": [], "first": len(self.pieces)})
@@ -60,6 +75,18 @@ class _Nodes(HTMLParser):
         else:
             self.open.append(len(self.rows) - 1)
 
+    def _imply_ends(self, tag: str) -> None:
+        over, within = IMPLIED_ENDS.get(tag, ((), ()))
+        last = None
+        for k in range(len(self.open) - 1, -1, -1):
+            here = self.rows[self.open[k]]["tag"]
+            if here in within:
+                break
+            if here in over or (here == "p" and tag in ENDS_PARAGRAPH and k == len(self.open) - 1):
+                last = k
+        if last is not None:
+            self._close(last)
+
     def handle_endtag(self, tag: str) -> None:
         for k in range(len(self.open) - 1, -1, -1):
             if self.rows[self.open[k]]["tag"] == tag:
@@ -73,6 +100,8 @@ class _Nodes(HTMLParser):
         del self.open[k:]
 
     def handle_data(self, data: str) -> None:
+        if not self.open and data.strip():  # text outside any element begins a paragraph
+            self.handle_starttag("p", [])
         if self.open and self.rows[self.open[-1]]["tag"] not in ("script", "style"):
             self.rows[self.open[-1]]["own"].append(data)
             self.pieces.append((self.open[-1], data))
@@ -100,12 +129,6 @@ def parse(pages: pd.Series) -> pd.Series:
     return pages.map(nodes_of)
 
 
-@F.pandas_udf(T.StringType())
-def unescape(text: pd.Series) -> pd.Series:
-    """All entities of the standard, by the standard library."""
-    return text.map(lambda t: None if t is None else html_entities.unescape(t))
-
-
 Test = Callable[[Column], Column]
 
 
@@ -310,8 +333,64 @@ def labelled_block(nodes: Column, label: str) -> Column:
     return F.coalesce(*(F.nullif(clean_line(x["text"], entities=False), F.lit("")) for x in found), F.lit(""))
 
 
-def case_header(nodes: Column, titles: list[Test], subtitles: list[Test]) -> Column:
-    """``title, subtitle``: the first of several places that holds text, without brackets."""
-    pick = lambda tests: F.coalesce(*(F.nullif(clean_line(first(nodes, t)["text"], entities=False), F.lit("")) for t in tests), F.lit(""))
-    return F.struct(drop_brackets(pick(titles)).alias("title"), drop_brackets(pick(subtitles)).alias("subtitle"))
+def _own(nodes: Column, test: Test) -> Column:
+    """The own text of all nodes that pass, as one cleaned line."""
+    return clean_line(F.array_join(F.flatten(F.transform(select(nodes, test), lambda n: F.coalesce(n["own"], F.array().cast("array<string>")))), " "), entities=False)
+
+
+def case_header(nodes: Column) -> Column:
+    """``title, subtitle`` of a case: the first of three, and of four, places that holds text; the subtitle loses its brackets."""
+    frame = first(nodes, lambda n: n["id"] == "conTop")
+    within = F.coalesce(below(nodes, frame), F.array().cast(f"array<{NODE}>"))
+    tag, attribute, value = TITLES[0]
+    titles = [_own(nodes, lambda n: (n["tag"] == tag) & (F.try_element_at(n["attrs"], F.lit(attribute)) == value)), *(_own(within, is_tag(t)) for _, t in TITLES[1:])]
+    subtitles = [*(_own(nodes, has_class(c)) for c in SUBTITLES), _own(nodes, lambda n: F.map_contains_key(n["attrs"], SUBTITLE_ATTRIBUTE))]
+    return F.struct(first_of(*titles).alias("title"), drop_brackets(first_of(*subtitles)).alias("subtitle"))
+
+
+def section_texts(nodes: Column) -> list[Column]:
+    """The texts of the labels 판시사항, 판결요지, 참조조문, wherever a page puts them."""
+    return [labelled_block(nodes, label).alias(label) for label in HEAD_LABELS]
+
+
+def whole_text(nodes: Column) -> Column:
+    """``주문, 이유``: from the block of 전문 if it names them (then the block as a whole), else from the page at large."""
+    block = labelled_block(nodes, WHOLE)
+    part = lambda label: F.when(block.contains(label), block).otherwise(labelled_block(nodes, label)).alias(label)
+    return F.struct(part(ORDER), part(REASONS))
 
+
+def case_details(pages: DataFrame) -> DataFrame:
+    """``source_url, title, subtitle1, sections`` of case pages of any layout (``url, html``), found by labels."""
+    parsed = pages.select("url", parse(F.col("html")).alias("nodes"))
+    nodes = F.col("nodes")
+    told = parsed.select("url", case_header(nodes).alias("h"), F.struct(*section_texts(nodes), whole_text(nodes).alias(WHOLE)).alias("sections"))
+    return told.select(F.col("url").alias("source_url"), F.col("h.title").alias("title"), F.col("h.subtitle").alias("subtitle1"), "sections")
+
+
+def statute_header(pages: DataFrame) -> DataFrame:
+    """A record for each statute page (``url, html``): names, ministry and identifiers, and the lines of its body without
+    noise: ``doc_id, title, short_title, ministry, efYd, lsiSeq, source_url, aliases, lang, kind, body``."""
+    parsed = pages.select("url", "html", parse(F.col("html")).alias("nodes"))
+    nodes = F.col("nodes")
+    subtitle = F.array_join(F.flatten(F.transform(select(nodes, has_class("ct_sub")), lambda n: F.transform(F.split(n["text"], "\n"), strip))), " ")
+    bodies = F.flatten(F.transform(select(nodes, lambda n: n["id"].isin(*BODY_IDS)), lambda n: F.split(n["text"], "\n")))
+    named = clean_spaces(F.array_join(F.flatten(F.transform(select(nodes, is_tag("h2")), lambda n: n["own"])), ""))
+    seq, date = query_value(F.col("url"), "lsiSeq"), query_value(F.col("url"), "efYd")
+    title = F.coalesce(F.nullif(named, F.lit("")), F.lit(STATUTE_NAME))
+    brief = short_title(F.col("html"))
+    return parsed.select(
+        F.concat(F.lit("law:"), or_none(seq), F.lit(":"), or_none(date)).alias("doc_id"), title.alias("title"), brief.alias("short_title"), ministry(subtitle).alias("ministry"),
+        date.alias("efYd"), seq.alias("lsiSeq"), without_fragment(F.col("url")).alias("source_url"), aliases(brief, named).alias("aliases"), F.lit("ko").alias("lang"), F.lit("document").alias("kind"),
+        F.array_join(without_noise(F.transform(bodies, lambda x: clean_spaces(x, quotes=False))), "\n").alias("body"),
+    )
+
+
+def block_lines(pages: DataFrame) -> DataFrame:
+    """``url, ord, line``: the blocks of each page's body, nested ones too, in document order."""
+    parsed = pages.select("url", parse(F.col("html")).alias("nodes"))
+    nodes = F.col("nodes")
+    holders = select(nodes, lambda n: n["id"].isin(*BODY_IDS))
+    inside = F.filter(nodes, lambda n: n["tag"].isin("p", "div", "li", "table", "blockquote") & F.exists(holders, lambda h: (n["ord"] > h["ord"]) & (n["ord"] <= h["last"])))
+    found = parsed.select("url", F.explode(inside).alias("n"))
+    return found.select("url", F.col("n.ord").alias("ord"), clean_block(F.col("n.text")).alias("line")).where("line <> ''")

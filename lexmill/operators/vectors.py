@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
-import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from lexmill.functions.text import embed_text
+from lexmill.sources import shared_dir
+
 #: A backend turns a list of texts into a list of vectors. It is built once for each Python worker batch stream.
 Backend = Callable[[list[str]], list[list[float]]]
 VECTOR = T.ArrayType(T.DoubleType())
@@ -49,41 +52,61 @@ def stub_backend(dim: int) -> Backend:
     return embed
 
 
-def with_retry(embed: Backend, config: EmbedConfig, sleep: Callable[[float], None] | None = None) -> Backend:
-    """``embed``, tried again after growing waits; the last failure is raised, so that Spark retries the task."""
-    import time
+def waits(config: EmbedConfig) -> Iterator[float]:
+    """Seconds before each further attempt: doubled each time up to ``most``, with up to a second of chance."""
+    for n in range(config.attempts - 1):
+        yield min(config.wait * 2**n, config.most) + random.random()
+
 
-    pause = sleep or time.sleep
+def with_retry(embed: Backend, config: EmbedConfig, sleep: Callable[[float], None] = time.sleep) -> Backend:
+    """``embed``, tried again after each of the :func:`waits`; the last failure is raised."""
 
     def tried(texts: list[str]) -> list[list[float]]:
-        wait = config.wait
-        for attempt in range(config.attempts):
+        left = waits(config)
+        while True:
             try:
                 return embed(texts)
             except Exception:
-                if attempt == config.attempts - 1:
+                pause = next(left, None)
+                if pause is None:
                     raise
-                pause(min(wait, config.most) + random.random())
-                wait *= 2
-        raise ValueError("attempts must be positive")
+            sleep(pause)
 
     return tried
 
 
-def embed_column(make: Callable[[], Backend], config: EmbedConfig):
-    """A function of a text column: an iterator of Arrow batches, one backend for all batches of a task."""
+def probed_dim(make: Callable[[], Backend], wanted: int) -> int:
+    """The dimension that a backend really gives, from one short text; fails if it is not the wanted one (0: any)."""
+    found = len(make()(["dimension"])[0])
+    if wanted and found != wanted:
+        raise ValueError(f"the backend gives vectors of {found} dimensions, not {wanted}")
+    return found
+
 
-    @F.pandas_udf(VECTOR)
-    def embed(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def embed_column(make: Callable[[], Backend], config: EmbedConfig, keep_errors: bool = False):
+    """A function of a text column: an iterator of Arrow batches, one backend for all batches of a task. With
+    ``keep_errors`` it gives ``vector, error``, and a batch that fails to the last has its message; else it raises."""
+
+    @F.pandas_udf(T.StructType([T.StructField("vector", VECTOR), T.StructField("error", T.StringType())]))
+    def embed(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         backend = with_retry(make(), config)
         for part in parts:
-            texts = [(t or "").replace(" ", " ").strip() for t in part]
-            found: list[list[float]] = []
+            texts = list(part)
+            vectors: list[list[float] | None] = []
+            errors: list[str | None] = []
             for i in range(0, len(texts), config.batch):
-                found += backend(texts[i : i + config.batch])
-            yield pd.Series(found, index=part.index, dtype=object)
+                some = texts[i : i + config.batch]
+                try:
+                    vectors += backend(some)
+                    errors += [None] * len(some)
+                except Exception as e:
+                    if not keep_errors:
+                        raise
+                    vectors += [None] * len(some)
+                    errors += [str(e) or type(e).__name__] * len(some)
+            yield pd.DataFrame({"vector": pd.Series(vectors, dtype=object), "error": pd.Series(errors, dtype=object)})
 
-    return embed
+    return (lambda c: embed(embed_text(c))) if keep_errors else (lambda c: embed(embed_text(c))["vector"])
 
 
 def norm(v: Column) -> Column:
@@ -125,7 +148,7 @@ def top_similar(queries: DataFrame, vectors: DataFrame, k: int, query_rows: int
         return _ranked(_best_of_block(asked.collect(), vectors, k), k)
     cuts = asked.agg(F.percentile_approx("query_id", [i / blocks for i in range(1, blocks)], max(10_000, 20 * blocks))).first()[0]
     cuts = sorted(set(cuts))
-    path = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='lexmill-')}/topk-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/topk-{uuid.uuid4().hex}"
     for low, high in zip([None, *cuts], [*cuts, None], strict=True):
         block = asked if low is None else asked.where(F.col("query_id") > low)
         block = block if high is None else block.where(F.col("query_id") <= high)

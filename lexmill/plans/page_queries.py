@@ -133,12 +133,12 @@ def page_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @CATALOG.add(
     "page_ready",
-    HTML_SQL.replace("SELECT page_id, trim(", "WITH t AS (SELECT page_id, html, trim(").replace("FROM pages", "FROM pages) SELECT page_id, length(text) AS n_chars, regexp_matches(html, '<title>[^<]{2,}') AND length(text) >= 120 AS ready FROM t"),
+    HTML_SQL.replace("SELECT page_id, trim(", "WITH t AS (SELECT page_id, html, trim(").replace("FROM pages", "FROM pages) SELECT page_id, length(text) AS n_chars, length(trim(regexp_extract(html, '<title>([^<]*)', 1))) >= 2 AND length(text) >= 120 AS ready FROM t"),
 )
 def page_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether a page holds a title and enough text to be parsed."""
-    body = text.html_to_text(F.col("html"))
-    return _pages(spark, sf_dir).select("page_id", F.length(body).cast("long").alias("n_chars"), (F.col("html").rlike("<title>[^<]{2,}") & (F.length(body) >= 120)).alias("ready"))
+    told = _pages(spark, sf_dir).select("page_id", F.regexp_extract("html", "<title>([^<]*)", 1).alias("title"), text.html_to_text(F.col("html")).alias("body"))
+    return told.select("page_id", F.length("body").cast("long").alias("n_chars"), text.is_ready(F.col("title"), F.col("body")).alias("ready"))
 
 
 @CATALOG.add(

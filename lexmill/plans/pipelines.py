@@ -26,6 +26,21 @@ class RunConfig:
     base: str
     max_pages: int = 3
     version_key: bool = False
+    department: str | None = None
+
+
+def listed_pages(list_pages: DataFrame, config: RunConfig, key: str = "department") -> DataFrame:
+    """The list pages that a crawl would visit: of the department, if one is named and the pages tell theirs, up to the
+    last page that the first page's counter names (1 without one) or ``max_pages``, and none after an empty page."""
+    wanted = list_pages
+    if config.department is not None and key in list_pages.columns:
+        wanted = wanted.where(F.col(key) == config.department)
+    wanted = wanted.withColumn("__list", F.col(key) if key in list_pages.columns else F.lit(0))
+    full = wanted.select("__list", "page_no", "html", F.col("html").contains(config.family.call).alias("full"))
+    limits = full.groupBy("__list").agg(F.max(F.when(F.col("page_no") == 1, urls.page_counter(F.col("html"))["last"])).alias("last"), F.min(F.when(~F.col("full"), F.col("page_no"))).alias("empty"))
+    joined = full.join(limits, full["__list"].eqNullSafe(limits["__list"])).drop(limits["__list"])
+    most = F.least(F.coalesce("last", F.lit(1)), F.lit(config.max_pages))
+    return joined.where((F.col("page_no") <= most) & (F.col("empty").isNull() | (F.col("page_no") < F.col("empty")))).select(F.col("__list").alias(key), "page_no", "html")
 
 
 def frontier(list_pages: DataFrame, config: RunConfig) -> DataFrame:
@@ -73,6 +88,23 @@ def case_queue(pages: DataFrame) -> DataFrame:
     return enqueue(cases.select("source_url", "title", "subtitle1", F.inline(chunks)))
 
 
+def statute_lines(pages: DataFrame, dept_id: str | None = None) -> DataFrame:
+    """Statute pages (``url, html``) to flat lines, one for each paragraph of an article: articles by sessions over the
+    blocks of a page, cut into paragraphs, with the place of each and its id."""
+    lines = html.block_lines(pages)
+    articles = segment.statute_articles(lines, ["url"], "ord", "line")
+    titles = pages.select("url", html.parse(F.col("html")).alias("nodes")).select("url", html.own_text(html.first(F.col("nodes"), html.is_tag("h2"))).alias("law_title"))
+    cut = articles.join(titles, "url").select("*", F.posexplode(segment.plain_paragraphs(F.col("body"))).alias("p_pos", "p"))
+    seq, date = urls.query_value(F.col("url"), "lsiSeq"), urls.query_value(F.col("url"), "efYd")
+    prologue = F.col("article_no") == 0
+    chapter = F.when(~prologue, F.col("chapter_no"))
+    path = F.when(prologue, F.lit("서문")).otherwise(F.array_join(ids.breadcrumbs(chapter, F.col("chapter_title"), F.col("article_no"), F.col("article_title"), F.col("p.no")), " > "))
+    return cut.select(
+        ids.line_id(seq, date, chapter, F.col("article_no"), F.col("p.no")).alias("id"), F.col("p.text").alias("text"), "law_title", chapter.alias("chapter_no"), F.when(~prologue, F.col("chapter_title")).alias("chapter_title"),
+        "article_no", "article_title", F.col("p.no").alias("paragraph_no"), path.alias("section_path"), seq.alias("lsiSeq"), date.alias("efYd"), F.col("url").alias("source_url"), F.lit(dept_id).alias("dept_id"), F.lit("ko").alias("lang"),
+    )
+
+
 def rich_chunks(bodies: DataFrame, target: int = chunking.TARGET, most: int = chunking.MOST) -> DataFrame:
     """Statute bodies (``url, title, body``) to chunks with their place in the statute.
 

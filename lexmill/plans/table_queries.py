@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexmill import sources
 from lexmill.catalog import Catalog, table
 from lexmill.operators import queue, vectors
-from lexmill.streaming import embed_rows
+from lexmill.streaming import VectorStore, embed_rows
 
 CATALOG = Catalog()
 
@@ -53,15 +56,19 @@ def queue_state_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     "embedding_upsert",
     """
 WITH old AS (SELECT vec_id AS queue_id, CAST(label AS INTEGER) AS chunk_no, 1.0 AS gen FROM embeddings WHERE vec_id % 3 <> 0),
-new AS (SELECT vec_id AS queue_id, CAST(label + 1 AS INTEGER) AS chunk_no, 2.0 AS gen FROM embeddings WHERE vec_id % 2 = 0)
-SELECT coalesce(o.queue_id, n.queue_id) AS queue_id, coalesce(o.chunk_no, n.chunk_no) AS chunk_no, CAST(coalesce(n.gen, o.gen) AS DOUBLE) AS generation FROM old o FULL JOIN new n ON o.queue_id = n.queue_id
+new AS (SELECT vec_id AS queue_id, CAST(label + 1 AS INTEGER) AS chunk_no, CASE WHEN vec_id % 4 = 0 THEN 3.0 ELSE 2.0 END AS gen FROM embeddings WHERE vec_id % 2 = 0)
+SELECT coalesce(o.queue_id, n.queue_id) AS queue_id, coalesce(o.chunk_no, n.chunk_no) AS chunk_no, CAST(coalesce(n.gen, o.gen) AS DOUBLE) AS generation,
+  CASE WHEN o.queue_id IS NULL THEN 2020 ELSE 2010 END AS created, CASE WHEN n.queue_id IS NULL THEN 2010 ELSE 2020 END AS updated FROM old o FULL JOIN new n ON o.queue_id = n.queue_id
 """,
 )
 def embedding_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New vectors over old ones; of keys that come twice the larger id wins, whatever its chunk number."""
     e = table(spark, sf_dir, "embeddings")
-    row = lambda d, c, g: d.select(F.col("vec_id").alias("queue_id"), c.cast("int").alias("chunk_no"), F.array(F.lit(g)).alias("vector"))
-    merged = queue.upsert_vectors(row(e.where("vec_id % 3 <> 0"), F.col("label"), 1.0), row(e.where("vec_id % 2 = 0"), F.col("label") + 1, 2.0))
-    return merged.select("queue_id", "chunk_no", F.get("vector", 0).alias("generation"))
+    row = lambda d, k, c, g: d.select(k.alias("id"), F.col("vec_id").alias("queue_id"), c.cast("int").alias("chunk_no"), F.array(F.lit(g)).alias("vector"))
+    old = row(e.where("vec_id % 3 <> 0"), F.col("vec_id"), F.col("label"), 1.0).drop("id").withColumns({c: F.lit("2010-01-01").cast("timestamp") for c in ("created_at", "updated_at")})
+    new = row(e.where("vec_id % 2 = 0"), F.col("vec_id"), F.col("label") + 1, 2.0).unionByName(row(e.where("vec_id % 4 = 0"), F.col("vec_id") + 1_000_000, F.col("label") + 1, 3.0))
+    merged = queue.upsert_vectors(old, new, now=F.lit("2020-01-01").cast("timestamp"))
+    return merged.select("queue_id", "chunk_no", F.get("vector", 0).alias("generation"), F.year("created_at").cast("int").alias("created"), F.year("updated_at").cast("int").alias("updated"))
 
 
 @CATALOG.add(
@@ -133,10 +140,116 @@ def json_normalize_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @CATALOG.add("kind_router", "SELECT 'document' AS kind, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS keys FROM documents UNION ALL SELECT 'chunk', count(*), CAST(sum(conv_id) AS BIGINT) FROM conversations")
 def kind_router(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of two kinds in one stream, told apart by their kind."""
+    """Records of two kinds in one stream, routed to an output for each kind and read back from it."""
     docs = table(spark, sf_dir, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("key"))
     both = docs.unionByName(table(spark, sf_dir, "conversations").select(F.lit("chunk").alias("kind"), F.col("conv_id").alias("key")))
-    return both.groupBy("kind").agg(F.count("*").alias("n"), F.sum("key").alias("keys"))
+    path = f"{sources.shared_dir(spark)}/routed-{uuid.uuid4().hex}"
+    sources.routed(both, path)
+    one = lambda kind: sources.route(spark, path, kind, T.StructType([T.StructField("key", T.LongType())])).agg(F.lit(kind).alias("kind"), F.count("*").alias("n"), F.sum("key").alias("keys"))
+    return one("document").unionByName(one("chunk"))
+
+
+@CATALOG.add("queue_enqueue", "SELECT row_number() OVER (ORDER BY conv_id, turn, text) + 100 AS id, CAST(conv_id AS VARCHAR) AS source_url, CAST(turn AS INTEGER) AS chunk_no, 'pending' AS status, created_at = updated_at AS fresh FROM (SELECT *, 1 AS created_at, 1 AS updated_at FROM conversations)")
+def queue_enqueue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as new queue rows, numbered on from the queue's last id."""
+    t = table(spark, sf_dir, "conversations")
+    chunks = t.select(F.lpad(F.col("conv_id").cast("string"), 12, "0").alias("source_url"), F.col("role").alias("title"), F.lit("").alias("subtitle1"), F.col("turn").alias("chunk_no"), F.col("text").alias("chunk"))
+    return queue.enqueue(chunks, after=100).select("id", F.regexp_replace("source_url", "^0+(?=.)", "").alias("source_url"), "chunk_no", "status", (F.col("created_at") == F.col("updated_at")).alias("fresh"))
+
+
+@CATALOG.add(
+    "worker_marks",
+    "SELECT conv_id * 1000 + turn AS id, CASE WHEN turn % 4 = 3 THEN 'done' WHEN role = 'user' THEN 'error' ELSE 'done' END AS status, CASE WHEN turn % 4 <> 3 AND role = 'user' THEN 'no vector for user' END AS error, turn % 4 <> 3 AND role <> 'user' AS embedded FROM conversations",
+)
+def worker_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A worker's batch: rows whose backend fails end as errors with its message, the others as done with a vector."""
+    t = table(spark, sf_dir, "conversations")
+    status = F.when(F.col("turn") % 4 == 3, queue.DONE).otherwise(queue.PENDING)
+    rows = t.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.lit("u").alias("source_url"), F.lit("t").alias("title"), F.lit("").alias("subtitle1"), F.col("turn").cast("int").alias("chunk_no"), F.col("role").alias("chunk"), status.alias("status"), F.lit(None).cast("string").alias("error"), F.current_timestamp().alias("created_at"), F.current_timestamp().alias("updated_at"))
+    store = VectorStore(spark, f"{sources.shared_dir(spark)}/worker-{uuid.uuid4().hex}")
+    store.upsert(rows, 0, no_users, vectors.EmbedConfig(dim=4, batch=1, attempts=1))
+    found = store.read().select(F.col("queue_id").alias("id"), F.lit(True).alias("embedded"))
+    return store.marked(rows).join(found, "id", "left").select("id", "status", "error", F.coalesce("embedded", F.lit(False)).alias("embedded"))
+
+
+def no_users() -> vectors.Backend:
+    """A backend that fails on one text, to be marked as an error."""
+    embed = vectors.stub_backend(4)
+
+    def checked(texts: list[str]) -> list[list[float]]:
+        if "user" in texts:
+            raise ValueError("no vector for user")
+        return embed(texts)
+
+    return checked
+
+
+@CATALOG.add("claims_of_two_workers", f"WITH {QUEUE_SQL} SELECT count(*) AS n, count(DISTINCT id) AS different, min(id) > 0 AS valid FROM q WHERE status = 'pending'")
+def claims_of_two_workers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workers that see shares of the ids claim every pending row once between them."""
+    q = _queue(spark, sf_dir)
+    every = q.count()
+    both = queue.claimable(q, every, 0, 2).unionByName(queue.claimable(q, every, 1, 2))
+    return both.agg(F.count("*").alias("n"), F.count_distinct("id").alias("different"), (F.min("id") > 0).alias("valid"))
+
+
+@CATALOG.add(
+    "jsonl_round_trip",
+    "SELECT doc_id, source AS title, lang AS subtitle, n_chars FROM (SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(source, '') AS source, lang, CAST(n_chars AS INTEGER) AS n_chars FROM documents) WHERE doc_id NOT LIKE '%7'",
+)
+def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a title, written as JSON lines, read back by their schema, and joined to what they came from."""
+    d = table(spark, sf_dir, "documents")
+    rows = d.select(F.col("doc_id").cast("string").alias("doc_id"), F.when(~F.col("doc_id").cast("string").endswith("7"), F.col("source")).alias("title"), F.col("lang").alias("subtitle"), F.concat(F.lit("u"), "doc_id").alias("source_url"))
+    path = f"{sources.shared_dir(spark)}/jsonl-{uuid.uuid4().hex}"
+    sources.write_jsonl(sources.savable(rows), path)
+    back = sources.read_jsonl(spark, path, sources.DOCUMENT)
+    return back.join(d.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("n_chars").cast("int").alias("n_chars")), "doc_id").select("doc_id", "title", "subtitle", "n_chars")
+
+
+@CATALOG.add("csv_round_trip", """SELECT CAST(event_id AS VARCHAR) AS id, event_type AS "metadata.chapter", props AS text FROM events""")
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested records as CSV with a byte-order mark and quoted JSON in a field, and back."""
+    path = f"{sources.shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    nested = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("id"), F.struct(F.col("event_type").alias("chapter")).alias("metadata"), F.col("props").alias("text"))
+    sources.write_csv(nested, path)
+    return sources.read_csv(spark, path)
+
+
+@CATALOG.add("quarantined_rows", "SELECT CASE WHEN o_totalprice < 50000 THEN 'bad' ELSE 'good' END AS part, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1")
+def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{sources.shared_dir(spark)}/quarantine-{uuid.uuid4().hex}"
+    good = sources.quarantine(table(spark, sf_dir, "orders"), F.col("o_totalprice") < 50000, path)
+    both = good.select(F.lit("good").alias("part"), "o_orderkey").unionByName(spark.read.parquet(path).select(F.lit("bad").alias("part"), "o_orderkey"))
+    return both.groupBy("part").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+@CATALOG.add("run_log_records", "SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, CASE WHEN value < 10 THEN 'ERROR' ELSE 'INFO' END AS level, event_type || ' ' || event_id AS message FROM events")
+def run_log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a run log, read as records; stack traces between them are left out."""
+    level = F.when(F.col("value") < 10, "ERROR").otherwise("INFO")
+    line = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS"), F.lit(" - "), level, F.lit(" - "), "event_type", F.lit(" "), F.col("event_id").cast("string"))
+    lines = table(spark, sf_dir, "events").select(F.explode(F.array(line, F.lit("  File \"x.py\", line 3"))).alias("value"))
+    return sources.log_records(lines).select(F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"), "level", "message")
+
+
+@CATALOG.add("run_metric_totals", "SELECT 'run ' || (page_id % 3) AS run, 'pages' AS metric, count(*) AS value FROM pages GROUP BY 1")
+def run_metric_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{sources.shared_dir(spark)}/metrics-{uuid.uuid4().hex}"
+    for r in table(spark, sf_dir, "pages").groupBy((F.col("page_id") % 3).alias("k")).agg(F.count("*").alias("n")).collect():  # three rows
+        sources.run_metrics(spark, path, f"run {r['k']}", {"pages": r["n"]})
+    return spark.read.parquet(path).select("run", "metric", "value")
+
+
+@CATALOG.add("table_schemas", "SELECT t AS table_name, c AS column_name FROM (VALUES ('laws', 'id,lsi_seq,source_url,title_line,department,content_hash,fetched_at'), ('law_articles', 'id,law_id,art_no,heading,body,content_hash'), ('article_chunks', 'id,article_id,chunk_no,text,content_hash'), ('embeddings', 'queue_id,chunk_no,vector,created_at,updated_at'), ('embedding_queue', 'id,source_url,title,subtitle1,chunk_no,chunk,error,created_at,updated_at,status')) v(t, cs), unnest(string_split(cs, ',')) u(c)")
+def table_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of the model, created where they are not there yet, twice, and their columns."""
+    name = f"model_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{sources.shared_dir(spark)}/{name}'")
+    sources.ensure_tables(spark, name)
+    rows = [(t.split(".")[1], c.name) for t in sources.ensure_tables(spark, name) for c in spark.catalog.listColumns(t)]
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+    return spark.createDataFrame(rows, "table_name string, column_name string")
 
 
 @CATALOG.add("l2_normalize", "SELECT vec_id, list_transform(embedding, lambda x: round(CAST(x AS DOUBLE) / sqrt(list_sum(list_transform(embedding, lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE)))), 6)) AS unit FROM embeddings")
@@ -147,8 +260,7 @@ def l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.add("vector_dim_check", "SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dim FROM embeddings")
 def vector_dim_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
-    dim = e.select(F.size("embedding")).first()[0]
-    return e.select("vec_id", F.size(vectors.checked(F.col("embedding"), dim)).alias("dim"))
+    return e.select("vec_id", F.size(vectors.checked(F.col("embedding"), vectors.probed_dim(lambda: vectors.stub_backend(64), 64))).alias("dim"))
 
 
 @CATALOG.add("vector_literal", "SELECT vec_id, '[' || array_to_string(list_transform(embedding, lambda x: printf('%.8f', CAST(x AS DOUBLE))), ',') || ']' AS literal FROM embeddings")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill import sources
 from lexmill.catalog import Catalog, table
 from lexmill.functions import ids, text
 from lexmill.functions.numbering import mark_number
@@ -62,18 +63,51 @@ def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).withColumn("sents", sents).select("doc_id", F.size("sents").alias("n_sentences"), F.md5(F.array_join("sents", "\n")).alias("digest"))
 
 
-@CATALOG.add("overlap_chunks")
+LINE_SQL = r"trim(regexp_replace(replace(coalesce(text, ''), chr(160), ' '), '[ \t\n\r\f\v]+', ' ', 'g'), ' ')"
+WEIGHT = "coalesce(list_sum(list_transform({}, lambda y: length(y) + 1)), 0)"
+OVERLAP = rf"""
+WITH s AS (
+  SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace({LINE_SQL}, '(다\.)[ ]*', '\1' || chr(10), 'g'), '([.!?])[ ]+', '\1' || chr(10), 'g'), chr(10)),
+    lambda x: trim(x)), lambda x: x <> '') AS sents FROM documents
+), f AS (
+  SELECT doc_id, list_reduce(sents, lambda a, x: CASE
+    WHEN {WEIGHT.format('a.cur')} + length(x) + 1 <= 1200 THEN {{'out': a.out, 'cur': list_append(a.cur, x)}}
+    WHEN len(a.cur) > 0 THEN {{'out': list_append(a.out, array_to_string(a.cur, ' ')),
+      'cur': list_append(list_reduce(list_reverse(a.cur), lambda c, z: CASE WHEN {WEIGHT.format('c')} < 200 THEN list_prepend(z, c) ELSE c END, []::VARCHAR[]), x)}}
+    ELSE {{'out': list_append(a.out, left(x, 1200)), 'cur': CASE WHEN length(x) > 1200 THEN [substring(x, 1001)] ELSE []::VARCHAR[] END}} END,
+    {{'out': []::VARCHAR[], 'cur': []::VARCHAR[]}}) AS st FROM s
+), c AS (SELECT doc_id, CASE WHEN len(st.cur) = 0 THEN st.out ELSE list_append(st.out, array_to_string(st.cur, ' ')) END AS chunks FROM f)
+SELECT doc_id, CAST(unnest(range(1, len(chunks) + 1)) AS INTEGER) AS chunk_no, unnest(chunks) AS chunk FROM c
+"""
+
+
+@CATALOG.add("overlap_chunks", OVERLAP)
 def overlap_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlapping chunks of whole texts; tested against a plain loop."""
+    """Overlapping chunks of whole texts."""
     body = text.clean_line(F.col("text"), entities=False)
     return _documents(spark, sf_dir).select("doc_id", F.inline(chunking.numbered(chunking.overlapping_chunks(chunking.case_sentences(body)))))
 
 
-@CATALOG.add("statute_rechunk")
+STATUTE_CHUNKS = GREEDY.replace("'([.!?])[ \\t\\n\\r]+'", r"'([.!?]|(?:다|니다|요|함|됨|바)\.)[ \t\n\r\f\v]+'")
+
+
+@CATALOG.add("statute_rechunk", STATUTE_CHUNKS)
 def statute_rechunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).select("doc_id", F.inline(chunking.numbered(chunking.greedy_chunks(chunking.statute_sentences(F.col("text"))))))
 
 
+@CATALOG.add(
+    "text_variants",
+    r"""SELECT doc_id, regexp_replace(coalesce(text, ''), '\n[ \t\n\r\f\v]*\n', chr(10), 'g') AS without_blank_lines, trim(replace(coalesce(text, ''), chr(160), ' '), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS embed_text,
+  CASE WHEN doc_id % 2 = 0 THEN source END AS short_title, CASE WHEN doc_id % 3 = 0 THEN '고용노동부' END AS ministry FROM documents""",
+)
+def text_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = F.col("doc_id")
+    page = F.when(d % 2 == 0, F.concat(F.lit("<h2>x (약칭: "), "source", F.lit(")</h2>"))).otherwise("<h2>x</h2>")
+    subtitle = F.when(d % 3 == 0, F.lit("고용노동부 고시")).otherwise("none")
+    return _documents(spark, sf_dir).select("doc_id", text.blank_lines_gone(F.col("text")).alias("without_blank_lines"), text.embed_text(F.col("text")).alias("embed_text"), text.short_title(page).alias("short_title"), text.ministry(subtitle).alias("ministry"))
+
+
 @CATALOG.add("clean_inline", r"SELECT doc_id, trim(regexp_replace(regexp_replace(replace(coalesce(text, ''), chr(160), ' '), '(?i)&nbsp;', ' ', 'g'), '[ \t\n\r\f\v]+', ' ', 'g'), ' ') AS clean FROM documents")
 def clean_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).select("doc_id", text.clean_line(F.col("text")).alias("clean"))
@@ -106,7 +140,7 @@ def strip_brackets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``[source]`` loses its outer brackets, ``so[urce]`` its only pair."""
     source = F.col("source")
     outer = text.unwrap_brackets(F.concat(F.lit(" ["), source, F.lit("] ")))
-    single = text.drop_brackets(F.concat(F.substring(source, 1, 2), F.lit("["), F.substring(source, 3, 100), F.lit("]")))
+    single = text.drop_brackets(F.concat(F.left(source, F.lit(2)), F.lit("["), F.substring(source, F.lit(3), F.length(source)), F.lit("]")))
     rows = F.array(F.struct(F.lit("outer").alias("variant"), outer.alias("inner_text")), F.struct(F.lit("single").alias("variant"), single.alias("inner_text")))
     return _documents(spark, sf_dir).select("doc_id", F.inline(rows))
 
@@ -264,9 +298,24 @@ def sessionize_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.joined_text(marked, ["doc_id", "section"], "ord", "line", "\n", "body")
 
 
-@CATALOG.add("sequence_sections")
+SECTIONS_SQL = r"""
+WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, trim(array_to_string(list_transform(range(1, len(ls) + 1), lambda i: ' ' || ((i - 1) % 7 + 1) || '. ' || ls[i]), chr(10)), {white}) AS t FROM t),
+p AS (SELECT doc_id, string_split(regexp_replace(t, '[ \t\n\r\f\v]([0-9]+)\.[ \t\n\r\f\v]', chr(1) || '\0', 'g'), chr(1)) AS ps FROM l),
+f AS (
+  SELECT doc_id, list_reduce(ps, lambda s, x: CASE
+    WHEN NOT s.over AND coalesce(TRY_CAST(nullif(regexp_extract(x, '^[ \t\n\r\f\v]([0-9]+)\.[ \t\n\r\f\v]', 1), '') AS BIGINT), -1) = s.next THEN {{'next': s.next + 1, 'over': false, 'out': list_append(s.out, x)}}
+    ELSE {{'next': s.next, 'over': s.over OR (s.next > 1 AND coalesce(TRY_CAST(nullif(regexp_extract(x, '^[ \t\n\r\f\v]([0-9]+)\.[ \t\n\r\f\v]', 1), '') AS BIGINT), -1) > s.next),
+      'out': list_append(s.out[:-2], s.out[-1] || x)}} END, {{'next': CAST(1 AS BIGINT), 'over': false, 'out': ['']}}) AS st FROM p
+), o AS (SELECT doc_id, unnest(range(len(st.out))) AS no, trim(unnest(st.out), {white}) AS x FROM f),
+c AS (SELECT doc_id, CAST(no AS INTEGER) AS no, CASE WHEN no = 0 THEN '서문' ELSE {clean} END AS title, CASE WHEN no = 0 THEN {clean} ELSE '' END AS text FROM o)
+SELECT * FROM c WHERE no > 0 OR text <> ''
+""".format(white=WHITE, clean=f"trim(regexp_replace(regexp_replace(replace(replace(x, chr(160), ' '), chr(34), ''), '[ \\t]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), {WHITE})")
+
+
+@CATALOG.add("sequence_sections", SECTIONS_SQL)
 def sequence_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sections ``1. 2. 3.`` in exact order; the lines of each text are numbered first. Tested against a plain loop."""
+    """Sections ``1. 2. 3.`` in exact order; the lines of each text are numbered first."""
     listed = F.array_join(F.transform(F.split(text.text_of(F.col("text")), "\n"), lambda x, i: F.concat(F.lit(" "), ((i % 7) + 1).cast("string"), F.lit(". "), x)), "\n")
     return _documents(spark, sf_dir).select("doc_id", F.inline(segment.ordered_sections(listed)))
 
@@ -341,18 +390,20 @@ def first_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.add(
     "section_body_assemble",
     f"""
-WITH c AS (SELECT conv_id, turn, role, trim(regexp_replace(replace(coalesce(text, ''), chr(160), ' '), '[ \\t\\n\\r\\f\\v]+', ' ', 'g'), ' ') AS t FROM conversations),
-b AS (SELECT conv_id, string_agg('[' || role || '] ' || t, ' ' ORDER BY turn, role, t) AS body FROM c WHERE t <> '' GROUP BY conv_id)
+WITH c AS (SELECT conv_id, turn, trim(regexp_replace(replace(coalesce(text, ''), chr(160), ' '), '[ \\t\\n\\r\\f\\v]+', ' ', 'g'), ' ') AS t FROM conversations),
+t AS (SELECT conv_id, nullif(string_agg(t, ' ' ORDER BY t) FILTER (WHERE turn % 3 = 0 AND t <> ''), '') AS holding, nullif(string_agg(t, ' ' ORDER BY t) FILTER (WHERE turn % 3 = 1 AND t <> ''), '') AS main, nullif(string_agg(t, ' ' ORDER BY t) FILTER (WHERE turn % 3 = 2 AND t <> ''), '') AS reasons FROM c GROUP BY conv_id),
+b AS (SELECT conv_id, array_to_string(list_filter(['case ' || conv_id, CASE WHEN conv_id % 2 = 0 THEN '(even)' END, '[판시사항] ' || holding, CASE WHEN main IS NOT NULL OR reasons IS NOT NULL THEN '[전문]' END, '[주문] ' || main, '[이유] ' || reasons], lambda x: x IS NOT NULL), ' ') AS body FROM t)
 SELECT conv_id, body, CAST(length(body) AS BIGINT) AS n_chars FROM b
 """,
 )
 def section_body_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns as labelled sections of one line, empty ones left out."""
+    """A conversation as a case: its turns are the labelled sections, in one line, empty ones left out."""
     line = text.clean_line(F.col("text"), entities=False)
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", line.alias("t")).where("t <> ''")
-    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", "t")))
-    body = rows.groupBy("conv_id").agg(F.array_join(F.transform(ordered, lambda x: F.concat(F.lit("["), x["role"], F.lit("] "), x["t"])), " ").alias("body"))
-    return body.select("conv_id", "body", F.length("body").cast("long").alias("n_chars"))
+    part = lambda k: F.array_join(F.array_sort(F.collect_list(F.when((F.col("turn") % 3 == k) & (line != ""), line))), "\n")
+    sections = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(part(0).alias("holding"), part(1).alias("main"), part(2).alias("reasons"))
+    title, subtitle = F.concat(F.lit("case  "), F.col("conv_id").cast("string")), F.when(F.col("conv_id") % 2 == 0, "even")
+    body = chunking.case_body(title, subtitle, {"holding": F.col("holding"), "summary": F.lit(" "), "provisions": F.lit(None).cast("string")}, F.col("main"), F.col("reasons"))
+    return sections.select("conv_id", body.alias("body"), F.length(body).cast("long").alias("n_chars"))
 
 
 @CATALOG.add(
@@ -363,12 +414,7 @@ SELECT CAST(row_number() OVER (ORDER BY encode(name || '_document.jsonl'), doc_i
 """,
 )
 def merge_sorted_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two outputs merged in the byte order of their files: each file's rows are counted, and places follow from the
-    counts of the files before, so no task sorts everything."""
+    """Two outputs merged in the byte order of their files, with the place of each row in the merged output."""
     docs = _documents(spark, sf_dir)
     rows = docs.where("lang = 'en'").select(F.concat(F.lit("a"), "source").alias("name"), "doc_id").unionByName(docs.where("lang <> 'en'").select(F.concat(F.lit("b"), "source").alias("name"), "doc_id"))
-    sizes = rows.groupBy("name").agg(F.count("*").alias("n"))
-    before = segment.Window.orderBy(F.concat("name", F.lit("_document.jsonl"))).rowsBetween(segment.Window.unboundedPreceding, -1)
-    starts = sizes.select("name", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    within = rows.withColumn("k", F.row_number().over(segment.Window.partitionBy("name").orderBy("doc_id")))
-    return within.join(starts, "name").select((F.col("start") + F.col("k")).cast("int").alias("pos"), "name", "doc_id")
+    return sources.merged(rows, within=["doc_id"], place="pos").select(F.col("pos").cast("int").alias("pos"), "name", "doc_id")

@@ -1,20 +1,27 @@
-"""The embedding worker as a stream: queue files in, vectors upserted, exactly once in effect.
+"""The embedding worker as a stream: queue files in, vectors and marks out, exactly once in effect.
 
-The source's checkpoint is the claim: a batch of files belongs to one micro-batch, and a failed one is replayed. The
-upsert is idempotent, so at-least-once delivery leaves one vector for each row.
+The source's checkpoint is the claim: a file belongs to one micro-batch of one worker, and a failed batch is replayed.
+Each micro-batch writes its vectors and its marks (done, or error with the backend's message) to a folder of its own
+number, and a replay writes the same folder again, so at-least-once delivery leaves one result. Nothing is rewritten:
+readers take the newest row of each key, pre-aggregated.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lexmill.operators.queue import PENDING, upsert_vectors
+from lexmill.operators.queue import DONE, ERROR, PENDING
+from lexmill.operators.queue import marked as with_marks
 from lexmill.operators.vectors import Backend, EmbedConfig, embed_column, unit
 from lexmill.sources import EMBEDDING, QUEUE
 
+MARK = T.StructType([T.StructField("id", T.LongType()), T.StructField("status", T.StringType()), T.StructField("error", T.StringType()), T.StructField("updated_at", T.TimestampType())])
+
 
 def embed_rows(queue: DataFrame, make: Callable[[], Backend], config: EmbedConfig) -> DataFrame:
     """``queue_id, chunk_no, vector`` of pending rows."""
@@ -23,41 +30,54 @@ def embed_rows(queue: DataFrame, make: Callable[[], Backend], config: EmbedConfi
 
 
 class VectorStore:
-    """Versions of a Parquet table; the newest complete one counts."""
+    """Vectors and marks of a worker: an append-only table of each, a folder for each micro-batch."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
 
-    def _versions(self) -> list[int]:
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        found = [s.getPath().getName() for s in fs.listStatus(root)]
-        done = [int(n[1:]) for n in found if n.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))]
-        return sorted(done)
-
-    def read(self) -> DataFrame:
-        versions = self._versions()
-        if not versions:
-            return self.spark.createDataFrame([], EMBEDDING)
-        return self.spark.read.schema(EMBEDDING).parquet(f"{self.path}/v{versions[-1]}")
-
-    def upsert(self, rows: DataFrame, version: int) -> None:
-        """Writes version ``version``; a replay of the same batch writes the same version again."""
-        older = [v for v in self._versions() if v < version]
-        base = self.spark.read.schema(EMBEDDING).parquet(f"{self.path}/v{older[-1]}") if older else self.spark.createDataFrame([], EMBEDDING)
-        upsert_vectors(base, rows).write.mode("overwrite").parquet(f"{self.path}/v{version}")
+    def _rows(self, name: str, schema: T.StructType) -> DataFrame:
+        try:
+            return self.spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{self.path}/{name}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("batch", T.LongType())]))
 
+    def append(self, name: str, rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch}")
 
-def start_worker(spark: SparkSession, queue_path: str, store_path: str, checkpoint: str, make: Callable[[], Backend], config: EmbedConfig, once: bool = True, poll: str = "2 seconds", files: int = 16):
-    """Starts the worker; ``once`` processes what is there and stops, else it polls. Returns the streaming query."""
+    def read(self) -> DataFrame:
+        """The newest vector of each row, with the chunk number and the time of its first."""
+        rows, order = self._rows("vectors", EMBEDDING), F.struct("batch", "chunk_no", "vector")
+        newest = rows.groupBy("queue_id").agg(F.max(order).alias("new"), F.min(order).alias("old"), F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"))
+        return newest.select("queue_id", F.col("old.chunk_no").alias("chunk_no"), F.col("new.vector").alias("vector"), "created_at", "updated_at")
+
+    def marks(self) -> DataFrame:
+        return self._rows("marks", MARK).drop("batch")
+
+    def marked(self, queue: DataFrame) -> DataFrame:
+        """The queue as the worker's marks leave it."""
+        return with_marks(queue, self.marks())
+
+    def upsert(self, batch: DataFrame, number: int, make: Callable[[], Backend], config: EmbedConfig) -> None:
+        """Embeds a batch's pending rows, and writes their vectors and marks as batch ``number``."""
+        told = batch.where(F.col("status") == PENDING).select("id", "chunk_no", embed_column(make, config, keep_errors=True)(F.col("chunk")).alias("r"), F.current_timestamp().alias("at")).persist()
+        try:
+            vector = unit(F.col("r.vector")) if config.normalize else F.col("r.vector")
+            good = F.col("r.error").isNull()
+            self.append("vectors", told.where(good).select(F.col("id").alias("queue_id"), "chunk_no", vector.alias("vector"), F.col("at").alias("created_at"), F.col("at").alias("updated_at")), number)
+            self.append("marks", told.select("id", F.when(good, DONE).otherwise(ERROR).alias("status"), F.col("r.error").alias("error"), F.col("at").alias("updated_at")), number)
+        finally:
+            told.unpersist()
+
+
+def start_worker(spark: SparkSession, queue_path: str, store_path: str, checkpoint: str, make: Callable[[], Backend], config: EmbedConfig, once: bool = True, poll: str = "2 seconds", files: int = 16, worker: int = 0, workers: int = 1):
+    """Starts a worker; ``once`` processes what is there and stops, else it polls. Of several ``workers``, each with a
+    checkpoint and a store of its own, each takes its share of the ids. Rows go to the backend ``config.batch`` at a
+    time; a micro-batch holds the rows of ``files`` files. Returns the streaming query."""
     store = VectorStore(spark, store_path)
-
-    def step(batch: DataFrame, number: int) -> None:
-        store.upsert(embed_rows(batch, make, config), number)
-
     stream = spark.readStream.schema(QUEUE).option("maxFilesPerTrigger", files).parquet(queue_path)
-    writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    if workers > 1:
+        stream = stream.where(F.pmod(F.xxhash64("id"), F.lit(workers)) == worker)
+    writer = stream.writeStream.foreachBatch(lambda batch, number: store.upsert(batch, number, make, config)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=poll)).start()

@@ -89,13 +89,53 @@ def test_dom(spark):
     rows = html.nodes_of(page)
     assert [r["tag"] for r in rows] == ["div", "p", "p", "b", "br", "script", "i", "p"]
     assert rows[0]["text"].split("\n") == ["a", "b", "c", "d"] and rows[5]["text"] == "" and rows[6]["text"] == "© e"
-    assert html.nodes_of(None) == [] and html.nodes_of("plain") == []
+    assert html.nodes_of(None) == [] == html.nodes_of(" \n")
+    assert [(r["tag"], r["depth"], r["text"]) for r in html.nodes_of("plain text <b>x</b> tail<div>d</div>")] == [("p", 0, "plain text\nx\ntail"), ("b", 1, "x"), ("div", 0, "d")]
+    lists = html.nodes_of("<ul><li>a<ul><li>b</ul><li>c</ul><dl><dt>L<dd>v<dt>M</dl><table><tr><th>h<td>d<tr><td>e<table><tr><td>f</table><td>g</table><select><option>x<option>y</select>")
+    assert [(r["tag"], r["depth"]) for r in lists] == [
+        ("ul", 0), ("li", 1), ("ul", 2), ("li", 3), ("li", 1), ("dl", 0), ("dt", 1), ("dd", 1), ("dt", 1), ("table", 0), ("tr", 1), ("th", 2), ("td", 2), ("tr", 1), ("td", 2), ("table", 3), ("tr", 4), ("td", 5), ("td", 2), ("select", 0), ("option", 1), ("option", 1),
+    ]
     table = "<dl><dt>사건</dt><dd>가</dd></dl><table><tr><th>선고 일</th><td>나</td></tr></table><h4>법원</h4><p>다</p><p title='판사 이름'>라</p>"
     df = spark.createDataFrame([(table,)], "h string").select(html.parse(F.col("h")).alias("nodes"))
     got = df.select(*(html.labelled_block(F.col("nodes"), x).alias(x) for x in ("사건", "선고", "법원", "판사", "없음"))).first()
     assert tuple(got) == ("가", "나", "다", "라", "")
 
 
+def test_entities_are_those_of_the_standard_library(spark):
+    import html as library
+    from html.entities import html5
+
+    from lexmill.functions.text import unescape
+
+    texts = [f"a&{name} b&{name.rstrip(';')}c" for name in html5] + ["&#8217;&#x2019;&#0;&#128;&#xD800;&#1114112;", "&nosuch; & &; &#; &#x;", "", "plain"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, t string")
+    got = dict(df.select("i", unescape("t").alias("u")).collect())
+    assert [got[i] for i in range(len(texts))] == [library.unescape(t) for t in texts] and got[len(texts)] is None
+
+
+def test_chunks_of_long_texts_take_time_in_proportion(spark):
+    import time
+
+    from lexmill.operators import chunking
+
+    def run(n):
+        df = spark.createDataFrame([(" ".join(f"sentence number {i} of a long text." for i in range(n)),)], "t string")
+        began = time.time()
+        for pack in (chunking.greedy_chunks, chunking.overlapping_chunks):
+            df.select(F.size(pack(chunking.case_sentences(F.col("t"))))).collect()
+        return time.time() - began
+
+    run(100)
+    assert run(64_000) < 8 * max(0.5, run(16_000))
+
+
+def test_rows_are_numbered_in_order(spark):
+    rows = [(i * 7 % 1000, "x") for i in range(1000)]
+    got = sources.numbered(spark.createDataFrame(rows, "k long, v string").repartition(5), ["k"], after=10).collect()
+    assert sorted((r.k, r.id) for r in got) == [(k, k + 11) for k in range(1000)]
+    assert sources.numbered(spark.createDataFrame([], "k long"), ["k"]).count() == 0
+
+
 def test_files(spark, tmp_path):
     rows = [("c1", "d1", '말 "따옴"\n둘', "글, 쉼표", ("장", None), "u"), ("c2", "d1", None, "", ("장", "pdf_ocr"), "u")]
     df = spark.createDataFrame(rows, sources.CHUNK)
@@ -157,6 +197,12 @@ def test_vectors(spark):
 
     assert vectors.with_retry(flaky, vectors.EmbedConfig(), waits.append)(["t"]) == [[1.0]]
     assert len(waits) == 3 and 1.5 <= waits[0] < 2.5 and 6 <= waits[2] < 7
+    with pytest.raises(OSError):
+        vectors.with_retry(lambda t: (_ for _ in ()).throw(OSError("never")), vectors.EmbedConfig(attempts=3), waits.append)(["t"])
+    assert len(waits) == 5 and max(vectors.waits(vectors.EmbedConfig())) < 31
+    assert vectors.probed_dim(lambda: embed, 5) == 5 == vectors.probed_dim(lambda: embed, 0)
+    with pytest.raises(ValueError, match="dimensions"):
+        vectors.probed_dim(lambda: embed, 6)
 
 
 def test_worker_is_idempotent(spark, tmp_path):
@@ -174,7 +220,36 @@ def test_worker_is_idempotent(spark, tmp_path):
     assert len(second) == len(first) and second[1][0] == 1 and second[1][1] != dict(first)[1] and second[2][1] == dict(first)[2]
 
 
+def test_two_workers_share_a_queue_and_mark_it(spark, tmp_path):
+    """Each of two workers takes its share of the ids, and failures end as errors with their message."""
+    rows = [(i, "u", "t", "s", 1, "bad" if i % 5 == 0 else f"text {i}", "pending", None, None, None) for i in range(40)]
+    queue_rows = spark.createDataFrame(rows, sources.QUEUE)
+    queue_rows.repartition(3).write.parquet(f"{tmp_path}/queue")
+
+    def backend():
+        embed = vectors.stub_backend(4)
+
+        def checked(texts):
+            if "bad" in texts:
+                raise ValueError("bad text")
+            return embed(texts)
+
+        return checked
+
+    config = vectors.EmbedConfig(dim=4, batch=1, attempts=1)
+    for k in range(2):
+        start_worker(spark, f"{tmp_path}/queue", f"{tmp_path}/store{k}", f"{tmp_path}/ck{k}", backend, config, files=1, worker=k, workers=2).awaitTermination()
+    stores = [VectorStore(spark, f"{tmp_path}/store{k}") for k in range(2)]
+    ids = [{r.queue_id for r in s.read().collect()} for s in stores]
+    assert not ids[0] & ids[1] and ids[0] | ids[1] == {i for i in range(40) if i % 5} and all(ids)
+    after = stores[1].marked(stores[0].marked(queue_rows)).collect()
+    assert {r.id: (r.status, r.error) for r in after} == {i: ("done", None) if i % 5 else ("error", "bad text") for i in range(40)}
+    assert all(r.updated_at is not None for r in after) and VectorStore(spark, f"{tmp_path}/none").read().count() == 0
+
+
 def test_queue_states(spark):
     q = spark.createDataFrame([(1, "pending"), (2, "done"), (3, "pending")], "id long, status string")
     taken, after = queue.claim(q, 1)
+    shares = [{r.id for r in queue.claimable(q, 10, k, 2).collect()} for k in range(2)]
+    assert shares[0] | shares[1] == {1, 3} and not shares[0] & shares[1]
     assert [r.id for r in taken.collect()] == [1] and {r.id: r.status for r in after.collect()} == {1: "working", 2: "done", 3: "pending"}
