@@ -85,8 +85,19 @@ def gram_hashes(data: np.ndarray, *sizes: int) -> list[np.ndarray]:
     return out
 
 
-RUN = ["hash", "text_key", "tag", "first", "shape", "left", "right"]
-RUN_SQL = "hash long, text_key long, tag int, first int, shape int, left int, right int"
+#: Runs as they are dealt: ``place`` holds the first start (high half) and the shape, ``sides`` the left and right hashes.
+RUN = ["hash", "text_key", "tag", "place", "sides"]
+RUN_SQL = "hash long, text_key long, tag int, place long, sides long"
+KEPT_SQL = "hash long, text_key long, tag int, first int, shape int"
+
+
+def packed(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Two 32-bit numbers in one."""
+    return (high.astype(np.int64) << 32) | low.astype(np.uint32)
+
+
+def halves(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (both >> 32).astype(np.int32), both.astype(np.int32)
 
 
 def anchors(data: np.ndarray, s: Settings) -> list[np.ndarray]:
@@ -133,7 +144,7 @@ def _starts_of(*columns: np.ndarray) -> np.ndarray:
 
 
 def shared_runs(columns: list[np.ndarray], open_hashes: np.ndarray, s: Settings) -> list[np.ndarray]:
-    """Of runs (columns of ``RUN``), in order of their hash, those that have strings whose wider anchor another text has
+    """Of runs (``hash, text_key, tag, first, shape, left, right``), in order of their hash, those that have strings whose wider anchor another text has
     too, cut to these strings. Runs of ``open_hashes``, which may go on elsewhere, stay as they are."""
     h = columns[0]
     n = np.diff(np.append(np.flatnonzero(_starts_of(h)), len(h)))
@@ -188,7 +199,7 @@ def shared_anchors(texts: DataFrame, s: Settings, t: Tables) -> DataFrame:
             n = [len(x[0]) for x in found]
             h, first, shape, left, right = (np.concatenate([x[k] for x in found]) for k in range(5))
             key, tag = (np.repeat(batch.column(c).to_numpy(), n) for c in ("text_key", "tag"))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, key, tag, first, shape, left, right)], RUN)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, key, tag, packed(first, shape), packed(left, right))], RUN)
 
     # Hashes are even over their range, save some that very many texts have: these are told from a part of the texts, for
     # where rows go only, and spread by text.
@@ -215,9 +226,10 @@ def shared_anchors(texts: DataFrame, s: Settings, t: Tables) -> DataFrame:
             if not end:  # one hash so far, too often to be held
                 end = len(h)
                 spread.add(int(h[-1]))
-            done = shared_runs([c[:end] for c in columns], np.array([*spread], np.int64), s)
+            key, tag, place, sides = (c[:end] for c in columns[1:])
+            done = shared_runs([h[:end], key, tag, *halves(place), *halves(sides)], np.array([*spread], np.int64), s)
             rest = pa.RecordBatch.from_arrays([pa.array(c[end:]) for c in columns], RUN)
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in done[:5]], RUN[:5]), [rest] if rest.num_rows else []
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in done[:5]], [x.split()[0] for x in KEPT_SQL.split(", ")]), [rest] if rest.num_rows else []
 
         for batch in batches:
             held.append(batch)
@@ -229,7 +241,7 @@ def shared_anchors(texts: DataFrame, s: Settings, t: Tables) -> DataFrame:
         if size:
             yield cut(held, True)[0]
 
-    return ordered.mapInArrow(keep, ", ".join(RUN_SQL.split(", ")[:5]))
+    return ordered.mapInArrow(keep, KEPT_SQL)
 
 
 def contexts(texts: DataFrame, firsts: DataFrame, runs: DataFrame, s: Settings, t: Tables) -> DataFrame:
@@ -313,20 +325,25 @@ def interval_groups(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
     by_symbol = np.argsort(bwt.astype(np.uint16), kind="stable")
     to = np.empty(n, np.int64)  # last-to-first mapping
     to[by_symbol] = np.arange(n)
+    edges = np.append(np.flatnonzero(_starts_of(bwt))[1:], n)
+    run_end = np.repeat(edges, np.diff(edges, prepend=0))  # of each row where its symbol's run of rows ends
     known = np.zeros(n + 1, bool)
     known[0] = known[n] = True
     low, high = np.zeros(1, np.int64), np.full(1, n, np.int64)
     for _ in range(depth):
         # Rows of the frontier, by interval and symbol before them: each pair is an interval one symbol longer.
         size = high - low
+        plain = run_end[low] >= high  # one symbol before all rows: one interval of the same size
+        straight, width = to[low[plain]], size[plain]
+        low, size = low[~plain], size[~plain]
         row = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
         owner = np.repeat(np.arange(len(size)), size)
         by, key = _ranked((owner << 9) | bwt[row], 9 + int(len(size)).bit_length())
         row = row[by]
-        starts = np.flatnonzero(np.diff(key, prepend=-1))
+        starts = np.flatnonzero(_starts_of(key)) if len(key) else np.zeros(0, np.int64)
         count = np.diff(np.append(starts, len(key)))
-        begin = to[np.minimum.reduceat(row, starts)]  # rows keep their order under the mapping
-        end = begin + count
+        begin = to[np.minimum.reduceat(row, starts)] if len(key) else starts  # rows keep their order under the mapping
+        begin, end = np.concatenate([straight, begin]), np.concatenate([straight + width, begin + count])
         new = ~known[end]
         known[end[new]] = True
         low, high = begin[new], end[new]
@@ -354,11 +371,6 @@ def resolve(contexts_: list[bytes], least: np.ndarray, s: Settings) -> list[np.n
     return [out[a : a + n] for a, n in zip(begin.tolist(), strings.tolist(), strict=True)]
 
 
-def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8)))
-    return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
-
-
 LOWS = pa.list_(pa.struct([("at", pa.int32()), ("low", pa.int64()), ("n", pa.int32())]))
 LOWS_SQL = "array<struct<at:int,low:long,n:int>>"
 #: Hashes of crowded anchors that are sent to every task at most; more are joined.
@@ -513,20 +525,20 @@ def dedup_substrings(docs: DataFrame, s: Settings | None = None) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = []
-            for text, copy, spans in zip(_bytes_of(batch), batch.column("copy").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+            rows, lists = [], batch.column("spans")
+            offsets = lists.offsets.to_numpy()
+            begins, ends = (lists.values.field(c).to_numpy() for c in ("start", "end"))
+            for text, copy, a, b in zip(_bytes_of(batch), batch.column("copy").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                 if copy and len(text) >= s.length:
                     rows.append((len(text), len(text), 1, b"", hashlib.sha256(b"").hexdigest()))
                     continue
-                if not spans:
+                if a == b:
                     rows.append((len(text), 0, 0, text, hashlib.sha256(text).hexdigest()))
                     continue
-                step = np.zeros(len(text) + 1, np.int64)
-                np.add.at(step, [x["start"] for x in spans], 1)
-                np.add.at(step, [x["end"] for x in spans], -1)
+                step = np.bincount(begins[a:b], minlength=len(text) + 1) - np.bincount(ends[a:b], minlength=len(text) + 1)
                 gone = np.cumsum(step[:-1]) > 0
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-                rows.append((len(text), int(gone.sum()), len(_runs(gone)), kept, hashlib.sha256(kept).hexdigest()))
+                rows.append((len(text), int(gone.sum()), int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[0]), kept, hashlib.sha256(kept).hexdigest()))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
