@@ -48,7 +48,7 @@ class Settings:
     dim: int = 16
     copy_words: int = 4_000_000
     rounds: int = 1
-    batch: int = 8_192
+    batch: int = 16_384
     rate: float = 0.1
     seed: int = 7
 
@@ -98,12 +98,12 @@ class Numbers(dict):
         return seq, np.arange(n.sum()) + np.repeat(w * np.arange(1, len(n) + 1), n), n
 
 
-def exp_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``exp`` of each row less its largest value, and the logarithm of the row's sum of exponentials."""
-    top = x.max(1, keepdims=True)
+def exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.float32]:
+    """``exp`` of a matrix less its largest value, the sum of each row, and that value. Rows of one batch lie far closer
+    together than float32 reaches."""
+    top = x.max()
     x = np.exp(x - top)
-    total = x.sum(1, keepdims=True)
-    return x / total, np.log(total[:, 0]) + top[:, 0]
+    return x, np.maximum(x @ np.ones(x.shape[1], x.dtype), np.float32(1e-30)), top
 
 
 class Network:
@@ -134,10 +134,13 @@ class Network:
         return self
 
     def hidden(self, seq: np.ndarray, places: np.ndarray) -> np.ndarray:
-        h = np.zeros((len(places), self.s.dim), np.float32) + self.bias
-        for table, k in zip(self.around, self.offsets, strict=True):
-            h += table[seq[places + k]]
-        return np.tanh(h, out=h)
+        """A row for each place, with a last 1."""
+        h = np.ones((len(places), self.s.dim + 1), np.float32)
+        total = self.around[0][seq[places + self.offsets[0]]]
+        for table, k in zip(self.around[1:], self.offsets[1:], strict=True):
+            total += table[seq[places + k]]
+        np.tanh(total + self.bias, out=h[:, :-1])
+        return h
 
     def by_class(self, entries: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
         """An order that puts entries of one class together, and (class, begin, end) of those that occur."""
@@ -153,12 +156,13 @@ class Network:
             order, groups = self.by_class(seq[part])
             part = part[order]
             h, word = self.hidden(seq, part), seq[part] // self.s.classes
-            x = h @ self.top[:-1] + self.top[-1]
-            _, total = exp_rows(x)
-            p = x[np.arange(len(part)), seq[part] % self.s.classes] - total
+            x = h @ self.top
+            _, total, top = exponentials(x)
+            p = x[np.arange(len(part)), seq[part] % self.s.classes] - top - np.log(total)
             for g, i, j in groups:
-                x = h[i:j] @ self.low[g, :-1] + self.low[g, -1]
-                p[i:j] += x[np.arange(j - i), word[i:j]] - exp_rows(x)[1]
+                x = h[i:j] @ self.low[g]
+                _, total, top = exponentials(x)
+                p[i:j] += x[np.arange(j - i), word[i:j]] - top - np.log(total)
             out[a + order] = p
         return out
 
@@ -177,16 +181,20 @@ class Network:
             order, groups = self.by_class(seq[part])
             part = part[order]
             h, word, rows = self.hidden(seq, part), seq[part] // s.classes, np.arange(len(part))
-            error, _ = exp_rows(h @ self.top[:-1] + self.top[-1])
+            error, total, _ = exponentials(h @ self.top)
+            error /= total[:, None]
             error[rows, seq[part] % s.classes] -= 1
             back = error @ self.top[:-1].T
-            self.move("top", slice(None), np.concatenate([h.T @ error, error.sum(0, keepdims=True)]))
+            self.move("top", slice(None), h.T @ error)
+            gradient = np.zeros_like(self.low)
             for g, i, j in groups:
-                e, _ = exp_rows(h[i:j] @ self.low[g, :-1] + self.low[g, -1])
+                e, total, _ = exponentials(h[i:j] @ self.low[g])
+                e /= total[:, None]
                 e[rows[: j - i], word[i:j]] -= 1
                 back[i:j] += e @ self.low[g, :-1].T
-                self.move("low", g, np.concatenate([h[i:j].T @ e, e.sum(0, keepdims=True)]))
-            back *= 1 - h**2
+                gradient[g] = h[i:j].T @ e
+            self.move("low", slice(None), gradient)
+            back *= 1 - h[:, :-1] ** 2
             self.move("bias", slice(None), back.sum(0))
             for place, k in enumerate(self.offsets):
                 near = seq[part + k]
