@@ -99,6 +99,9 @@ def test_library_encoder_agrees_on_single_characters():
     path = public_tokenizers.path("byte_bpe_50k.json")
     ref, enc = Tokenizer.from_file(path), token_files.encoder(open(path).read())
     texts = [f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}" for c in range(256)]
+    rng = random.Random(17)  # blanks beside white space of every kind, marks of special tokens, and other scripts
+    texts += ["".join(rng.choice([" ", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "\u0085", "\x1c", "\u3000", "\u200b", "a", "é", "あ", "1", "'s", "!", "<|endoftext|>", "😀"]) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
+    assert enc.cuts
     for text, ids in zip(texts, enc.encode(texts), strict=True):
         assert ids == b"".join(i.to_bytes(4, "little") for i in ref.encode(text, add_special_tokens=False).ids)
 
