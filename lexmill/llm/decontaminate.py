@@ -21,6 +21,7 @@ repeated rows each give their own pairs; words are runs of bytes other than whit
 
 from __future__ import annotations
 
+import itertools
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import slices, texts_of
+from lexmill.llm.common import Tables, slices, texts_of
 
 _TABLE = bytearray(range(256))
 _TABLE[65:91] = range(97, 123)
@@ -155,8 +156,12 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, s: Settings | None = N
     """``doc_id, item_id, score, share, end_word`` of every document and item whose alignment reaches the share."""
     s = s or Settings()
     schema = "doc_id long, item_id long, score double, share double, end_word long"
-    out = docs.sparkSession.createDataFrame([], schema)
-    for block in blocks(items, s):
+    walk = blocks(items, s)
+    first = next(walk, None)
+    if first is None:
+        return docs.sparkSession.createDataFrame([], schema)
+    second, t, done = next(walk, None), None, []
+    for block in itertools.chain([first], [second] if second else [], walk):
 
         def run(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
@@ -174,8 +179,12 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, s: Settings | None = N
                 columns = zip(*rows, strict=True) if rows else [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "score", "share", "end_word"])
 
-        out = out.unionByName(texts_of(docs).mapInArrow(run, schema))
-    return out
+        found = texts_of(docs).mapInArrow(run, schema)
+        if second is None:
+            return found
+        t = t or Tables(docs.sparkSession, "contaminated")  # written, so that no plan holds more than one block
+        done.append(t.write(found, "pairs").written_to)
+    return docs.sparkSession.read.schema(schema).parquet(*done)
 
 
 def keep_uncontaminated(docs: DataFrame, items: DataFrame, s: Settings | None = None) -> DataFrame:

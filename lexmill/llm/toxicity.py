@@ -240,6 +240,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, s: Settings, learn_from: F
     # At most 2 * s.sample rows of three numbers: safe to send to every task.
     rows = texts_of(docs).join(F.broadcast(drawn), "doc_id").withColumn("text_key", F.xxhash64("text"))
     words = F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit(""))) + 1
+    words = F.greatest(words, (F.length("text") / 8).cast("int"))  # so that texts with few blanks are bounded too
     sizes = rows.groupBy("toxic", "draw", "doc_id", "text_key").agg(F.sum(words.cast("long")).alias("words"))
     taken = within_budget(sorted(tuple(r) for r in sizes.collect()), s.sample_words)
     if not taken:

@@ -54,10 +54,12 @@ def test_stages_on_odd_tables(spark, k):
     rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "some words without an id", "en", None, 24), (3, "same text twice here and there", None, "s", 30), (3, "same text twice here and there", None, "s", 30), (4, "word " * 30_000, "en", "s", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     wide = docs.selectExpr("*", "1 AS score", "'x' AS component", "2 AS item_id", "'y' AS ids")
-    for frame in (docs, wide, docs.limit(0)):
+    odd = docs.selectExpr("*", "1 AS `meta.lang`", "array(1) AS __starts", "'k' AS `a``b`", "named_struct('x y', 1) AS __doc", "map('a', 1) AS __key", "2.5 AS __gone", "'r' AS row", "3 AS __lines", "true AS __removed", "'c' AS cut")
+    for frame in (docs, wide, odd, docs.limit(0)):
         got = stage(spark, frame, SF)
         if k < 4:
             assert got.columns == frame.columns
+            assert got.schema.simpleString() == frame.schema.simpleString()
         found = got.collect()
         assert len(found) == frame.count() if k != 2 else len(found) <= frame.count()
         assert {r.doc_id for r in found} == {r.doc_id for r in frame.collect()}
