@@ -148,6 +148,11 @@ def first(nodes: Column, test: Test) -> Column:
     return F.get(F.filter(nodes, test), 0)
 
 
+def of_first(nodes: Column, test: Test, make: Callable[[Column], Column]) -> Column:
+    """``make`` of the first node that passes, which is looked for once; null if there is none."""
+    return F.get(F.transform(F.slice(F.filter(nodes, test), F.lit(1), F.lit(1)), make), F.lit(0))
+
+
 def below(nodes: Column, node: Column) -> Column:
     """All nodes under a node."""
     return F.filter(nodes, lambda n: (n["ord"] > node["ord"]) & (n["ord"] <= node["last"]))
@@ -203,9 +208,8 @@ def groups(nodes: Column) -> Column:
 
 def label_of(nodes: Column, group: Column) -> Column:
     """The article label of a group: ``span.bl label``."""
-    inside = below(nodes, group)
-    spans = select(inside, lambda n: (n["tag"] == "span") & has_class("bl")(n))
-    return first(inside, lambda n: (n["tag"] == "label") & F.exists(spans, lambda s: (n["ord"] > s["ord"]) & (n["ord"] <= s["last"])))
+    spans = select(below(nodes, group), lambda n: (n["tag"] == "span") & has_class("bl")(n))
+    return F.get(F.flatten(F.transform(spans, lambda s: F.filter(below(nodes, s), is_tag("label")))), F.lit(0))
 
 
 def page_kind(nodes: Column) -> Column:
@@ -219,8 +223,7 @@ def document_header(pages: DataFrame, family: Family) -> DataFrame:
     """``doc_id, title, subtitle, source_url`` with the page's nodes, from ``url, html``."""
     parsed = pages.select("url", parse(F.col("html")).alias("nodes"))
     nodes = F.col("nodes")
-    frame = first(nodes, lambda n: n["id"] == "conTop")
-    title = tight(first(below(nodes, frame), is_tag("h2"))["text"])
+    title = tight(of_first(nodes, lambda n: n["id"] == "conTop", lambda frame: first(below(nodes, frame), is_tag("h2"))["text"]))
     subtitle = tight(first(nodes, lambda n: (n["tag"] == "div") & has_class("ct_sub")(n))["text"])
     return parsed.select(document_id(F.col("url"), title, family.id_keys).alias("doc_id"), title.alias("title"), subtitle.alias("subtitle"), F.col("url").alias("source_url"), "nodes")
 
@@ -297,9 +300,9 @@ def _head(n: Column) -> Column:
     return (n["tag"] == "h4") & F.coalesce(F.try_element_at(n["attrs"], F.lit(USE)), F.lit("")).contains("PH/H2")
 
 
-def _named(nodes: Column, tag: str, label: str) -> Column:
+def _named(tag: str, label: str) -> Test:
     flat = lambda n: clean_line(n["flat"], entities=False)
-    return first(nodes, lambda n: (_head(n) if tag == "h4" else n["tag"] == "h5") & flat(n).contains(label))
+    return lambda n: (_head(n) if tag == "h4" else n["tag"] == "h5") & flat(n).contains(label)
 
 
 def cases(pages: DataFrame) -> DataFrame:
@@ -308,15 +311,19 @@ def cases(pages: DataFrame) -> DataFrame:
     nodes = F.col("nodes")
     title = clean_line(F.get(first(nodes, lambda n: (n["tag"] == "h2") & (F.try_element_at(n["attrs"], F.lit(USE)) == "PH/H1"))["own"], 0))
     subtitle = clean_line(F.replace(first(nodes, lambda n: (n["tag"] == "div") & has_class("subtit1")(n))["text"], F.lit("\n"), F.lit(" ")))
-    after = lambda n: F.coalesce(following(nodes, n), F.array().cast(f"array<{NODE}>"))
     either = lambda n: _head(n) | (n["tag"] == "h5")
-    sections = [take_until(after(_named(nodes, "h4", label)), _head).alias(label) for label in HEAD_LABELS]
-    whole = _named(nodes, "h4", WHOLE)
-    rest = after(whole)
-    stop = first(rest, _head)
-    order = first(rest, lambda n: (n["tag"] == "h5") & clean_line(n["flat"], entities=False).contains(ORDER) & (stop.isNull() | (n["ord"] < stop["ord"])))
-    reasons = F.when(whole.isNotNull(), _named(nodes, "h5", REASONS))
-    full = F.struct(take_until(after(order), either).alias(ORDER), take_until(after(reasons), either).alias(REASONS))
+    under = lambda nodes, test, stops: F.coalesce(of_first(nodes, test, lambda n: take_until(following(nodes, n), stops)), F.lit(""))
+    sections = [under(nodes, _named("h4", label), _head).alias(label) for label in HEAD_LABELS]
+
+    def order_of(whole: Column) -> Column:
+        """Of the headings after the one of the whole text and before the next of its kind, the order's."""
+        rest = following(nodes, whole)
+        before = F.filter(rest, lambda n: ~F.exists(rest, lambda h: _head(h) & (h["ord"] <= n["ord"])))
+        return of_first(before, lambda n: (n["tag"] == "h5") & clean_line(n["flat"], entities=False).contains(ORDER), lambda n: take_until(following(nodes, n), either))
+
+    order = F.coalesce(of_first(nodes, _named("h4", WHOLE), order_of), F.lit(""))
+    reasons = F.when(F.exists(nodes, _named("h4", WHOLE)), under(nodes, _named("h5", REASONS), either)).otherwise(F.lit(""))
+    full = F.struct(order.alias(ORDER), reasons.alias(REASONS))
     return parsed.select(F.col("url").alias("source_url"), title.alias("title"), subtitle.alias("subtitle1"), F.struct(*sections, full.alias(WHOLE)).alias("sections"))
 
 
@@ -324,13 +331,14 @@ def labelled_block(nodes: Column, label: str) -> Column:
     """The text a label announces: ``dt`` (exactly) then ``dd``; ``th`` then ``td``; a heading then its next sibling;
     a node whose ``aria-label`` or ``title`` holds it; else empty."""
     line = lambda n: clean_line(n["flat"], entities=False)
-    after = lambda n, tag=None: first(following(nodes, n), is_tag(tag) if tag else (lambda x: x["ord"] > 0))
-    term = first(nodes, lambda n: (n["tag"] == "dt") & (line(n) == label))
-    cell = first(nodes, lambda n: (n["tag"] == "th") & line(n).contains(label))
-    head = first(nodes, lambda n: (n["tag"].isin("h3", "h4", "h5") | has_class("tit")(n)) & line(n).contains(label))
-    named = first(nodes, lambda n: F.coalesce(F.try_element_at(n["attrs"], F.lit("aria-label")), F.try_element_at(n["attrs"], F.lit("title")), F.lit("")).contains(label))
-    found = [after(term, "dd"), after(cell, "td"), after(head), named]
-    return F.coalesce(*(F.nullif(clean_line(x["text"], entities=False), F.lit("")) for x in found), F.lit(""))
+    after = lambda test, then: of_first(nodes, test, lambda n: first(following(nodes, n), then)["text"])
+    found = [
+        after(lambda n: (n["tag"] == "dt") & (line(n) == label), is_tag("dd")),
+        after(lambda n: (n["tag"] == "th") & line(n).contains(label), is_tag("td")),
+        after(lambda n: (n["tag"].isin("h3", "h4", "h5") | has_class("tit")(n)) & line(n).contains(label), lambda n: n["ord"] >= 0),
+        first(nodes, lambda n: F.coalesce(F.try_element_at(n["attrs"], F.lit("aria-label")), F.try_element_at(n["attrs"], F.lit("title")), F.lit("")).contains(label))["text"],
+    ]
+    return F.coalesce(*(F.nullif(clean_line(x, entities=False), F.lit("")) for x in found), F.lit(""))
 
 
 def _own(nodes: Column, test: Test) -> Column:
@@ -340,32 +348,27 @@ def _own(nodes: Column, test: Test) -> Column:
 
 def case_header(nodes: Column) -> Column:
     """``title, subtitle`` of a case: the first of three, and of four, places that holds text; the subtitle loses its brackets."""
-    frame = first(nodes, lambda n: n["id"] == "conTop")
-    within = F.coalesce(below(nodes, frame), F.array().cast(f"array<{NODE}>"))
     tag, attribute, value = TITLES[0]
-    titles = [_own(nodes, lambda n: (n["tag"] == tag) & (F.try_element_at(n["attrs"], F.lit(attribute)) == value)), *(_own(within, is_tag(t)) for _, t in TITLES[1:])]
+    framed = lambda t: of_first(nodes, lambda n: n["id"] == "conTop", lambda frame: _own(below(nodes, frame), is_tag(t)))
+    titles = [_own(nodes, lambda n: (n["tag"] == tag) & (F.try_element_at(n["attrs"], F.lit(attribute)) == value)), *(framed(t) for _, t in TITLES[1:])]
     subtitles = [*(_own(nodes, has_class(c)) for c in SUBTITLES), _own(nodes, lambda n: F.map_contains_key(n["attrs"], SUBTITLE_ATTRIBUTE))]
     return F.struct(first_of(*titles).alias("title"), drop_brackets(first_of(*subtitles)).alias("subtitle"))
 
 
-def section_texts(nodes: Column) -> list[Column]:
-    """The texts of the labels 판시사항, 판결요지, 참조조문, wherever a page puts them."""
-    return [labelled_block(nodes, label).alias(label) for label in HEAD_LABELS]
-
-
-def whole_text(nodes: Column) -> Column:
+def whole_text(blocks: dict[str, Column]) -> Column:
     """``주문, 이유``: from the block of 전문 if it names them (then the block as a whole), else from the page at large."""
-    block = labelled_block(nodes, WHOLE)
-    part = lambda label: F.when(block.contains(label), block).otherwise(labelled_block(nodes, label)).alias(label)
+    part = lambda label: F.when(blocks[WHOLE].contains(label), blocks[WHOLE]).otherwise(blocks[label]).alias(label)
     return F.struct(part(ORDER), part(REASONS))
 
 
 def case_details(pages: DataFrame) -> DataFrame:
     """``source_url, title, subtitle1, sections`` of case pages of any layout (``url, html``), found by labels."""
+    nodes, labels = F.col("nodes"), (*HEAD_LABELS, WHOLE, ORDER, REASONS)
     parsed = pages.select("url", parse(F.col("html")).alias("nodes"))
-    nodes = F.col("nodes")
-    told = parsed.select("url", case_header(nodes).alias("h"), F.struct(*section_texts(nodes), whole_text(nodes).alias(WHOLE)).alias("sections"))
-    return told.select(F.col("url").alias("source_url"), F.col("h.title").alias("title"), F.col("h.subtitle").alias("subtitle1"), "sections")
+    found = parsed.select("url", case_header(nodes).alias("h"), *(labelled_block(nodes, label).alias(f"b{i}") for i, label in enumerate(labels)))
+    blocks = {label: F.col(f"b{i}") for i, label in enumerate(labels)}
+    sections = F.struct(*(blocks[label].alias(label) for label in HEAD_LABELS), whole_text(blocks).alias(WHOLE))
+    return found.select(F.col("url").alias("source_url"), F.col("h.title").alias("title"), F.col("h.subtitle").alias("subtitle1"), sections.alias("sections"))
 
 
 def statute_header(pages: DataFrame) -> DataFrame:
