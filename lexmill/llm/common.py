@@ -9,7 +9,6 @@ Defined results for odd input, in every operator of this subpackage:
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -17,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.sources import shared_dir
+
 #: Bytes of text that Python code looks at together: keeps a worker's memory small.
 SLICE_BYTES = 1 << 20
 #: Bytes of an Arrow batch between Spark and a Python worker, whatever the number of rows.
@@ -25,18 +26,6 @@ BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it. Where it is unset a local session gets one
-    of its own; on a cluster that is an error, since executors would each write to their own disks."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = tempfile.mkdtemp(prefix="lexmill-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
 class Tables:
     """The intermediate tables of one run, in a folder of their own within the shared folder.
 
@@ -49,6 +38,7 @@ class Tables:
         self.root = f"{shared_dir(spark)}/lexmill/{name}-{uuid.uuid4().hex}"
         spark.conf.set(CLEANUP, "true")
         spark.conf.set(*BATCH_BYTES)
+        self._files().mkdirs(self._path(self.root))
         self._files().deleteOnExit(self._path(self.root))
 
     def _path(self, path: str) -> object:
