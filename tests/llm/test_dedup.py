@@ -145,3 +145,28 @@ def test_queries_match_their_sql(spark, name):
     got, want = queries.CATALOG.queries[name](spark, SF).toArrow(), c.execute(queries.CATALOG.sql[name]).to_arrow_table()
     names = sorted(got.schema.names)
     assert sorted(map(repr, got.select(names).to_pylist())) == sorted(map(repr, want.select(names).to_pylist()))
+
+
+def test_long_texts_are_hashed_in_bounded_memory():
+    """What a text of 6 MB takes beside itself: 16 times its size for its signature, 30 times for its prefix arrays."""
+    import tracemalloc
+
+    from lexmill.llm import fingerprints
+
+    rng = random.Random(2)
+    words = [f"{rng.getrandbits(40):x}" for _ in range(2_000)]
+    text = " ".join(rng.choice(words) + str(i % 977) for i in range(440_000))[:6_000_000]
+    data = text.encode()
+    assert len(data) > 5_000_000
+
+    def peak(f):
+        tracemalloc.start()
+        f()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most / len(data)
+
+    assert peak(lambda: minhash.signature(minhash.shingle_sets([data], 5)[0], 128)) < 16
+    assert peak(lambda: fingerprints.Fingerprint.of(fingerprints.PrefixHash(text))) < 30
+    one = b"x" * 3_000_000 + b" y"
+    assert len(minhash.shingle_sets([one], 5)[0]) == 1 and minhash.shingle_sets([one], 1)[0].tolist() == minhash.shingle_sets([b"Y  " + one[:-2].upper()], 1)[0].tolist()
