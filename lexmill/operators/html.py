@@ -6,28 +6,31 @@ classifying and cutting are Column expressions over that array, so a page is par
 
 A node: ``ord, parent, depth, last`` (the last node below it), ``tag, id, class`` (padded with blanks), ``attrs``,
 ``own`` (own text pieces), ``text`` (all text below, pieces stripped and joined by line breaks), ``flat`` (all text
-below, as it stands, with a line break after ``p`` and ``br``).
+below, as it stands, with a line break after ``p`` and ``br``), ``line`` (that as one cleaned line, to look for labels in).
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 
 from lexmill.functions.ids import chunk_id, or_none
 from lexmill.functions.text import aliases, clean_block, clean_line, clean_spaces, drop_brackets, first_of, ministry, normal_lines, short_title, strip, without_noise
 from lexmill.functions.urls import Family, document_id, query_value, without_fragment
 from lexmill.operators.segment import take_until
 
-NODE = "struct<ord:int,parent:int,depth:int,last:int,tag:string,id:string,class:string,attrs:map<string,string>,own:array<string>,text:string,flat:string>"
+NODE = "struct<ord:int,parent:int,depth:int,last:int,tag:string,id:string,class:string,attrs:map<string,string>,own:array<string>,text:string,flat:string,line:string>"
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 ENDS_PARAGRAPH = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
+BLANK_WORD = re.compile(r"\bNBSP\b", re.I)
 #: A start tag ends open elements of these tags, up to the nearest element of the others.
 IMPLIED_ENDS = {
     "li": (("li",), ("ul", "ol", "menu")),
@@ -117,16 +120,21 @@ def nodes_of(page: str | None) -> list[dict]:
         inside = parser.pieces[row.pop("first") : row.pop("end")]
         row["text"] = "\n".join(s for n, t in inside if n >= 0 and (s := t.strip()))
         row["flat"] = "".join(t for _, t in inside)
+        row["line"] = " ".join(BLANK_WORD.sub(" ", row["flat"].replace("\u00a0", " ")).split())
     return parser.rows
 
 
-_FIELDS = {"ord": T.IntegerType(), "parent": T.IntegerType(), "depth": T.IntegerType(), "last": T.IntegerType(), "tag": T.StringType(), "id": T.StringType(), "class": T.StringType(), "attrs": T.MapType(T.StringType(), T.StringType()), "own": T.ArrayType(T.StringType()), "text": T.StringType(), "flat": T.StringType()}
+_FIELDS = {"ord": T.IntegerType(), "parent": T.IntegerType(), "depth": T.IntegerType(), "last": T.IntegerType(), "tag": T.StringType(), "id": T.StringType(), "class": T.StringType(), "attrs": T.MapType(T.StringType(), T.StringType()), "own": T.ArrayType(T.StringType()), "text": T.StringType(), "flat": T.StringType(), "line": T.StringType()}
 NODES = T.ArrayType(T.StructType([T.StructField(k, v) for k, v in _FIELDS.items()]))
 
 
-@F.pandas_udf(NODES)
-def parse(pages: pd.Series) -> pd.Series:
-    return pages.map(nodes_of)
+_ARROW = {T.IntegerType(): pa.int32(), T.StringType(): pa.string(), T.ArrayType(T.StringType()): pa.list_(pa.string()), T.MapType(T.StringType(), T.StringType()): pa.map_(pa.string(), pa.string())}
+ARROW_NODES = pa.list_(pa.struct([(k, _ARROW[v]) for k, v in _FIELDS.items()]))
+
+
+@arrow_udf(NODES)
+def parse(pages: pa.Array) -> pa.Array:
+    return pa.array([nodes_of(page) for page in pages.to_pylist()], ARROW_NODES)
 
 
 Test = Callable[[Column], Column]
@@ -301,8 +309,7 @@ def _head(n: Column) -> Column:
 
 
 def _named(tag: str, label: str) -> Test:
-    flat = lambda n: clean_line(n["flat"], entities=False)
-    return lambda n: (_head(n) if tag == "h4" else n["tag"] == "h5") & flat(n).contains(label)
+    return lambda n: (_head(n) if tag == "h4" else n["tag"] == "h5") & n["line"].contains(label)
 
 
 def cases(pages: DataFrame) -> DataFrame:
@@ -319,7 +326,7 @@ def cases(pages: DataFrame) -> DataFrame:
         """Of the headings after the one of the whole text and before the next of its kind, the order's."""
         rest = following(nodes, whole)
         before = F.filter(rest, lambda n: ~F.exists(rest, lambda h: _head(h) & (h["ord"] <= n["ord"])))
-        return of_first(before, lambda n: (n["tag"] == "h5") & clean_line(n["flat"], entities=False).contains(ORDER), lambda n: take_until(following(nodes, n), either))
+        return of_first(before, lambda n: (n["tag"] == "h5") & n["line"].contains(ORDER), lambda n: take_until(following(nodes, n), either))
 
     order = F.coalesce(of_first(nodes, _named("h4", WHOLE), order_of), F.lit(""))
     reasons = F.when(F.exists(nodes, _named("h4", WHOLE)), under(nodes, _named("h5", REASONS), either)).otherwise(F.lit(""))
@@ -330,12 +337,11 @@ def cases(pages: DataFrame) -> DataFrame:
 def labelled_block(nodes: Column, label: str) -> Column:
     """The text a label announces: ``dt`` (exactly) then ``dd``; ``th`` then ``td``; a heading then its next sibling;
     a node whose ``aria-label`` or ``title`` holds it; else empty."""
-    line = lambda n: clean_line(n["flat"], entities=False)
     after = lambda test, then: of_first(nodes, test, lambda n: first(following(nodes, n), then)["text"])
     found = [
-        after(lambda n: (n["tag"] == "dt") & (line(n) == label), is_tag("dd")),
-        after(lambda n: (n["tag"] == "th") & line(n).contains(label), is_tag("td")),
-        after(lambda n: (n["tag"].isin("h3", "h4", "h5") | has_class("tit")(n)) & line(n).contains(label), lambda n: n["ord"] >= 0),
+        after(lambda n: (n["tag"] == "dt") & (n["line"] == label), is_tag("dd")),
+        after(lambda n: (n["tag"] == "th") & n["line"].contains(label), is_tag("td")),
+        after(lambda n: (n["tag"].isin("h3", "h4", "h5") | has_class("tit")(n)) & n["line"].contains(label), lambda n: n["ord"] >= 0),
         first(nodes, lambda n: F.coalesce(F.try_element_at(n["attrs"], F.lit("aria-label")), F.try_element_at(n["attrs"], F.lit("title")), F.lit("")).contains(label))["text"],
     ]
     return F.coalesce(*(F.nullif(clean_line(x, entities=False), F.lit("")) for x in found), F.lit(""))
