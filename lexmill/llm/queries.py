@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.catalog import Catalog, table
-from lexmill.llm import bpe, common, decontaminate, fingerprints, language_model, lines, minhash, pii, substrings, token_files, toxicity
+from lexmill.llm import bpe, common, decontaminate, fingerprints, language_model, lines, merkle, minhash, neighbours, pii, spelling, substrings, token_files, toxicity
 
 CATALOG = Catalog()
 
@@ -121,3 +121,91 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+#: The table of the 32-bit cyclic redundancy check by its rule, and the check of a list of bytes.
+CRC_TABLE = """crc AS (SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i))"""
+CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, {0}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+CODES = "list_transform(string_split({0}, ''), lambda x: CAST(unicode(x) AS BIGINT))"
+
+OP11_SQL = rf"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, translate(run, '{spelling.UPPER}', '{spelling.LOWER}') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+), counted AS (SELECT doc_id, run, count(*) AS c FROM runs WHERE length(run) >= 7 GROUP BY 1, 2),
+bytes AS (
+  SELECT run, c, flatten(list_transform({CODES.format("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")}, lambda x: CASE WHEN x < 128 THEN [x] ELSE [192 + (x >> 6), 128 + (x & 63)] END)) AS b
+  FROM counted
+), hashed AS (SELECT run, c, {CRC.format("b")} AS h FROM bytes, crc),
+garbled AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed
+), words AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM garbled WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+keys AS (
+  SELECT word, n, unnest(list_distinct(list_prepend(word, list_transform(range(1, length(word) + 1), lambda i: substring(word, 1, i - 1) || substring(word, i + 1))))) AS key FROM words
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS m FROM keys a JOIN keys b ON a.key = b.key AND a.word <> b.word
+  WHERE length(a.word) <> length(b.word) OR len(list_filter(range(1, length(a.word) + 1), lambda i: substring(a.word, i, 1) <> substring(b.word, i, 1))) = 1
+), best AS (SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY m DESC, other) AS r FROM near),
+told AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.m >= 10 * w.n THEN b.other END AS form, CASE WHEN b.m >= 10 * w.n THEN b.m END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word AND b.r = 1
+), chain AS (
+  SELECT word, word AS here, 0 AS steps FROM told
+  UNION ALL SELECT c.word, t.form, c.steps + 1 FROM chain c JOIN told t ON c.here = t.word WHERE t.form IS NOT NULL
+)
+SELECT t.word, t.form, r.root, t.n, CAST(t.n_near AS BIGINT) AS n_near, t.form_n
+FROM told t JOIN (SELECT word, arg_max(here, steps) AS root FROM chain GROUP BY word) r USING (word)
+"""
+
+
+@CATALOG.add("op11_spelling_variants", OP11_SQL)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@CATALOG.add("op12_nearest_neighbours")
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def _told(*columns: str) -> str:
+    return " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
+
+
+_FOLD = "list_reduce(list_prepend({0}, steps), lambda d, s: CASE WHEN s[1] = '<' THEN sha256(s[2:] || d) ELSE sha256(d || s[2:]) END)"
+OP13_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+leaves AS (
+  SELECT coalesce('=' || lang, '-') AS tree, doc_id, sha256({_told(*merkle.FIELDS)}) AS digest,
+    CASE WHEN {CRC.format(CODES.format("CAST(doc_id AS VARCHAR)"))} % 7 = 0 THEN sha256({_told("doc_id", "source", "lang", "n_chars + 1", "text")}) END AS forged
+  FROM documents, crc
+), placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS place, count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+up AS (
+  SELECT tree, 0 AS level, place, n, digest FROM placed
+  UNION ALL SELECT tree, level + 1, place // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY place)) FROM up WHERE n > 1 GROUP BY tree, level, place // 2, n
+), subroots AS (SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM up WHERE n = 1),
+above AS (
+  SELECT 100 AS level, place, n, digest FROM subroots
+  UNION ALL SELECT level + 1, place // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY place)) FROM above WHERE n > 1 GROUP BY level, place // 2, n
+), steps AS (
+  SELECT p.tree, p.place, l.level, CASE WHEN (p.place >> l.level) % 2 = 1 THEN '<' ELSE '>' END || coalesce(s.digest, '') AS step
+  FROM placed p JOIN (SELECT DISTINCT tree, level FROM up WHERE n > 1) l USING (tree)
+  LEFT JOIN up s ON s.tree = p.tree AND s.level = l.level AND s.place = xor(p.place >> l.level, 1)
+  UNION ALL
+  SELECT p.tree, p.place, l.level, CASE WHEN (r.place >> (l.level - 100)) % 2 = 1 THEN '<' ELSE '>' END || coalesce(s.digest, '')
+  FROM placed p JOIN subroots r USING (tree), (SELECT DISTINCT level FROM above WHERE n > 1) l
+  LEFT JOIN above s ON s.level = l.level AND s.place = xor(r.place >> (l.level - 100), 1)
+), paths AS (SELECT tree, place, list(step ORDER BY level) AS steps FROM steps GROUP BY 1, 2),
+proven AS (
+  SELECT p.doc_id, p.digest AS leaf, s.digest AS subroot, (SELECT digest FROM above WHERE n = 1) AS root, coalesce(p.forged, p.digest) AS given, coalesce(x.steps, []::VARCHAR[]) AS steps
+  FROM placed p JOIN subroots s USING (tree) LEFT JOIN paths x ON x.tree = p.tree AND x.place = p.place
+)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transform(steps, lambda s: s[2:]), ''), '')) AS proof_sha256, {_FOLD.format("given")} AS folded_root, {_FOLD.format("given")} = root AS verified
+FROM proven
+"""
+
+
+@CATALOG.add("op13_merkle_manifest", OP13_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
