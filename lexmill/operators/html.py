@@ -161,18 +161,33 @@ def of_first(nodes: Column, test: Test, make: Callable[[Column], Column]) -> Col
     return F.get(F.transform(F.slice(F.filter(nodes, test), F.lit(1), F.lit(1)), make), F.lit(0))
 
 
+def bound(value: Column, make: Callable[[Column], Column]) -> Column:
+    """``make(value)`` with the value worked out once, not for each element of the lambdas that ``make`` may hold."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
 def below(nodes: Column, node: Column) -> Column:
-    """All nodes under a node."""
-    return F.filter(nodes, lambda n: (n["ord"] > node["ord"]) & (n["ord"] <= node["last"]))
+    """All nodes under a node of the page's ``nodes``: they lie side by side from the place after its own up to ``last``,
+    so looking below all groups of a page takes time in proportion to the page."""
+    return F.slice(nodes, node["ord"] + 2, node["last"] - node["ord"])
 
 
 def children(nodes: Column, node: Column) -> Column:
-    return F.filter(nodes, lambda n: n["parent"] == node["ord"])
+    return F.filter(below(nodes, node), lambda n: n["parent"] == node["ord"])
 
 
 def following(nodes: Column, node: Column) -> Column:
-    """Siblings after a node."""
-    return F.filter(nodes, lambda n: n["parent"].eqNullSafe(node["parent"]) & (n["ord"] > node["ord"]))
+    """Siblings after a node of the page's ``nodes``."""
+    last = F.coalesce(F.get(nodes, node["parent"])["last"], F.size(nodes) - 1)
+    return F.filter(F.slice(nodes, node["last"] + 2, last - node["last"]), lambda n: n["parent"].eqNullSafe(node["parent"]))
+
+
+def runs(items: Column, starts: Test) -> Column:
+    """``items`` cut before each one that ``starts`` holds for: an array of arrays, in one pass. The first run, which may
+    be empty, is what lies before the first of these."""
+    cuts = F.filter(F.transform(items, lambda x, i: F.when(starts(x), i)), lambda i: i.isNotNull())
+    both = F.concat(F.array(F.lit(0)), cuts, F.array(F.size(items)))
+    return bound(both, lambda at: F.transform(F.slice(at, F.lit(1), F.size(at) - 1), lambda low, k: F.slice(items, low + 1, F.element_at(at, k + 2) - low)))
 
 
 def tight(c: Column) -> Column:
@@ -244,62 +259,61 @@ def article_number(label: Column) -> Column:
 CHUNK = ("chunk_id", "doc_id", "title", "text", "metadata", "source_url")
 
 
+def _carried(found: DataFrame, chapter: Callable[[Column], Column], row: Callable[[Column], list[Column]]) -> DataFrame:
+    """A row ``r`` for each of ``groups``, with ``r.chapter``: the last one up to it that has a chapter (null before).
+
+    One pass: groups are marked with their chapters, cut before each marked one, and take what their run begins with."""
+    marked = found.withColumn("groups", F.transform("groups", lambda g: F.struct(*row(g), chapter(g).alias("own"))))
+    cut = marked.withColumn("runs", runs(F.col("groups"), lambda g: g["own"].isNotNull()))
+    told = F.flatten(F.transform("runs", lambda run: F.transform(run, lambda g: F.struct(g.alias("g"), F.get(run, F.lit(0))["own"].alias("chapter")))))
+    return cut.withColumn("r", F.explode(told)).drop("groups", "runs")
+
+
 def statute_chunks(documents: DataFrame) -> DataFrame:
     """Articles of statute pages (rows of :func:`document_header`). The chapter carries forward within a page."""
     nodes = F.col("nodes")
     holder = first(nodes, lambda n: n["id"].isin(*STATUTE_BODIES) | has_class(STATUTE_BODY_CLASS)(n))
     found = documents.withColumn("holder", holder).where("holder IS NOT NULL").withColumn("groups", groups(below(nodes, F.col("holder"))))
-    chapters = F.transform("groups", lambda g: tight(first(below(nodes, g), lambda n: (n["tag"] == "p") & has_class("gtit")(n))["text"]))
-    chapters = F.transform(chapters, lambda c: F.when(c.rlike(CHAPTER_LEAD), c))
-    rows = F.transform("groups", lambda g, i: F.struct(i.alias("ord"), tight(label_of(nodes, g)["text"]).alias("label"), normal_lines(g["flat"]).alias("text")))
-    found = found.select("doc_id", "source_url", chapters.alias("chapters"), F.explode(rows).alias("r"))
-    seen = F.filter(F.slice("chapters", F.lit(1), F.col("r.ord") + 1), lambda c: c.isNotNull())
-    number = article_number(F.col("r.label"))
-    return found.where(number != "").select(
-        chunk_id(F.col("doc_id"), "article", number).alias("chunk_id"), "doc_id", F.col("r.label").alias("title"), F.col("r.text").alias("text"),
-        F.struct(F.coalesce(F.try_element_at(seen, F.lit(-1)), F.lit("")).alias("chapter"), F.lit(None).cast("string").alias("source_type")).alias("metadata"), "source_url",
+    lead = lambda g: tight(first(below(nodes, g), lambda n: (n["tag"] == "p") & has_class("gtit")(n))["text"])
+    chapter = lambda g: bound(lead(g), lambda c: F.when(c.rlike(CHAPTER_LEAD), c))
+    rows = _carried(found, chapter, lambda g: [tight(label_of(nodes, g)["text"]).alias("label"), normal_lines(g["flat"]).alias("text")])
+    number = article_number(F.col("r.g.label"))
+    return rows.where(number != "").select(
+        chunk_id(F.col("doc_id"), "article", number).alias("chunk_id"), "doc_id", F.col("r.g.label").alias("title"), F.col("r.g.text").alias("text"),
+        F.struct(F.coalesce("r.chapter", F.lit("")).alias("chapter"), F.lit(None).cast("string").alias("source_type")).alias("metadata"), "source_url",
     )
 
 
 def rule_chunks(documents: DataFrame) -> DataFrame:
     """Articles of structured rule pages: text of ``.lawcon`` only; any chapter line counts; else the document's title."""
     nodes = F.col("nodes")
-    found = documents.withColumn("groups", groups(nodes))
-    raw = lambda g: first(below(nodes, g), lambda n: (n["tag"] == "p") & has_class("gtit")(n))["flat"]
-    chapters = F.transform("groups", lambda g: F.when(raw(g).isNotNull(), clean_spaces(raw(g), quotes=False)))
-    held = lambda g: first(below(nodes, g), has_class("lawcon"))
-    rows = F.transform("groups", lambda g, i: F.struct(i.alias("ord"), tight(label_of(nodes, g)["text"]).alias("label"), normal_lines(held(g)["flat"]).alias("text"), held(g).isNotNull().alias("held")))
-    found = found.select("doc_id", "source_url", F.col("title").alias("doc_title"), chapters.alias("chapters"), F.explode(rows).alias("r")).where("r.held")
-    seen = F.try_element_at(F.filter(F.slice("chapters", F.lit(1), F.col("r.ord") + 1), lambda c: c.isNotNull()), F.lit(-1))
-    number = article_number(F.col("r.label"))
-    return found.where(number != "").select(
-        chunk_id(F.col("doc_id"), "article", number).alias("chunk_id"), "doc_id", clean_spaces(F.col("r.label"), quotes=False).alias("title"), clean_spaces(F.col("r.text"), quotes=False).alias("text"),
-        F.struct(F.coalesce(F.nullif(seen, F.lit("")), "doc_title").alias("chapter"), F.lit(None).cast("string").alias("source_type")).alias("metadata"), "source_url",
+    found = documents.withColumn("groups", groups(nodes)).withColumnRenamed("title", "doc_title")
+    lead = lambda g: first(below(nodes, g), lambda n: (n["tag"] == "p") & has_class("gtit")(n))["flat"]
+    chapter = lambda g: bound(lead(g), lambda c: F.when(c.isNotNull(), clean_spaces(c, quotes=False)))
+    text = lambda g: bound(first(below(nodes, g), has_class("lawcon"))["flat"], lambda x: F.when(x.isNotNull(), normal_lines(x)))
+    rows = _carried(found, chapter, lambda g: [tight(label_of(nodes, g)["text"]).alias("label"), text(g).alias("text")])
+    number = article_number(F.col("r.g.label"))
+    return rows.where(F.col("r.g.text").isNotNull() & (number != "")).select(
+        chunk_id(F.col("doc_id"), "article", number).alias("chunk_id"), "doc_id", clean_spaces(F.col("r.g.label"), quotes=False).alias("title"), clean_spaces(F.col("r.g.text"), quotes=False).alias("text"),
+        F.struct(F.coalesce(F.nullif("r.chapter", F.lit("")), "doc_title").alias("chapter"), F.lit(None).cast("string").alias("source_type")).alias("metadata"), "source_url",
     )
 
 
 def section_chunks(documents: DataFrame) -> DataFrame:
     """Sections of unstructured pages: children of ``.lawcon`` (or the top nodes), cut where one starts with a Roman numeral."""
     nodes = F.col("nodes")
-    found = documents.withColumn("holder", first(nodes, has_class("lawcon")))
-    parts = F.filter(nodes, lambda n: n["parent"].eqNullSafe(F.col("holder")["ord"]) & (tight(n["text"]) != ""))
-    parts = F.transform(parts, lambda n: F.struct(tight(n["text"]).alias("t"), (tight(n["text"]).rlike(ROMAN_LEAD)).alias("head")))
-    state = F.aggregate(
-        parts,
-        F.array().cast("array<struct<head:boolean,title:string,lines:array<string>>>"),
-        lambda s, x: F.when(
-            x["head"] | (F.size(s) == 0),
-            F.concat(s, F.array(F.struct(x["head"].alias("head"), F.when(x["head"], x["t"]).otherwise(F.lit("")).alias("title"), F.when(x["head"], F.array().cast("array<string>")).otherwise(F.array(x["t"])).alias("lines")))),
-        ).otherwise(F.concat(F.slice(s, F.lit(1), F.size(s) - 1), F.array(F.struct(F.element_at(s, -1)["head"].alias("head"), F.element_at(s, -1)["title"].alias("title"), F.concat(F.element_at(s, -1)["lines"], F.array(x["t"])).alias("lines"))))),
-    )
-    found = found.select("doc_id", "source_url", F.col("title").alias("doc_title"), state.alias("sections"))
-    rows = F.transform("sections", lambda s, i: F.struct(s["head"].alias("head"), s["title"].alias("title"), F.array_join(s["lines"], "\n").alias("text"), (i + F.when(F.get("sections", 0)["head"], 1).otherwise(0)).cast("int").alias("no")))
-    found = found.select("doc_id", "source_url", "doc_title", F.explode(rows).alias("r"))
-    title = F.when(F.col("r.head"), F.col("r.title")).otherwise(F.coalesce(F.nullif("doc_title", F.lit("")), F.lit(PREAMBLE)))
-    kept = found.where((strip(F.col("r.text")) != "") | (strip(title) == F.col("doc_title")))
-    identity = F.when(F.col("r.head"), chunk_id(F.col("doc_id"), "section", F.col("r.no"))).otherwise(chunk_id(F.col("doc_id"), "preamble"))
+    found = documents.withColumn("holder", first(nodes, has_class("lawcon"))).withColumnRenamed("title", "doc_title")
+    inside = F.when(F.col("holder").isNull(), F.filter(nodes, lambda n: n["parent"].isNull())).otherwise(children(nodes, F.col("holder")))
+    lines = F.filter(F.transform(inside, lambda n: tight(n["text"])), lambda t: t != "")
+    parts = found.withColumn("parts", F.transform(lines, lambda t: F.struct(t.alias("t"), t.rlike(ROMAN_LEAD).alias("head"))))
+    cut = parts.select("doc_id", "source_url", "doc_title", F.posexplode(runs(F.col("parts"), lambda x: x["head"])).alias("no", "run")).where(F.size("run") > 0)
+    head = F.get("run", F.lit(0))["head"]
+    rows = cut.select("doc_id", "source_url", "doc_title", "no", head.alias("head"), F.get("run", F.lit(0))["t"].alias("lead"), F.array_join(F.transform(F.when(head, F.slice("run", 2, F.size("run"))).otherwise(F.col("run")), lambda x: x["t"]), "\n").alias("text"))
+    title = F.when(F.col("head"), F.col("lead")).otherwise(F.coalesce(F.nullif("doc_title", F.lit("")), F.lit(PREAMBLE)))
+    kept = rows.where((strip(F.col("text")) != "") | (strip(title) == F.col("doc_title")))
+    identity = F.when(F.col("head"), chunk_id(F.col("doc_id"), "section", F.col("no"))).otherwise(chunk_id(F.col("doc_id"), "preamble"))
     return kept.select(
-        identity.alias("chunk_id"), "doc_id", clean_spaces(title, quotes=False).alias("title"), clean_spaces(F.col("r.text"), quotes=False).alias("text"),
+        identity.alias("chunk_id"), "doc_id", clean_spaces(title, quotes=False).alias("title"), clean_spaces(F.col("text"), quotes=False).alias("text"),
         F.struct(F.col("doc_title").alias("chapter"), F.lit(None).cast("string").alias("source_type")).alias("metadata"), "source_url",
     )
 
@@ -324,8 +338,7 @@ def cases(pages: DataFrame) -> DataFrame:
 
     def order_of(whole: Column) -> Column:
         """Of the headings after the one of the whole text and before the next of its kind, the order's."""
-        rest = following(nodes, whole)
-        before = F.filter(rest, lambda n: ~F.exists(rest, lambda h: _head(h) & (h["ord"] <= n["ord"])))
+        before = bound(following(nodes, whole), lambda rest: F.get(runs(rest, _head), F.lit(0)))
         return of_first(before, lambda n: (n["tag"] == "h5") & n["line"].contains(ORDER), lambda n: take_until(following(nodes, n), either))
 
     order = F.coalesce(of_first(nodes, _named("h4", WHOLE), order_of), F.lit(""))

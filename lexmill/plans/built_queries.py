@@ -133,6 +133,34 @@ def rule_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("chunk_id", "title", "text", F.col("metadata.chapter").alias("chapter"))
 
 
+def grouped(template: str, mark: str, last: Column) -> Column:
+    """``template`` for each number from 1 to ``last`` as ``{i}``, every seventh after ``mark`` with ``{c}``, side by side."""
+    one = lambda i: F.concat(F.when(i % 7 == 1, filled(mark, c=(i / 7).cast("int") + 1, **_values())).otherwise(F.lit("")), filled(template, i=i, **_values()))
+    return F.array_join(F.transform(F.sequence(F.lit(1), last), one), "")
+
+
+LONG_SQL = """
+WITH d AS (SELECT *, CAST(doc_id + 10000 AS VARCHAR) AS id, unnest(range(1, 41 + doc_id % 60)) AS i FROM documents)
+SELECT 'doc:' || id || ':article_' || i AS chunk_id, '제' || i || '조(가)' AS title, {text} AS text, {chapter} AS chapter FROM d
+"""
+
+
+@CATALOG.add("long_statute_articles", LONG_SQL.format(text="'제' || i || '조(가)' || lang || ' ' || i", chapter="'제' || ((i - 1) // 7 + 1) || '장 ' || source"))
+def long_statute_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statutes of 40 to 99 articles; a chapter begins at every seventh group, and groups without a label are between."""
+    body = grouped('<div class="pgroup"><span class="bl"><label>제{i}조(가)</label></span><p>{lang} {i}</p></div><div class="pgroup"><p>none</p></div>', '<div class="pgroup"><p class="gtit">제{c}장 {source}</p></div>', 40 + F.col("doc_id") % 60)
+    pages = _documents(spark, sf_dir).select(filled("https://h/x?lsiSeq={id}&efYd=20240101", **_values()).alias("url"), F.concat(filled('<div id="conTop"><h2>{source}</h2></div><div id="conScroll">', **_values()), body, F.lit("</div>")).alias("html"))
+    return html.statute_chunks(html.document_header(pages, urls.STATUTE)).select("chunk_id", "title", "text", F.col("metadata.chapter").alias("chapter"))
+
+
+@CATALOG.add("long_rule_articles", LONG_SQL.format(text="lang || chr(10) || i", chapter="'part ' || ((i - 1) // 7 + 1)"))
+def long_rule_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules of 40 to 99 articles, in parts of seven groups."""
+    body = grouped('<div class="pgroup"><span class="bl"><label>제{i}조(가)</label></span><div class="lawcon"><p>{lang}</p><p>{i}</p></div></div>', '<div class="pgroup"><p class="gtit">part {c}</p></div>', 40 + F.col("doc_id") % 60)
+    pages = _documents(spark, sf_dir).select(filled("https://h/x?admRulSeq={id}", **_values()).alias("url"), F.concat(filled('<div id="conTop"><h2>{source}</h2></div>', **_values()), body).alias("html"))
+    return html.rule_chunks(html.document_header(pages, urls.RULE)).select("chunk_id", "title", "text", F.col("metadata.chapter").alias("chapter"))
+
+
 LAW = (
     '<h2> {source} </h2><p class="ct_sub">고용노동부 [{lang}]</p><p>(약칭: s{n})</p><div id="contentBody"><p>연혁</p><p>제{n}장 총칙</p><p>제1조(목적)</p><p>① a {lang}.</p><p>② b</p><p>제2조</p><p>only {id}</p></div>'
 )

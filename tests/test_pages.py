@@ -101,6 +101,39 @@ def test_dom(spark):
     assert tuple(got) == ("가", "나", "다", "라", "")
 
 
+def test_pages_of_many_groups_take_time_in_proportion(spark):
+    import time
+
+    def page(n):
+        groups = "".join(f'<div class="pgroup">{"<p class=gtit>제%d장 총칙</p>" % (i // 20 + 1) if i % 20 == 0 else ""}<span class="bl"><label>제{i + 1}조(목적)</label></span><div class="lawcon"><p>가 <a>나</a> {i}<br>다</p></div></div>' for i in range(n))
+        sections = "".join(f"<p>Ⅰ. x{i}</p><p>a</p><p>b</p>" for i in range(n))
+        return [("statute", f'<div id="conTop"><h2>법</h2></div><div id="conScroll">{groups}</div>'), ("sections", f'<div id="conTop"><h2>법</h2></div><div class="lawcon">{sections}</div>')]
+
+    def run(n):
+        df = spark.createDataFrame(page(n), "url string, html string")
+        began = time.time()
+        headers = html.document_header(df, urls.STATUTE)
+        counts = [f(headers.where(F.col("source_url") == kind)).count() for f, kind in ((html.statute_chunks, "statute"), (html.rule_chunks, "statute"), (html.section_chunks, "sections"))]
+        assert counts == [n, n, n]
+        return time.time() - began
+
+    run(100)
+    assert run(1600) < min(15, 4.5 * max(2.0, run(400)))
+
+
+def test_groups_within_groups_and_chapters_after_the_first(spark):
+    page = """<div id="conTop"><h2>법</h2></div><div id="conScroll"><div class="pgroup"><span class="bl"><label>제1조</label></span>a<div class="pgroup"><p class="gtit">제2장 안</p><span class="bl"><label>제2조</label></span>b</div></div>
+<div class="pgroup"><span class="bl"><i>x</i></span><span class="bl"><label>제3조</label></span>c</div></div><div class="pgroup"><span class="bl"><label>제4조</label></span></div>"""
+    df = spark.createDataFrame([("https://h/x?lsiSeq=1&efYd=2", page)], "url string, html string")
+    got = [(r.title, r.metadata.chapter) for r in html.statute_chunks(html.document_header(df, urls.STATUTE)).collect()]
+    assert got == [("제1조", "제2장 안"), ("제2조", "제2장 안"), ("제3조", "제2장 안")]
+    nodes = spark.createDataFrame([("<div><p>a<b>x</b></p><p>b</p></div><p>c</p><p>d</p>",)], "h string").select(html.parse(F.col("h")).alias("n"))
+    at = lambda i: F.get("n", i)
+    told = lambda c: F.transform(c, lambda x: x["ord"])
+    row = nodes.select(told(html.below(F.col("n"), at(0))), told(html.children(F.col("n"), at(0))), told(html.following(F.col("n"), at(0))), told(html.following(F.col("n"), at(1))), told(html.below(F.col("n"), at(5)))).first()
+    assert list(map(list, row)) == [[1, 2, 3], [1, 3], [4, 5], [3], []]
+
+
 def test_entities_are_those_of_the_standard_library(spark):
     import html as library
     from html.entities import html5
