@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from hashlib import sha256
+from itertools import groupby
 
 from pyspark import RDD
 from pyspark.sql import Column, DataFrame
@@ -67,9 +68,20 @@ def runs_of(digests: list[str]) -> list[str]:
     return [hashed(digests[i : i + 2]) for i in range(0, len(digests), 2)]
 
 
-def _children(nodes: DataFrame, height: int, *more: str) -> RDD:
-    """``((tree, vertex), (place, n, digest, ...))``: what nodes send to the vertex that they belong to."""
-    return nodes.select("tree", "n", "place", "digest", *more).rdd.map(lambda r: ((r[0], r[2] >> height), (r[2], r[1], *r[3:])))
+def _vertices(messages: DataFrame) -> RDD:
+    """``((tree, vertex), rows)``: the messages of each vertex by their place, at most ``2 ** height`` and its parent's."""
+
+    def gathered(rows: Iterator) -> Iterator[tuple]:
+        for key, got in groupby(rows, key=lambda r: (r[0], r[1])):
+            yield key, list(got)
+
+    keys = ["tree", "vertex"]
+    return messages.repartition(shuffle_partitions(messages.sparkSession), *keys).sortWithinPartitions(*keys, "place").rdd.mapPartitions(gathered)
+
+
+def _to_parents(nodes: DataFrame, height: int, *more: str) -> DataFrame:
+    """``tree, vertex, place, n, digest, ...``: what nodes send to the vertex that they belong to."""
+    return nodes.select("tree", F.shiftright("place", height).alias("vertex"), "place", "n", "digest", *more)
 
 
 def grow(leaves: DataFrame, t: Tables, height: int = HEIGHT) -> list[DataFrame]:
@@ -77,8 +89,7 @@ def grow(leaves: DataFrame, t: Tables, height: int = HEIGHT) -> list[DataFrame]:
 
     def completed(vertex: tuple) -> tuple:
         (tree, at), got = vertex
-        got = sorted(got)
-        digests, n = [x[2] for x in got], got[0][1]
+        digests, n = [x[4] for x in got], got[0][3]
         for _ in range(height):
             if n == 1:
                 break
@@ -87,7 +98,7 @@ def grow(leaves: DataFrame, t: Tables, height: int = HEIGHT) -> list[DataFrame]:
 
     supersteps = [leaves]
     while not (going_on := supersteps[-1].where("n > 1")).isEmpty():
-        tops = _children(going_on, height).groupByKey(shuffle_partitions(t.spark)).map(completed)
+        tops = _vertices(_to_parents(going_on, height)).map(completed)
         supersteps.append(t.write(t.spark.createDataFrame(tops, NODE, verifySchema=False), "tops"))
     return supersteps
 
@@ -105,20 +116,18 @@ def paths_within(digests: list[str], n: int, height: int) -> list[list[str]]:
     return paths
 
 
-def sent_down(nodes: DataFrame, paths: DataFrame, t: Tables, height: int = HEIGHT, *more: str) -> RDD:
+def sent_down(nodes: DataFrame, paths: DataFrame, height: int = HEIGHT, *more: str) -> RDD:
     """A reverse superstep: ``(tree, place, top, path, digest, ...)`` of nodes, from the paths of their vertices' tops."""
 
     def passed(vertex: tuple) -> Iterator[tuple]:
         (tree, _), got = vertex
-        got = sorted(got, key=lambda x: x[0])
-        _, top, above = got[0]  # the parent's message: its place is -1
-        own = got[1:]
-        if own:
-            for node, path in zip(own, paths_within([x[2] for x in own], own[0][1], height), strict=True):
-                yield tree, node[0], top, path + above, *node[2:]
+        parent, own = got[0], got[1:]  # the parent's message has the place -1
+        steps = paths_within([x[4] for x in own], own[0][3], height) if own else []
+        for node, path in zip(own, steps, strict=True):
+            yield tree, node[2], parent[-2], path + parent[-1], node[4], *node[5:-2]
 
-    messages = paths.select("tree", "place", "top", "path").rdd.map(lambda r: ((r[0], r[1]), (-1, r[2], list(r[3]))))
-    return _children(nodes, height, *more).union(messages).groupByKey(shuffle_partitions(t.spark)).flatMap(passed)
+    sent = paths.select("tree", F.col("place").alias("vertex"), F.lit(-1).cast("long").alias("place"), "top", "path")
+    return _vertices(_to_parents(nodes, height, *more).unionByName(sent, allowMissingColumns=True)).flatMap(passed)
 
 
 def descend(supersteps: list[DataFrame], tops: DataFrame, t: Tables, height: int = HEIGHT, *more: str) -> RDD:
@@ -126,10 +135,10 @@ def descend(supersteps: list[DataFrame], tops: DataFrame, t: Tables, height: int
     after which a tree halted) has the paths of the trees' own tops."""
     paths = tops.where(F.col("step") == len(supersteps) - 1).drop("step")
     for step in range(len(supersteps) - 1, 0, -1):
-        sent = sent_down(supersteps[step], paths, t, height).map(lambda x: x[:4])
+        sent = sent_down(supersteps[step], paths, height).map(lambda x: x[:4])
         paths = t.write(t.spark.createDataFrame(sent, PATH, verifySchema=False), "paths")
         paths = paths.unionByName(tops.where(F.col("step") == step - 1).drop("step"))
-    return sent_down(supersteps[0], paths, t, height, *more)
+    return sent_down(supersteps[0], paths, height, *more)
 
 
 def folded(digest: str, path: list[str]) -> str:
