@@ -41,10 +41,10 @@ class Settings:
     """``bucket_rows``: vectors in a bucket on average, which sets the number of functions of a table; ``sample``: queries
     searched exactly to learn what likeness to look for; ``block``: rows that meet at once."""
 
-    tables: int = 4
+    tables: int = 3
     width: float = 2.5
-    bucket_rows: int = 256
-    success: float = 0.93
+    bucket_rows: int = 512
+    success: float = 0.9
     near: float = 0.95
     sample: int = 64
     block: int = 4096
@@ -334,8 +334,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, s: Settings | None
         return vectors.sparkSession.createDataFrame([], empty)
     index, like = fitted
     indexed, probed = t.write(bucketed(found, index, kind), "buckets"), t.write(probing(asked, index, like, s, kind), "probes")
-    met = t.write(meet(indexed, probed, index, k + 1, s, kind), "met")
-    t.drop(indexed, probed)
+    met = meet(indexed, probed, index, k + 1, s, kind)
     by = Window.partitionBy("q").orderBy(F.desc("score"), "least", "id")
     merged = met.groupBy("q", "id").agg(F.max("score").alias("score"), F.first("least").alias("least"))
     best = merged.withColumn("r", F.row_number().over(by)).where(F.col("r") <= k + 1)
