@@ -25,10 +25,11 @@ def enqueue(chunks: DataFrame, now: Column | None = None, after: int = 0) -> Dat
 
 def claimable(queue: DataFrame, limit: int, worker: int = 0, workers: int = 1) -> DataFrame:
     """The ``limit`` oldest pending rows (a top-k: nothing is sorted whole). Of several ``workers`` each sees the rows of
-    its share of the ids, so no two can claim the same row."""
+    its share of the ids, so no two can claim the same row; workers that come and go claim by leases
+    (:mod:`lexmill.streaming.leases`)."""
     mine = queue.where(F.col("status") == PENDING)
     if workers > 1:
-        mine = mine.where(F.pmod(F.xxhash64("id"), F.lit(workers)) == worker)
+        mine = mine.where(F.pmod("id", F.lit(workers)) == worker)
     return mine.orderBy("id").limit(limit)
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import random
 import time
-import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -18,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lexmill.functions.text import embed_text
-from lexmill.sources import shared_dir
+from lexmill.sources import scratch_path
 
 #: A backend turns a list of texts into a list of vectors. It is built once for each Python worker batch stream.
 Backend = Callable[[list[str]], list[list[float]]]
@@ -148,7 +147,7 @@ def top_similar(queries: DataFrame, vectors: DataFrame, k: int, query_rows: int
         return _ranked(_best_of_block(asked.collect(), vectors, k), k)
     cuts = asked.agg(F.percentile_approx("query_id", [i / blocks for i in range(1, blocks)], max(10_000, 20 * blocks))).first()[0]
     cuts = sorted(set(cuts))
-    path = f"{shared_dir(spark)}/topk-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "topk")
     for low, high in zip([None, *cuts], [*cuts, None], strict=True):
         block = asked if low is None else asked.where(F.col("query_id") > low)
         block = block if high is None else block.where(F.col("query_id") <= high)

@@ -231,29 +231,34 @@ def article_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.add(
     "listed_pages",
     """
-WITH p AS (SELECT doc_id % 7 AS k, unnest(range(1, 7)) AS page_no FROM documents WHERE doc_id < 7)
-SELECT 'd' || k AS department, CAST(page_no AS INTEGER) AS page_no FROM p WHERE page_no <= least(CASE WHEN k = 0 THEN 1 ELSE k END, 4) AND NOT (k = 5 AND page_no >= 3)
+WITH p AS (SELECT doc_id, doc_id % 7 AS k, unnest(range(1, 7)) AS page_no FROM documents)
+SELECT 'd' || doc_id AS department, CAST(page_no AS INTEGER) AS page_no FROM p WHERE page_no <= least(CASE WHEN k = 0 THEN 1 ELSE k END, 4) AND NOT (k = 5 AND page_no >= 3)
 """,
 )
 def listed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list pages that a crawl visits: up to the counter's last page or the limit, none after an empty one."""
-    k = F.col("doc_id") % 7
-    rows = _documents(spark, sf_dir).where("doc_id < 7").select(k.alias("k"), F.explode(F.sequence(F.lit(1), F.lit(6))).alias("page_no"))
+    """The list pages that a crawl visits, six for each document: up to the counter's last page or the limit, none after an empty one."""
+    rows = _documents(spark, sf_dir).select("doc_id", (F.col("doc_id") % 7).alias("k"), F.explode(F.sequence(F.lit(1), F.lit(6))).alias("page_no"))
     counter = F.when(F.col("k") == 0, "").otherwise(filled('<span class="page">(1 / {k})</span>', k=F.col("k")))
     links = F.when((F.col("k") == 5) & (F.col("page_no") == 3), "").otherwise("<a onclick=\"lsReturnSearch('','20240101','123456')\">x</a>")
-    pages = rows.select(filled("d{k}", k=F.col("k")).alias("department"), "page_no", F.concat(counter, links).alias("html"))
+    pages = rows.select(filled("d{doc}", doc=F.col("doc_id")).alias("department"), "page_no", F.concat(counter, links).alias("html"))
     return pipelines.listed_pages(pages, pipelines.RunConfig(urls.STATUTE, BASE, max_pages=4)).select("department", "page_no")
 
 
 @CATALOG.add(
     "department_frontier",
-    "SELECT 'n' || doc_id AS name, 'https://portal.example/doc/lsInfoP.do?lsiSeq=' || (doc_id + 10000) || '&efYd=20240101' AS url FROM documents WHERE lang = 'en'",
+    """
+SELECT 'n' || doc_id AS name, 'https://portal.example/doc/lsInfoP.do?lsiSeq=' || (doc_id + 10000) || '&efYd=20240101' AS url FROM documents WHERE lang = 'en'
+UNION ALL SELECT 'first', 'https://portal.example/doc/lsInfoP.do?lsiSeq=10000&efYd=20240101' FROM documents WHERE lang = 'en' GROUP BY lang
+""",
 )
 def department_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The links of one department's list pages."""
-    link = filled("<a onclick=\"lsReturnSearch('x','20240101','{id}')\">n{doc}</a>", id=F.col("doc_id") + 10_000, doc=F.col("doc_id"))
-    pages = _documents(spark, sf_dir).select("lang", link.alias("link")).groupBy(F.col("lang").alias("department")).agg(F.array_join(F.array_sort(F.collect_list("link")), "").alias("html")).withColumn("page_no", F.lit(1))
-    config = pipelines.RunConfig(urls.STATUTE, BASE, department="en")
+    """The links of one department's list pages: a first page with the counter, and a page for each document."""
+    link = "<a onclick=\"lsReturnSearch('x','20240101','{id}')\">{name}</a>"
+    docs = _documents(spark, sf_dir)
+    first = docs.select("lang").distinct().select(F.col("lang").alias("department"), F.lit(1).cast("long").alias("page_no"), F.lit("<b>(1 / 999999999)</b>" + link.format(id=10_000, name="first")).alias("html"))
+    page = filled(link, id=F.col("doc_id") + 10_000, name=F.concat(F.lit("n"), F.col("doc_id").cast("string")))
+    pages = first.unionByName(docs.select(F.col("lang").alias("department"), (F.col("doc_id") + 2).alias("page_no"), page.alias("html")))
+    config = pipelines.RunConfig(urls.STATUTE, BASE, max_pages=1 << 30, department="en")
     found = html.links(pipelines.listed_pages(pages, config), ["department"], "html")
     return found.select(F.col("text").alias("name"), urls.detail_url(F.col("onclick"), urls.STATUTE, BASE, every=True, filled=True).alias("url"))
 

@@ -143,7 +143,7 @@ def kind_router(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of two kinds in one stream, routed to an output for each kind and read back from it."""
     docs = table(spark, sf_dir, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("key"))
     both = docs.unionByName(table(spark, sf_dir, "conversations").select(F.lit("chunk").alias("kind"), F.col("conv_id").alias("key")))
-    path = f"{sources.shared_dir(spark)}/routed-{uuid.uuid4().hex}"
+    path = sources.scratch_path(spark, "routed")
     sources.routed(both, path)
     one = lambda kind: sources.route(spark, path, kind, T.StructType([T.StructField("key", T.LongType())])).agg(F.lit(kind).alias("kind"), F.count("*").alias("n"), F.sum("key").alias("keys"))
     return one("document").unionByName(one("chunk"))
@@ -166,7 +166,7 @@ def worker_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = table(spark, sf_dir, "conversations")
     status = F.when(F.col("turn") % 4 == 3, queue.DONE).otherwise(queue.PENDING)
     rows = t.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.lit("u").alias("source_url"), F.lit("t").alias("title"), F.lit("").alias("subtitle1"), F.col("turn").cast("int").alias("chunk_no"), F.col("role").alias("chunk"), status.alias("status"), F.lit(None).cast("string").alias("error"), F.current_timestamp().alias("created_at"), F.current_timestamp().alias("updated_at"))
-    store = VectorStore(spark, f"{sources.shared_dir(spark)}/worker-{uuid.uuid4().hex}")
+    store = VectorStore(spark, sources.scratch_path(spark, "worker"))
     store.upsert(rows, 0, no_users, vectors.EmbedConfig(dim=4, batch=1, attempts=1))
     found = store.read().select(F.col("queue_id").alias("id"), F.lit(True).alias("embedded"))
     return store.marked(rows).join(found, "id", "left").select("id", "status", "error", F.coalesce("embedded", F.lit(False)).alias("embedded"))
@@ -184,13 +184,12 @@ def no_users() -> vectors.Backend:
     return checked
 
 
-@CATALOG.add("claims_of_two_workers", f"WITH {QUEUE_SQL} SELECT count(*) AS n, count(DISTINCT id) AS different, min(id) > 0 AS valid FROM q WHERE status = 'pending'")
+@CATALOG.add("claims_of_two_workers", f"WITH {QUEUE_SQL}, r AS (SELECT id, id % 2 AS worker, row_number() OVER (PARTITION BY id % 2 ORDER BY id) AS k FROM q WHERE status = 'pending') SELECT id, CAST(worker AS INTEGER) AS worker FROM r WHERE k <= 64")
 def claims_of_two_workers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Workers that see shares of the ids claim every pending row once between them."""
+    """A batch of 64 rows for each of two workers, from their shares of the ids."""
     q = _queue(spark, sf_dir)
-    every = q.count()
-    both = queue.claimable(q, every, 0, 2).unionByName(queue.claimable(q, every, 1, 2))
-    return both.agg(F.count("*").alias("n"), F.count_distinct("id").alias("different"), (F.min("id") > 0).alias("valid"))
+    each = [queue.claimable(q, 64, k, 2).select("id", F.lit(k).alias("worker")) for k in range(2)]
+    return each[0].unionByName(each[1])
 
 
 @CATALOG.add(
@@ -201,7 +200,7 @@ def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a title, written as JSON lines, read back by their schema, and joined to what they came from."""
     d = table(spark, sf_dir, "documents")
     rows = d.select(F.col("doc_id").cast("string").alias("doc_id"), F.when(~F.col("doc_id").cast("string").endswith("7"), F.col("source")).alias("title"), F.col("lang").alias("subtitle"), F.concat(F.lit("u"), "doc_id").alias("source_url"))
-    path = f"{sources.shared_dir(spark)}/jsonl-{uuid.uuid4().hex}"
+    path = sources.scratch_path(spark, "jsonl")
     sources.write_jsonl(sources.savable(rows), path)
     back = sources.read_jsonl(spark, path, sources.DOCUMENT)
     return back.join(d.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("n_chars").cast("int").alias("n_chars")), "doc_id").select("doc_id", "title", "subtitle", "n_chars")
@@ -210,7 +209,7 @@ def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.add("csv_round_trip", """SELECT CAST(event_id AS VARCHAR) AS id, event_type AS "metadata.chapter", props AS text FROM events""")
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested records as CSV with a byte-order mark and quoted JSON in a field, and back."""
-    path = f"{sources.shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    path = sources.scratch_path(spark, "csv")
     nested = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("id"), F.struct(F.col("event_type").alias("chapter")).alias("metadata"), F.col("props").alias("text"))
     sources.write_csv(nested, path)
     return sources.read_csv(spark, path)
@@ -218,7 +217,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @CATALOG.add("quarantined_rows", "SELECT CASE WHEN o_totalprice < 50000 THEN 'bad' ELSE 'good' END AS part, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1")
 def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sources.shared_dir(spark)}/quarantine-{uuid.uuid4().hex}"
+    path = sources.scratch_path(spark, "quarantine")
     good = sources.quarantine(table(spark, sf_dir, "orders"), F.col("o_totalprice") < 50000, path)
     both = good.select(F.lit("good").alias("part"), "o_orderkey").unionByName(spark.read.parquet(path).select(F.lit("bad").alias("part"), "o_orderkey"))
     return both.groupBy("part").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
@@ -235,7 +234,7 @@ def run_log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @CATALOG.add("run_metric_totals", "SELECT 'run ' || (page_id % 3) AS run, 'pages' AS metric, count(*) AS value FROM pages GROUP BY 1")
 def run_metric_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sources.shared_dir(spark)}/metrics-{uuid.uuid4().hex}"
+    path = sources.scratch_path(spark, "metrics")
     for r in table(spark, sf_dir, "pages").groupBy((F.col("page_id") % 3).alias("k")).agg(F.count("*").alias("n")).collect():  # three rows
         sources.run_metrics(spark, path, f"run {r['k']}", {"pages": r["n"]})
     return spark.read.parquet(path).select("run", "metric", "value")

@@ -55,15 +55,33 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, deleted when the session ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(at)
+    files.deleteOnExit(at)
+    return path
+
+
+def scratch(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written once to a scratch path and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def numbered(df: DataFrame, order: list[Column | str], name: str = "id", after: int = 0) -> DataFrame:
     """``name``: 1, 2, ... (beyond ``after``) in order, without a task that sees all rows: rows are sorted by ranges and
-    written, and each range starts where the counts of those before it end."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/numbered-{uuid.uuid4().hex}"
+    written (when this is called), and each range starts where the counts of those before it end."""
     columns = [c if isinstance(c, Column) else F.col(c) for c in order]
-    ranges = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *columns).sortWithinPartitions(*columns)
-    ranges.withColumn("__place", F.monotonically_increasing_id()).write.parquet(path)
-    placed = spark.read.parquet(path).withColumn("__range", F.shiftrightunsigned("__place", 33))
+    ranges = df.repartitionByRange(shuffle_partitions(df.sparkSession), *columns).sortWithinPartitions(*columns)
+    placed = scratch(ranges.withColumn("__place", F.monotonically_increasing_id()), "numbered").withColumn("__range", F.shiftrightunsigned("__place", 33))
     sizes = placed.groupBy("__range").agg(F.count("*").alias("__n"))  # a row for each partition
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
@@ -71,6 +89,15 @@ def numbered(df: DataFrame, order: list[Column | str], name: str = "id", after:
     return placed.join(F.broadcast(starts), "__range").withColumn(name, number).drop("__range", "__place", "__start")
 
 
+def parquet_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The files of a Parquet table as a stream, whether the table is a folder or one file."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(at).isDirectory():
+        return spark.readStream.schema(schema).parquet(path)
+    folder, _, name = path.rpartition("/")
+    return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, strict: bool = True) -> DataFrame:
     """JSON lines by an explicit schema. ``strict`` fails on a bad line; otherwise it lands in ``_corrupt_record``."""
     if strict:

@@ -1,13 +1,15 @@
 """The embedding worker as a stream: queue files in, vectors and marks out, exactly once in effect.
 
 The source's checkpoint is the claim: a file belongs to one micro-batch of one worker, and a failed batch is replayed.
-Each micro-batch writes its vectors and its marks (done, or error with the backend's message) to a folder of its own
-number, and a replay writes the same folder again, so at-least-once delivery leaves one result. Nothing is rewritten:
-readers take the newest row of each key, pre-aggregated.
+Each micro-batch writes its vectors and its marks (done, or error with the backend's message) to a folder of its run and
+number, and a replay writes the same folder again, so at-least-once delivery leaves one result. A run is named by the
+identity that its checkpoint keeps: a worker that begins anew with another checkpoint writes beside what is there, and many
+workers may share one store. Nothing is rewritten: readers take the newest row of each key, pre-aggregated.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -30,54 +32,67 @@ def embed_rows(queue: DataFrame, make: Callable[[], Backend], config: EmbedConfi
 
 
 class VectorStore:
-    """Vectors and marks of a worker: an append-only table of each, a folder for each micro-batch."""
+    """Vectors and marks of workers: an append-only table of each, a folder for each micro-batch of each run. What is read
+    covers ``others`` as well, stores of workers that write elsewhere."""
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, *others: str) -> None:
+        self.spark, self.path, self.paths = spark, path, (path, *others)
 
     def _rows(self, name: str, schema: T.StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{self.path}/{name}")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("batch", T.LongType())]))
-
-    def append(self, name: str, rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch}")
+        every = T.StructType([*schema.fields, T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())])
+        found = self.spark.createDataFrame([], every)
+        for path in self.paths:
+            try:
+                found = found.unionByName(self.spark.read.schema(every).parquet(f"{path}/{name}"))
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        return found
+
+    def append(self, name: str, rows: DataFrame, batch: int, run: str = "0") -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/{name}/run={run}/batch={batch}")
 
     def read(self) -> DataFrame:
         """The newest vector of each row, with the chunk number and the time of its first."""
-        rows, order = self._rows("vectors", EMBEDDING), F.struct("batch", "chunk_no", "vector")
+        rows, order = self._rows("vectors", EMBEDDING), F.struct("updated_at", "batch", "run", "chunk_no", "vector")
         newest = rows.groupBy("queue_id").agg(F.max(order).alias("new"), F.min(order).alias("old"), F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"))
         return newest.select("queue_id", F.col("old.chunk_no").alias("chunk_no"), F.col("new.vector").alias("vector"), "created_at", "updated_at")
 
     def marks(self) -> DataFrame:
-        return self._rows("marks", MARK).drop("batch")
+        return self._rows("marks", MARK).drop("run", "batch")
 
     def marked(self, queue: DataFrame) -> DataFrame:
-        """The queue as the worker's marks leave it."""
+        """The queue as the workers' marks leave it."""
         return with_marks(queue, self.marks())
 
-    def upsert(self, batch: DataFrame, number: int, make: Callable[[], Backend], config: EmbedConfig) -> None:
-        """Embeds a batch's pending rows, and writes their vectors and marks as batch ``number``."""
+    def upsert(self, batch: DataFrame, number: int, make: Callable[[], Backend], config: EmbedConfig, run: str = "0") -> None:
+        """Embeds a batch's pending rows, and writes their vectors and marks as batch ``number`` of ``run``."""
         told = batch.where(F.col("status") == PENDING).select("id", "chunk_no", embed_column(make, config, keep_errors=True)(F.col("chunk")).alias("r"), F.current_timestamp().alias("at")).persist()
         try:
             vector = unit(F.col("r.vector")) if config.normalize else F.col("r.vector")
             good = F.col("r.error").isNull()
-            self.append("vectors", told.where(good).select(F.col("id").alias("queue_id"), "chunk_no", vector.alias("vector"), F.col("at").alias("created_at"), F.col("at").alias("updated_at")), number)
-            self.append("marks", told.select("id", F.when(good, DONE).otherwise(ERROR).alias("status"), F.col("r.error").alias("error"), F.col("at").alias("updated_at")), number)
+            self.append("vectors", told.where(good).select(F.col("id").alias("queue_id"), "chunk_no", vector.alias("vector"), F.col("at").alias("created_at"), F.col("at").alias("updated_at")), number, run)
+            self.append("marks", told.select("id", F.when(good, DONE).otherwise(ERROR).alias("status"), F.col("r.error").alias("error"), F.col("at").alias("updated_at")), number, run)
         finally:
             told.unpersist()
 
 
 def start_worker(spark: SparkSession, queue_path: str, store_path: str, checkpoint: str, make: Callable[[], Backend], config: EmbedConfig, once: bool = True, poll: str = "2 seconds", files: int = 16, worker: int = 0, workers: int = 1):
     """Starts a worker; ``once`` processes what is there and stops, else it polls. Of several ``workers``, each with a
-    checkpoint and a store of its own, each takes its share of the ids. Rows go to the backend ``config.batch`` at a
+    checkpoint of its own, each takes its share of the ids; they may share a store. Rows go to the backend ``config.batch`` at a
     time; a micro-batch holds the rows of ``files`` files. Returns the streaming query."""
     store = VectorStore(spark, store_path)
     stream = spark.readStream.schema(QUEUE).option("maxFilesPerTrigger", files).parquet(queue_path)
     if workers > 1:
-        stream = stream.where(F.pmod(F.xxhash64("id"), F.lit(workers)) == worker)
-    writer = stream.writeStream.foreachBatch(lambda batch, number: store.upsert(batch, number, make, config)).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=poll)).start()
+        stream = stream.where(F.pmod("id", F.lit(workers)) == worker)
+    started, run = threading.Event(), []
+
+    def embed(batch: DataFrame, number: int) -> None:
+        started.wait()
+        store.upsert(batch, number, make, config, run[0])
+
+    writer = stream.writeStream.foreachBatch(embed).option("checkpointLocation", checkpoint)
+    query = (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=poll)).start()
+    run.append(str(query.id))  # the checkpoint keeps it
+    started.set()
+    return query
