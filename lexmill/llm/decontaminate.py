@@ -1,19 +1,23 @@
-"""Benchmark decontamination: Smith-Waterman alignment of words, wherever an alignment can reach the share.
+"""Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman alignment scores what they meet.
 
-Test items go in blocks of bounded size, and each block is held against all documents in one narrow pass. Three bounds
-say where an alignment may reach ``share`` of an item's words; each is proved, so none loses a pair:
+A document is contaminated by an item if the alignment's score reaches ``share`` of the item's words (matching words
+count 1, others and gaps cost a half), so edited, paraphrased and partly copied items are found.
 
-1. a match takes a word of the item, so enough of the item's words must occur in the document;
-2. each word of the document adds 1 to a score at most if the item has it and costs a half otherwise, so the running
-   sum of these, never below 0, must reach the share. Where the sum is 0 every alignment's score is 0, so the stretches
-   between are aligned each by itself;
-3. enough of the item's words, as often as the item has them, must occur in the stretch.
+Seeds. An alignment with ``E`` edits that scores ``S`` has ``S + E / 2`` matches, in ``E + 1`` runs at most, so it matches
+``S - E / 2 - 1`` pairs of words side by side. Alignments of few edits so show in pairs of words; those of more edits have
+so many more matches that they show in single words. Of each kind, if ``k`` of ``n`` must match, any ``n - k + r`` hold ``r``
+that do: the rarest ones, by how many items have them, are the seeds, and a passage meets an item if it has ``r`` of its seeds.
+No pair is lost, whatever an edit replaced. Longer n-grams would promise less. The join of passages with seeds is worked
+out in the tasks, over a table of seeds that the block's size bounds: each rare n-gram leads to few items however many there are.
 
-No n-gram has to survive an edit: copies with every second or third word replaced are aligned like others. Documents
-are never shuffled.
+Passages. An alignment covers at most ``m + 2 * (1 - share) * m`` words, so documents go passage by passage, each twice as
+long as that and starting in the middle of the one before, with items of about one size together; long texts do not gather seeds from far apart.
 
-A document is contaminated by an item if the alignment's score reaches ``share`` of the item's words (matching words
-count 1, others and gaps cost a half), so edited, paraphrased and partly copied items are found.
+Bounds for what has met, each proved: every word of the passage adds 1 to a score at most if the item has it and costs a
+half otherwise, so the running sum of these, never below 0, must reach the share (where it is 0, the stretches between are
+aligned each by itself); and enough of the item's words, as often as the item has them, must occur in the stretch.
+
+Items go in blocks of bounded size; documents are never shuffled.
 
 Defined results: null and empty texts and items match nothing; items shorter than ``gram`` words match as a whole;
 repeated rows each give their own pairs; words are runs of bytes other than white space and ASCII punctuation.
@@ -42,10 +46,14 @@ _TABLE = bytes(_TABLE)
 
 @dataclass(frozen=True)
 class Settings:
-    """``block_words``: words of the items that are held in memory together; more items mean more passes."""
+    """``few_edits``: up to so many edits, as a part of the matches wanted, pairs of words are the seeds; ``seeds``: seeds that a passage must have at least (``r``); ``passage``: words from the start of a passage to the next, at least;
+    ``block_words``: words of the items that are held in memory together; more items mean more passes."""
 
     gram: int = 3
     share: float = 0.5
+    few_edits: float = 0.8
+    seeds: int = 6
+    passage: int = 100
     block_words: int = 1_000_000
 
 
@@ -53,68 +61,127 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_TABLE).split()
 
 
+class Seeds:
+    """For some items the rarest of their tokens, and for each of these the items whose seed it is. An alignment matches at least
+    ``least`` tokens of an item, so of any ``tokens - least + r`` at least ``r``."""
+
+    def __init__(self, items: np.ndarray, tokens: list[np.ndarray], least: np.ndarray, r: int) -> None:
+        self.items, self.wanted = items, np.minimum(least, r)
+        counted = [np.unique(x, return_counts=True) for x in tokens]
+        token, times = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (zip(*counted, strict=True) if counted else ([], [])))
+        owner = np.repeat(np.arange(len(items)), [len(x) for x, _ in counted])
+        self.tokens, name, held = np.unique(token, return_inverse=True, return_counts=True)
+        size = np.array([len(x) for x in tokens], np.int64)
+        order = np.lexsort((name, held[name], owner))
+        name, owner, times = name[order], owner[order], times[order]
+        rarer = np.cumsum(times) - times - (np.cumsum(size) - size)[owner]  # places of rarer tokens of the item
+        seed = rarer < (size - least + self.wanted)[owner]
+        name, owner, times = name[seed], owner[seed], times[seed]
+        # Rows (token, item, times) by token; those of token i are at first[i] .. first[i + 1].
+        order = np.argsort(name, kind="stable")
+        self.owner, self.times = owner[order], times[order]
+        self.first = np.searchsorted(name[order], np.arange(len(self.tokens) + 1))
+
+    def met(self, tokens: np.ndarray) -> np.ndarray:
+        """Items of which enough seeds are among ``tokens``, each as often as both have it."""
+        if not len(self.tokens) or not len(tokens):
+            return np.zeros(0, np.int64)
+        have, there = np.unique(tokens, return_counts=True)
+        at = np.minimum(np.searchsorted(self.tokens, have), len(self.tokens) - 1)
+        known = self.tokens[at] == have
+        at, there = at[known], there[known]
+        a, n = self.first[at], self.first[at + 1] - self.first[at]
+        rows = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
+        found = np.bincount(self.owner[rows], np.minimum(self.times[rows], np.repeat(there, n)), len(self.items))
+        return self.items[found >= self.wanted]
+
+
+def pairs_of(words: np.ndarray) -> np.ndarray:
+    """Every two words side by side that items have (number above 0) as one number."""
+    a, b = words[:-1], words[1:]
+    return ((a << 32) | b)[(a > 0) & (b > 0)]
+
+
+class Sized:
+    """Items of about one size, with their seeds."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]], s: Settings) -> None:
+        numbers, size = np.array([k for k, _ in items]), np.array([len(ws) for _, ws in items])
+        reached = s.share * size
+        #: A passage starts so many words after the one before: an alignment covers as many at most.
+        self.step = max(int((size + np.floor(2 * (size - reached))).max()), s.passage)
+        few = np.floor(np.minimum(2 * (size - reached), s.few_edits * reached))
+        pairs = np.ceil(reached - few / 2 - 1 - 1e-9).astype(np.int64)
+        few = np.where(pairs > 0, few, -1)  # without a promise for pairs all alignments have to show in words
+        words = np.ceil(reached + (few + 1) / 2 - 1e-9).astype(np.int64)
+        by_words, by_pairs = np.flatnonzero(words <= size), np.flatnonzero(pairs > 0)
+        self.words = Seeds(numbers[by_words], [items[i][1] for i in by_words], words[by_words], s.seeds)
+        self.pairs = Seeds(numbers[by_pairs], [pairs_of(items[i][1]) for i in by_pairs], pairs[by_pairs], s.seeds)
+
+    def passages(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Where passages start, and their words: each alignment lies within one."""
+        for a in range(0, max(1, len(words) - self.step), self.step):
+            yield a, words[a : a + 2 * self.step]
+
+    def met(self, passage: np.ndarray) -> np.ndarray:
+        return np.union1d(self.words.met(passage[passage > 0]), self.pairs.met(pairs_of(passage)))
+
+
 class Block:
-    """Some items: their words as numbers, and for each word the items that have it."""
+    """Some items: their words as numbers, and their seeds by classes of size."""
 
     def __init__(self, items: list[tuple[int, list[bytes]]], s: Settings) -> None:
         self.s = s
         self.vocabulary: dict[bytes, int] = {}
         self.ids = [i for i, _ in items]
         self.words = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in ws], np.int64) for _, ws in items]
-        self.size = np.array([len(ws) for ws in self.words])
+        self.different = [np.unique(ws, return_counts=True) for ws in self.words]
         self.short: dict[int, list[int]] = {}
-        for k in np.flatnonzero((self.size > 0) & (self.size < s.gram)).tolist():
-            self.short.setdefault(len(self.words[k]), []).append(k)
-        # Rows (word, item, times), by word; those of word w are at first[w] .. first[w + 1].
-        counted = [(k, *np.unique(ws, return_counts=True)) for k, ws in enumerate(self.words) if len(ws) >= s.gram]
-        word = np.concatenate([w for _, w, _ in counted] or [np.zeros(0, np.int64)])
-        owner = np.repeat(np.array([k for k, _, _ in counted], np.int64), [len(w) for _, w, _ in counted])
-        times = np.concatenate([n for _, _, n in counted] or [np.zeros(0, np.int64)])
-        order = np.argsort(word, kind="stable")
-        self.owner, self.times = owner[order], times[order]
-        self.first = np.searchsorted(word[order], np.arange(len(self.vocabulary) + 2))
-        self.different = {k: (w, n) for k, w, n in counted}
+        by_size: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for k, ws in enumerate(self.words):
+            if len(ws) >= s.gram:
+                by_size.setdefault(len(ws).bit_length(), []).append((k, ws))
+            elif len(ws):
+                self.short.setdefault(len(ws), []).append(k)
+        self.sized = [Sized(of, s) for of in by_size.values()]
         self.mark = np.full(len(self.vocabulary) + 1, -0.5)
 
     def numbers(self, text: str) -> np.ndarray:
         get, words = self.vocabulary.get, words_of(text)
         return np.fromiter((get(w, 0) for w in words), np.int64, len(words))
 
-    def likely(self, words: np.ndarray) -> np.ndarray:
-        """Items with enough words, counted as often as the item has them, that the document has at all."""
-        have = np.unique(words[words > 0])
-        a, n = self.first[have], self.first[have + 1] - self.first[have]
-        rows = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
-        found = np.bincount(self.owner[rows], self.times[rows], len(self.words))
-        return np.flatnonzero((found >= self.s.share * self.size) & (self.size >= self.s.gram))
-
-    def candidates(self, words: np.ndarray) -> list[tuple[int, int, int]]:
+    def stretches(self, k: int, words: np.ndarray) -> Iterator[tuple[int, int]]:
+        """First word and end of the stretches of a passage where an alignment with item ``k`` may reach the share."""
+        (own, times), least = self.different[k], self.s.share * len(self.words[k])
+        self.mark[own] = 1.0
+        total = np.cumsum(self.mark[words])
+        self.mark[own] = -0.5
+        bound = total - np.minimum(np.minimum.accumulate(total), 0)
+        high = np.flatnonzero(bound >= least)
+        if not len(high):
+            return
+        zero = np.concatenate([[-1], np.flatnonzero(bound == 0)])
+        stretch = np.searchsorted(zero, high)  # of each high place the number of zeros before it
+        for i in np.flatnonzero(np.diff(stretch, append=-1)).tolist():
+            a, b = int(zero[stretch[i] - 1]) + 1, int(high[i]) + 1
+            there = np.sort(words[a:b])
+            n = np.searchsorted(there, own, "right") - np.searchsorted(there, own, "left")
+            if np.minimum(n, times).sum() >= least:
+                yield a, b
+
+    def candidates(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, first word, end) of the stretches of a document where an alignment may reach the share."""
-        out = []
-        for k in self.likely(words).tolist():
-            (own, times), least = self.different[k], self.s.share * self.size[k]
-            self.mark[own] = 1.0
-            total = np.cumsum(self.mark[words])
-            self.mark[own] = -0.5
-            bound = total - np.minimum(np.minimum.accumulate(total), 0)
-            high = np.flatnonzero(bound >= least)
-            if not len(high):
-                continue
-            zero = np.concatenate([[-1], np.flatnonzero(bound == 0)])
-            stretch = np.searchsorted(zero, high)  # of each high place the number of zeros before it
-            last = np.flatnonzero(np.diff(stretch, append=-1))
-            for i in last.tolist():
-                a, b = int(zero[stretch[i] - 1]) + 1, int(high[i]) + 1
-                there = np.sort(words[a:b])
-                n = np.searchsorted(there, own, "right") - np.searchsorted(there, own, "left")
-                if np.minimum(n, times).sum() >= least:
-                    out.append((k, a, b))
+        for sized in self.sized:
+            for start, passage in sized.passages(words):
+                for k in sized.met(passage).tolist():
+                    for a, b in self.stretches(k, passage):
+                        yield k, start + a, start + b
         for size, items in self.short.items():
             for k in items:
                 if len(words) >= size:
                     same = np.all(np.lib.stride_tricks.sliding_window_view(words, size) == self.words[k], axis=1)
-                    out += [(k, int(p), int(p) + size) for p in np.flatnonzero(same)[:1]]
-        return out
+                    for p in np.flatnonzero(same)[:1].tolist():
+                        yield k, p, p + size
 
 
 def smith_waterman(item: np.ndarray, words: np.ndarray) -> tuple[float, int]:

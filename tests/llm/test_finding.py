@@ -173,3 +173,55 @@ def test_copies_with_every_few_words_edited(spark):
     docs = spark.createDataFrame([(d, " ".join(ts)) for d, ts in rows], "doc_id long, text string")
     for s in (decontaminate.Settings(), decontaminate.Settings(block_words=50)):
         assert {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated_pairs(docs, bench, s).collect()} == expected
+
+
+def test_seeds_meet_every_pair_that_aligns():
+    """Copies edited in all ways, most of them near the share, among words that many items have: what meets is all that aligns."""
+    import numpy as np
+
+    from lexmill.llm import decontaminate
+
+    rng = np.random.default_rng(12)
+    for share in (0.5, 0.75):
+        s = decontaminate.Settings(share=share)
+        items = [rng.integers(1, rng.choice([6, 40, 4000]), n) for n in rng.integers(3, 70, 120)]
+        block = decontaminate.Block([(i, [b"%d" % w for w in ws]) for i, ws in enumerate(items)], s)
+        found = missed = 0
+        for trial in range(150):
+            ws, out = items[trial % len(items)], []
+            kind, keep = trial % 4, rng.uniform(0.4, 0.95)
+            for w in ws.tolist():  # words replaced, put between, left out, or all of these
+                replaced, between = (kind == 0 and rng.random() > keep), (kind in (1, 3) and rng.random() > keep * 0.5)
+                if not (kind in (2, 3) and rng.random() > keep):
+                    out.append(int(rng.integers(5000, 9000)) if replaced else w)
+                if between:
+                    out.append(int(rng.integers(1, 40)))
+            around = [rng.integers(1, 5000, rng.integers(0, 400)).tolist() for _ in range(2)]
+            words = block.numbers(" ".join(map(str, around[0] + out + around[1])))
+            told = {k for k, _, _ in block.candidates(words)}
+            for k, item in enumerate(block.words):
+                score, _ = decontaminate.smith_waterman(item, words)
+                if score >= share * len(item):
+                    found += 1
+                    missed += k not in told
+        assert found > 100 and not missed
+
+
+def test_many_items_cost_a_document_little():
+    import time
+
+    import numpy as np
+
+    from lexmill.llm import decontaminate
+
+    rng = np.random.default_rng(13)
+    weights = 1 / np.arange(1, 30_001)
+    some = lambda n: " ".join(f"w{i}" for i in rng.choice(30_000, n, p=weights / weights.sum()))
+    texts, took = [some(400) for _ in range(60)], []
+    for n in (200, 20_000):
+        block = decontaminate.Block([(i, decontaminate.words_of(some(50))) for i in range(n)], decontaminate.Settings())
+        began = time.process_time()
+        for text in texts:
+            list(block.candidates(block.numbers(text)))
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * took[0]  # a hundred times the items
