@@ -57,6 +57,10 @@ class Settings:
     block_words: int = 1_000_000
 
 
+#: Seeds' items that are looked at together.
+MET_ROWS = 1 << 20
+
+
 def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_TABLE).split()
 
@@ -70,36 +74,52 @@ class Seeds:
         counted = [np.unique(x, return_counts=True) for x in tokens]
         token, times = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (zip(*counted, strict=True) if counted else ([], [])))
         owner = np.repeat(np.arange(len(items)), [len(x) for x, _ in counted])
-        self.tokens, name, held = np.unique(token, return_inverse=True, return_counts=True)
+        every, name, held = np.unique(token, return_inverse=True, return_counts=True)
         size = np.array([len(x) for x in tokens], np.int64)
         order = np.lexsort((name, held[name], owner))
         name, owner, times = name[order], owner[order], times[order]
         rarer = np.cumsum(times) - times - (np.cumsum(size) - size)[owner]  # places of rarer tokens of the item
         seed = rarer < (size - least + self.wanted)[owner]
         name, owner, times = name[seed], owner[seed], times[seed]
-        # Rows (token, item, times) by token; those of token i are at first[i] .. first[i + 1].
+        # Rows (seed, item, times) by seed; those of seed i are at first[i] .. first[i + 1].
         order = np.argsort(name, kind="stable")
-        self.owner, self.times = owner[order], times[order]
-        self.first = np.searchsorted(name[order], np.arange(len(self.tokens) + 1))
+        name, self.owner, self.times = name[order], owner[order], times[order]
+        seeds, self.first = np.unique(name, return_index=True)
+        self.seeds, self.first = every[seeds], np.append(self.first, len(name))
 
-    def met(self, tokens: np.ndarray) -> np.ndarray:
-        """Items of which enough seeds are among ``tokens``, each as often as both have it."""
-        if not len(self.tokens) or not len(tokens):
+    def among(self, tokens: np.ndarray) -> np.ndarray:
+        """Where seeds are among ``tokens``."""
+        if not len(self.seeds):
             return np.zeros(0, np.int64)
-        have, there = np.unique(tokens, return_counts=True)
-        at = np.minimum(np.searchsorted(self.tokens, have), len(self.tokens) - 1)
-        known = self.tokens[at] == have
-        at, there = at[known], there[known]
-        a, n = self.first[at], self.first[at + 1] - self.first[at]
-        rows = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
-        found = np.bincount(self.owner[rows], np.minimum(self.times[rows], np.repeat(there, n)), len(self.items))
-        return self.items[found >= self.wanted]
-
+        return np.flatnonzero(self.seeds[np.minimum(np.searchsorted(self.seeds, tokens), len(self.seeds) - 1)] == tokens)
 
-def pairs_of(words: np.ndarray) -> np.ndarray:
-    """Every two words side by side that items have (number above 0) as one number."""
-    a, b = words[:-1], words[1:]
-    return ((a << 32) | b)[(a > 0) & (b > 0)]
+    def met(self, passages: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Passages and items of which enough seeds are among the passages' ``tokens`` (all of them seeds), each as often as both
+        have it."""
+        key, there = np.unique(passages * max(1, len(self.seeds)) + np.searchsorted(self.seeds, tokens), return_counts=True)
+        passage, at = np.divmod(key, max(1, len(self.seeds)))
+        a, n = self.first[at], self.first[at + 1] - self.first[at]
+        # some passages at a time, each as a whole, so that what they meet stays small
+        ends = np.flatnonzero(np.diff(passage, append=-1)) + 1
+        begin, upto = 0, np.cumsum(n)
+        for end in ends.tolist():
+            if end < len(key) and upto[end - 1] - (upto[begin - 1] if begin else 0) < MET_ROWS:
+                continue
+            some = slice(begin, end)
+            m = n[some]
+            rows = np.repeat(a[some] - np.cumsum(m) + m, m) + np.arange(m.sum())
+            pair, which = np.unique(np.repeat(passage[some], m) * len(self.items) + self.owner[rows], return_inverse=True)
+            found = np.bincount(which, np.minimum(self.times[rows], np.repeat(there[some], m)), len(pair))
+            p, i = np.divmod(pair, len(self.items))
+            enough = found >= self.wanted[i]
+            yield p[enough], self.items[i[enough]]
+            begin = end
+
+
+def pairs_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every two words side by side that items have (number above 0) as one number, and where they are."""
+    at = np.flatnonzero((words[:-1] > 0) & (words[1:] > 0))
+    return (words[at] << 32) | words[at + 1], at
 
 
 class Sized:
@@ -116,15 +136,27 @@ class Sized:
         words = np.ceil(reached + (few + 1) / 2 - 1e-9).astype(np.int64)
         by_words, by_pairs = np.flatnonzero(words <= size), np.flatnonzero(pairs > 0)
         self.words = Seeds(numbers[by_words], [items[i][1] for i in by_words], words[by_words], s.seeds)
-        self.pairs = Seeds(numbers[by_pairs], [pairs_of(items[i][1]) for i in by_pairs], pairs[by_pairs], s.seeds)
-
-    def passages(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Where passages start, and their words: each alignment lies within one."""
-        for a in range(0, max(1, len(words) - self.step), self.step):
-            yield a, words[a : a + 2 * self.step]
-
-    def met(self, passage: np.ndarray) -> np.ndarray:
-        return np.union1d(self.words.met(passage[passage > 0]), self.pairs.met(pairs_of(passage)))
+        self.pairs = Seeds(numbers[by_pairs], [pairs_of(items[i][1])[0] for i in by_pairs], pairs[by_pairs], s.seeds)
+
+    def met(self, flat: np.ndarray, offset: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(place, first word, end, item) of passages that meet an item. ``flat``: words of documents, with a 0 after each;
+        ``offset``: of each word in its document; ``size``: of its document. The place is the passage's first word in ``flat``.
+
+        Passages are twice ``step`` long, and the last one reaches the end, so each alignment lies within one."""
+        last = np.maximum(0, -(-(size - self.step) // self.step) - 1)  # of the document's passages
+        own = offset // self.step
+        begins = np.arange(len(flat)) - offset
+        known = np.flatnonzero(flat > 0)
+        for seeds, (tokens, at) in ((self.words, (flat[known], known)), (self.pairs, pairs_of(flat))):
+            seed = seeds.among(tokens)
+            tokens, at = tokens[seed], at[seed]
+            numbers = np.concatenate([own[at], own[at] - 1])  # a word is in two passages
+            within = (numbers >= 0) & (numbers <= np.tile(last[at], 2))
+            places = (np.tile(begins[at], 2) + numbers * self.step)[within]
+            for places, items in seeds.met(places, np.tile(tokens, 2)[within]):
+                for place, k in zip(places.tolist(), items.tolist(), strict=True):
+                    a = int(offset[place])
+                    yield place, a, min(a + 2 * self.step, int(size[place])), k
 
 
 class Block:
@@ -147,8 +179,8 @@ class Block:
         self.mark = np.full(len(self.vocabulary) + 1, -0.5)
 
     def numbers(self, text: str) -> np.ndarray:
-        get, words = self.vocabulary.get, words_of(text)
-        return np.fromiter((get(w, 0) for w in words), np.int64, len(words))
+        words = words_of(text)
+        return np.fromiter(map(self.vocabulary.get, words, itertools.repeat(0)), np.int64, len(words))
 
     def stretches(self, k: int, words: np.ndarray) -> Iterator[tuple[int, int]]:
         """First word and end of the stretches of a passage where an alignment with item ``k`` may reach the share."""
@@ -169,19 +201,28 @@ class Block:
             if np.minimum(n, times).sum() >= least:
                 yield a, b
 
-    def candidates(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(item, first word, end) of the stretches of a document where an alignment may reach the share."""
+    def candidates(self, documents: list[np.ndarray]) -> Iterator[tuple[int, int, int, int]]:
+        """(document, item, first word, end) of the stretches where an alignment may reach the share."""
+        sizes = np.array([len(x) for x in documents], np.int64)
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        flat = np.zeros(int((sizes + 1).sum()), np.int64)
+        for at, words in zip(starts.tolist(), documents, strict=True):
+            flat[at : at + len(words)] = words
+        owner = np.repeat(np.arange(len(documents)), sizes + 1)
+        offset, size = np.arange(len(flat)) - starts[owner], sizes[owner]
         for sized in self.sized:
-            for start, passage in sized.passages(words):
-                for k in sized.met(passage).tolist():
-                    for a, b in self.stretches(k, passage):
-                        yield k, start + a, start + b
-        for size, items in self.short.items():
-            for k in items:
-                if len(words) >= size:
-                    same = np.all(np.lib.stride_tricks.sliding_window_view(words, size) == self.words[k], axis=1)
+            told = set()  # pairs of words and words may both tell
+            for place, a, b, k in sized.met(flat, offset, size):
+                if (place, k) not in told:
+                    told.add((place, k))
+                    for x, y in self.stretches(k, flat[place : place + b - a]):
+                        yield int(owner[place]), k, a + x, a + y
+        for length, items in self.short.items():
+            for d, words in enumerate(documents):
+                for k in items if len(words) >= length else ():
+                    same = np.all(np.lib.stride_tricks.sliding_window_view(words, length) == self.words[k], axis=1)
                     for p in np.flatnonzero(same)[:1].tolist():
-                        yield k, p, p + size
+                        yield d, k, p, p + length
 
 
 def smith_waterman(item: np.ndarray, words: np.ndarray) -> tuple[float, int]:
@@ -232,16 +273,15 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, s: Settings | None = N
 
         def run(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
-                rows = []
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                    words, best = block.numbers(text), {}
-                    for k, a, b in block.candidates(words):
-                        score, end = smith_waterman(block.words[k], words[a:b])
-                        if score > best.get(k, (0.0, 0))[0]:
-                            best[k] = score, a + end
-                    for k, (score, end) in best.items():
-                        if score >= s.share * len(block.words[k]):
-                            rows.append((doc_id, block.ids[k], score, score / len(block.words[k]), end))
+                rows, best, ids = [], {}, batch.column("doc_id").to_pylist()
+                documents = [block.numbers(text) for text in batch.column("text").to_pylist()]
+                for d, k, a, b in block.candidates(documents):
+                    score, end = smith_waterman(block.words[k], documents[d][a:b])
+                    if score > best.get((d, k), (0.0, 0))[0]:
+                        best[d, k] = score, a + end
+                for (d, k), (score, end) in best.items():
+                    if score >= s.share * len(block.words[k]):
+                        rows.append((ids[d], block.ids[k], score, score / len(block.words[k]), end))
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
                 columns = zip(*rows, strict=True) if rows else [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "score", "share", "end_word"])

@@ -198,7 +198,7 @@ def test_seeds_meet_every_pair_that_aligns():
                     out.append(int(rng.integers(1, 40)))
             around = [rng.integers(1, 5000, rng.integers(0, 400)).tolist() for _ in range(2)]
             words = block.numbers(" ".join(map(str, around[0] + out + around[1])))
-            told = {k for k, _, _ in block.candidates(words)}
+            told = {k for _, k, _, _ in block.candidates([words])}
             for k, item in enumerate(block.words):
                 score, _ = decontaminate.smith_waterman(item, words)
                 if score >= share * len(item):
@@ -222,6 +222,6 @@ def test_many_items_cost_a_document_little():
         block = decontaminate.Block([(i, decontaminate.words_of(some(50))) for i in range(n)], decontaminate.Settings())
         began = time.process_time()
         for text in texts:
-            list(block.candidates(block.numbers(text)))
+            list(block.candidates([block.numbers(text)]))
         took.append(time.process_time() - began)
     assert took[1] < 10 * took[0]  # a hundred times the items
