@@ -7,7 +7,7 @@ from importlib import import_module
 from lexmill.catalog import Catalog
 
 #: Modules that each hold a ``CATALOG``.
-MODULES: tuple[str, ...] = ("text_queries", "page_queries", "table_queries", "built_queries", "stream_queries")
+MODULES: tuple[str, ...] = ("text_queries", "page_queries", "table_queries", "built_queries", "stream_queries", "operator_queries")
 
 
 def all_queries() -> Catalog:
