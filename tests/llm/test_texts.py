@@ -250,3 +250,62 @@ def test_toxicity_sample_keeps_both_classes(spark):
         assert 1_500 <= sum(n for n, y in zip(sizes, ys, strict=True) if y == 0) <= 1_600  # and what they leave
     one = docs.where("doc_id IN (1, 56)")  # 56 is long
     assert sorted(toxicity.training_rows(one, spark.createDataFrame([(1, 0), (56, 1)], "doc_id long, toxic int"), s)[1]) == [0, 0, 1]
+
+
+def test_toxicity_fit_against_plain_loops():
+    """The fitted table against gradients of single n-grams, words, runs and texts, one after the other."""
+    rng = random.Random(31)
+    words = ["good", "day", "idiot", "idoit", "fine", "vile", "tree", "a", "vvile"]
+    texts = [" ".join(rng.choice(words[:2] + words[4:5] + words[6:8] if k % 2 else words) for _ in range(rng.randint(1, 7))) for k in range(24)] + [""]
+    labels = np.array([1 - k % 2 for k in range(24)] + [0])
+    s = toxicity.Settings(buckets=64, dim=3, min_docs=2, epochs=3)
+    got = toxicity.fit_table(texts, labels, s)
+    gen = np.random.default_rng(s.seed)
+    vectors, diff, bias = gen.normal(0, 0.1, (s.buckets, s.dim)), gen.normal(0, 1, s.dim), -1.0
+    docs = [[toxicity.grams(w, s) for w in t.lower().split()] for t in texts]
+    spread = {g: sum(any(g in w for w in d) for d in docs) for g in range(s.buckets)}
+    live = {g for g in range(s.buckets) if spread[g] >= s.min_docs}
+    moments = [np.zeros((s.buckets, s.dim)), np.zeros((s.buckets, s.dim)), np.zeros(s.dim), np.zeros(s.dim)]
+    rows = [i for i, d in enumerate(docs) if d]
+    for epoch in range(1, s.epochs + 1):
+        sharp = s.sharp * min(1.0, epoch / (s.epochs / 2))
+        by_gram, errors = np.zeros(s.buckets), 0.0
+        for i in rows:
+            value = [sum(vectors[g] @ diff for g in w if g in live) / len(w) for w in docs[i]]
+            size = min(s.window, len(value))
+            runs = [sum(value[a : a + size]) / size for a in range(len(value) - size + 1)]
+            e = np.exp(sharp * (np.array(runs) - max(runs)))
+            whole = max(runs) + np.log(e.sum() / len(runs)) / sharp
+            error = (1 / (1 + np.exp(-(whole + bias))) - labels[i]) * 0.5 / (labels[rows] == labels[i]).sum()
+            errors += error
+            for a, share in enumerate(e / e.sum()):
+                for w in docs[i][a : a + size]:
+                    for g in w:
+                        by_gram[g] += error * share / size / len(w) * (g in live)
+        for m, v, grad, param in ((moments[0], moments[1], by_gram[:, None] * diff, vectors), (moments[2], moments[3], vectors.T @ by_gram, diff)):
+            m += 0.1 * (grad - m)
+            v += 0.001 * (grad**2 - v)
+            step = s.rate * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.999**epoch)) + s.floor)
+            if param is vectors:
+                before = step
+            else:
+                for g in live:
+                    vectors[g] -= before[g] + s.rate * s.decay * vectors[g]
+                diff = diff - step
+        bias -= 2.0 * errors
+    want = np.array([vectors[g] @ diff if g in live else 0.0 for g in range(s.buckets)])
+    assert np.allclose(got.table, want, atol=1e-5) and np.abs(want).max() > 0.01
+
+
+def test_toxicity_runs_begin_at_every_word():
+    s = toxicity.Settings(buckets=1 << 12)
+    texts = ["so it is and so it goes on", "you vile idoit go away"] * 40
+    model = toxicity.fit(texts, np.array([0, 1] * 40), s)
+    memo = toxicity.word_scores(model.table, s)
+    plain, moved = "one two three you vile idoit four five six seven", "zero one two three you vile idoit four five six seven"
+    a, b = model.scores([plain, moved], memo)
+    assert a == b and a >= 0.5
+    values = [memo[w] for w in plain.split()]
+    best = max((x + y) / 2 for x, y in zip(values, values[1:]))
+    assert abs(a - 1 / (1 + np.exp(-(best + model.bias)))) < 1e-9
+    assert toxicity.cut(np.array([0.0, 1.0, 2.0, 3.0]), np.array([0, 0, 1, 1])) == 1.5
