@@ -229,7 +229,7 @@ def test_unseen_misspellings_and_runs_of_words(spark):
     for t in ["one", *(t for t, _ in tests[:40])]:
         v = [memo[w] for w in t.lower().split()]
         n = min(size, len(v))
-        runs = [sum(v[min(a, len(v) - n) :][:n]) / n for a in range(0, len(v), size)]
+        runs = [sum(v[a : a + n]) / n for a in range(len(v) - n + 1)]
         assert abs(1 / (1 + np.exp(-max(runs) - model.bias)) - model.scores([t], memo)[0]) < 1e-9
     rows = [(t, 1, "x", (1,)) for t, _ in tests]
     frame = spark.createDataFrame(rows, "text string, `meta.lang` int, `a``b` string, __gone struct<`x y`: int>")
