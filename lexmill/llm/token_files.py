@@ -12,7 +12,6 @@ stand next to each other in order of their text; null ids come first.
 
 from __future__ import annotations
 
-import itertools
 import json
 import os
 import re
@@ -40,19 +39,18 @@ ENCODINGS = {
 
 #: A single blank between two characters that are no white space: no token of a byte-level tokenizer reaches over its left.
 SEAM = re.compile(r" (?<=\S )(?=\S)")
+#: Characters of a text that the library gets at once.
+LONG = 1 << 20
 
 
 class LibraryEncoder:
-    """Ids of whole texts by the ``tokenizers`` library.
+    """Ids of whole texts by the ``tokenizers`` library, in one thread: its own threads would take the cores of other tasks.
 
-    A byte-level tokenizer splits every text before single blanks, whatever its characters, so texts are cut there, and
-    the library's whole tokenizer sees each different piece once: those of several texts that are not known yet go to it
-    as one text, and its ids are told apart by the bytes they stand for. Known pieces are kept in two generations of
-    bounded size. Other tokenizers get the texts uncut. A task is one thread: the library's own would take the cores of
-    other tasks.
-    """
+    Only texts beyond ``LONG`` characters are cut, so that the library's records of all their tokens are not held together, and
+    only for a byte-level tokenizer, which splits before single blanks whatever stands beside them; others get any
+    text as a whole."""
 
-    def __init__(self, tokenizer_json: str, most: int = 150_000) -> None:
+    def __init__(self, tokenizer_json: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -60,49 +58,22 @@ class LibraryEncoder:
         told = json.loads(tokenizer_json)
         split = told.get("pre_tokenizer") or {}
         self.cuts = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True) and not told.get("normalizer")
-        special = {t["id"]: len(t["content"].encode()) for t in told.get("added_tokens", [])}
-        self.sizes = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)  # bytes of each token: one for each of its characters
-        for token, i in self.tokenizer.get_vocab().items():
-            self.sizes[i] = special.get(i, len(token))
-        self.ids: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.most = most
-
-    def pieces(self, text: str) -> list[str]:
-        if not self.cuts:
-            return [text]
-        first, *rest = SEAM.split(text)
-        return [first, *map(" ".__add__, rest)]
+
+    def parts(self, text: str) -> Iterator[str]:
+        at = 0
+        while self.cuts and len(text) - at > LONG and (seam := SEAM.search(text, at + LONG)):
+            yield text[at : seam.start()]
+            at = seam.start()
+        yield text[at:]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        lists = [self.pieces(t) for t in texts]
-        wanted = set(itertools.chain.from_iterable(lists))
-        if len(self.ids) + len(wanted) > self.most:
-            self.ids, self.old = {}, self.ids
-        apart, together = [], []
-        for p in wanted.difference(self.ids):
-            if (known := self.old.get(p)) is not None:
-                self.ids[p] = known
-            elif p[:1] == " " and not p[-1].isspace():
-                together.append(p)
-            else:  # begins or ends a text: no seam beside it
-                apart.append(p)
-        self._learn(apart)
-        if together:
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(together)], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in together]), "left") + 1
-            if len(ids) == ends[-1]:
-                blob, at = ids.astype("<u4").tobytes(), 0
-                for p, end in zip(together, (4 * ends).tolist(), strict=True):
-                    self.ids[p], at = blob[at:end], end
-            else:
-                self._learn(together)
-        return [b"".join(map(self.ids.__getitem__, x)) for x in lists]
-
-    def _learn(self, pieces: list[str]) -> None:
-        for piece, e in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            self.ids[piece] = array("I", e.ids).tobytes()
+        whole = [t for t in texts if len(t) <= LONG]
+        ids = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False))
+        return [array("I", next(ids).ids).tobytes() if len(t) <= LONG else b"".join(self._part(p) for p in self.parts(t)) for t in texts]
+
+    def _part(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 @lru_cache(maxsize=2)

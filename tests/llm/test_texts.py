@@ -102,6 +102,9 @@ def test_library_encoder_agrees_on_single_characters():
     rng = random.Random(17)  # blanks beside white space of every kind, marks of special tokens, and other scripts
     texts += ["".join(rng.choice([" ", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "\u0085", "\x1c", "\u3000", "\u200b", "a", "é", "あ", "1", "'s", "!", "<|endoftext|>", "😀"]) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
     assert enc.cuts
+    long = " ".join(texts * (1 + (5 * token_files.LONG // 2) // sum(map(len, texts))))
+    assert len(list(enc.parts(long))) > 2 and "".join(enc.parts(long)) == long
+    texts.append(long)
     for text, ids in zip(texts, enc.encode(texts), strict=True):
         assert ids == b"".join(i.to_bytes(4, "little") for i in ref.encode(text, add_special_tokens=False).ids)
 
