@@ -31,6 +31,14 @@ def embed_rows(queue: DataFrame, make: Callable[[], Backend], config: EmbedConfi
     return vectors.withColumn("vector", unit(F.col("vector"))) if config.normalize else vectors
 
 
+#: The run of batches that were put together.
+FOLDED = "folded"
+
+
+def _batched(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())])
+
+
 class VectorStore:
     """Vectors and marks of workers: an append-only table of each, a folder for each micro-batch of each run. What is read
     covers ``others`` as well, stores of workers that write elsewhere."""
@@ -39,7 +47,7 @@ class VectorStore:
         self.spark, self.path, self.paths = spark, path, (path, *others)
 
     def _rows(self, name: str, schema: T.StructType) -> DataFrame:
-        every = T.StructType([*schema.fields, T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())])
+        every = _batched(schema)
         found = self.spark.createDataFrame([], every)
         for path in self.paths:
             try:
@@ -54,10 +62,43 @@ class VectorStore:
 
     def read(self) -> DataFrame:
         """The newest vector of each row, with the chunk number and the time of its first."""
-        rows, order = self._rows("vectors", EMBEDDING), F.struct("updated_at", "batch", "run", "chunk_no", "vector")
+        return self._newest(self._rows("vectors", EMBEDDING))
+
+    @staticmethod
+    def _newest(rows: DataFrame) -> DataFrame:
+        order = F.struct("updated_at", "batch", "run", "chunk_no", "vector")
         newest = rows.groupBy("queue_id").agg(F.max(order).alias("new"), F.min(order).alias("old"), F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"))
         return newest.select("queue_id", F.col("old.chunk_no").alias("chunk_no"), F.col("new.vector").alias("vector"), "created_at", "updated_at")
 
+    def batches(self, name: str) -> list[str]:
+        """Folders of this store's batches, folded ones (of run ``folded``) among them."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/run=*/batch=*")
+        found = at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).globStatus(at)
+        return sorted(f.getPath().toString() for f in found or [])
+
+    def fold(self, most: int = 8) -> None:
+        """Puts the batches written since the last call into one; once there are ``most`` such, these become one as well. So what
+        is read and written follows what is new, and a row is written again once for each doubling of levels, not for each batch.
+
+        The newest row of each key and the first one's chunk number and time stay. The new folder is complete before the old ones go, and
+        what both hold is the same rows, so a call that breaks off, or is repeated, changes nothing that readers see. Call it where no
+        reader has a query running over the old folders."""
+        folded = f"run={FOLDED}/"
+        for name, read in (("vectors", self._newest), ("marks", self._last_marks)):
+            made = self.batches(name)
+            old = [p for p in made if folded not in p]
+            if not old:
+                continue
+            whole = [p for p in made if folded in p]
+            old += whole if len(whole) + 1 >= most else []
+            number = 1 + max((int(p.rpartition("=")[2]) for p in whole), default=-1)
+            schema = EMBEDDING if name == "vectors" else MARK
+            rows = self.spark.read.schema(_batched(schema)).option("basePath", f"{self.path}/{name}").parquet(*old)
+            self.append(name, read(rows), number, FOLDED)
+            for p in old:
+                at = self.spark._jvm.org.apache.hadoop.fs.Path(p)
+                at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
     def marks(self) -> DataFrame:
         return self._rows("marks", MARK).drop("run", "batch")
 
@@ -65,6 +106,11 @@ class VectorStore:
         """The queue as the workers' marks leave it."""
         return with_marks(queue, self.marks())
 
+    @staticmethod
+    def _last_marks(rows: DataFrame) -> DataFrame:
+        last = rows.groupBy("id").agg(F.max(F.struct("updated_at", "status", "error")).alias("m"))
+        return last.select("id", "m.status", "m.error", "m.updated_at")
+
     def upsert(self, batch: DataFrame, number: int, make: Callable[[], Backend], config: EmbedConfig, run: str = "0") -> None:
         """Embeds a batch's pending rows, and writes their vectors and marks as batch ``number`` of ``run``."""
         told = batch.where(F.col("status") == PENDING).select("id", "chunk_no", embed_column(make, config, keep_errors=True)(F.col("chunk")).alias("r"), F.current_timestamp().alias("at")).persist()

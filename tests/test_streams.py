@@ -137,6 +137,30 @@ def test_a_new_checkpoint_leaves_what_an_old_one_wrote(spark, tmp_path):
     assert both.read().count() == 17 and {r.status for r in both.marked(rows(range(22))).where("id >= 20").collect()} == {"done"}
 
 
+def test_folding_follows_what_is_new_and_changes_nothing(spark, tmp_path):
+    config = vectors.EmbedConfig(dim=4)
+    store = VectorStore(spark, f"{tmp_path}/store")
+    rows = lambda ids, text: spark.createDataFrame([(i, "u", "t", "s", 1 + len(text), f"{text} {i}", "pending", None, None, None) for i in ids], sources.QUEUE)
+    told = lambda: (sorted((r.queue_id, r.chunk_no, tuple(r.vector), r.created_at) for r in store.read().collect()), sorted((r.id, r.status) for r in store.marked(rows(range(40), "")).collect()))
+    for k in range(6):
+        store.upsert(rows(range(5 * k, 5 * k + 8), "x" * k), k, lambda: vectors.stub_backend(4), config, "a")
+    before = told()
+    store.fold(most=3)
+    assert told() == before and len(store.batches("vectors")) == len(store.batches("marks")) == 1
+    first = store.batches("vectors")
+    store.upsert(rows([2, 39], "new"), 6, lambda: vectors.stub_backend(4), config, "a")
+    changed = told()
+    assert changed != before and changed[0][2][:2] == (2, 1)  # the first chunk number stays
+    store.fold(most=3)
+    assert told() == changed and set(first) < set(store.batches("vectors"))  # what was folded before is not read again
+    store.upsert(rows([3], "newer"), 6, lambda: vectors.stub_backend(4), config, "a")  # a replay of a batch that was folded
+    store.upsert(rows([3], "newer"), 6, lambda: vectors.stub_backend(4), config, "a")
+    last = told()
+    store.fold(most=3)
+    store.fold(most=3)
+    assert told() == last and len(store.batches("vectors")) == 1 and first[0] not in store.batches("vectors")
+
+
 @pytest.fixture(autouse=True)
 def few_state_stores(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
