@@ -129,10 +129,6 @@ def literal(v: pd.Series) -> pd.Series:
     return v.map(lambda xs: None if xs is None else "[" + ",".join(f"{x:.8f}" for x in xs) + "]")
 
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-
-
 def top_similar(queries: DataFrame, vectors: DataFrame, k: int, query_rows: int = 10_000) -> DataFrame:
     """The ``k`` most similar of ``vectors(id, v)`` for each of ``queries(query_id, q)``, by cosine; ties by id.
 

@@ -213,6 +213,41 @@ def rich_statute_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipelines.rich_chunks(rows).select("logical_key", "display_text", cited.alias("links"))
 
 
+def _bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = filled("제{n}장 총칙\n제1조(목적)\n① 이 법은 「{lang}」 제{n}조와 「{source}」 제3조를 따른다.\n② lead {id}\n제2조(뜻)\nplain {id}", **_values())
+    return _documents(spark, sf_dir).select(filled("https://h/x?lsiSeq={id}&efYd=20240101", **_values()).alias("url"), F.col("source").alias("title"), body.alias("body"))
+
+
+@CATALOG.add(
+    "citation_graph",
+    """
+WITH d AS (SELECT 'law:' || (doc_id + 10000) || ':20240101:ch' || (doc_id % 90 + 1) || ':art1:para1:item0' AS key, lang, source, doc_id % 90 + 1 AS n FROM documents)
+SELECT key AS logical_key, lang AS law, CAST(n AS INTEGER) AS article FROM d UNION ALL SELECT key, source, 3 FROM d
+""",
+)
+def citation_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which articles of which statutes the chunks of statutes cite."""
+    cited = pipelines.citations(pipelines.rich_chunks(_bodies(spark, sf_dir)))
+    return cited.select(F.regexp_replace("chunk_id", ":[^:]*$", "").alias("logical_key"), "law", F.col("article").cast("int").alias("article"))
+
+
+@CATALOG.add(
+    "statute_model",
+    """
+WITH d AS (SELECT CAST(doc_id + 10000 AS VARCHAR) AS id, lang, source, doc_id % 90 + 1 AS n FROM documents),
+c AS (SELECT id, 1 AS art, '목적' AS heading, '이 법은 「' || lang || '」 제' || n || '조와 「' || source || '」 제3조를 따른다.' AS text FROM d UNION ALL SELECT id, 1, '목적', 'lead ' || id FROM d UNION ALL SELECT id, 2, '뜻', 'plain ' || id FROM d)
+SELECT id AS lsi_seq, CAST(NULL AS INTEGER) AS article_no, 'https://h/x?lsiSeq=' || id || '&efYd=20240101' AS told, count(*) AS n FROM c GROUP BY id
+UNION ALL SELECT id, CAST(art AS INTEGER), any_value(heading) || ' ' || sha256(string_agg(text, chr(10) ORDER BY text)), count(*) FROM c GROUP BY id, art
+""",
+)
+def statute_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statutes with the number of their chunks, and articles with heading, digest and number of theirs."""
+    laws, articles, pieces = pipelines.normalised_model(pipelines.rich_chunks(_bodies(spark, sf_dir)))
+    n = pieces.groupBy("lsiSeq", "article_no").agg(F.count("*").alias("n"))
+    told = articles.join(n, ["lsiSeq", "article_no"]).select(F.col("lsiSeq").alias("lsi_seq"), F.col("article_no").cast("int").alias("article_no"), F.concat_ws(" ", "heading", "content_hash").alias("told"), "n")
+    return laws.select(F.col("lsiSeq").alias("lsi_seq"), F.lit(None).cast("int").alias("article_no"), F.col("source_url").alias("told"), F.col("n_chunks").alias("n")).unionByName(told)
+
+
 @CATALOG.add(
     "article_sessions",
     """

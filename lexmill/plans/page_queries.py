@@ -109,7 +109,16 @@ def html_title_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("page_id", own("title").alias("title"), own("h1").alias("heading"))
 
 
-@CATALOG.add("html_links")
+LINKS_SQL = r"""
+WITH p AS (SELECT page_id, url, string_split(html, '<a ') AS parts FROM pages), a AS (SELECT page_id, url, parts, unnest(range(2, len(parts) + 1)) AS i FROM p),
+l AS (SELECT *, regexp_extract(parts[i], 'href="([^"]*)"', 1) AS href, replace(regexp_extract(parts[i], '^[^>]*>([^<]*)</a>', 1), '&amp;', '&') AS text FROM a)
+SELECT page_id, url, CAST(list_sum(list_transform(parts[1:i - 1], lambda x: len(regexp_extract_all(x, '<[a-z]')))) + i - 2 AS INTEGER) AS ord, trim(text) AS text, href, CAST(NULL AS VARCHAR) AS onclick,
+  regexp_extract(url, '^[a-z]+://[^/]+') || href AS target
+FROM l
+"""
+
+
+@CATALOG.add("html_links", LINKS_SQL)
 def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.links(_pages(spark, sf_dir), ["page_id", "url"], "html").withColumn("target", urls.absolute(F.coalesce("href", F.lit("")), F.col("url")))
 
