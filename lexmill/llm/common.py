@@ -72,7 +72,8 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in smaller batches of about ``SLICE_BYTES`` of ``column``."""
+    """The same rows in smaller batches of about ``SLICE_BYTES`` of ``column``. What Arrow holds without using it goes back at the end
+    of a task: workers wait for further tasks of other steps."""
     import numpy as np
 
     for batch in batches:
@@ -86,6 +87,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             end = min(max(end, at + 1), batch.num_rows)
             yield batch.slice(at, end - at)
             at = end
+    pa.default_memory_pool().release_unused()
 
 
 def boundaries_of(df: DataFrame, column: str, parts: int) -> list[int]:
