@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.catalog import Catalog, table
-from lexmill.llm import bpe, common, decontaminate, fingerprints, language_model, lines, merkle, minhash, neighbours, pii, spelling, substrings, token_files, toxicity
+from lexmill.llm import bpe, decontaminate, fingerprints, language_model, lines, merkle, minhash, neighbours, pii, spelling, substrings, token_files, toxicity
+from lexmill.sources import scratch_path
 
 CATALOG = Catalog()
 
@@ -81,7 +80,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @CATALOG.add("op4_token_files")
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{common.shared_dir(spark)}/lexmill/op4-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "op4")
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         tokenizer = f.read()
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer)
