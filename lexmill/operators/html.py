@@ -110,17 +110,24 @@ class _Nodes(HTMLParser):
             self.pieces.append((self.open[-1], data))
 
 
-def nodes_of(page: str | None) -> list[dict]:
-    """The nodes of one page; none for a null or empty page."""
+#: Fields that hold all text below a node. A page repeats its text in them for each level, so a plan asks for those it reads.
+TEXTS = ("text", "flat", "line")
+
+
+def nodes_of(page: str | None, texts: tuple[str, ...] = TEXTS) -> list[dict]:
+    """The nodes of one page, with the fields ``texts`` of :data:`TEXTS`; none for a null or empty page."""
     parser = _Nodes()
     parser.feed(page or "")
     parser.close()
     parser._close(0)
     for row in parser.rows:
         inside = parser.pieces[row.pop("first") : row.pop("end")]
-        row["text"] = "\n".join(s for n, t in inside if n >= 0 and (s := t.strip()))
-        row["flat"] = "".join(t for _, t in inside)
-        row["line"] = " ".join(BLANK_WORD.sub(" ", row["flat"].replace("\u00a0", " ")).split())
+        if "text" in texts:
+            row["text"] = "\n".join(s for n, t in inside if n >= 0 and (s := t.strip()))
+        if "flat" in texts:
+            row["flat"] = "".join(t for _, t in inside)
+        if "line" in texts:
+            row["line"] = " ".join(BLANK_WORD.sub(" ", "".join(t for _, t in inside).replace("\u00a0", " ")).split())
     return parser.rows
 
 
@@ -132,9 +139,15 @@ _ARROW = {T.IntegerType(): pa.int32(), T.StringType(): pa.string(), T.ArrayType(
 ARROW_NODES = pa.list_(pa.struct([(k, _ARROW[v]) for k, v in _FIELDS.items()]))
 
 
-@arrow_udf(NODES)
-def parse(pages: pa.Array) -> pa.Array:
-    return pa.array([nodes_of(page) for page in pages.to_pylist()], ARROW_NODES)
+def parse(page: Column, *texts: str) -> Column:
+    """The nodes of pages; of :data:`TEXTS` only ``texts`` are filled in (all, if none is named)."""
+    wanted = texts or TEXTS
+
+    @arrow_udf(NODES)
+    def parsed(pages: pa.Array) -> pa.Array:
+        return pa.array([nodes_of(page, wanted) for page in pages.to_pylist()], ARROW_NODES)
+
+    return parsed(page)
 
 
 Test = Callable[[Column], Column]
@@ -206,7 +219,7 @@ def texts(found: Column, separator: str = "\n") -> Column:
 
 def links(pages: DataFrame, keys: list[str], page: str) -> DataFrame:
     """A row for each anchor: ``keys, ord, text, href, onclick``."""
-    parsed = pages.select(*keys, parse(F.col(page)).alias("nodes"))
+    parsed = pages.select(*keys, parse(F.col(page), "text").alias("nodes"))
     found = parsed.select(*keys, F.explode(select(F.col("nodes"), is_tag("a"))).alias("n"))
     return found.select(*keys, F.col("n.ord").alias("ord"), strip(F.replace("n.text", F.lit("\n"), F.lit(" "))).alias("text"), F.try_element_at("n.attrs", F.lit("href")).alias("href"), F.try_element_at("n.attrs", F.lit("onclick")).alias("onclick"))
 
@@ -244,7 +257,7 @@ def page_kind(nodes: Column) -> Column:
 
 def document_header(pages: DataFrame, family: Family) -> DataFrame:
     """``doc_id, title, subtitle, source_url`` with the page's nodes, from ``url, html``."""
-    parsed = pages.select("url", parse(F.col("html")).alias("nodes"))
+    parsed = pages.select("url", parse(F.col("html"), "text", "flat").alias("nodes"))
     nodes = F.col("nodes")
     title = tight(of_first(nodes, lambda n: n["id"] == "conTop", lambda frame: first(below(nodes, frame), is_tag("h2"))["text"]))
     subtitle = tight(first(nodes, lambda n: (n["tag"] == "div") & has_class("ct_sub")(n))["text"])
@@ -328,7 +341,7 @@ def _named(tag: str, label: str) -> Test:
 
 def cases(pages: DataFrame) -> DataFrame:
     """``source_url, title, subtitle1, sections`` of case pages (``url, html``)."""
-    parsed = pages.select("url", parse(F.col("html")).alias("nodes"))
+    parsed = pages.select("url", parse(F.col("html"), "text", "line").alias("nodes"))
     nodes = F.col("nodes")
     title = clean_line(F.get(first(nodes, lambda n: (n["tag"] == "h2") & (F.try_element_at(n["attrs"], F.lit(USE)) == "PH/H1"))["own"], 0))
     subtitle = clean_line(F.replace(first(nodes, lambda n: (n["tag"] == "div") & has_class("subtit1")(n))["text"], F.lit("\n"), F.lit(" ")))
@@ -383,7 +396,7 @@ def whole_text(blocks: dict[str, Column]) -> Column:
 def case_details(pages: DataFrame) -> DataFrame:
     """``source_url, title, subtitle1, sections`` of case pages of any layout (``url, html``), found by labels."""
     nodes, labels = F.col("nodes"), (*HEAD_LABELS, WHOLE, ORDER, REASONS)
-    parsed = pages.select("url", parse(F.col("html")).alias("nodes"))
+    parsed = pages.select("url", parse(F.col("html"), "text", "line").alias("nodes"))
     found = parsed.select("url", case_header(nodes).alias("h"), *(labelled_block(nodes, label).alias(f"b{i}") for i, label in enumerate(labels)))
     blocks = {label: F.col(f"b{i}") for i, label in enumerate(labels)}
     sections = F.struct(*(blocks[label].alias(label) for label in HEAD_LABELS), whole_text(blocks).alias(WHOLE))
@@ -393,7 +406,7 @@ def case_details(pages: DataFrame) -> DataFrame:
 def statute_header(pages: DataFrame) -> DataFrame:
     """A record for each statute page (``url, html``): names, ministry and identifiers, and the lines of its body without
     noise: ``doc_id, title, short_title, ministry, efYd, lsiSeq, source_url, aliases, lang, kind, body``."""
-    parsed = pages.select("url", "html", parse(F.col("html")).alias("nodes"))
+    parsed = pages.select("url", "html", parse(F.col("html"), "text").alias("nodes"))
     nodes = F.col("nodes")
     subtitle = F.array_join(F.flatten(F.transform(select(nodes, has_class("ct_sub")), lambda n: F.transform(F.split(n["text"], "\n"), strip))), " ")
     bodies = F.flatten(F.transform(select(nodes, lambda n: n["id"].isin(*BODY_IDS)), lambda n: F.split(n["text"], "\n")))
@@ -410,7 +423,7 @@ def statute_header(pages: DataFrame) -> DataFrame:
 
 def block_lines(pages: DataFrame) -> DataFrame:
     """``url, ord, line``: the blocks of each page's body, nested ones too, in document order."""
-    parsed = pages.select("url", parse(F.col("html")).alias("nodes"))
+    parsed = pages.select("url", parse(F.col("html"), "text").alias("nodes"))
     nodes = F.col("nodes")
     holders = select(nodes, lambda n: n["id"].isin(*BODY_IDS))
     inside = F.filter(nodes, lambda n: n["tag"].isin("p", "div", "li", "table", "blockquote") & F.exists(holders, lambda h: (n["ord"] > h["ord"]) & (n["ord"] <= h["last"])))

@@ -140,23 +140,23 @@ def grouped(template: str, mark: str, last: Column) -> Column:
 
 
 LONG_SQL = """
-WITH d AS (SELECT *, CAST(doc_id + 10000 AS VARCHAR) AS id, unnest(range(1, 41 + doc_id % 60)) AS i FROM documents)
+WITH d AS (SELECT *, CAST(doc_id + 10000 AS VARCHAR) AS id, unnest(range(1, 21 + doc_id % 20)) AS i FROM documents)
 SELECT 'doc:' || id || ':article_' || i AS chunk_id, '제' || i || '조(가)' AS title, {text} AS text, {chapter} AS chapter FROM d
 """
 
 
 @CATALOG.add("long_statute_articles", LONG_SQL.format(text="'제' || i || '조(가)' || lang || ' ' || i", chapter="'제' || ((i - 1) // 7 + 1) || '장 ' || source"))
 def long_statute_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statutes of 40 to 99 articles; a chapter begins at every seventh group, and groups without a label are between."""
-    body = grouped('<div class="pgroup"><span class="bl"><label>제{i}조(가)</label></span><p>{lang} {i}</p></div><div class="pgroup"><p>none</p></div>', '<div class="pgroup"><p class="gtit">제{c}장 {source}</p></div>', 40 + F.col("doc_id") % 60)
+    """Statutes of 20 to 39 articles; a chapter begins at every seventh group, and groups without a label are between."""
+    body = grouped('<div class="pgroup"><span class="bl"><label>제{i}조(가)</label></span><p>{lang} {i}</p></div><div class="pgroup"><p>none</p></div>', '<div class="pgroup"><p class="gtit">제{c}장 {source}</p></div>', 20 + F.col("doc_id") % 20)
     pages = _documents(spark, sf_dir).select(filled("https://h/x?lsiSeq={id}&efYd=20240101", **_values()).alias("url"), F.concat(filled('<div id="conTop"><h2>{source}</h2></div><div id="conScroll">', **_values()), body, F.lit("</div>")).alias("html"))
     return html.statute_chunks(html.document_header(pages, urls.STATUTE)).select("chunk_id", "title", "text", F.col("metadata.chapter").alias("chapter"))
 
 
 @CATALOG.add("long_rule_articles", LONG_SQL.format(text="lang || chr(10) || i", chapter="'part ' || ((i - 1) // 7 + 1)"))
 def long_rule_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rules of 40 to 99 articles, in parts of seven groups."""
-    body = grouped('<div class="pgroup"><span class="bl"><label>제{i}조(가)</label></span><div class="lawcon"><p>{lang}</p><p>{i}</p></div></div>', '<div class="pgroup"><p class="gtit">part {c}</p></div>', 40 + F.col("doc_id") % 60)
+    """Rules of 20 to 39 articles, in parts of seven groups."""
+    body = grouped('<div class="pgroup"><span class="bl"><label>제{i}조(가)</label></span><div class="lawcon"><p>{lang}</p><p>{i}</p></div></div>', '<div class="pgroup"><p class="gtit">part {c}</p></div>', 20 + F.col("doc_id") % 20)
     pages = _documents(spark, sf_dir).select(filled("https://h/x?admRulSeq={id}", **_values()).alias("url"), F.concat(filled('<div id="conTop"><h2>{source}</h2></div>', **_values()), body).alias("html"))
     return html.rule_chunks(html.document_header(pages, urls.RULE)).select("chunk_id", "title", "text", F.col("metadata.chapter").alias("chapter"))
 
@@ -316,7 +316,7 @@ SELECT doc_id, ord, tag, text FROM (SELECT doc_id, unnest([0, 1, 2, 4, 5, 6]) AS
 def block_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks of pages with implied ends and text outside any element."""
     page = filled("<div><p>{lang}<p>b<ul><li>{source}<li>y</ul></div>tail {doc}", doc=F.col("doc_id"), **_values())
-    parsed = _documents(spark, sf_dir).select("doc_id", html.parse(page).alias("nodes"))
+    parsed = _documents(spark, sf_dir).select("doc_id", html.parse(page, "text").alias("nodes"))
     blocks = html.select(F.col("nodes"), html.is_tag("p", "div", "li"))
     return parsed.select("doc_id", F.explode(blocks).alias("n")).select("doc_id", "n.ord", "n.tag", "n.text")
 

@@ -104,7 +104,7 @@ def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def html_title_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title and first heading from the parsed page; the SQL reads them by pattern."""
     nodes = F.col("nodes")
-    parsed = _pages(spark, sf_dir).select("page_id", html.parse(F.col("html")).alias("nodes"))
+    parsed = _pages(spark, sf_dir).select("page_id", html.parse(F.col("html"), "text").alias("nodes"))
     own = lambda tag: F.coalesce(html.own_text(html.first(nodes, html.is_tag(tag)), ""), F.lit(""))
     return parsed.select("page_id", own("title").alias("title"), own("h1").alias("heading"))
 
@@ -126,7 +126,7 @@ def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.add("html_block_rows")
 def html_block_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each block, nested ones too, in document order."""
-    parsed = _pages(spark, sf_dir).select("page_id", html.parse(F.col("html")).alias("nodes"))
+    parsed = _pages(spark, sf_dir).select("page_id", html.parse(F.col("html"), "text").alias("nodes"))
     blocks = html.select(F.col("nodes"), html.is_tag("p", "div", "li", "table", "blockquote"))
     return parsed.select("page_id", F.explode(blocks).alias("n")).select("page_id", "n.ord", "n.tag", "n.depth", text.clean_block(F.col("n.text")).alias("text")).where("text <> ''")
 
@@ -136,7 +136,7 @@ def page_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages wrapped in one of three forms, and told apart again by their nodes."""
     k = F.col("page_id") % 3
     head = F.when(k == 0, F.lit('<div class="pgroup x"><span class="bl"><label>제1조(목적)</label></span></div>')).when(k == 1, F.lit('<iframe class="fancybox-iframe"></iframe>')).otherwise(F.lit('<div class="pgroup"><label>제1조</label></div>'))
-    parsed = _pages(spark, sf_dir).select("page_id", html.parse(F.concat(head, F.col("html"))).alias("nodes"))
+    parsed = _pages(spark, sf_dir).select("page_id", html.parse(F.concat(head, F.col("html")), "text").alias("nodes"))
     return parsed.select("page_id", html.page_kind(F.col("nodes")).alias("kind"))
 
 

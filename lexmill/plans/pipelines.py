@@ -93,7 +93,7 @@ def statute_lines(pages: DataFrame, dept_id: str | None = None) -> DataFrame:
     blocks of a page, cut into paragraphs, with the place of each and its id."""
     lines = html.block_lines(pages)
     articles = segment.statute_articles(lines, ["url"], "ord", "line")
-    titles = pages.select("url", html.parse(F.col("html")).alias("nodes")).select("url", html.own_text(html.first(F.col("nodes"), html.is_tag("h2"))).alias("law_title"))
+    titles = pages.select("url", html.parse(F.col("html"), "text").alias("nodes")).select("url", html.own_text(html.first(F.col("nodes"), html.is_tag("h2"))).alias("law_title"))
     cut = articles.join(titles, "url").select("*", F.posexplode(segment.plain_paragraphs(F.col("body"))).alias("p_pos", "p"))
     seq, date = urls.query_value(F.col("url"), "lsiSeq"), urls.query_value(F.col("url"), "efYd")
     prologue = F.col("article_no") == 0
