@@ -323,7 +323,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
 
     @arrow_udf(DoubleType())
     def score(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        memo = word_scores(model.table, model.settings)
+        memo = word_scores(model.table, model.settings, 40_000)  # the workers go on to other steps with what they hold
         for texts in arrays:
             yield pa.array(np.concatenate([model.scores([t.as_py() or "" for t in texts[a : a + 500]], memo) for a in range(0, len(texts), 500)] or [np.zeros(0)]))
 
