@@ -199,9 +199,10 @@ def fit(vectors: DataFrame, asked: DataFrame, k: int, s: Settings) -> tuple[Inde
     ranked = _exact(vectors, q, k + 1).withColumn("r", F.row_number().over(by)).where(F.col("r") <= k + 1).groupBy("q").agg(F.min("score").alias("least"))
     least = {r["q"]: r["least"] for r in ranked.collect()}  # a row for each of the sample
     likes = [least[i] / (known["largest"] * np.linalg.norm(q[i])) for i in range(len(q))]
-    functions = max(1, round(log(max(1.0, known["n"] / s.bucket_rows)) / log(2.8)))
+    functions = round(log(max(1.0, known["n"] / s.bucket_rows)) / log(2.8))  # a function makes nearly three buckets of each
+    tables = s.tables if functions else 1  # a small table is one bucket, and its answers exact
     rng = np.random.default_rng(s.seed)
-    index = Index(rng.standard_normal((s.tables, functions, known["dim"] + 1)), rng.uniform(0, s.width, (s.tables, functions)), s.width, known["largest"])
+    index = Index(rng.standard_normal((tables, functions, known["dim"] + 1)), rng.uniform(0, s.width, (tables, functions)), s.width, known["largest"])
     return index, float(np.clip(np.quantile(likes, 0.25), 0.05, 0.99))
 
 
