@@ -155,7 +155,8 @@ def _told(rows: list[tuple]) -> pd.DataFrame:
 
 def leased(requests: DataFrame, length: int, late: str = "0 seconds") -> DataFrame:
     """``OUTCOME`` of a stream of requests. The watermark is ``late`` behind the newest request: leases run out when it passes their
-    end, and requests of one row must not be later than that to be in order."""
+    end, and requests of one row must not be later than that to be in order. Streams of the session keep their state in RocksDB from
+    then on, which timers need."""
     requests.sparkSession.conf.set(*ROCKSDB)
     timed = requests.withColumn("time", F.timestamp_micros("at")).withWatermark("time", late)
     return timed.groupBy("id").transformWithStateInPandas(statefulProcessor=_Leases(length), outputStructType=OUTCOME, outputMode="Append", timeMode="EventTime")
