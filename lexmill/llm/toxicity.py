@@ -19,7 +19,7 @@ import itertools
 import string
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -54,43 +54,112 @@ class Settings:
     seed: int = 13
 
 
-class Memo(dict):
-    """Values by key, made when first asked for. When ``most`` are held they become the old generation and the older
-    one goes, so what is asked for often stays and memory is bounded."""
-
-    def __init__(self, make: Callable[[str], float], most: int) -> None:
-        super().__init__()
-        self.make, self.most, self.old = make, most, {}
+class Words:
+    """Word -> mean over its n-grams of the softmax's preference for the toxic class.
 
-    def __missing__(self, key: str) -> float:
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
+    Words that were not met before are worked out together. When ``most`` are held they become the old generation and the older
+    one goes, so what is asked for often stays and memory is bounded."""
 
+    def __init__(self, table: np.ndarray, s: Settings, most: int) -> None:
+        self.table, self.s, self.most = table, s, most
+        self.young: dict[str, float] = {}
+        self.old: dict[str, float] = {}
 
-def word_scores(table: np.ndarray, s: Settings, most: int = 120_000) -> Memo:
-    """Word -> mean over its n-grams of the softmax's preference for the toxic class."""
-    parts = Memo(lambda g: float(table[bucket(g, s.buckets)]), most)
+    def __getitem__(self, word: str) -> float:
+        return float(self.values([word])[0])
 
-    def mean(word: str) -> float:
-        whole, *rest = pieces(word, s)  # whole words are rarely met again as parts
-        return (float(table[bucket(whole, s.buckets)]) + sum(map(parts.__getitem__, rest))) / (1 + len(rest))
+    def values(self, words: list[str]) -> np.ndarray:
+        out = np.empty(len(words))
+        for a in range(0, len(words), WORDS):
+            part = words[a : a + WORDS]
+            self._learn(set(part))
+            out[a : a + len(part)] = np.fromiter(map(self.young.__getitem__, part), np.float64, len(part))
+        return out
 
-    return Memo(mean, most)
+    def _learn(self, words: set[str]) -> None:
+        if len(self.young) + len(words) > self.most:
+            self.young, self.old = {}, self.young
+        fresh = words.difference(self.young)
+        known = {w: value for w in fresh if (value := self.old.get(w)) is not None}
+        self.young |= known
+        fresh = list(fresh.difference(known))
+        self.young |= zip(fresh, means(fresh, self.table, self.s).tolist(), strict=True)
+
+
+#: Words that are looked up together.
+WORDS = 100_000
+
+
+def word_scores(table: np.ndarray, s: Settings, most: int = 120_000) -> Words:
+    return Words(table, s, most)
+
+
+def crc_steps() -> np.ndarray:
+    """What a byte does to zlib's checksum, by the byte and the checksum's last one."""
+    steps = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        steps = steps >> 1 ^ np.uint32(0xEDB88320) * (steps & 1)
+    return steps
+
+
+STEPS = crc_steps()
+
+
+def utf8(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Four bytes (of which the first ``n`` count) of each code point, and ``n``."""
+    n = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
+    lead = np.array([0, 0, 0xC0, 0xE0, 0xF0], np.uint32)[n]
+    out = np.zeros((4, len(codes)), np.uint32)
+    for k in range(int(n.max(initial=1))):
+        bits = codes >> (6 * np.maximum(n - 1 - k, 0)).astype(np.uint32)
+        out[k] = bits | lead if k == 0 else bits & 0x3F | 0x80
+    return out, n
+
+
+def means(words: list[str], table: np.ndarray, s: Settings) -> np.ndarray:
+    """Of each word the mean of ``table`` over its pieces, for all words at once. Checksums of n-grams go on from those of shorter ones;
+    words with a repeated n-gram, and very long ones, are cut into pieces one by one."""
+    marked = [marks(w) for w in words]
+    size = np.fromiter(map(len, marked), np.int64, len(marked))
+    out = table[np.fromiter((bucket(w, s.buckets) for w in marked), np.int64, len(marked))].astype(np.float64)
+    apart = size > 1_000
+    some = np.flatnonzero(~apart)
+    codes = np.frombuffer("".join([marked[i] for i in some] if apart.any() else marked).encode("utf-32-le", "surrogatepass"), "<u4")
+    word = np.repeat(some, size[some])
+    left = np.repeat(np.cumsum(size[some]), size[some]) - np.arange(len(codes))  # characters from here to the word's end
+    data, n_bytes = utf8(codes)
+    crc = np.full(len(codes), 0xFFFFFFFF, np.uint32)
+    for n in range(1, s.longest + 1):
+        crc = crc[: max(0, len(codes) - n + 1)].copy()
+        for k in range(int(n_bytes.max(initial=1))):
+            step = STEPS[(crc ^ data[k, n - 1 :]) & 0xFF] ^ crc >> 8
+            crc = step if k == 0 else np.where(n_bytes[n - 1 :] > k, step, crc)
+        if n < s.shortest:
+            continue
+        at = np.flatnonzero(left[: len(crc)] >= n)
+        if n == s.shortest:  # whoever repeats a longer one repeats this one
+            keys = np.sort(word[at] << 32 | crc[at])
+            apart[keys[1:][keys[1:] == keys[:-1]] >> 32] = True
+        at = at[size[word[at]] > n]  # the word itself is there already
+        out += np.bincount(word[at], table[(~crc[at]) % s.buckets], len(out))
+    out /= 1 + sum(np.where(size > n, size - n + 1, 0) for n in range(s.shortest, s.longest + 1))
+    for i in np.flatnonzero(apart):
+        found = grams(words[i], s)
+        out[i] = table[found].sum(dtype=np.float64) / len(found)
+    return out
 
 
 def bucket(gram: str, buckets: int) -> int:
     return zlib.crc32(gram.encode("utf-8", "surrogatepass")) % buckets
 
 
+def marks(word: str) -> str:
+    return f"<{word.strip(string.punctuation)}>"
+
+
 def pieces(word: str, s: Settings) -> list[str]:
     """A word's n-grams and the word itself, once each, in an order that depends on the word alone."""
-    w = f"<{word.strip(string.punctuation)}>"
+    w = marks(word)
     return list(dict.fromkeys([w, *(w[i : i + n] for n in range(s.shortest, s.longest + 1) for i in range(len(w) - n + 1))]))
 
 
@@ -107,22 +176,32 @@ class Model:
     bias: float
     settings: Settings
 
-    def scores(self, texts: list[str], memo: Memo) -> np.ndarray:
+    def scores(self, texts: list[str], memo: Words) -> np.ndarray:
         """Probability of the toxic class of each text."""
         return 1 / (1 + np.exp(-self.logits(texts, memo)))
 
-    def logits(self, texts: list[str], memo: Memo) -> np.ndarray:
-        most = self.settings.window
+    def logits(self, texts: list[str], memo: Words) -> np.ndarray:
+        lists = [t.lower().split() for t in texts]
+        lens = np.fromiter(map(len, lists), np.int64, len(lists))
+        values = memo.values(list(itertools.chain.from_iterable(lists)))
         out = np.full(len(texts), self.bias)
-        for i, text in enumerate(texts):
-            words = text.lower().split()
-            if words:
-                size = min(most, len(words))
-                total = np.cumsum(np.fromiter(itertools.chain((0.0,), map(memo.__getitem__, words)), np.float64, len(words) + 1))
-                out[i] += (total[size:] - total[:-size]).max() / size
+        begin, size, runs = runs_of(lens, self.settings.window)
+        total = np.zeros(len(begin))
+        for k in range(int(size.max(initial=0))):
+            more = size > k
+            total[more] += values[begin[more] + k]
+        if len(begin):
+            out[lens > 0] += np.maximum.reduceat(total / size, (np.cumsum(runs) - runs)[lens > 0])
         return out
 
 
+def runs_of(lens: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the runs of texts of ``lens`` words begin among all words, their sizes, and how many a text has."""
+    runs = np.where(lens > 0, np.maximum(lens - window, 0) + 1, 0)
+    size = np.repeat(np.minimum(lens, window), runs)
+    return np.repeat(np.cumsum(lens) - lens, runs) + np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs), size, runs
+
+
 def fit(texts: list[str], labels: np.ndarray, s: Settings | None = None) -> Model:
     """The model of all texts, with a bias that was found on texts it had not seen.
 
@@ -176,10 +255,7 @@ def fit_table(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
     lens = np.array([len(w) for w in words])
     flat = np.concatenate(words)
     doc = np.repeat(np.asarray(docs, np.int64), lens)
-    # Runs of words, as in scoring.
-    runs = np.where(lens > 0, np.maximum(lens - s.window, 0) + 1, 0)
-    size = np.repeat(np.minimum(lens, s.window), runs)
-    begin = np.repeat(np.cumsum(lens) - lens, runs) + np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
+    begin, size, runs = runs_of(lens, s.window)
     end = begin + size
     n_words = len(ids)
     packed, sizes = array("i"), array("i")

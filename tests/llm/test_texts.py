@@ -312,3 +312,28 @@ def test_toxicity_runs_begin_at_every_word():
     best = max((x + y) / 2 for x, y in zip(values, values[1:]))
     assert abs(a - 1 / (1 + np.exp(-(best + model.bias)))) < 1e-9
     assert toxicity.cut(np.array([0.0, 1.0, 2.0, 3.0]), np.array([0, 0, 1, 1])) == 1.5
+
+
+def test_toxicity_words_are_worked_out_together(monkeypatch):
+    """All new words of a batch at once, each with the mean over its distinct pieces, also when few values are held."""
+    rng, gen = random.Random(41), np.random.default_rng(41)
+    s = toxicity.Settings(buckets=1 << 12)
+    table = gen.normal(0, 1, s.buckets).astype(np.float32)
+    words = ["", "a", "...", "<<>>", "aaaa", "ababab", "éé", "日本語日本語", "😀a😀b", "\ud800x\ud800x", "xyz" * 2_000]
+    words += ["".join(rng.choice("abc<>.é日😀\ud800") for _ in range(rng.randint(0, 12))) for _ in range(3_000)]
+    want = {w: np.mean([float(table[b]) for b in toxicity.grams(w, s)]) for w in words}
+    single, pieces = [], toxicity.pieces
+    monkeypatch.setattr(toxicity, "pieces", lambda w, s: single.append(w) or pieces(w, s))
+    for most in (10, 500, 100_000):
+        monkeypatch.setattr(toxicity, "WORDS", 300)
+        memo = toxicity.word_scores(table, s, most)
+        got = memo.values(words * 2)
+        assert np.allclose(got, [want[w] for w in words * 2], atol=1e-12) and (got[: len(words)] == got[len(words) :]).all()
+    seen = set(single)
+    single.clear()
+    toxicity.word_scores(table, s).values(words)
+    assert {"xyz" * 2_000, "aaaa"} <= seen and len(single) < 0.3 * len(set(words))
+    assert all(len({w[i : i + 3] for i in range(len(w) - 2)}) < len(w) - 2 for w in map(toxicity.marks, single))
+    model = toxicity.Model(table, -1.0, s)
+    scores = model.scores(["", "one two three", "one", " ", "one two three"], memo)
+    assert scores[1] == scores[4] == model.scores(["one two three"], memo)[0] and scores[0] == scores[3] == 1 / (1 + np.exp(1.0))
