@@ -98,11 +98,19 @@ class Numbers(dict):
         return seq, np.arange(n.sum()) + np.repeat(w * np.arange(1, len(n) + 1), n), n
 
 
+#: Rows of a batch that meet all classes at once: what is worked out of them stays in a core's cache.
+ROWS = 2_048
+
+
 def exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.float32]:
-    """``exp`` of a matrix less its largest value, the sum of each row, and that value. Rows of one batch lie far closer
-    together than float32 reaches."""
+    """In its place, ``exp`` of a matrix less its largest value, the sum of each row, and that value (0 where it lies in 0 to 20,
+    which changes no row for the worse). Rows of one batch lie far closer together than float32 reaches."""
     top = x.max()
-    x = np.exp(x - top)
+    if 0 <= top < 20:
+        top = np.float32(0)
+    else:
+        x -= top
+    np.exp(x, out=x)
     return x, np.maximum(x @ np.ones(x.shape[1], x.dtype), np.float32(1e-30)), top
 
 
@@ -122,6 +130,7 @@ class Network:
             setattr(self, name, self.flat[at : at + size].reshape(shape))
             at += size
         self.squares = {k: np.full(x[:2] if k == "around" else x, 1e-2, np.float32) for k, x in shapes.items()}
+        self.space = np.empty(s.batch * max(per, s.classes), np.float32)
         self.offsets = [k for k in range(-s.window, s.window + 1) if k]
 
     def start_at(self, counts: np.ndarray) -> Network:
@@ -136,12 +145,18 @@ class Network:
     def hidden(self, seq: np.ndarray, places: np.ndarray) -> np.ndarray:
         """A row for each place, with a last 1."""
         h = np.ones((len(places), self.s.dim + 1), np.float32)
-        total = self.around[0][seq[places + self.offsets[0]]]
-        for table, k in zip(self.around[1:], self.offsets[1:], strict=True):
-            total += table[seq[places + k]]
-        np.tanh(total + self.bias, out=h[:, :-1])
+        for a in range(0, len(places), ROWS):
+            part = places[a : a + ROWS]
+            total = self.bias + self.around[0].take(seq[part + self.offsets[0]], 0)
+            for table, k in zip(self.around[1:], self.offsets[1:], strict=True):
+                total += table.take(seq[part + k], 0)
+            np.tanh(total, out=h[a : a + ROWS, :-1])
         return h
 
+    def logits(self, h: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Their product, in a place that the next one takes over."""
+        return np.matmul(h, weights, out=self.space[: len(h) * weights.shape[1]].reshape(len(h), -1))
+
     def by_class(self, entries: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
         """An order that puts entries of one class together, and (class, begin, end) of those that occur."""
         order = np.argsort((entries % self.s.classes).astype(np.uint16), kind="stable")
@@ -156,13 +171,17 @@ class Network:
             order, groups = self.by_class(seq[part])
             part = part[order]
             h, word = self.hidden(seq, part), seq[part] // self.s.classes
-            x = h @ self.top
-            _, total, top = exponentials(x)
-            p = x[np.arange(len(part)), seq[part] % self.s.classes] - top - np.log(total)
+            p, rows, classes = np.empty(len(part), np.float32), np.arange(len(part)), seq[part] % self.s.classes
+            for i in range(0, len(part), ROWS):
+                x = self.logits(h[i : i + ROWS], self.top)
+                own = x[rows[: len(x)], classes[i : i + ROWS]]
+                _, total, top = exponentials(x)
+                p[i : i + ROWS] = own - top - np.log(total)
             for g, i, j in groups:
-                x = h[i:j] @ self.low[g]
+                x = self.logits(h[i:j], self.low[g])
+                own = x[rows[: j - i], word[i:j]]
                 _, total, top = exponentials(x)
-                p[i:j] += x[np.arange(j - i), word[i:j]] - top - np.log(total)
+                p[i:j] += own - top - np.log(total)
             out[a + order] = p
         return out
 
@@ -181,27 +200,30 @@ class Network:
             order, groups = self.by_class(seq[part])
             part = part[order]
             h, word, rows = self.hidden(seq, part), seq[part] // s.classes, np.arange(len(part))
-            error, total, _ = exponentials(h @ self.top)
-            error /= total[:, None]
-            error[rows, seq[part] % s.classes] -= 1
-            back = error @ self.top[:-1].T
-            self.move("top", slice(None), h.T @ error)
+            classes, back, gradient = seq[part] % s.classes, np.empty((len(part), s.dim), np.float32), np.zeros_like(self.top)
+            for i in range(0, len(part), ROWS):
+                error, total, _ = exponentials(self.logits(h[i : i + ROWS], self.top))
+                error[rows[: len(error)], classes[i : i + ROWS]] -= total
+                total = 1 / total[:, None]
+                np.multiply(error @ self.top[:-1].T, total, out=back[i : i + ROWS])
+                gradient += (h[i : i + ROWS] * total).T @ error
+            self.move("top", slice(None), gradient)
             gradient = np.zeros_like(self.low)
             for g, i, j in groups:
-                e, total, _ = exponentials(h[i:j] @ self.low[g])
-                e /= total[:, None]
-                e[rows[: j - i], word[i:j]] -= 1
-                back[i:j] += e @ self.low[g, :-1].T
-                gradient[g] = h[i:j].T @ e
+                e, total, _ = exponentials(self.logits(h[i:j], self.low[g]))
+                e[rows[: j - i], word[i:j]] -= total
+                total = 1 / total[:, None]
+                back[i:j] += (e @ self.low[g, :-1].T) * total
+                gradient[g] = (h[i:j] * total).T @ e
             self.move("low", slice(None), gradient)
             back *= 1 - h[:, :-1] ** 2
             self.move("bias", slice(None), back.sum(0))
+            columns, entries = np.ascontiguousarray(back.T, np.float64), self.around.shape[1]
             for place, k in enumerate(self.offsets):
                 near = seq[part + k]
-                by = np.argsort(near.astype(np.uint16), kind="stable") if s.entries < 1 << 16 else np.argsort(near)
-                near = near[by]
-                starts = np.flatnonzero(np.diff(near, prepend=-1))
-                self.move("around", (place, near[starts]), np.add.reduceat(back[by], starts))
+                met = np.flatnonzero(np.bincount(near, minlength=entries))
+                sums = np.array([np.bincount(near, column, entries) for column in columns])
+                self.move("around", (place, met), sums[:, met].T.astype(np.float32))
 
 
 @dataclass(frozen=True)

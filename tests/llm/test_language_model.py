@@ -88,6 +88,36 @@ def test_texts_that_occur_twice_are_told_apart_whatever_the_partitions(spark):
     assert np.corrcoef([scores[i] for i in scores], [many[i] for i in scores])[0, 1] > 0.9
 
 
+def test_training_step_against_plain_loops():
+    """One batch that is cut into blocks of rows, against gradients of single words; products share one place."""
+    s = lm.Settings(words=40, rare=20, classes=8, dim=4, batch=5_000)
+    rng = np.random.default_rng(5)
+    net = lm.Network(s).start_at(rng.integers(1, 50, s.entries))
+    assert len(net.space) == s.batch * 8 and 2 * lm.ROWS < s.batch - 500
+    seq = np.concatenate([[0, 0], rng.integers(1, s.entries, s.batch), [0, 0]])
+    places = rng.permutation(np.arange(2, s.batch + 2))
+    old = lm.Network(s, net.flat)
+    low, top, around, bias = (np.zeros(x.shape) for x in (old.low, old.top, old.around, old.bias))
+    for i in places:
+        h = np.append(np.tanh(sum(old.around[k][seq[i + d]].astype(float) for k, d in enumerate(old.offsets)) + old.bias), 1.0)
+        g, back = seq[i] % s.classes, 0.0
+        for weights, gradient, at in ((old.top, top, g), (old.low[g], low[g], seq[i] // s.classes)):
+            x = h @ weights
+            e = np.exp(x - x.max())
+            e /= e.sum()
+            e[at] -= 1
+            back = back + e @ weights[:-1].T
+            gradient += np.outer(h, e)
+        back = back * (1 - h[:-1] ** 2)
+        bias += back
+        for k, d in enumerate(old.offsets):
+            around[k][seq[i + d]] += back
+    net.train(seq, places)
+    for name, gradient in (("top", top), ("low", low), ("bias", bias), ("around", around)):
+        root = np.sqrt(1e-2 + ((gradient**2).mean(-1, keepdims=True) if name == "around" else gradient**2))
+        assert np.allclose(getattr(net, name), getattr(old, name) - s.rate * gradient / root, atol=2e-4), name
+
+
 def test_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = queries.op2_language_model(spark, SF).collect()
