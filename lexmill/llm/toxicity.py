@@ -242,19 +242,18 @@ def fit_table(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
     """Embeddings and softmax, jointly, by full-batch Adam.
 
     With two classes the gradient of an n-gram's vector is a multiple of the softmax's difference vector, so an
-    epoch moves one number for each word and n-gram and stays cheap.
+    epoch moves one number for each word and n-gram and stays cheap. Words and rows of vectors are gone through in blocks
+    (``BLOCK``), and only n-grams that count have vectors: the driver holds little more than these, their moments and the buckets of all pieces.
     """
     if not len(texts) or labels.min(initial=1) == labels.max(initial=0):
         return Model(np.zeros(s.buckets, np.float32), -3.0, s)
     ids: dict[str, int] = {}
-    words, docs = [], []
+    packed_words, lens = array("i"), np.zeros(len(texts), np.int64)
     for d, text in enumerate(texts):
-        found = [ids.setdefault(w, len(ids)) for w in text.lower().split()]
-        words.append(np.asarray(found, np.int32))
-        docs.append(d)
-    lens = np.array([len(w) for w in words])
-    flat = np.concatenate(words)
-    doc = np.repeat(np.asarray(docs, np.int64), lens)
+        before = len(packed_words)
+        packed_words.extend(ids.setdefault(w, len(ids)) for w in text.lower().split())
+        lens[d] = len(packed_words) - before
+    flat = np.frombuffer(packed_words, np.int32)
     begin, size, runs = runs_of(lens, s.window)
     end = begin + size
     n_words = len(ids)
@@ -263,22 +262,21 @@ def fit_table(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
         found = grams(w, s)
         packed.extend(found)
         sizes.append(len(found))
+    del ids
     gram, gram_n = np.frombuffer(packed, np.int32), np.frombuffer(sizes, np.int32)
-    gram_word = np.repeat(np.arange(n_words, dtype=np.int32), gram_n)
-    gram_share = (1 / gram_n)[gram_word].astype(np.float32)
-    # n-grams of very few documents only let the model learn its sample by heart.
-    pairs = np.unique(doc * n_words + flat)
-    per_pair = gram_n[pairs % n_words]
     first_gram = np.cumsum(gram_n, dtype=np.int64) - gram_n
-    spread = np.zeros(s.buckets)
-    for chunk in np.array_split(np.arange(len(pairs)), max(1, len(pairs) // 50_000)):
-        n = per_pair[chunk]
-        where = np.repeat(first_gram[pairs[chunk] % n_words], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        spread += np.bincount(np.unique(np.repeat(pairs[chunk] // n_words, n) * s.buckets + gram[where]) % s.buckets, minlength=s.buckets)
-    gram_share *= spread[gram] >= s.min_docs
+    # n-grams of very few documents only let the model learn its sample by heart.
+    kept = documents_of_buckets(flat, lens, gram, gram_n, s.buckets) >= s.min_docs
+    touched = np.zeros(s.buckets, bool)
+    touched[gram] = True
+    touched = np.flatnonzero(touched & kept)
+
+    share_of = (1 / gram_n).astype(np.float32)  # of a piece in its word
+    edges = np.append(first_gram, len(gram))[np.append(np.arange(0, n_words, BLOCK), n_words)]
+    blocks = [(slice(k * BLOCK, min(n_words, (k + 1) * BLOCK)), gram[a:b]) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))]
 
     rng = np.random.default_rng(s.seed)
-    vectors = rng.normal(0, 0.1, (s.buckets, s.dim))
+    vectors = rng.normal(0, 0.1, (s.buckets, s.dim))[touched]
     diff = rng.normal(0, 1, s.dim)
     bias = -1.0
     y = labels.astype(float)
@@ -288,18 +286,26 @@ def fit_table(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
     starts = np.cumsum(count) - count
 
     def run_logits() -> tuple[np.ndarray, np.ndarray]:
-        one = vectors @ diff
-        word = np.bincount(gram_word, gram_share * one[gram], n_words)
+        one, word = np.zeros(s.buckets), np.empty(n_words)
+        one[touched] = vectors @ diff
+        for some, part in blocks:
+            n = gram_n[some]
+            word[some] = np.bincount(np.repeat(np.arange(len(n)), n), np.repeat(share_of[some], n) * one[part], len(n))
         total = np.concatenate([[0.0], np.cumsum(word[flat])])
-        return one, (total[end] - total[begin]) / size
+        out = total[end]
+        out -= total[begin]
+        out /= size
+        return one, out
 
     def pooled(logits: np.ndarray, sharp: float) -> tuple[np.ndarray, np.ndarray]:
         top = np.maximum.reduceat(logits, starts)
-        e = np.exp(sharp * (logits - np.repeat(top, count)))
+        e = logits - np.repeat(top, count)
+        e *= sharp
+        np.exp(e, out=e)
         total = np.add.reduceat(e, starts)
-        return top + np.log(total / count) / sharp, e / np.repeat(total, count)
+        e /= np.repeat(total, count)
+        return top + np.log(total / count) / sharp, e
 
-    touched = np.unique(gram[gram_share > 0])
     moments = [[np.zeros((len(touched), s.dim)), np.zeros((len(touched), s.dim))], [np.zeros(s.dim), np.zeros(s.dim)]]
     for epoch in range(1, s.epochs + 1):
         sharp = s.sharp * min(1.0, epoch / (s.epochs / 2))
@@ -307,22 +313,29 @@ def fit_table(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
         whole, share = pooled(logits, sharp)
         p = 1 / (1 + np.exp(-(whole + bias)))
         error = (p - y[rows]) * weight[rows]
-        by_run = np.repeat(error, count) * share / size
-        by_place = np.cumsum(np.bincount(begin, by_run, len(flat) + 1) - np.bincount(end, by_run, len(flat) + 1))[:-1]
-        by_word = np.bincount(flat, by_place, n_words)
-        by_gram = np.bincount(gram, gram_share * by_word[gram_word], s.buckets)
-        steps = (by_gram[touched, None] * diff, vectors[touched].T @ by_gram[touched])
-        for k, g in enumerate(steps):
-            m, v = moments[k]
+        share *= np.repeat(error, count)
+        share /= size
+        by_place = np.bincount(begin, share, len(flat) + 1)
+        by_place -= np.bincount(end, share, len(flat) + 1)
+        by_word = np.bincount(flat, np.cumsum(by_place, out=by_place)[:-1], n_words)
+        del logits, share, by_place
+        by_gram = np.zeros(s.buckets)
+        for some, part in blocks:
+            np.add.at(by_gram, part, np.repeat(share_of[some] * by_word[some], gram_n[some]))
+        by_gram = by_gram[touched]
+
+        def move(m: np.ndarray, v: np.ndarray, g: np.ndarray) -> np.ndarray:
             m *= 0.9
             m += 0.1 * g
             v *= 0.999
             v += 0.001 * g * g
-            move = s.rate * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.999**epoch)) + s.floor)
-            if k:
-                diff -= move
-            else:
-                vectors[touched] -= move + s.rate * s.decay * vectors[touched]
+            return s.rate * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.999**epoch)) + s.floor)
+
+        of_diff = vectors.T @ by_gram
+        for a in range(0, len(touched), BLOCK):
+            rows_of = slice(a, a + BLOCK)
+            vectors[rows_of] -= move(*(x[rows_of] for x in moments[0]), by_gram[rows_of, None] * diff) + s.rate * s.decay * vectors[rows_of]
+        diff -= move(*moments[1], of_diff)
         bias -= 2.0 * float(error.sum())
     one, logits = run_logits()
     # The score takes the largest run, so the bias is set again for it.
@@ -332,6 +345,23 @@ def fit_table(texts: list[str], labels: np.ndarray, s: Settings) -> Model:
     return Model(table, min(bias, -1e-3), s)
 
 
+#: Words, or rows of vectors, that are worked on together.
+BLOCK = 8_192
+
+
+def documents_of_buckets(flat: np.ndarray, lens: np.ndarray, gram: np.ndarray, gram_n: np.ndarray, buckets: int) -> np.ndarray:
+    """Of each bucket the documents with a word that has a piece in it. ``flat``: the documents' words, one document after the other."""
+    n_words, first_gram = len(gram_n), np.cumsum(gram_n, dtype=np.int64) - gram_n
+    pairs = np.unique(np.repeat(np.arange(len(lens)), lens) * n_words + flat)
+    out = np.zeros(buckets)
+    for chunk in np.array_split(pairs, max(1, len(pairs) // 50_000)):
+        doc, word = np.divmod(chunk, n_words)
+        n = gram_n[word]
+        where = np.repeat(first_gram[word], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        out += np.bincount(np.unique(np.repeat(doc, n) * buckets + gram[where]) % buckets, minlength=buckets)
+    return out
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, s: Settings, learn_from: F.Column | None = None) -> tuple[list[str], np.ndarray]:
     """The bounded sample: of each class the ``s.sample`` labelled ids whose hash is smallest, with their texts."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IN (0, 1)")

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -337,3 +338,16 @@ def test_toxicity_words_are_worked_out_together(monkeypatch):
     model = toxicity.Model(table, -1.0, s)
     scores = model.scores(["", "one two three", "one", " ", "one two three"], memo)
     assert scores[1] == scores[4] == model.scores(["one two three"], memo)[0] and scores[0] == scores[3] == 1 / (1 + np.exp(1.0))
+
+
+def test_toxicity_fit_keeps_little_of_its_pieces():
+    """The driver fits: beside the buckets of all pieces it holds blocks of them, not several numbers for each (107 MB before)."""
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(250)) for _ in range(400)]
+    tracemalloc.start()
+    try:
+        toxicity.fit_table(texts, np.arange(400) % 2, toxicity.Settings(buckets=1 << 14, dim=4, epochs=1))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 75e6
