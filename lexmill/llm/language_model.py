@@ -27,6 +27,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import filterfalse, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +78,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return texts_of(docs).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def utf8(words: list[str]) -> Iterator[bytes]:
+    return map(str.encode, words, repeat("utf-8"), repeat("surrogatepass"))
+
+
 class Numbers(dict):
     """Word -> entry. Entry 0 is the edge of a text; rare words share entries by hash."""
 
@@ -142,14 +147,17 @@ class Network:
         self.top[:-1] *= 0.1
         return self
 
-    def hidden(self, seq: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """A row for each place, with a last 1."""
-        h = np.ones((len(places), self.s.dim + 1), np.float32)
-        for a in range(0, len(places), ROWS):
-            part = places[a : a + ROWS]
-            total = self.bias + self.around[0].take(seq[part + self.offsets[0]], 0)
-            for table, k in zip(self.around[1:], self.offsets[1:], strict=True):
-                total += table.take(seq[part + k], 0)
+    def neighbours(self, seq: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
+        """The entries beside each place, offset by offset."""
+        return [seq.take(places + k) for k in self.offsets]
+
+    def hidden(self, near: list[np.ndarray]) -> np.ndarray:
+        """A row for each place, with a last 1, from its :meth:`neighbours`."""
+        h = np.ones((len(near[0]), self.s.dim + 1), np.float32)
+        for a in range(0, len(h), ROWS):
+            total = self.bias + self.around[0].take(near[0][a : a + ROWS], 0)
+            for table, entries in zip(self.around[1:], near[1:], strict=True):
+                total += table.take(entries[a : a + ROWS], 0)
             np.tanh(total, out=h[a : a + ROWS, :-1])
         return h
 
@@ -159,8 +167,9 @@ class Network:
 
     def by_class(self, entries: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
         """An order that puts entries of one class together, and (class, begin, end) of those that occur."""
-        order = np.argsort((entries % self.s.classes).astype(np.uint16), kind="stable")
-        edges = np.searchsorted((entries % self.s.classes)[order], np.arange(self.s.classes + 1)).tolist()
+        classes = (entries % self.s.classes).astype(np.uint16)
+        order = np.argsort(classes, kind="stable")
+        edges = [0, *np.cumsum(np.bincount(classes, minlength=self.s.classes)).tolist()]
         return order, [(g, a, b) for g, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
 
     def log_probabilities(self, seq: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -168,10 +177,11 @@ class Network:
         out = np.empty(len(places), np.float64)
         for a in range(0, len(places), self.s.batch):
             part = places[a : a + self.s.batch]
-            order, groups = self.by_class(seq[part])
-            part = part[order]
-            h, word = self.hidden(seq, part), seq[part] // self.s.classes
-            p, rows, classes = np.empty(len(part), np.float32), np.arange(len(part)), seq[part] % self.s.classes
+            entries = seq.take(part)
+            order, groups = self.by_class(entries)
+            part, entries = part[order], entries[order]
+            h, word = self.hidden(self.neighbours(seq, part)), entries // self.s.classes
+            p, rows, classes = np.empty(len(part), np.float32), np.arange(len(part)), entries % self.s.classes
             for i in range(0, len(part), ROWS):
                 x = self.logits(h[i : i + ROWS], self.top)
                 own = x[rows[: len(x)], classes[i : i + ROWS]]
@@ -197,10 +207,12 @@ class Network:
         s = self.s
         for a in range(0, len(places), s.batch):
             part = places[a : a + s.batch]
-            order, groups = self.by_class(seq[part])
-            part = part[order]
-            h, word, rows = self.hidden(seq, part), seq[part] // s.classes, np.arange(len(part))
-            classes, back, gradient = seq[part] % s.classes, np.empty((len(part), s.dim), np.float32), np.zeros_like(self.top)
+            entries = seq.take(part)
+            order, groups = self.by_class(entries)
+            part, entries = part[order], entries[order]
+            near = self.neighbours(seq, part)
+            h, word, rows = self.hidden(near), entries // s.classes, np.arange(len(part))
+            classes, back, gradient = entries % s.classes, np.empty((len(part), s.dim), np.float32), np.zeros_like(self.top)
             for i in range(0, len(part), ROWS):
                 error, total, _ = exponentials(self.logits(h[i : i + ROWS], self.top))
                 error[rows[: len(error)], classes[i : i + ROWS]] -= total
@@ -218,11 +230,10 @@ class Network:
             self.move("low", slice(None), gradient)
             back *= 1 - h[:, :-1] ** 2
             self.move("bias", slice(None), back.sum(0))
-            columns, entries = np.ascontiguousarray(back.T, np.float64), self.around.shape[1]
-            for place, k in enumerate(self.offsets):
-                near = seq[part + k]
-                met = np.flatnonzero(np.bincount(near, minlength=entries))
-                sums = np.array([np.bincount(near, column, entries) for column in columns])
+            columns, size = np.ascontiguousarray(back.T, np.float64), self.around.shape[1]
+            for place, beside in enumerate(near):
+                met = np.flatnonzero(np.bincount(beside, minlength=size))
+                sums = np.array([np.bincount(beside, column, size) for column in columns])
                 self.move("around", (place, met), sums[:, met].T.astype(np.float32))
 
 
@@ -299,14 +310,15 @@ def rare_words(texts: DataFrame, vocabulary: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = set(vocabulary)
         for batch in slices(batches):
-            hashes, times, sizes = [], [], []
+            found, times, sizes = [], [], []
             for text in batch.column("text").to_pylist():
-                found = Counter(w for w in words_of(text) if w not in known)
-                hashes += [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 42) for w in found]
-                times += found.values()
-                sizes.append(len(found))
+                counts = Counter(filterfalse(known.__contains__, words_of(text)))
+                found += counts
+                times += counts.values()
+                sizes.append(len(counts))
             keys = np.repeat(batch.column("text_key").to_numpy(), sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(keys), pa.array(times, pa.int32())], ["hash", "text_key", "times"])
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, utf8(found), repeat(42)), np.uint64, len(found)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(keys), pa.array(times, pa.int32())], ["hash", "text_key", "times"])
 
     return texts.mapInArrow(run, "hash long, text_key long, times int")
 
@@ -329,7 +341,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     texts = texts_of(docs).withColumn("text_key", F.xxhash64("text"))
     told = t.write(texts.mapInArrow(run, "doc_id long, text_key long, n_words long, score double"), "told")
     # Rare words that occur more often have as many times the share of one occurrence.
-    more = rare_words(texts, vocabulary).join(model.counts, "hash").groupBy("text_key").agg(F.sum(F.col("times") * F.log("n")).alias("more"))
+    # Their counts, at most a row for each word that a partition meets, are looked up by hash: the far more rows of texts need no sort.
+    more = rare_words(texts, vocabulary).join(model.counts.hint("shuffle_hash"), "hash").groupBy("text_key").agg(F.sum(F.col("times") * F.log("n")).alias("more"))
     copies = told.groupBy("text_key").agg(F.count("*").alias("copies"))
     more = t.write(more.join(copies, "text_key").select("text_key", (F.col("more") / F.col("copies")).alias("more")), "more")
     total = F.col("score") + F.coalesce("more", F.lit(0.0))

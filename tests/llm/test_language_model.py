@@ -122,3 +122,12 @@ def test_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = queries.op2_language_model(spark, SF).collect()
     assert {r.doc_id: r.n_words for r in got} == {d: len(t.split()) for d, t in texts.items()} and all(r.score < 0 for r in got)
+
+
+def test_rare_words_are_joined_without_a_sort(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"a b c w{i % 7} w{i % 5} x{i}") for i in range(60)], "doc_id long, text string")
+    s, plans, write = lm.Settings(words=3, rare=5, classes=4, dim=4), {}, lm.Tables.write
+    monkeypatch.setattr(lm.Tables, "write", lambda t, df, name: plans.update({name: df._jdf.queryExecution().executedPlan().toString()}) or write(t, df, name))
+    assert lm.score(docs, lm.fit(docs, s)).count() == 60
+    rare = [x for x in plans["more"].splitlines() if "hash#" in x and "Join" in x]
+    assert rare and all("ShuffledHashJoin" in x for x in rare)
