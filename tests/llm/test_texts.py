@@ -2,15 +2,17 @@
 
 import base64
 import hashlib
+import json
 import random
 import tracemalloc
 import zlib
+from array import array
 
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from lexmill.llm import bpe, fingerprints, queries, token_files, toxicity
 
@@ -110,6 +112,26 @@ def test_library_encoder_agrees_on_single_characters():
         assert ids == b"".join(i.to_bytes(4, "little") for i in ref.encode(text, add_special_tokens=False).ids)
 
 
+def test_texts_as_bytes_give_the_ids_of_the_given_tokenizer():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    told, ref = json.loads(open(path).read()), Tokenizer.from_file(path)
+    enc = token_files.encoder(open(path).read())
+    assert sorted(token_files.stand_ins().values()) == sorted(pre_tokenizers.ByteLevel.alphabet())
+    assert all(not token_files.UNKNOWN.search(c) for c in token_files.KNOWN) and token_files.UNKNOWN.search("a\u0800") and token_files.UNKNOWN.search("\u2070")
+    rng = random.Random(23)
+    some = [" ", " ", "\n", "\t", "a", "s", "ll", "'", "'re", "1", "é", "×", "\u00a0", "\u0085", "\u2003", "’", "Ж", "٣", "²", "\x00", "<|endoftext|>", "!"]
+    texts = [f"a{c}b {c}{c} 1{c}'{c} {c}" for c in token_files.KNOWN]
+    texts += ["".join(rng.choice(some if rng.random() < 0.7 else token_files.KNOWN) for _ in range(rng.randint(0, 25))) for _ in range(5000)]
+    for text in texts:
+        assert enc.bytewise.encode(text.encode().decode("latin-1"), add_special_tokens=False).ids == ref.encode(text, add_special_tokens=False).ids
+    assert "tokenizer" not in vars(token_files.LibraryEncoder(json.dumps(told)))  # made for texts of other characters only
+    beside = told | {"added_tokens": [told["added_tokens"][0] | {"lstrip": True}]}  # looks at what stands beside it: texts go as they are
+    other = token_files.LibraryEncoder(json.dumps(beside))
+    text = "a  <|endoftext|> b é"
+    assert other.bytewise is None
+    assert other.encode([text, ""]) == [array("I", Tokenizer.from_str(json.dumps(beside)).encode(text, add_special_tokens=False).ids).tobytes(), b""]
+
+
 def test_fingerprints(spark, odd):
     for frame in (odd, spark.read.parquet(f"{SF}/documents.parquet"), odd.limit(1), odd.limit(0)):
         rows = sorted(((r.doc_id, r.text or "") for r in frame.select("doc_id", "text").collect()), key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))
