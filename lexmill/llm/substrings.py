@@ -5,8 +5,9 @@ All bytes are removed that a string of ``length`` bytes covers which also starts
 1. *Anchors.* Of every ``length`` consecutive bytes the byte run (``gram`` bytes) with the smallest hash is the
    anchor, so equal strings have equal anchors at equal offsets, and the strings of a document fall into runs of
    consecutive starts with the same anchor. A string reaches half of the remaining bytes beyond the anchor on the left
-   or on the right, so runs carry the hashes of the anchor widened to either side. Runs are dealt and sorted by hash, and
-   of each the strings stay whose wider anchor another text has too; a hash shared by very many documents is spread over
+   or on the right, so runs carry the hashes of the anchor widened to either side. Runs are dealt by hash, many packed in
+   a row, to tasks that get a bounded number of them, and sorted by hash; of each the strings stay whose wider anchor
+   another text has too; a hash shared by very many documents is spread over
    all tasks, and all its strings stay. Equal texts (by 96 bits of digests) count as one text here, that of their
    smallest id; larger copies go whole.
 2. *Contexts.* A run's bytes (at most ``2 * length``) go, once for each different content with its smallest id, to the
@@ -43,19 +44,23 @@ LAST = (1 << 63) - 1
 SHAPE = 1 << 12
 #: One in so many texts is looked at to find anchors that very many texts have.
 SHARE = 64
+#: Runs that are dealt to one task at most, about.
+RUNS = 1_500_000
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
 @dataclass(frozen=True)
 class Settings:
     """``block``: bytes of contexts that are sorted together at most; ``many``: contents of one anchor in a block at
-    most, beyond which the anchor is widened; ``remembered``: texts whose copies a task passes over."""
+    most, beyond which the anchor is widened; ``remembered``: texts whose copies a task passes over; ``held``: runs that
+    a task deals out or compares together."""
 
     length: int = 50
     gram: int = 16
     block: int = 250_000
     many: int = 2_000
     remembered: int = 500_000
+    held: int = 400_000
 
     @property
     def side(self) -> int:
@@ -88,6 +93,7 @@ def gram_hashes(data: np.ndarray, *sizes: int) -> list[np.ndarray]:
 #: Runs as they are dealt: ``place`` holds the first start (high half) and the shape, ``sides`` the left and right hashes.
 RUN = ["hash", "text_key", "tag", "place", "sides"]
 RUN_SQL = "hash long, text_key long, tag int, place long, sides long"
+RUN_BYTES = [8, 8, 4, 8, 8]
 KEPT_SQL = "hash long, text_key long, tag int, first int, shape int"
 
 
@@ -100,6 +106,24 @@ def halves(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (both >> 32).astype(np.int32), both.astype(np.int32)
 
 
+def packs(columns: list[np.ndarray], place: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """The different places, and the runs of each in one piece of bytes, column by column."""
+    by = np.argsort(place, kind="stable")  # runs of a text stay together: its keys compress
+    place, columns = place[by], [c[by] for c in columns]
+    starts = np.flatnonzero(_starts_of(place))
+    ends = np.append(starts[1:], len(place))
+    return place[starts], [b"".join(c[a:b].tobytes() for c in columns) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def unpacked(pieces: list[bytes]) -> list[np.ndarray]:
+    out, at = [], [0] * len(pieces)
+    for size in RUN_BYTES:
+        n = [len(x) // sum(RUN_BYTES) for x in pieces]
+        out.append(np.concatenate([np.frombuffer(x, f"i{size}", k, a) for x, k, a in zip(pieces, n, at, strict=True)]))
+        at = [a + k * size for a, k in zip(at, n, strict=True)]
+    return out
+
+
 def anchors(data: np.ndarray, s: Settings) -> list[np.ndarray]:
     """Of each run of string starts with one anchor: the anchor's hash, the first start, in one number how many
     starts there are and how far the anchor is from the first (``SHAPE * starts + distance``), and the hashes of the
@@ -203,44 +227,61 @@ def shared_anchors(texts: DataFrame, s: Settings, t: Tables) -> DataFrame:
 
     # Hashes are even over their range, save some that very many texts have: these are told from a part of the texts, for
     # where rows go only, and spread by text.
-    parts = shuffle_partitions(texts.sparkSession)
     some = texts.where(F.pmod("text_key", F.lit(SHARE)) == 0).mapInArrow(find, RUN_SQL)
     some = t.write(some.groupBy("hash").agg(F.count("*").alias("n")), "often")
-    least = max(8, (some.agg(F.sum("n")).first()[0] or 0) // (4 * parts))
-    hot = [r["hash"] for r in some.where(F.col("n") >= least).collect()]  # at most four for each partition
+    total = some.agg(F.sum("n")).first()[0] or 0
+    parts = max(shuffle_partitions(texts.sparkSession), total * SHARE // RUNS)
+    least = max(8, total // (4 * parts))
+    hot = np.array([r["hash"] for r in some.where(F.col("n") >= least).collect()], np.int64)  # at most four for each partition
     t.drop(some)
-    place = F.pmod("hash", F.lit(parts))  # low bits: anchors have small hashes
-    if hot:
-        place = F.when(F.col("hash").isin(hot), F.pmod("text_key", F.lit(parts))).otherwise(place)
-    ordered = texts.mapInArrow(find, RUN_SQL).repartitionById(parts, place.cast("int")).sortWithinPartitions("hash")
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Runs of a hash that other tasks have too all stay."""
-        held: list[pa.RecordBatch] = []
-        size, spread = 0, set(hot)
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs go to their tasks many in a row: Spark has little to do for each run."""
 
-        def cut(rows: list[pa.RecordBatch], last: bool) -> tuple[pa.RecordBatch, list[pa.RecordBatch]]:
+        def out(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
             columns = [np.concatenate([b.column(c).to_numpy() for b in rows]) for c in RUN]
-            h = columns[0]
-            end = len(h) if last else int(np.searchsorted(h, h[-1], "left"))
-            if not end:  # one hash so far, too often to be held
-                end = len(h)
-                spread.add(int(h[-1]))
-            key, tag, place, sides = (c[:end] for c in columns[1:])
-            done = shared_runs([h[:end], key, tag, *halves(place), *halves(sides)], np.array([*spread], np.int64), s)
-            rest = pa.RecordBatch.from_arrays([pa.array(c[end:]) for c in columns], RUN)
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in done[:5]], [x.split()[0] for x in KEPT_SQL.split(", ")]), [rest] if rest.num_rows else []
-
-        for batch in batches:
+            place = columns[0] % parts  # low bits: anchors have small hashes
+            if len(hot):
+                place = np.where(np.isin(columns[0], hot), columns[1] % parts, place)
+            places, pieces = packs(columns, place.astype(np.uint16 if parts < 1 << 16 else np.int32))
+            return pa.RecordBatch.from_arrays([pa.array(places.astype(np.int32)), pa.array(pieces, pa.binary())], ["place", "runs"])
+
+        held, size = [], 0
+        for batch in find(batches):
             held.append(batch)
             size += batch.num_rows
-            if size > 200_000:
-                done, held = cut(held, False)
-                size = sum(b.num_rows for b in held)
-                yield done
+            if size > s.held:
+                yield out(held)
+                held, size = [], 0
         if size:
-            yield cut(held, True)[0]
+            yield out(held)
 
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs of a hash that other tasks have too all stay."""
+        pieces = [x for b in batches for x in b.column("runs").to_pylist()]
+        if not pieces:
+            return
+        columns, spread = unpacked(pieces), hot
+        pieces.clear()
+        by = np.argsort(columns[0])
+        h = columns[0][by]
+        n = np.diff(np.append(np.flatnonzero(_starts_of(h)), len(h)))
+        stay = np.repeat(n > 1, n) | np.isin(h, hot)
+        by, h = by[stay], h[stay]
+        at = 0
+        while at < len(h):
+            end = len(h)
+            if end - at > s.held:
+                end = int(np.searchsorted(h, h[at + s.held], "left"))
+                if end <= at:  # one hash, too often to be compared together
+                    end = at + s.held
+                    spread = np.append(spread, h[at])
+            hash_, key, tag, place, sides = (c[by[at:end]] for c in columns)
+            done = shared_runs([hash_, key, tag, *halves(place), *halves(sides)], spread, s)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in done[:5]], [c.split()[0] for c in KEPT_SQL.split(", ")])
+            at = end
+
+    ordered = texts.mapInArrow(deal, "place int, runs binary").repartitionById(parts, "place")
     return ordered.mapInArrow(keep, KEPT_SQL)
 
 

@@ -59,6 +59,27 @@ def test_small_alphabets_nulls_ties_and_repeats(spark, many):
     assert substrings.dedup_substrings(frame.limit(0)).count() == 0
 
 
+def test_runs_are_dealt_many_in_a_row():
+    rng = np.random.default_rng(1)
+    kinds = [f"i{n}" for n in substrings.RUN_BYTES]
+    runs = [rng.integers(-1 << 31, 1 << 31, 1000).astype(k) for k in kinds]
+    places, pieces = substrings.packs(runs, np.arange(1000) % 7)
+    assert places.tolist() == list(range(7)) and len(pieces) == 7
+    for place, piece in zip(places, pieces, strict=True):
+        assert all((a == b[place::7]).all() for a, b in zip(substrings.unpacked([piece]), runs, strict=True))
+    both = substrings.unpacked(pieces[:2])
+    assert [len(x) for x in both] == [286] * len(kinds) and all((a[143:] == b[1::7]).all() for a, b in zip(both, runs, strict=True))
+
+
+def test_few_runs_at_a_time_and_hashes_with_more(spark):
+    rng = random.Random(9)
+    base = "".join(rng.choice("abcdefgh \n") for _ in range(300))
+    rows = [(i, f"{rng.random()}" + base[i : 120 + 5 * i] + f"{rng.random()}{rng.random()}") for i in range(40)]
+    rows += [(60 + i, f"{i}" * 3 + "0123456789abcdefghijklmnopqrstuvwxyz" * 20 + f"{rng.random()}") for i in range(5)] + [(None, base), (3, base[100:])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(substrings.dedup_substrings(frame, substrings.Settings(held=5))) == brute(rows, 50)
+
+
 def test_query_on_documents(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert result(queries.op9_substring_dedup(spark, "/root/testdata/sf0.001")) == brute(rows, 50)
