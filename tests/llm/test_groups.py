@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -177,6 +178,56 @@ def test_best_buckets_come_in_order_and_reach_their_chance():
         assert {tuple(x) for x in slots[row == i]} == {tuple(x) for x in every[by[:n]]}
 
 
+def test_depths_reach_the_buckets_of_the_list():
+    rng = np.random.default_rng(9)
+    order, chance = (rng.dirichlet(np.ones(4), (6, 6)) for _ in range(2))
+    costs, depth = neighbours.depths(order, chance, 0.7)
+    every = np.array(np.unravel_index(np.arange(4**6), (4,) * 6)).T
+    row, slots = neighbours.best_buckets(order, chance, 0.7)
+    for i in range(6):
+        total, chances = (of[i, np.arange(6), every] for of in (costs, chance))
+        total, chances = total.sum(axis=1), np.prod(chances, axis=1)
+        assert chances[total <= depth[i]].sum() >= 0.7 - 1e-9 > chances[total < depth[i]].sum()
+        listed, reached = {tuple(x) for x in slots[row == i]}, {tuple(x) for x in every[total <= depth[i]]}
+        assert len(listed ^ reached) < 0.1 * len(listed)  # costs are rounded
+    certain = np.zeros((1, 3, 4))
+    certain[..., 0] = 1.0
+    assert neighbours.depths(certain, certain, 0.9)[1].tolist() == [0]
+    assert neighbours.depths(np.ones((2, 0, 5)), np.ones((2, 0, 5)), 0.9)[1].tolist() == [0, 0]
+
+
+def test_many_functions_and_faint_likeness_need_no_lists_of_buckets(spark):
+    """With eight functions a query at a likeness of 0.45 visits up to hundreds of thousands of buckets of 5 ** 8."""
+    rng = np.random.default_rng(10)
+    x = rng.standard_normal((3000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index = neighbours.Index(rng.standard_normal((3, 8, 25)), rng.uniform(0, 2.5, (3, 8)), 2.5, 1.0)
+    tracemalloc.start()
+    neighbours.ways(index, x[:128], 0.45, neighbours.Settings())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    want, got = brute_nearest(rows, 20), {}
+    for r in neighbours.nearest(vectors(spark, rows, "double"), F.col("vec_id") % 20 == 0, s=neighbours.Settings(bucket_rows=1)).collect():
+        got.setdefault(r.query_id, {})[r.vec_id] = r.score
+    assert all(len(found) == 20 for found in got.values())
+    assert sum(len(set(got[q]) & {i for i, _ in found[0]}) for q, found in want.items()) >= 0.9 * 20 * len(want)
+    scores = {(q, i): x[q] @ x[i] for q, found in got.items() for i in found}
+    assert all(abs(got[q][i] - score) < 1e-12 for (q, i), score in scores.items())
+
+
+def test_nearest_of_signed_zeros_and_far_apart_norms_is_exact(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(x) for x in rng.integers(-3, 4, 4)]) for i in range(100)]
+    rows += [(100 + i, [0.0 if i % 2 else -0.0, 2.0, -0.0, 1.0]) for i in range(45)] + [(200 + i, [2.0**60 * float(x) for x in rng.integers(-2, 3, 4)]) for i in range(41)]
+    rows += [(300 + i, [2.0**-60 * float(x) for x in rng.integers(-2, 3, 4)]) for i in range(41)]
+    by = {}
+    for r in neighbours.nearest(vectors(spark, rows, "double"), F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        by.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert by == {q: found[0] for q, found in brute_nearest(rows, 20).items()}
+
+
 def H(parts):
     return hashlib.sha256("".join(parts).encode()).hexdigest()
 
