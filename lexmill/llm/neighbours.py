@@ -46,7 +46,7 @@ class Settings:
     tables: int = 3
     width: float = 2.5
     bucket_rows: int = 512
-    success: float = 0.9
+    success: float = 0.95
     near: float = 0.95
     sample: int = 64
     block: int = 4096
@@ -86,7 +86,7 @@ def slot_range(width: float) -> tuple[int, int]:
 
 
 def bucket_names(table: int, slots: np.ndarray) -> np.ndarray:
-    """64-bit names of (rows, functions) slots; an equal name of two buckets only adds candidates."""
+    """64-bit names of (rows, functions) slots. Two buckets of a block with one name, by a chance of 2 ** -64, would be visited together."""
     h = np.full(len(slots), table + 1, np.uint64)
     with np.errstate(over="ignore"):
         for j in range(slots.shape[1]):
@@ -115,7 +115,8 @@ def best_buckets(order: np.ndarray, chance: np.ndarray, wanted: float) -> tuple[
     to ``wanted``.
 
     The best buckets of the first functions hold the beginnings of all best buckets, so a list of a fixed length is
-    exact as far as it goes; it is doubled until no row wants more."""
+    exact as far as it goes; it is doubled until no row wants more. This is the plain form, by which ``depths`` is tested: lists
+    of many functions at a faint likeness do not fit into memory."""
     rows, functions, n = order.shape
     keep = 64
     while True:
@@ -315,7 +316,7 @@ class Best:
     """The ``k`` best candidates of each of a block of queries, kept in flat columns."""
 
     #: Candidates held before they are cut back to ``k`` for each query; scores worked out together; rows of a bucket that meets its own queries only.
-    HELD, CELLS, LARGE = 1 << 20, 1 << 21, 32
+    HELD, CELLS, LARGE = 1 << 19, 1 << 21, 32
 
     def __init__(self, index: Index, k: int, block: int, asked: np.ndarray, costs: np.ndarray, depth: np.ndarray, x: np.ndarray) -> None:
         self.k, self.block, self.asked, self.costs, self.depth, self.x = k, block, asked, costs, depth, x
@@ -427,6 +428,7 @@ def meet(packed: DataFrame, probed: DataFrame, index: Index, k: int, s: Settings
                 best[int(asked[0])].visit(now)
         for one in best.values():
             yield one.told()
+        pa.default_memory_pool().release_unused()
 
     pairs = packed.hint("shuffle_replicate_nl").crossJoin(probed)
     return pairs.mapInArrow(run, "q long, found array<struct<far: double, least: long, id: long>>")
