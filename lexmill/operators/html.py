@@ -12,10 +12,13 @@ below, as it stands, with a line break after ``p`` and ``br``), ``line`` (that a
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,34 +61,61 @@ WHOLE, ORDER, REASONS, PREAMBLE = "전문", "주문", "이유", "서문"
 # End of fixed values.
 
 
+#: Tags as most pages write them, which need none of the tokenizer's tolerance, and the elements whose content it reads otherwise.
+PLAIN_START = re.compile(r'<([a-zA-Z][a-zA-Z0-9]*)((?: [a-zA-Z][-a-zA-Z0-9_]*="[^"&]*")*)>')
+PLAIN_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9]*)>")
+PLAIN_ATTRIBUTE = re.compile(r' ([^=]+)="([^"]*)"')
+OWN_CONTENT = frozenset("iframe noembed noframes noscript plaintext script style textarea title xmp".split())
+
+
 class _Nodes(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.rows: list[dict] = []
         self.open: list[int] = []
-        self.pieces: list[tuple[int, str]] = []  # (node, text) in order; -1: a line break of the flat text
+        self.pieces: list[str] = []  # text in order, with the line breaks of the flat text
+
+    def updatepos(self, i: int, j: int) -> int:  # lines are not counted
+        return j
+
+    def parse_starttag(self, i: int) -> int:
+        plain = PLAIN_START.match(self.rawdata, i)
+        if plain is None or (tag := plain[1].lower()) in OWN_CONTENT:
+            return super().parse_starttag(i)
+        self.handle_starttag(tag, [(k.lower(), v) for k, v in PLAIN_ATTRIBUTE.findall(plain[2])] if plain[2] else [])
+        return plain.end()
+
+    def parse_endtag(self, i: int) -> int:
+        plain = PLAIN_END.match(self.rawdata, i) if self.cdata_elem is None else None
+        if plain is None or (tag := plain[1].lower()) in OWN_CONTENT:
+            return super().parse_endtag(i)
+        self.handle_endtag(tag)
+        return plain.end()
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in ENDS_PARAGRAPH or tag in IMPLIED_ENDS:
+        if tag in IMPLIED_ENDS:
             self._imply_ends(tag)
+        elif tag in ENDS_PARAGRAPH and self.open and self.rows[self.open[-1]]["tag"] == "p":
+            self._close(len(self.open) - 1)
         parent = self.open[-1] if self.open else None
-        at = {k: v or "" for k, v in reversed(attrs)}
-        self.rows.append({"ord": len(self.rows), "parent": parent, "depth": len(self.open), "tag": tag, "id": at.get("id"), "class": f" {' '.join(at.get('class', '').split())} ", "attrs": at, "own": [], "first": len(self.pieces)})
+        at = {k: v or "" for k, v in reversed(attrs)} if attrs else {}
+        n = len(self.rows)
+        self.rows.append({"ord": n, "parent": parent, "depth": len(self.open), "tag": tag, "id": at.get("id"), "class": f" {' '.join(at['class'].split())} " if "class" in at else "  ", "attrs": at, "own": [], "first": len(self.pieces)})
         if tag in VOID:
             if tag == "br":
-                self.pieces.append((-1, "\n"))
-            self.rows[-1] |= {"last": len(self.rows) - 1, "end": len(self.pieces)}
+                self.pieces.append("\n")
+            self.rows[-1] |= {"last": n, "end": len(self.pieces)}
         else:
-            self.open.append(len(self.rows) - 1)
+            self.open.append(n)
 
     def _imply_ends(self, tag: str) -> None:
-        over, within = IMPLIED_ENDS.get(tag, ((), ()))
+        over, within = IMPLIED_ENDS[tag]
         last = None
         for k in range(len(self.open) - 1, -1, -1):
             here = self.rows[self.open[k]]["tag"]
             if here in within:
                 break
-            if here in over or (here == "p" and tag in ENDS_PARAGRAPH and k == len(self.open) - 1):
+            if here in over:
                 last = k
         if last is not None:
             self._close(last)
@@ -96,18 +126,20 @@ class _Nodes(HTMLParser):
                 return self._close(k)
 
     def _close(self, k: int) -> None:
+        last = len(self.rows) - 1
         for at in reversed(self.open[k:]):
-            if self.rows[at]["tag"] == "p":
-                self.pieces.append((-1, "\n"))
-            self.rows[at] |= {"last": len(self.rows) - 1, "end": len(self.pieces)}
+            row = self.rows[at]
+            if row["tag"] == "p":
+                self.pieces.append("\n")
+            row["last"], row["end"] = last, len(self.pieces)
         del self.open[k:]
 
     def handle_data(self, data: str) -> None:
         if not self.open and data.strip():  # text outside any element begins a paragraph
             self.handle_starttag("p", [])
-        if self.open and self.rows[self.open[-1]]["tag"] not in ("script", "style"):
-            self.rows[self.open[-1]]["own"].append(data)
-            self.pieces.append((self.open[-1], data))
+        if self.open and (row := self.rows[self.open[-1]])["tag"] not in ("script", "style"):
+            row["own"].append(data)
+            self.pieces.append(data)
 
 
 #: Fields that hold all text below a node. A page repeats its text in them for each level, so a plan asks for those it reads.
@@ -120,14 +152,19 @@ def nodes_of(page: str | None, texts: tuple[str, ...] = TEXTS) -> list[dict]:
     parser.feed(page or "")
     parser.close()
     parser._close(0)
+    pieces = parser.pieces
+    if "text" in texts:
+        stripped = [t.strip() for t in pieces]
+        before = [0, *accumulate(1 if s else 0 for s in stripped)]  # pieces with text before each place
+        stripped = [s for s in stripped if s]
     for row in parser.rows:
-        inside = parser.pieces[row.pop("first") : row.pop("end")]
+        low, high = row.pop("first"), row.pop("end")
         if "text" in texts:
-            row["text"] = "\n".join(s for n, t in inside if n >= 0 and (s := t.strip()))
+            row["text"] = "\n".join(stripped[before[low] : before[high]])
         if "flat" in texts:
-            row["flat"] = "".join(t for _, t in inside)
+            row["flat"] = "".join(pieces[low:high])
         if "line" in texts:
-            row["line"] = " ".join(BLANK_WORD.sub(" ", "".join(t for _, t in inside).replace("\u00a0", " ")).split())
+            row["line"] = " ".join(BLANK_WORD.sub(" ", "".join(pieces[low:high]).replace("\u00a0", " ")).split())
     return parser.rows
 
 
@@ -139,13 +176,30 @@ _ARROW = {T.IntegerType(): pa.int32(), T.StringType(): pa.string(), T.ArrayType(
 ARROW_NODES = pa.list_(pa.struct([(k, _ARROW[v]) for k, v in _FIELDS.items()]))
 
 
+#: Bytes of pages whose nodes a worker holds at once, and sends back as one batch: nodes take many times a page's bytes.
+SLICE_BYTES = 1 << 16
+
+
+def _slices(pages: pa.Array) -> Iterator[pa.Array]:
+    """The same pages in smaller arrays of about ``SLICE_BYTES``; a longer page is alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(pages), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(pages):
+        before = int(ends[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        yield pages.slice(at, end - at)
+        at = end
+
+
 def parse(page: Column, *texts: str) -> Column:
     """The nodes of pages; of :data:`TEXTS` only ``texts`` are filled in (all, if none is named)."""
     wanted = texts or TEXTS
 
     @arrow_udf(NODES)
-    def parsed(pages: pa.Array) -> pa.Array:
-        return pa.array([nodes_of(page, wanted) for page in pages.to_pylist()], ARROW_NODES)
+    def parsed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for pages in _slices(batch):
+                yield pa.array([nodes_of(page, wanted) for page in pages.to_pylist()], ARROW_NODES)
 
     return parsed(page)
 

@@ -1,7 +1,10 @@
 """Pages, pipelines, queue, input and output, and the worker."""
 
 import random
+import tracemalloc
+from html.parser import HTMLParser
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -286,3 +289,39 @@ def test_queue_states(spark):
     shares = [{r.id for r in queue.claimable(q, 10, k, 2).collect()} for k in range(2)]
     assert shares[0] | shares[1] == {1, 3} and not shares[0] & shares[1]
     assert [r.id for r in taken.collect()] == [1] and {r.id: r.status for r in after.collect()} == {1: "working", 2: "done", 3: "pending"}
+
+
+def test_a_worker_holds_the_nodes_of_few_pages(monkeypatch):
+    found = []
+    monkeypatch.setattr(html, "arrow_udf", lambda kind: lambda f: found.append(f) or (lambda c: c))
+    html.parse(F.lit(""), "text", "flat")
+    body = "".join(f'<div class="pgroup"><p class="gtit">part {i}</p><div class="lawcon"><p>a</p><p>{i}</p></div></div>' for i in range(30))
+    pages = [None, "", *[f"<h2>{k}</h2>{body}" for k in range(1500)], f"<h2>long</h2>{body * 40}", None, "<p>x</p>"]
+    got, most = [], 0
+    tracemalloc.start()
+    for nodes in found[0](iter([pa.array(pages[:700]), pa.array([], pa.string()), pa.array(pages, pa.large_string())[700:]])):
+        most = max(most, tracemalloc.get_traced_memory()[1])
+        got += [len(x) for x in nodes]
+    tracemalloc.stop()
+    assert got == [len(html.nodes_of(p)) for p in pages]
+    assert most < 25_000_000  # 1,500 pages of 151 nodes take 200 MB as rows in Python
+
+
+def test_pages_of_any_length_keep_their_places(spark):
+    pages = [(i, None if i % 97 == 0 else f"<p>{i}</p>" * (1 + 20_000 * (i % 301 == 0))) for i in range(3000)]
+    df = spark.createDataFrame(pages, "i int, h string").repartition(2)
+    rows = df.select("i", html.parse(F.col("h"), "text").alias("n")).select("i", F.size("n").alias("n"), F.get("n", 0)["text"].alias("first"), F.get("n", F.size("n") - 1)["text"].alias("last")).collect()
+    assert sorted((r.i, r.n, r.first, r.last) for r in rows) == [(i, 0 if h is None else h.count("<p>"), *[None if h is None else str(i)] * 2) for i, h in pages]
+
+
+def test_plain_tags_are_read_as_the_tokenizer_reads_them(monkeypatch):
+    pieces = [
+        "<p>", "</p>", "<br>", "<br/>", '<div class="a b">', '<DIV Class="X">', "</div>", "</ div>", "<script>", "</script>", "<title>", "</title>", "<li>", "<ul>", "</ul>", "<td>", "<tr>", "<table>", "</table>", '<a href="x&amp;y">', '<a b="x>y" c="<z">', "<a b=c>", "<a b>", '<a b="">',
+        '<a  b="c">', '<a b="c" b="d">', '<a b="c"d="e">', '<img src="q" />', "</a>", "</>", "<!-- c -->", "<!-- c", "<!DOCTYPE html>", "&amp;", "&", "&lt", "<", ">", '"', "text ", " ", "\n", "가", '<a\nb="c">', "<o:p>", '<x-y a-b="1">', "<p", '<a b="c', "\0",
+    ]
+    rng = random.Random(8)
+    pages = ["".join(rng.choices(pieces, k=rng.randrange(30))) for _ in range(3000)]
+    fast = [html.nodes_of(p) for p in pages]
+    for name in ("parse_starttag", "parse_endtag", "updatepos"):
+        monkeypatch.setattr(html._Nodes, name, getattr(HTMLParser, name))
+    assert fast == [html.nodes_of(p) for p in pages]
