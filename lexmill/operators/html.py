@@ -337,10 +337,12 @@ def _carried(found: DataFrame, chapter: Callable[[Column], Column], row: Callabl
 
 
 def statute_chunks(documents: DataFrame) -> DataFrame:
-    """Articles of statute pages (rows of :func:`document_header`). The chapter carries forward within a page."""
+    """Articles of statute pages (rows of :func:`document_header`). The chapter carries forward within a page.
+
+    A page without a body has null groups, so no rows; a filter would be pushed below and parse each page a second time."""
     nodes = F.col("nodes")
-    holder = first(nodes, lambda n: n["id"].isin(*STATUTE_BODIES) | has_class(STATUTE_BODY_CLASS)(n))
-    found = documents.withColumn("holder", holder).where("holder IS NOT NULL").withColumn("groups", groups(below(nodes, F.col("holder"))))
+    inside = of_first(nodes, lambda n: n["id"].isin(*STATUTE_BODIES) | has_class(STATUTE_BODY_CLASS)(n), lambda n: groups(below(nodes, n)))
+    found = documents.withColumn("groups", inside)
     lead = lambda g: tight(first(below(nodes, g), lambda n: (n["tag"] == "p") & has_class("gtit")(n))["text"])
     chapter = lambda g: bound(lead(g), lambda c: F.when(c.rlike(CHAPTER_LEAD), c))
     rows = _carried(found, chapter, lambda g: [tight(label_of(nodes, g)["text"]).alias("label"), normal_lines(g["flat"]).alias("text")])

@@ -325,3 +325,12 @@ def test_plain_tags_are_read_as_the_tokenizer_reads_them(monkeypatch):
     for name in ("parse_starttag", "parse_endtag", "updatepos"):
         monkeypatch.setattr(html._Nodes, name, getattr(HTMLParser, name))
     assert fast == [html.nodes_of(p) for p in pages]
+
+
+def test_statute_pages_are_parsed_once(spark):
+    group = '<div class="pgroup"><span class="bl"><label>제1조(가)</label></span><p>x</p></div>'
+    bodies = [f"<h2>none</h2>{group}", None, '<div id="conScroll"></div>', f'<div id="conScroll">{group}</div><div class="law-view-content">{group}</div>']
+    pages = spark.createDataFrame([(f"https://h/x?lsiSeq={i}", b) for i, b in enumerate(bodies)], "url string, html string")
+    chunks = html.statute_chunks(html.document_header(pages, urls.STATUTE))
+    assert [(r.chunk_id, r.text, r.metadata.chapter) for r in chunks.collect()] == [("doc:3:article_1", "제1조(가)x", "")]
+    assert chunks._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
