@@ -85,3 +85,22 @@ def test_merged_summaries_stay_within_their_bounds(spark):
     assert all(abs(x * x / 200_000 - q) < 0.0165 for x, q in ((one.q0, 0.1), (one.q1, 0.5), (one.q2, 0.9))) and abs(one.r - 0.2) < 0.0165
     rolled = summaries.merged(stored, ["day"], rollup=True)
     assert rolled.count() == 41 and rolled.where("day IS NULL").first()["n"] == 200_000
+
+
+def test_interval_rows_are_shuffled_once_and_to_few_levels(spark):
+    unit = 60_000_000
+    spans = [(i, i * unit, i * unit + unit * 2**k + d) for i, (k, d) in enumerate((k, d) for k in range(13) for d in (-1, 0, 1))] + [(99, 0, 2**62), (100, -5, 2**61)]
+    right = spark.createDataFrame(spans, "id long, s long, e long")
+    assert intervals._levels(intervals._levelled(right.where("id < 99"), "right", "s", "e", unit), "right") == [0, 3, 6, 9, 12, 15]
+    points = spark.createDataFrame([(i, i * unit // 7) for i in range(600)], "p long, at long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = intervals.holders(points, right, "at", ("s", "e"), unit)
+        lines = met._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert sorted((r.left.p, r.right.id) for r in met.collect()) == sorted((p, i) for p in range(600) for i, s, e in spans if s <= p * unit // 7 < e)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    by = [(x, below) for x, below in zip(lines, lines[1:]) if "Exchange hashpartitioning" in x]
+    assert sum("slice" in x for x, _ in by) == 4  # two sides of two joins
+    assert all("slice" in x or "HashAggregate" in below for x, below in by)  # the others hold counts
