@@ -104,3 +104,14 @@ def test_interval_rows_are_shuffled_once_and_to_few_levels(spark):
     by = [(x, below) for x, below in zip(lines, lines[1:]) if "Exchange hashpartitioning" in x]
     assert sum("slice" in x for x, _ in by) == 4  # two sides of two joins
     assert all("slice" in x or "HashAggregate" in below for x, below in by)  # the others hold counts
+
+
+def test_overlaps_shuffle_each_side_once_whatever_the_keys(spark):
+    left = spark.createDataFrame([(i, "ab"[i % 2], i * 10, i * 10 + 3**(i % 12)) for i in range(300)], "id long, k string, s long, e long")
+    right = spark.createDataFrame([(i, "abc"[i % 3], i * 7, i * 7 + 2**(i % 18)) for i in range(300)], "id long, k string, s long, e long")
+    met = intervals.overlaps(left, right, ("s", "e"), ("s", "e"), 8, ["k"], 5)
+    pairs = sorted((r.left.id, r.right.id) for r in met.collect())
+    a, b = left.collect(), right.collect()
+    assert pairs == sorted((x.id, y.id) for x in a for y in b if x.k == y.k and x.s < y.e and y.s < x.e)
+    lines = met._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert sum("Join Inner" in x for x in lines) == 2 and sum("Join LeftOuter" in x and "rightHint=(strategy=broadcast)" in x for x in lines) == 4
