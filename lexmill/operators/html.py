@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from html import unescape
 from html.parser import HTMLParser
 from itertools import accumulate
 
@@ -61,9 +62,8 @@ WHOLE, ORDER, REASONS, PREAMBLE = "전문", "주문", "이유", "서문"
 # End of fixed values.
 
 
-#: Tags as most pages write them, which need none of the tokenizer's tolerance, and the elements whose content it reads otherwise.
-PLAIN_START = re.compile(r'<([a-zA-Z][a-zA-Z0-9]*)((?: [a-zA-Z][-a-zA-Z0-9_]*="[^"&]*")*)>')
-PLAIN_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9]*)>")
+#: Text and a tag as most pages write them, which need none of the tokenizer's tolerance, and the elements whose content it reads otherwise.
+PLAIN = re.compile(r'([^<]*)<(?:/([a-zA-Z][a-zA-Z0-9]*)>|([a-zA-Z][a-zA-Z0-9]*)((?: [a-zA-Z][-a-zA-Z0-9_]*="[^"&]*")*)>)')
 PLAIN_ATTRIBUTE = re.compile(r' ([^=]+)="([^"]*)"')
 OWN_CONTENT = frozenset("iframe noembed noframes noscript plaintext script style textarea title xmp".split())
 
@@ -78,19 +78,35 @@ class _Nodes(HTMLParser):
     def updatepos(self, i: int, j: int) -> int:  # lines are not counted
         return j
 
+    def goahead(self, end: bool) -> None:
+        self.rawdata = self.rawdata[self._plain(0) :]
+        super().goahead(end)
+
     def parse_starttag(self, i: int) -> int:
-        plain = PLAIN_START.match(self.rawdata, i)
-        if plain is None or (tag := plain[1].lower()) in OWN_CONTENT:
-            return super().parse_starttag(i)
-        self.handle_starttag(tag, [(k.lower(), v) for k, v in PLAIN_ATTRIBUTE.findall(plain[2])] if plain[2] else [])
-        return plain.end()
+        plain = self._plain(i, 1)
+        return plain if plain > i else super().parse_starttag(i)
 
     def parse_endtag(self, i: int) -> int:
-        plain = PLAIN_END.match(self.rawdata, i) if self.cdata_elem is None else None
-        if plain is None or (tag := plain[1].lower()) in OWN_CONTENT:
-            return super().parse_endtag(i)
-        self.handle_endtag(tag)
-        return plain.end()
+        plain = self._plain(i, 1)
+        return plain if plain > i else super().parse_endtag(i)
+
+    def _plain(self, i: int, most: int = -1) -> int:
+        """Reads texts with plain tags after them from ``i`` on, as far as they go or ``most`` of them; where the next thing begins."""
+        raw, match = self.rawdata, PLAIN.match
+        while most and self.cdata_elem is None and (plain := match(raw, i)):
+            text, ends, starts, attrs = plain.groups()
+            tag = (ends or starts).lower()
+            if tag in OWN_CONTENT:
+                break
+            if text:
+                self.handle_data(unescape(text))
+            if ends:
+                self.handle_endtag(tag)
+            else:
+                self.handle_starttag(tag, [(k.lower(), v) for k, v in PLAIN_ATTRIBUTE.findall(attrs)] if attrs else [])
+            i = plain.end()
+            most -= 1
+        return i
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in IMPLIED_ENDS:
